@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barloom.operators import clean
-from barloom.operators.keyed import broadcast_if_small, keep_keys, last_by, top_k
+from barloom.operators.keyed import broadcast_if_small, is_small, last_by, top_k
 from barloom.schema import BAR_COLS, FALLBACK_SOURCES, HISTORY_ROW_LIMIT, KEY
 
 
@@ -12,16 +12,20 @@ def source_order(default: str, others=FALLBACK_SOURCES) -> list[str]:
     return list(dict.fromkeys(s.lower() for s in [default, *others] if s))
 
 
-def source_fallback(history: DataFrame, sources: list[str]) -> DataFrame:
+def source_fallback(
+    history: DataFrame, sources: list[str], few_symbols: bool = False
+) -> DataFrame:
     """Per symbol only the rows of the first source that has any row for it.
 
-    The choice is made on the rows as they came, before any cleaning.
+    The choice is made on the rows as they came, before any cleaning. With
+    ``few_symbols`` known the choice, a row per symbol, is broadcast.
     """
     ranks = F.create_map(*[F.lit(x) for i, s in enumerate(sources) for x in (s, i)])
     ranked = history.withColumn("_rank", F.try_element_at(ranks, F.lower("source")))
     ranked = ranked.filter(F.col("_rank").isNotNull())
     best = ranked.groupBy("symbol").agg(F.min("_rank").alias("_rank"))
-    return ranked.join(broadcast_if_small(best), ["symbol", "_rank"], "left_semi").drop("_rank")
+    best = F.broadcast(best) if few_symbols else best
+    return ranked.join(best, ["symbol", "_rank"], "left_semi").drop("_rank")
 
 
 def history_scan(history: DataFrame, start, end) -> DataFrame:
@@ -35,7 +39,9 @@ def history_topk(history: DataFrame, limit: int, *order: Column) -> DataFrame:
     return top_k(history, ["symbol"], limit, newest, spread=F.col("time"))
 
 
-def gap_fill(history: DataFrame, board: DataFrame, today) -> DataFrame:
+def gap_fill(
+    history: DataFrame, board: DataFrame, today, few_symbols: bool = False
+) -> DataFrame:
     """Add today's board row for symbols whose history ends before today.
 
     Symbols without any history get none: their reload has failed.
@@ -43,9 +49,10 @@ def gap_fill(history: DataFrame, board: DataFrame, today) -> DataFrame:
     day = (today if isinstance(today, Column) else F.lit(today)).cast("date")
     ends = history.groupBy("symbol").agg(F.max("trading_date").alias("_end"))
     behind = ends.filter(F.col("_end") < day).select("symbol")
-    rows = last_by(board.select(*BAR_COLS), ["symbol"], F.col("trading_date"))
-    fill = keep_keys(rows, behind, "symbol").withColumn("trading_date", day)
-    return history.unionByName(fill.select(*history.columns))
+    behind = F.broadcast(behind) if few_symbols else behind
+    rows = last_by(board.select(*history.columns), ["symbol"], F.col("trading_date"))
+    fill = rows.join(behind, "symbol", "left_semi").withColumn("trading_date", day)
+    return history.unionByName(fill)
 
 
 def adjusted_history(
@@ -64,17 +71,19 @@ def adjusted_history(
     """Clean history of ``symbols``, filled up to ``today``, one bar per day.
 
     ``order`` names feed columns that tell repeated days of a symbol apart; the
-    last one is kept, and a board row is later than all of them.
+    last one is kept, and a board row is later than all of them. Every later step
+    has at most as many keys as ``symbols``, so its size is checked just once.
     """
-    wanted = keep_keys(history, symbols.select("symbol").distinct(), "symbol")
-    wanted = source_fallback(history_scan(wanted, start, end), sources)
+    keys = symbols.select("symbol").distinct()
+    few = is_small(keys)
+    wanted = history.join(F.broadcast(keys) if few else keys, "symbol", "left_semi")
+    wanted = source_fallback(history_scan(wanted, start, end), sources, few)
     wanted = history_topk(wanted, limit, *[F.col(c) for c in order])
-    bars = clean.attach_exchange(clean.clean_download(wanted, multiplier), listing)
-    bars = bars.select(*BAR_COLS, *order)
-    deduped = last_by(bars, KEY, *[F.col(c) for c in order or ("source",)]).select(*BAR_COLS)
+    bars = clean.clean_download(wanted, multiplier)
+    deduped = last_by(bars, KEY, *[F.col(c) for c in order or ("source",)]).drop(*order)
     # History is unique by day now, and the board row lies after its end.
-    on_board = clean.attach_exchange(board, listing)
-    return gap_fill(deduped, on_board, today)
+    filled = gap_fill(deduped, board, today, few)
+    return clean.attach_exchange(filled, listing).select(*BAR_COLS)
 
 
 def reload_attempts(ordered: DataFrame, adjusted: DataFrame) -> DataFrame:

@@ -9,15 +9,19 @@ BROADCAST_ROWS = 200_000
 _MONO_ID_BITS = 33
 
 
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a frame has at most ``max_rows`` rows. Never counts past the bound."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a narrow key frame for broadcast only once its row count is known to fit.
 
     Beyond ``max_rows`` the frame comes back unmarked, so the join shuffles and
-    adaptive execution splits hot keys. The check never counts past the bound.
+    adaptive execution splits hot keys. The count is a job of its own: meant for
+    frames that are cheap to read, such as a stored list or a staged batch.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def keep_keys(df: DataFrame, keys: DataFrame, on) -> DataFrame:
@@ -74,6 +78,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def landed(df: DataFrame, name: str = "landed") -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    Unlike a checkpoint the result knows its size in bytes, so Spark itself picks
+    a broadcast for a small one, and its columns are pruned by later readers.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()

@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import DataFrame, functions as F
 
-from barloom.functions import prices
+from barloom.functions import prices, text
 from barloom.schema import (
     DEFAULT_BENCHMARKS,
     DEFAULT_BOARD_MULTIPLIER,
@@ -40,8 +40,9 @@ def unit_vote(
 
     Each candidate votes once per feed with its last price: in thousands if below
     the threshold. The most frequent multiplier wins, the lower one on a tie.
-    ``board`` has (symbol, time, close_price), ``history`` (symbol, time, close).
+    ``board`` has (symbol, time, close_price) as landed, ``history`` (symbol, time, close).
     """
+    board = board.withColumn("symbol", text.normalize_symbol(F.col("symbol")))
     # At most one row per configured ticker, so the broadcast is bounded by the setting.
     candidates = F.broadcast(vote_candidates(symbols, benchmarks))
     end = F.lit(as_of).cast("date")

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom.functions import text
 from barloom.schema import HISTORY_LINE_SCHEMA, ZIP_SIGNATURE
+from barloom.shipping import ship_with_tasks
+
+ship_with_tasks(__name__)
 
 ARCHIVE_ORDER = ["archive", "entry_no", "line_no"]
 

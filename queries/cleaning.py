@@ -419,9 +419,8 @@ _VOTE_SQL = f"""
 
 
 def vote(t):
-    board = t.board.withColumn("symbol", text.normalize_symbol(F.col("symbol")))
     history = t.bars.select("symbol", F.col("trading_date").alias("time"), F.col("close_price").alias("close"))
-    return units.unit_vote(symbols.active_symbols(t.listing), board, history, _VOTERS, AS_OF)
+    return units.unit_vote(symbols.active_symbols(t.listing), t.board, history, _VOTERS, AS_OF)
 
 
 @query("unit_vote", ["board", "bars", "active"], _VOTE_SQL + "SELECT * FROM multipliers")

@@ -11,7 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom.operators.keyed import scratch_path
+from barloom.functions.text import normalize_exchange
 from barloom.schema import PRICE_COLS
+from barloom.shipping import ship_with_tasks
+from barloom.sources.feeds import blacklist_symbols
+
+ship_with_tasks(__name__)
 
 TODAY = date(2024, 1, 30)
 AS_OF = datetime(2024, 1, 30, 17, 0)
@@ -228,8 +233,6 @@ class Feeds:
 
     @property
     def blacklist(self) -> DataFrame:
-        from barloom.sources.feeds import blacklist_symbols
-
         return blacklist_symbols(self.blacklist_lines)
 
     @property
@@ -271,8 +274,6 @@ def _exchange_code():
 
 
 def _exchange_label():
-    from barloom.functions.text import normalize_exchange
-
     return normalize_exchange(_exchange_code())
 
 
