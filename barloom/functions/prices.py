@@ -71,8 +71,10 @@ def scale_price(col: Column, factor=PRICE_FACTOR) -> Column:
 
 
 def to_volume(col: Column) -> Column:
-    """Volume as BIGINT, exact also above 2**24; a fraction is cut off."""
-    return col.cast("string").try_cast("decimal(38,6)").try_cast("bigint")
+    """Volume text as BIGINT, exact also above 2**24; a fraction is cut off."""
+    return F.coalesce(
+        col.try_cast("bigint"), col.try_cast("decimal(38,6)").try_cast("bigint")
+    )
 
 
 def average_of_prices() -> Column:

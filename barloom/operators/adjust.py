@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barloom.operators import clean
-from barloom.operators.keyed import broadcast_if_small, is_small, last_by, top_k
+from barloom.operators.keyed import broadcast_if_small, is_small, landed, last_by, top_k
 from barloom.schema import BAR_COLS, FALLBACK_SOURCES, HISTORY_ROW_LIMIT, KEY
 
 
@@ -73,6 +73,7 @@ def adjusted_history(
     ``order`` names feed columns that tell repeated days of a symbol apart; the
     last one is kept, and a board row is later than all of them. Every later step
     has at most as many keys as ``symbols``, so its size is checked just once.
+    The unique history is written out, as the fill needs its last days as well.
     """
     keys = symbols.select("symbol").distinct()
     few = is_small(keys)
@@ -82,7 +83,7 @@ def adjusted_history(
     bars = clean.clean_download(wanted, multiplier)
     deduped = last_by(bars, KEY, *[F.col(c) for c in order or ("source",)]).drop(*order)
     # History is unique by day now, and the board row lies after its end.
-    filled = gap_fill(deduped, board, today, few)
+    filled = gap_fill(landed(deduped, "history"), board, today, few)
     return clean.attach_exchange(filled, listing).select(*BAR_COLS)
 
 

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barloom.functions import dates, prices, text
+from barloom.operators.columns import compute_once
 from barloom.operators.keyed import broadcast_if_small, drop_keys, last_by
 from barloom.schema import (
     BAR_COLS,
@@ -45,17 +46,19 @@ def clean_history(lines: DataFrame, source: str, blacklist: DataFrame | None = N
     Columns beyond the bar's own, such as the position of a line, are kept.
     """
     extra = [c for c in lines.columns if c not in BAR_COLS]
-    typed = lines.withColumns(
+    # Row filters on columns as they came run first, the anti join sees the least.
+    present = sanitize_prices(lines).dropna(subset=["symbol", "trading_date", "total_volume"])
+    typed = compute_once(
+        present,
         {
             "symbol": text.normalize_symbol(F.col("symbol")),
             "trading_date": dates.parse_trading_date(F.col("trading_date")),
             "total_volume": prices.to_volume(F.col("total_volume")),
-            "source": F.lit(source),
-        }
-    ).dropna(subset=KEY)
-    # All row filters that need no join come first, the anti join sees less.
-    scaled = valid_bars(scale_prices(sanitize_prices(typed)))
-    return drop_blacklisted(scaled, blacklist).select(*BAR_COLS, *extra)
+            **{c: prices.scale_price(F.col(c)) for c in PRICE_COLS},
+        },
+    ).withColumn("source", F.lit(source))
+    valid = valid_bars(typed.dropna(subset=["trading_date"]))
+    return drop_blacklisted(valid, blacklist).select(*BAR_COLS, *extra)
 
 
 def dedup_bars(df: DataFrame, *order: Column) -> DataFrame:
@@ -65,17 +68,16 @@ def dedup_bars(df: DataFrame, *order: Column) -> DataFrame:
 
 def clean_board(board: DataFrame, source: str) -> DataFrame:
     """Board rows to clean bars; reference and average price and the time stay on."""
-    typed = board.select(
-        text.normalize_symbol(F.col("symbol")).alias("symbol"),
-        dates.epoch_ms_to_market_date(F.col("time")).alias("trading_date"),
-        *PRICE_COLS,
-        F.col("volume_accumulated").cast("bigint").alias("total_volume"),
-        text.normalize_exchange(F.col("exchange")).alias("exchange"),
-        F.lit(source.lower()).alias("source"),
-        *BOARD_EXTRA_COLS,
-        "time",
-    )
-    return valid_bars(sanitize_prices(typed).dropna(subset=["total_volume", "trading_date"]))
+    present = sanitize_prices(board).dropna(subset=["time", "volume_accumulated"])
+    typed = compute_once(
+        present.withColumnRenamed("volume_accumulated", "total_volume"),
+        {
+            "symbol": text.normalize_symbol(F.col("symbol")),
+            "trading_date": dates.epoch_ms_to_market_date(F.col("time")),
+            "exchange": text.normalize_exchange(F.col("exchange")),
+        },
+    ).withColumn("source", F.lit(source.lower()))
+    return valid_bars(typed).select(*BAR_COLS, *BOARD_EXTRA_COLS, "time")
 
 
 def reattach_reference(bars: DataFrame, board: DataFrame, *order: Column) -> DataFrame:

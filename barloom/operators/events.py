@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from barloom.functions import dates, text
+from barloom.operators.columns import compute_once
 from barloom.operators.keyed import keep_keys, number_rows
 from barloom.schema import EVENT_CODES, EVENT_COLS, FAILURE_STREAK, RELOAD_BATCH
 
@@ -15,17 +16,24 @@ def corporate_actions(
     ``events`` has the feed's columns, any of which may be null.
     """
     day = F.col("ex_date")
+    wanted = F.col("eventCode").isNull() | F.col("eventCode").isin(EVENT_CODES)
+    typed = compute_once(
+        events.filter(wanted & F.col("exrightDate").isNotNull()),
+        {
+            "symbol": text.event_symbol(F.col("ticker"), F.col("organCode")),
+            "ex_date": dates.event_date(F.col("exrightDate")),
+        },
+    )
     found = (
-        events.filter(F.col("eventCode").isNull() | F.col("eventCode").isin(EVENT_CODES))
+        typed.filter((day >= F.lit(start).cast("date")) & (day <= F.lit(end).cast("date")))
+        .filter(text.is_ticker(F.col("symbol")))
         .select(
-            text.event_symbol(F.col("ticker"), F.col("organCode")).alias("symbol"),
+            "symbol",
             text.event_type(F.col("eventCode")).alias("event_type"),
-            dates.event_date(F.col("exrightDate")).alias("ex_date"),
+            "ex_date",
             dates.event_date(F.col("recordDate")).alias("record_date"),
             F.col("exerciseRatio").cast("string").alias("ratio"),
         )
-        .filter((day >= F.lit(start).cast("date")) & (day <= F.lit(end).cast("date")))
-        .filter(text.is_ticker(F.col("symbol")))
     )
     if symbols is not None:
         found = keep_keys(found, distinct_keys(symbols), "symbol")

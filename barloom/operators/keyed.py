@@ -69,20 +69,12 @@ def top_k(df: DataFrame, keys: list[str], k: int, order: list[Column], spread: C
     return ranked.filter(F.col("_rank") <= k).drop("_rank")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the session's checkpoint folder and read on from there.
-
-    The folder is the one the cluster names; one is made up only in local mode.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def landed(df: DataFrame, name: str = "landed") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
-    Unlike a checkpoint the result knows its size in bytes, so Spark itself picks
-    a broadcast for a small one, and its columns are pruned by later readers.
+    This cuts the lineage: later steps do not repeat the work and a lost executor
+    cannot change the rows. Other than ``checkpoint`` it runs the plan only once,
+    and the result knows its size, so Spark itself broadcasts a small one.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
@@ -90,6 +82,7 @@ def landed(df: DataFrame, name: str = "landed") -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The folder the cluster names; one is made up only in local mode."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
@@ -112,11 +105,11 @@ def number_rows(df: DataFrame, order: list[Column], name: str) -> DataFrame:
 
     A window without partitions would pull all rows into one task. Instead the
     rows are range partitioned and sorted where they are, and every partition
-    adds the number of rows before it. The ranges are fixed by a checkpoint, so
+    adds the number of rows before it. The numbered ranges are written out, so
     that the two passes agree and a lost executor cannot change them.
     """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    fixed = cut_lineage(ranged.withColumn("_id", F.monotonically_increasing_id()))
+    fixed = landed(ranged.withColumn("_id", F.monotonically_increasing_id()), "numbered")
     part = F.shiftright("_id", _MONO_ID_BITS)
     counts = fixed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
     # One row per partition of the range step, so this window and broadcast stay small.

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from barloom.operators import adjust, calendar, clean, contract, events, report, snapshot
 from barloom.operators import symbols as universe
 from barloom.operators import units
-from barloom.operators.keyed import cut_lineage
+from barloom.operators.keyed import keep_keys, landed
 from barloom.plans.history import backfill, unfilled_days
 from barloom.schema import (
     BAR_COLS,
@@ -22,7 +22,7 @@ from barloom.schema import (
     HISTORY_START,
 )
 from barloom.sinks.bar_table import BarTable, sink_symbol_history
-from barloom.sinks.run_state import RunState
+from barloom.sinks.run_state import RunState, version_of
 
 
 @dataclass(frozen=True)
@@ -73,18 +73,18 @@ def run_daily(
     to the driver; all of them are small whatever the number of bars.
     """
     moment = F.lit(settings.as_of).cast("timestamp_ntz")
-    version = settings.as_of.isoformat()
+    version = version_of(settings.as_of)
 
     live = universe.active_symbols(feeds.listing)
     symbols = universe.symbols_with_fallback(live, state.symbol_cache(spark))
-    symbols = cut_lineage(universe.require_symbols(symbols))
+    symbols = landed(universe.require_symbols(symbols), "symbols")
     state.save_symbol_cache(symbols, version)
 
     own_source = feeds.history.filter(F.lower("source") == settings.source.lower())
     factors = units.unit_vote(
         symbols, feeds.board, own_source, list(settings.benchmarks), settings.as_of
     ).first()
-    t0 = cut_lineage(board_bars(feeds.board, settings.source, factors["board_multiplier"]))
+    t0 = landed(board_bars(feeds.board, settings.source, factors["board_multiplier"]), "board")
 
     today = t0.agg(F.max("trading_date")).first()[0]
     if today is None:
@@ -105,35 +105,33 @@ def run_daily(
     ordered = events.run_order(wanted)
 
     if missing:
-        filled = cut_lineage(
-            backfill(feeds.archives, missing_df, settings.archive_source, settings.blacklist)
-        )
+        filled = backfill(feeds.archives, missing_df, settings.archive_source, settings.blacklist)
+        filled = landed(filled, "filled")
         raw.replace_own_days(filled)
         unfilled = unfilled_days(missing_df, filled)
     raw.replace_date(t0.select(*BAR_COLS), today)
 
-    rebuilt = cut_lineage(
-        adjust.adjusted_history(
-            feeds.history,
-            t0.select(*BAR_COLS),
-            symbols,
-            ordered,
-            today,
-            factors["history_multiplier"],
-            adjust.source_order(settings.source),
-            settings.history_start,
-            settings.as_of.date(),
-            settings.history_limit,
-        )
+    rebuilt = adjust.adjusted_history(
+        feeds.history,
+        t0.select(*BAR_COLS),
+        symbols,
+        ordered,
+        today,
+        factors["history_multiplier"],
+        adjust.source_order(settings.source),
+        settings.history_start,
+        settings.as_of.date(),
+        settings.history_limit,
     )
-    outcome = cut_lineage(events.reload_outcome(adjust.reload_attempts(ordered, rebuilt)))
-    done = rebuilt.join(outcome.filter(F.col("status") == "ok"), "symbol", "left_semi")
+    outcome = events.reload_outcome(adjust.reload_attempts(ordered, rebuilt))
+    outcome = landed(outcome, "outcome")
+    done = keep_keys(rebuilt, outcome.filter(F.col("status") == "ok").select("symbol"), "symbol")
     sink_symbol_history(done, reloaded_path)
     adjusted.replace_symbols(done)
     # Symbols whose reload failed are excluded too: they get no bar until it works.
     adjusted.copy_raw(raw, [*missing, today], ordered.select("symbol"))
 
-    new = cut_lineage(snapshot.eod_snapshot(t0, state.snapshot(spark), moment, symbols))
+    new = landed(snapshot.eod_snapshot(t0, state.snapshot(spark), moment, symbols), "snapshot")
     pending = events.pending_after(outcome)
     state.save(snapshot.run_metadata(t0, new, moment), pending, new, version)
     return report.run_report(t0, outcome, missing_df, moment, unfilled)

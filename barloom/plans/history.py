@@ -5,10 +5,10 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barloom.operators import calendar, clean, snapshot
-from barloom.operators.keyed import cut_lineage
+from barloom.operators.keyed import landed
 from barloom.schema import BAR_COLS
 from barloom.sinks.bar_table import BarTable
-from barloom.sinks.run_state import RunState
+from barloom.sinks.run_state import RunState, version_of
 from barloom.sources.archives import ARCHIVE_ORDER, archive_scan
 
 # Fixed value: archives are named after the last day they hold, as ...Upto31012024.zip
@@ -67,7 +67,7 @@ def run_history(
     With ``state`` given the end-of-day snapshot is updated as well.
     """
     spark = files.sparkSession
-    bars = cut_lineage(history_load(files, source, blacklist, day))
+    bars = landed(history_load(files, source, blacklist, day), "history")
     if bars.isEmpty():
         raise ValueError("no bar is left after cleaning; the table was not changed")
     if day is None:
@@ -76,7 +76,7 @@ def run_history(
         table.replace_date(bars, day)
     if state is not None:
         moment = F.lit(as_of).cast("timestamp_ntz")
-        new = cut_lineage(snapshot.eod_snapshot(bars, state.snapshot(spark), moment))
+        new = landed(snapshot.eod_snapshot(bars, state.snapshot(spark), moment), "snapshot")
         pending = snapshot.inherit_pending(None, state.pending(spark))
-        state.save(snapshot.run_metadata(bars, new, moment), pending, new, as_of.isoformat())
+        state.save(snapshot.run_metadata(bars, new, moment), pending, new, version_of(as_of))
     return bars

@@ -45,6 +45,10 @@ def _struct(*fields):
     return T.StructType([T.StructField(name, kind) for name, kind in fields])
 
 
+def ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+
+
 def _bars(price):
     return _struct(
         ("symbol", T.StringType()),
@@ -68,6 +72,8 @@ HISTORY_LINE_SCHEMA = _struct(
     ("total_volume", T.StringType()),
 )
 
+HISTORY_LINE_DDL = ddl(HISTORY_LINE_SCHEMA)
+
 BOARD_SCHEMA = _struct(
     ("symbol", T.StringType()),
     ("exchange", T.StringType()),

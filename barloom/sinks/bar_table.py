@@ -12,8 +12,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom.operators import clean, tables
-from barloom.operators.keyed import broadcast_if_small, cut_lineage
-from barloom.schema import ADJ_SCHEMA, KEY, RAW_SCHEMA
+from barloom.operators.keyed import broadcast_if_small, landed
+from barloom.schema import ADJ_SCHEMA, KEY, RAW_SCHEMA, ddl
 
 LAYOUT = ["year", "month", "bucket"]
 
@@ -103,8 +103,14 @@ class BarTable:
     def upsert(self, bars: DataFrame) -> None:
         """Insert or update by (symbol, trading_date); nothing is deleted."""
         staged = self._stage(bars)
-        touched = broadcast_if_small(self._with_layout(staged).select(*LAYOUT).distinct())
-        current = self._rows(bars.sparkSession).join(touched, LAYOUT, "left_semi")
+        touched = landed(self._with_layout(staged).select(*LAYOUT).distinct(), "touched")
+        # As literals the folders are pruned before the scan, the join trims the rest.
+        months = [r[0] for r in touched.select(_month_no()).distinct().collect()]
+        buckets = [r[0] for r in touched.select("bucket").distinct().collect()]
+        current = self._rows(bars.sparkSession).filter(
+            _month_no().isin(months) & F.col("bucket").isin(buckets)
+        )
+        current = current.join(broadcast_if_small(touched), LAYOUT, "left_semi")
         new = tables.upsert(current.select(*self.schema.names), staged)
         self._write(new, "dynamic")
 
@@ -117,8 +123,8 @@ class BarTable:
             return self._with_layout(spark.createDataFrame([], self.schema))
 
     def _stage(self, bars):
-        """Incoming bars as written once; later passes read the same rows."""
-        return cut_lineage(self.encode(bars))
+        """Incoming bars, written once; all later passes read the same rows."""
+        return landed(self.encode(bars), "staged")
 
     def _bucket(self, symbol):
         return F.pmod(F.xxhash64(symbol), F.lit(self.buckets)).cast("int")
@@ -176,8 +182,7 @@ def read_symbol_history(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _read_parquet(spark, path, schema, folders):
-    declared = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in schema])
-    declared += "".join(f", `{name}` int" for name in folders)
+    declared = ", ".join([ddl(schema), *[f"`{name}` int" for name in folders]])
     return spark.read.schema(declared).parquet(path)
 
 

@@ -6,6 +6,7 @@ seen, and repeating it with the same moment replaces its own folders only.
 """
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,11 +16,17 @@ from barloom.schema import (
     RUN_STATE_SCHEMA,
     SNAPSHOT_SCHEMA,
     STATE_SCHEMA,
+    ddl,
 )
 
 _CACHE_SCHEMA = "symbol string, exchange string"
 
 
+def version_of(as_of: datetime) -> str:
+    """Version of a run; versions sort as their moments do."""
+    return as_of.strftime("%Y%m%dT%H%M%S%f")
+
+
 @dataclass(frozen=True)
 class RunState:
     path: str
@@ -77,14 +84,8 @@ class KeyValueState:
         )
 
 
-def _ddl(schema):
-    if isinstance(schema, str):
-        return schema
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-
-
 def _read(spark, path, schema):
-    declared = f"{_ddl(schema)}, version string"
+    declared = f"{schema if isinstance(schema, str) else ddl(schema)}, version string"
     try:
         return spark.read.schema(declared).parquet(path)
     except AnalysisException as problem:

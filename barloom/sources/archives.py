@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom.functions import text
-from barloom.schema import HISTORY_LINE_SCHEMA, ZIP_SIGNATURE
+from barloom.schema import HISTORY_LINE_DDL, ZIP_SIGNATURE
 from barloom.shipping import ship_with_tasks
 
 ship_with_tasks(__name__)
@@ -57,8 +57,9 @@ def archive_problems(files: DataFrame) -> DataFrame:
 def parse_lines(lines: DataFrame, column: str = "line") -> DataFrame:
     """CSV text to typed columns; a field that does not parse is null."""
     kept = [c for c in lines.columns if c != column]
-    row = F.from_csv(F.col(column), HISTORY_LINE_SCHEMA.simpleString()[len("struct<") : -1].replace(":", " "))
-    return lines.select(*kept, row.alias("_row")).select(*kept, "_row.*")
+    row = F.from_csv(F.col(column), HISTORY_LINE_DDL)
+    # A generator, so that filters on the fields do not parse the line once more each.
+    return lines.select(*kept, F.inline(F.array(row)))
 
 
 def archive_scan(files: DataFrame) -> DataFrame:

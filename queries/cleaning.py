@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import dates, prices, text
 from barloom.operators import adjust, clean, contract, events, report, snapshot, symbols, tables, units
+from barloom.operators.columns import compute_once
 from barloom.schema import DEFAULT_BENCHMARKS, KEY, PRICE_COLS
 from queries.feeds import AS_OF, FINITE, INVALID, TODAY, exchange_label
 from queries.registry import query
@@ -13,15 +14,15 @@ _PRICES = ", ".join(PRICE_COLS)
 
 def typed(t):
     """Raw lines with types, before any row is dropped."""
-    return t.lines.select(
-        "seq",
-        text.normalize_symbol(F.col("symbol")).alias("symbol"),
-        dates.parse_trading_date(F.col("trading_date")).alias("trading_date"),
-        *PRICE_COLS,
-        prices.to_volume(F.col("total_volume")).alias("total_volume"),
-        text.normalize_exchange(F.col("exchange")).alias("exchange"),
-        F.lit("archive").alias("source"),
-    )
+    return compute_once(
+        t.lines,
+        {
+            "symbol": text.normalize_symbol(F.col("symbol")),
+            "trading_date": dates.parse_trading_date(F.col("trading_date")),
+            "total_volume": prices.to_volume(F.col("total_volume")),
+            "exchange": text.normalize_exchange(F.col("exchange")),
+        },
+    ).withColumn("source", F.lit("archive"))
 
 
 def cleaned(t):

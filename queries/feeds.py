@@ -10,6 +10,7 @@ from datetime import date, datetime
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from barloom.operators.columns import compute_once
 from barloom.operators.keyed import scratch_path
 from barloom.functions.text import normalize_exchange
 from barloom.schema import PRICE_COLS
@@ -47,9 +48,12 @@ class Feeds:
     @property
     def lines(self) -> DataFrame:
         """One raw history line per event, many of them defective."""
-        k = F.regexp_extract("props", "[0-9]+", 0).cast("int")
-        plain, value = _symbol("user_id"), F.col("value")
-        return self.table("events").select(
+        k, plain, value = F.col("k"), F.col("plain"), F.col("value")
+        rows = compute_once(
+            self.table("events"),
+            {"k": F.regexp_extract("props", "[0-9]+", 0).cast("int"), "plain": _symbol("user_id")},
+        )
+        return rows.select(
             F.col("event_id").alias("seq"),
             F.when(k == 41, None)
             .when(k.between(70, 79), F.concat(F.lit("  "), F.lower(plain), F.lit(" ")))

@@ -169,8 +169,8 @@ def _(t):
 def _(t):
     """The cache holds the list saved last."""
     state = RunState(t.scratch("state"))
-    state.save_symbol_cache(t.blacklist.withColumn("exchange", F.lit("HNX")), "2024-01-29T17:00:00")
-    state.save_symbol_cache(symbols.active_symbols(t.listing), "2024-01-30T17:00:00")
+    state.save_symbol_cache(t.blacklist.withColumn("exchange", F.lit("HNX")), "20240129T170000")
+    state.save_symbol_cache(symbols.active_symbols(t.listing), "20240130T170000")
     return state.symbol_cache(t.spark)
 
 

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from barloom.functions import dates
 from barloom.operators import adjust, calendar, clean, events, report, snapshot, symbols
-from barloom.operators.keyed import cut_lineage, landed, last_by
+from barloom.operators.keyed import landed, last_by
 from barloom.plans.daily import DailyFeeds, DailySettings, run_daily
 from barloom.schema import BAR_COLS, PRICE_ADJ, PRICE_COLS
 from barloom.sinks.bar_table import BarTable, read_symbol_history
-from barloom.sinks.run_state import RunState
+from barloom.sinks.run_state import RunState, version_of
 from queries.cleaning import board_bars, cleaned
 from queries.feeds import AS_OF, BEFORE_CLOSE, INVALID, TODAY, exchange_label
 from queries.registry import query
@@ -284,7 +284,7 @@ FROM board_bars""",
 def _(t):
     days = t.table("events").select(F.col("ts").cast("date").alias("trading_date")).distinct()
     missing = calendar.trading_days(days, t.holidays)
-    outcome = cut_lineage(events.reload_outcome(_attempts(t)))
+    outcome = landed(events.reload_outcome(_attempts(t)))
     return report.run_report(board_bars(t), outcome, missing, _moment(AS_OF) + F.expr("INTERVAL 2 DAYS"))
 
 
@@ -397,9 +397,9 @@ def _daily(t):
     raw.truncate_load(before)
     adjusted.truncate_load(before.withColumns({c: F.col(c) / 2 for c in PRICE_COLS}))
     earlier = AS_OF - timedelta(days=5)
-    first = cut_lineage(snapshot.eod_snapshot(before, state.snapshot(t.spark), _moment(earlier)))
+    first = landed(snapshot.eod_snapshot(before, state.snapshot(t.spark), _moment(earlier)))
     meta = snapshot.run_metadata(before, first, _moment(earlier))
-    state.save(meta, t.blacklist, first, earlier.isoformat())
+    state.save(meta, t.blacklist, first, version_of(earlier))
 
     on_board = t.board.filter(dates.epoch_ms_to_market_date(F.col("time")) == F.lit(TODAY))
     history = bars.filter(F.col("trading_date") < F.lit(TODAY)).select(
