@@ -3,11 +3,18 @@
 The wall clock is never read here: the moment of a run is always an argument.
 """
 
+from datetime import datetime
+
 from pyspark.sql import Column, functions as F
 
 from barloom.schema import EOD_HOUR, EOD_MINUTE, MARKET_ZONE
 
 
+def moment(as_of: datetime) -> Column:
+    """A local market time as TIMESTAMP_NTZ, whatever zone Python or the session is in."""
+    return F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def parse_trading_date(col: Column) -> Column:
     """``yyyyMMdd`` text to a date; unparsable text becomes null."""
     return F.try_to_date(col, "yyyyMMdd")

@@ -25,12 +25,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
 
 
 def keep_keys(df: DataFrame, keys: DataFrame, on) -> DataFrame:
-    return df.join(broadcast_if_small(keys), on, "left_semi")
+    return df.join(broadcast_if_small(keys), on, "left_semi").select(*df.columns)
 
 
 def drop_keys(df: DataFrame, keys: DataFrame, on) -> DataFrame:
     """Anti join. Unlike ``NOT IN``, null keys on the right remove nothing."""
-    return df.join(broadcast_if_small(keys), on, "left_anti")
+    return df.join(broadcast_if_small(keys), on, "left_anti").select(*df.columns)
 
 
 def last_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:

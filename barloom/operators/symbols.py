@@ -18,11 +18,13 @@ def symbols_with_fallback(live: DataFrame, cached: DataFrame) -> DataFrame:
 
 
 def require_symbols(symbols: DataFrame) -> DataFrame:
-    """Fail the job that reads the list when it is empty."""
-    some = symbols.limit(1).agg(F.count("*").alias("n"))
+    """The same list, but the job that reads it fails when it is empty."""
     failure = F.raise_error(F.lit("no symbols: live list and cache are both empty"))
-    checked = some.filter(F.when(F.col("n") > 0, F.lit(True)).otherwise(failure.cast("boolean")))
-    return symbols.filter(checked.scalar() > 0)
+    found = symbols.limit(1).agg(F.count("*").alias("n"))
+    # Never adds a row: it is either filtered out or fails while being filtered.
+    guard = found.filter(F.when(F.col("n") > 0, F.lit(False)).otherwise(failure.cast("boolean")))
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in symbols.schema]
+    return symbols.unionByName(guard.select(*nothing))
 
 
 def distinct_symbols(df: DataFrame) -> DataFrame:

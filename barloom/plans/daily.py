@@ -9,6 +9,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from barloom.functions import dates
 from barloom.operators import adjust, calendar, clean, contract, events, report, snapshot
 from barloom.operators import symbols as universe
 from barloom.operators import units
@@ -72,7 +73,7 @@ def run_daily(
     Only the run decision, the list of missing days and the two unit factors come
     to the driver; all of them are small whatever the number of bars.
     """
-    moment = F.lit(settings.as_of).cast("timestamp_ntz")
+    moment = dates.moment(settings.as_of)
     version = version_of(settings.as_of)
 
     live = universe.active_symbols(feeds.listing)

@@ -1,9 +1,10 @@
 """Load of the full history, and back-filling single days from daily archives."""
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from barloom.functions import dates
 from barloom.operators import calendar, clean, snapshot
 from barloom.operators.keyed import landed
 from barloom.schema import BAR_COLS
@@ -57,7 +58,7 @@ def run_history(
     files: DataFrame,
     table: BarTable,
     source: str,
-    as_of,
+    as_of: datetime,
     state: RunState | None = None,
     blacklist: DataFrame | None = None,
     day: date | None = None,
@@ -75,7 +76,7 @@ def run_history(
     else:
         table.replace_date(bars, day)
     if state is not None:
-        moment = F.lit(as_of).cast("timestamp_ntz")
+        moment = dates.moment(as_of)
         new = landed(snapshot.eod_snapshot(bars, state.snapshot(spark), moment), "snapshot")
         pending = snapshot.inherit_pending(None, state.pending(spark))
         state.save(snapshot.run_metadata(bars, new, moment), pending, new, version_of(as_of))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom.operators.columns import compute_once
 from barloom.operators.keyed import scratch_path
+from barloom.functions.dates import moment
 from barloom.functions.text import normalize_exchange
 from barloom.schema import PRICE_COLS
 from barloom.shipping import ship_with_tasks
@@ -26,7 +27,7 @@ HOLIDAYS = [date(1996, 1, 1), date(1997, 2, 7), date(1998, 4, 30), date(2000, 5,
 
 
 def _epoch():
-    return F.lit(datetime(1970, 1, 1)).cast("timestamp_ntz")
+    return moment(datetime(1970, 1, 1))
 
 
 def _symbol(col):

@@ -15,10 +15,6 @@ from queries.cleaning import board_bars, cleaned
 from queries.feeds import AS_OF, BEFORE_CLOSE, INVALID, TODAY, exchange_label
 from queries.registry import query
 
-def _moment(at):
-    return F.lit(at).cast("timestamp_ntz")
-
-
 _ORDER_DAYS = "SELECT DISTINCT cast(o_orderdate AS date) AS trading_date FROM orders"
 
 
@@ -158,14 +154,14 @@ QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY trading_date DESC, p DES
 )
 def _(t):
     return snapshot.eod_snapshot(
-        _deduped(t), _old_snapshot(t), _moment(AS_OF), symbols.active_symbols(t.listing)
+        _deduped(t), _old_snapshot(t), dates.moment(AS_OF), symbols.active_symbols(t.listing)
     )
 
 
 @query("eod_snapshot_open", ["bars"], f", {_OLD} SELECT * FROM old")
 def _(t):
     """Before the close of the last day the old snapshot stays as it is."""
-    return snapshot.eod_snapshot(_deduped(t), _old_snapshot(t), _moment(BEFORE_CLOSE))
+    return snapshot.eod_snapshot(_deduped(t), _old_snapshot(t), dates.moment(BEFORE_CLOSE))
 
 
 @query(
@@ -178,8 +174,8 @@ SELECT strftime(max(trading_date), '%Y-%m-%d') AS last_successful_run, true AS i
 )
 def _(t):
     bars = _deduped(t)
-    new = snapshot.eod_snapshot(bars, _old_snapshot(t), _moment(AS_OF))
-    return snapshot.run_metadata(bars, new, _moment(AS_OF))
+    new = snapshot.eod_snapshot(bars, _old_snapshot(t), dates.moment(AS_OF))
+    return snapshot.run_metadata(bars, new, dates.moment(AS_OF))
 
 
 _ACTIONS = """SELECT * FROM event_rows WHERE ex_date BETWEEN DATE '{}' AND DATE '{}'
@@ -285,7 +281,7 @@ def _(t):
     days = t.table("events").select(F.col("ts").cast("date").alias("trading_date")).distinct()
     missing = calendar.trading_days(days, t.holidays)
     outcome = landed(events.reload_outcome(_attempts(t)))
-    return report.run_report(board_bars(t), outcome, missing, _moment(AS_OF) + F.expr("INTERVAL 2 DAYS"))
+    return report.run_report(board_bars(t), outcome, missing, dates.moment(AS_OF) + F.expr("INTERVAL 2 DAYS"))
 
 
 _FILLED = f""", hist AS (SELECT symbol, trading_date, open_price, high_price, low_price, close_price,
@@ -397,8 +393,8 @@ def _daily(t):
     raw.truncate_load(before)
     adjusted.truncate_load(before.withColumns({c: F.col(c) / 2 for c in PRICE_COLS}))
     earlier = AS_OF - timedelta(days=5)
-    first = landed(snapshot.eod_snapshot(before, state.snapshot(t.spark), _moment(earlier)))
-    meta = snapshot.run_metadata(before, first, _moment(earlier))
+    first = landed(snapshot.eod_snapshot(before, state.snapshot(t.spark), dates.moment(earlier)))
+    meta = snapshot.run_metadata(before, first, dates.moment(earlier))
     state.save(meta, t.blacklist, first, version_of(earlier))
 
     on_board = t.board.filter(dates.epoch_ms_to_market_date(F.col("time")) == F.lit(TODAY))
