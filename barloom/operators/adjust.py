@@ -3,9 +3,19 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barloom.operators import clean
-from barloom.operators.keyed import broadcast_if_small, is_small, landed, last_by, top_k
+from barloom.operators.keyed import (
+    broadcast_if_small,
+    is_small,
+    landed,
+    last_by,
+    latest_rows,
+    top_k,
+)
 from barloom.schema import BAR_COLS, FALLBACK_SOURCES, HISTORY_ROW_LIMIT, KEY
 
+# Up to here a rank per symbol is cheaper than counting days first.
+_SMALL_LIMIT = 100
+
 
 def source_order(default: str, others=FALLBACK_SOURCES) -> list[str]:
     """The default source first, then the others, each once."""
@@ -33,10 +43,17 @@ def history_scan(history: DataFrame, start, end) -> DataFrame:
     return history.filter((day >= F.lit(start).cast("date")) & (day <= F.lit(end).cast("date")))
 
 
-def history_topk(history: DataFrame, limit: int, *order: Column) -> DataFrame:
-    """The latest ``limit`` rows per symbol, as a capped history request returns."""
-    newest = [F.col("time").desc(), *(o.desc() for o in order)]
-    return top_k(history, ["symbol"], limit, newest, spread=F.col("time"))
+def history_topk(
+    history: DataFrame, limit: int, *order: Column, few_symbols: bool = False
+) -> DataFrame:
+    """The latest ``limit`` rows per symbol, as a capped history request returns.
+
+    ``order`` tells rows of the same day apart; the greatest come first.
+    """
+    later = [o.desc() for o in order]
+    if limit <= _SMALL_LIMIT:
+        return top_k(history, ["symbol"], limit, [F.col("time").desc(), *later])
+    return latest_rows(history, ["symbol"], limit, "time", later, few_symbols)
 
 
 def gap_fill(
@@ -73,13 +90,15 @@ def adjusted_history(
     ``order`` names feed columns that tell repeated days of a symbol apart; the
     last one is kept, and a board row is later than all of them. Every later step
     has at most as many keys as ``symbols``, so its size is checked just once.
-    The unique history is written out, as the fill needs its last days as well.
+    The rows of the symbols are written out, as the choice of a source and the limit
+    look at them several times, and so is the unique history for the fill.
     """
     keys = symbols.select("symbol").distinct()
     few = is_small(keys)
-    wanted = history.join(F.broadcast(keys) if few else keys, "symbol", "left_semi")
-    wanted = source_fallback(history_scan(wanted, start, end), sources, few)
-    wanted = history_topk(wanted, limit, *[F.col(c) for c in order])
+    wanted = history_scan(history, start, end)
+    wanted = landed(wanted.join(F.broadcast(keys) if few else keys, "symbol", "left_semi"), "wanted")
+    wanted = source_fallback(wanted, sources, few)
+    wanted = history_topk(wanted, limit, *[F.col(c) for c in order], few_symbols=few)
     bars = clean.clean_download(wanted, multiplier)
     deduped = last_by(bars, KEY, *[F.col(c) for c in order or ("source",)]).drop(*order)
     # History is unique by day now, and the board row lies after its end.

@@ -46,29 +46,56 @@ def last_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     return out.select(*[c if c in keys else F.col("_last")[c].alias(c) for c in df.columns])
 
 
-def top_k(df: DataFrame, keys: list[str], k: int, order: list[Column], spread: Column) -> DataFrame:
-    """The first ``k`` rows per key under ``order``, exact for any ``k``.
+_SLICES = 64
 
-    Spark trims each task's rows before the shuffle for a small ``k``. Beyond its
-    threshold the same is done here in two steps: first over ``spread`` slices of
-    each key, then over the at most ``slices * k`` rows that are left of the key.
+
+def top_k(
+    df: DataFrame, keys: list[str], k: int | Column, order: list[Column], bound: int | None = None
+) -> DataFrame:
+    """The first ``k`` rows per key under ``order``, in two steps.
+
+    Each key is first cut into slices of input partitions and every slice is trimmed
+    to ``k`` rows; if ``k`` is small, Spark trims each input partition to ``k`` rows
+    of the key before that shuffle. Only the rest, at most slices times ``k`` rows of
+    a key, meets in one task. ``k`` may be a column that is constant per key;
+    ``bound`` is then the greatest it can be.
     """
-    spark = df.sparkSession
-    trimmed_by_spark = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if k > trimmed_by_spark:
-        slices = 64
-        sliced = df.withColumn("_slice", F.pmod(F.xxhash64(spread), F.lit(slices)))
-        within = Window.partitionBy(*keys, "_slice").orderBy(*order)
-        df = (
-            sliced.withColumn("_rank", F.row_number().over(within))
-            .filter(F.col("_rank") <= k)
-            .drop("_slice", "_rank")
-        )
-    overall = Window.partitionBy(*keys).orderBy(*order)
-    ranked = df.withColumn("_rank", F.row_number().over(overall))
+    limit = k if bound is None else bound
+    slices = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    whole = Window.partitionBy(*keys).orderBy(*order)
+    spread = F.pmod(F.spark_partition_id(), F.lit(_SLICES))
+    trimmed = df.withColumn("_slice", spread).withColumn("_rank", F.row_number().over(slices))
+    trimmed = trimmed.filter(F.col("_rank") <= limit).drop("_slice", "_rank")
+    ranked = trimmed.withColumn("_rank", F.row_number().over(whole))
     return ranked.filter(F.col("_rank") <= k).drop("_rank")
 
 
+def latest_rows(
+    df: DataFrame, keys: list[str], k: int, day: str, ties: list[Column], few_keys: bool = False
+) -> DataFrame:
+    """The latest ``k`` rows per key by ``day``, exact for a large ``k`` as well.
+
+    Counting rows by key and day tells from which day on a key's rows fit; that is
+    reduced in every task and no longer than the calendar per key. Rows after that
+    day are just filtered, and only the rows of that one day have to be ranked. When
+    no key has more than ``k`` rows nothing is left to do. With ``few_keys`` known
+    the days, a row per key, are broadcast.
+    """
+    counts = df.groupBy(*keys, day).agg(F.count("*").alias("_n"))
+    newest = Window.partitionBy(*keys).orderBy(F.col(day).desc_nulls_last())
+    running = counts.withColumn("_sum", F.sum("_n").over(newest)).filter(F.col("_sum") > k)
+    room = F.col("_n") - (F.col("_sum") - k)
+    cut = F.min_by(F.struct(F.col(day).alias("day"), room.alias("room")), "_sum")
+    cut = landed(running.groupBy(*keys).agg(cut.alias("_cut")), "cut")
+    if cut.isEmpty():
+        return df
+    marked = df.join(F.broadcast(cut) if few_keys else cut, keys, "left")
+    fits = F.col("_cut").isNull() | F.coalesce(F.col(day) > F.col("_cut.day"), F.lit(False))
+    on_day = F.col("_cut").isNotNull() & F.col(day).eqNullSafe(F.col("_cut.day"))
+    last = top_k(marked.filter(on_day), keys, F.col("_cut.room"), ties or [F.col(day)], bound=k)
+    return marked.filter(fits).unionByName(last).select(*df.columns)
+
+
 def landed(df: DataFrame, name: str = "landed") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 

@@ -38,21 +38,19 @@ def test_source_fallback_chooses_before_cleaning(spark, rows, few):
     assert rows(clean.clean_download(chosen, 1000.0), "symbol", "close_price") == [("B", 7000.0)]
 
 
-@pytest.mark.parametrize("threshold", ["1000", "2"])
-def test_top_k_against_sorting(spark, threshold):
-    """Both ways of trimming, with one symbol that holds most rows."""
-    rng = random.Random(1)
-    data = [("HOT" if rng.random() < 0.7 else f"S{rng.randrange(5)}", rng.randrange(300), i) for i in range(800)]
+@pytest.mark.parametrize("few", [True, False])
+@pytest.mark.parametrize("limit", [1, 7, 130, 400, 5000])
+@pytest.mark.parametrize("days", [300, 4])
+def test_top_k_against_sorting(spark, limit, days, few):
+    """Both ways of trimming, with one symbol and few days that hold most rows."""
+    rng = random.Random(limit)
+    data = [("HOT" if rng.random() < 0.7 else f"S{rng.randrange(5)}", rng.randrange(days), i) for i in range(800)]
     df = spark.createDataFrame(data, "symbol string, time int, seq int").repartition(5)
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", threshold)
-    try:
-        got = sorted(tuple(r) for r in adjust.history_topk(df, 7, F.col("seq")).collect())
-    finally:
-        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    got = sorted(tuple(r) for r in adjust.history_topk(df, limit, F.col("seq"), few_symbols=few).collect())
     want = []
     for symbol in {r[0] for r in data}:
         own = sorted((r for r in data if r[0] == symbol), key=lambda r: (-r[1], -r[2]))
-        want += own[:7]
+        want += own[:limit]
     assert got == sorted(want)
 
 
