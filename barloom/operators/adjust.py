@@ -67,7 +67,7 @@ def gap_fill(
     ends = history.groupBy("symbol").agg(F.max("trading_date").alias("_end"))
     behind = ends.filter(F.col("_end") < day).select("symbol")
     behind = F.broadcast(behind) if few_symbols else behind
-    rows = last_by(board.select(*history.columns), ["symbol"], F.col("trading_date"))
+    rows = last_by(board, ["symbol"], F.col("trading_date"), keep=history.columns)
     fill = rows.join(behind, "symbol", "left_semi").withColumn("trading_date", day)
     return history.unionByName(fill)
 
@@ -100,7 +100,8 @@ def adjusted_history(
     wanted = source_fallback(wanted, sources, few)
     wanted = history_topk(wanted, limit, *[F.col(c) for c in order], few_symbols=few)
     bars = clean.clean_download(wanted, multiplier)
-    deduped = last_by(bars, KEY, *[F.col(c) for c in order or ("source",)]).drop(*order)
+    unordered = [c for c in bars.columns if c not in order]
+    deduped = last_by(bars, KEY, *[F.col(c) for c in order], keep=unordered)
     # History is unique by day now, and the board row lies after its end.
     filled = gap_fill(landed(deduped, "history"), board, today, few)
     return clean.attach_exchange(filled, listing).select(*BAR_COLS)

@@ -61,9 +61,9 @@ def clean_history(lines: DataFrame, source: str, blacklist: DataFrame | None = N
     return drop_blacklisted(valid, blacklist).select(*BAR_COLS, *extra)
 
 
-def dedup_bars(df: DataFrame, *order: Column) -> DataFrame:
+def dedup_bars(df: DataFrame, *order: Column, keep: list[str] | None = None) -> DataFrame:
     """One bar per (symbol, trading_date): the last under ``order``."""
-    return last_by(df, KEY, *order)
+    return last_by(df, KEY, *order, keep=keep)
 
 
 def clean_board(board: DataFrame, source: str) -> DataFrame:
@@ -85,12 +85,8 @@ def reattach_reference(bars: DataFrame, board: DataFrame, *order: Column) -> Dat
 
     Without the de-duplication a repeated key on the board would multiply bars.
     """
-    extras = last_by(board.select(*KEY, *BOARD_EXTRA_COLS, *_order_cols(board)), KEY, *order)
-    return bars.join(extras.select(*KEY, *BOARD_EXTRA_COLS), KEY, "left")
-
-
-def _order_cols(board):
-    return [c for c in board.columns if c not in KEY + BOARD_EXTRA_COLS]
+    extras = last_by(board, KEY, *order, keep=[*KEY, *BOARD_EXTRA_COLS])
+    return bars.join(extras, KEY, "left")
 
 
 def clean_download(history: DataFrame, multiplier: float | Column) -> DataFrame:

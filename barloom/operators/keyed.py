@@ -33,17 +33,21 @@ def drop_keys(df: DataFrame, keys: DataFrame, on) -> DataFrame:
     return df.join(broadcast_if_small(keys), on, "left_anti").select(*df.columns)
 
 
-def last_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
-    """One row per key, the one with the greatest ``order``.
+def last_by(
+    df: DataFrame, keys: list[str], *order: Column, keep: list[str] | None = None
+) -> DataFrame:
+    """One row per key, the one with the greatest ``order``; ``keep`` names its columns.
 
     An aggregate rather than a window: every task first reduces its own rows to
     one per key, so a key that holds a third of the table costs one row per task
-    in the shuffle and is never sorted in one place.
+    in the shuffle and is never sorted in one place. Rows that tie under ``order``
+    are told apart by their other columns, so the choice does not depend on luck.
     """
-    rest = [c for c in df.columns if c not in keys]
-    picked = F.max_by(F.struct(*rest), F.struct(*order))
-    out = df.groupBy(*keys).agg(picked.alias("_last"))
-    return out.select(*[c if c in keys else F.col("_last")[c].alias(c) for c in df.columns])
+    names = keep or df.columns
+    rest = [c for c in names if c not in keys]
+    ranked = F.struct(*[o.alias(f"_{i}") for i, o in enumerate(order)], *rest)
+    out = df.groupBy(*keys).agg(F.max(ranked).alias("_last"))
+    return out.select(*[c if c in keys else F.col("_last")[c].alias(c) for c in names])
 
 
 _SLICES = 64

@@ -38,7 +38,7 @@ def eod_snapshot(
     new = new.filter(closed & (F.col("symbol") != ""))
     both = round_snapshot(old).withColumn("_new", F.lit(0))
     both = both.unionByName(new.withColumn("_new", F.lit(1)))
-    merged = last_by(both, ["symbol"], F.col("trading_date"), F.col("_new")).drop("_new")
+    merged = last_by(both, ["symbol"], F.col("trading_date"), F.col("_new"), keep=SNAPSHOT_COLS)
     if active is None or active.isEmpty():
         return merged
     return keep_keys(merged, active.select("symbol").distinct(), "symbol")

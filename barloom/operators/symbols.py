@@ -53,4 +53,4 @@ def board_batches(symbols: DataFrame, board: DataFrame, size: int = BOARD_BATCH)
 def refresh_cache(cached: DataFrame, symbols: DataFrame) -> DataFrame:
     """The cached symbol list after a run that had a live list."""
     both = cached.withColumn("_live", F.lit(0)).unionByName(symbols.withColumn("_live", F.lit(1)))
-    return last_by(both, ["symbol"], F.col("_live"), F.col("exchange")).drop("_live")
+    return last_by(both, ["symbol"], F.col("_live"), keep=["symbol", "exchange"])

@@ -70,8 +70,7 @@ def copy_raw_to_adjusted(
 
 def upsert(target: DataFrame, incoming: DataFrame, keys: list[str] = KEY, order=()) -> DataFrame:
     """Insert or update by key; nothing is deleted. ``order`` decides repeated keys."""
-    fresh = last_by(incoming, keys, *order) if order else incoming
-    fresh = fresh.select(*target.columns)
+    fresh = last_by(incoming, keys, *order, keep=target.columns)
     return drop_keys(target, fresh.select(*keys), keys).unionByName(fresh)
 
 

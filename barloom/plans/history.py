@@ -26,7 +26,7 @@ def history_load(
     bars = clean.clean_history(archive_scan(files), source, blacklist)
     if day is not None:
         bars = clean.day_slice(bars, day)
-    return clean.dedup_bars(bars, *[F.col(c) for c in ARCHIVE_ORDER]).select(*BAR_COLS)
+    return clean.dedup_bars(bars, *[F.col(c) for c in ARCHIVE_ORDER], keep=BAR_COLS)
 
 
 def archive_day(path: Column) -> Column:
@@ -46,7 +46,7 @@ def backfill(
     named = dated.join(wanted, dated["_day"] == wanted["trading_date"], "left_semi").drop("_day")
     bars = clean.clean_history(archive_scan(named), source, blacklist)
     own = bars.filter(F.col("trading_date") == archive_day(F.col("archive")))
-    return clean.dedup_bars(own, *[F.col(c) for c in ARCHIVE_ORDER]).select(*BAR_COLS)
+    return clean.dedup_bars(own, *[F.col(c) for c in ARCHIVE_ORDER], keep=BAR_COLS)
 
 
 def unfilled_days(days: DataFrame, filled: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ def session(cores="8"):
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("barloom-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

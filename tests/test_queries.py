@@ -79,7 +79,7 @@ def test_ranking_is_trimmed_before_the_shuffle(spark, name):
 @pytest.mark.parametrize("name", ["dedup_bars", "latest_per_symbol", "eod_snapshot"])
 def test_last_row_is_reduced_before_the_shuffle(spark, name):
     plan = plan_of(QUERIES[name](spark, FOLDER))
-    assert "partial_max_by" in plan and "Window" not in plan
+    assert "partial_max(" in plan and "Window" not in plan
 
 
 def test_costly_columns_are_computed_once(spark):
