@@ -229,9 +229,9 @@ def _(t):
     return events.run_order(_reload_set(t))
 
 
-# An attempt per symbol; it worked when the symbol's newest event is no error.
+# An attempt per symbol; it worked unless its newest order came from the last source.
 _ATTEMPTS = """attempts AS (SELECT symbol, row_number() OVER (ORDER BY symbol) AS run_order, ok
-  FROM (SELECT symbol, max(volume) % 4 = 0 AS ok FROM downloads GROUP BY symbol)),
+  FROM (SELECT symbol, max_by(source, seq) <> 'MSN' AS ok FROM downloads GROUP BY symbol)),
 outcome AS (SELECT *, CASE WHEN run_order > (SELECT min(run_order) FROM (
     SELECT run_order, count(*) FILTER (WHERE NOT ok) OVER (ORDER BY run_order ROWS 4 PRECEDING) AS n
     FROM attempts) WHERE n = 5) THEN 'unprocessed'
@@ -240,7 +240,7 @@ outcome AS (SELECT *, CASE WHEN run_order > (SELECT min(run_order) FROM (
 
 
 def _attempts(t):
-    ok = (F.max("volume") % 4 == 0).alias("ok")
+    ok = (F.max_by("source", "seq") != "MSN").alias("ok")
     return events.run_order(t.downloads.groupBy("symbol").agg(ok)).drop("batch")
 
 
