@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom.operators import clean, tables
-from barloom.operators.keyed import broadcast_if_small, landed
+from barloom.operators.keyed import broadcast_if_small, drop_keys, landed
 from barloom.schema import ADJ_SCHEMA, KEY, RAW_SCHEMA, ddl
 
 LAYOUT = ["year", "month", "bucket"]
@@ -127,7 +127,7 @@ class BarTable:
         return landed(self.encode(bars), "staged")
 
     def _bucket(self, symbol):
-        return F.pmod(F.xxhash64(symbol), F.lit(self.buckets)).cast("int")
+        return _symbol_bucket(symbol, self.buckets)
 
     def _with_layout(self, bars):
         return bars.withColumns(
@@ -163,22 +163,52 @@ class BarTable:
         writer.parquet(self.path)
 
 
-def sink_symbol_history(bars: DataFrame, path: str) -> None:
-    """Adjusted history by symbol; a reloaded symbol replaces its own folder only."""
-    encoded = clean.encode_adjusted(bars).hint("rebalance", "symbol")
+def sink_symbol_history(bars: DataFrame, path: str, buckets: int = 16) -> None:
+    """Store whole adjusted histories; a symbol in ``bars`` replaces its stored one.
+
+    Histories lie in symbol buckets, not in a folder per symbol, so the number of
+    folders does not grow with the market. Only the buckets of ``bars`` are rewritten.
+    """
+    spark = bars.sparkSession
+    staged = landed(clean.encode_adjusted(bars), "staged")
+    bucket = _symbol_bucket(F.col("symbol"), buckets)
+    touched = [r[0] for r in staged.select(bucket).distinct().collect()]
+    if not touched:
+        return
+    stored = _stored_histories(spark, path).filter(F.col("bucket").isin(touched))
+    kept = drop_keys(stored.drop("bucket"), staged.select("symbol").distinct(), "symbol")
+    new = kept.unionByName(staged).withColumn("bucket", bucket).hint("rebalance", "bucket")
     (
-        encoded.sortWithinPartitions(*KEY)
+        new.sortWithinPartitions("bucket", *KEY)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
-        .partitionBy("symbol")
+        .partitionBy("bucket")
         .parquet(path)
     )
 
 
-def read_symbol_history(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.schema(ADJ_SCHEMA).parquet(path)
-    return rows.select(*ADJ_SCHEMA.names)
+def read_symbol_history(
+    spark: SparkSession, path: str, symbols: list[str] | None = None, buckets: int = 16
+) -> DataFrame:
+    rows = _stored_histories(spark, path)
+    if symbols is not None:
+        own = [_symbol_bucket(F.lit(s), buckets) for s in symbols]
+        rows = rows.filter(F.col("bucket").isin(own) & F.col("symbol").isin(list(symbols)))
+    return rows.drop("bucket")
+
+
+def _stored_histories(spark, path):
+    try:
+        return _read_parquet(spark, path, ADJ_SCHEMA, ["bucket"])
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], f"{ddl(ADJ_SCHEMA)}, bucket int")
+
+
+def _symbol_bucket(symbol, buckets):
+    return F.pmod(F.xxhash64(symbol), F.lit(buckets)).cast("int")
 
 
 def _read_parquet(spark, path, schema, folders):

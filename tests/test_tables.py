@@ -294,8 +294,17 @@ def test_read_prunes_folders_and_rows(spark, table, stored):
     assert "trading_date" in pushed and "symbol" in pushed
 
 
-def test_symbol_history_replaces_own_folders(spark, rows, tmp_path):
+def test_symbol_history_replaces_only_its_symbols(spark, rows, tmp_path):
     path = str(tmp_path / "reloaded")
-    sink_symbol_history(bars(spark, bar("A", "2024-01-29"), bar("B", "2024-01-29")), path)
-    sink_symbol_history(bars(spark, bar("A", "2024-01-30")), path)
-    assert rows(read_symbol_history(spark, path), *KEY) == [("A", d("2024-01-30")), ("B", d("2024-01-29"))]
+    assert read_symbol_history(spark, path).count() == 0
+    names = [f"S{n}" for n in range(6)]
+    sink_symbol_history(bars(spark, *[bar(s, "2024-01-29") for s in names]), path, buckets=2)
+    for _ in range(2):
+        sink_symbol_history(bars(spark, bar("S1", "2024-01-30"), bar("S1", "2024-01-31")), path, buckets=2)
+        got = rows(read_symbol_history(spark, path), *KEY)
+        assert got == sorted(
+            [(s, d("2024-01-29")) for s in names if s != "S1"] + [("S1", d("2024-01-30")), ("S1", d("2024-01-31"))]
+        )
+    assert read_symbol_history(spark, path, ["S1", "S2"], buckets=2).count() == 3
+    sink_symbol_history(bars(spark, bar("S1", "2024-01-30")).filter("false"), path, buckets=2)
+    assert read_symbol_history(spark, path).count() == 7
