@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom.llm.exact_dedup import exact_groups, with_digests
+from barloom.llm.near_dedup import near_groups
 from barloom.llm.packing import pack
 from barloom.llm.token_counts import token_counts
 
@@ -56,3 +57,8 @@ TOKEN_LIMIT = 1024
 def op9_token_counts(spark, folder):
     counts = token_counts(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@query("op10_minhash_near_dedup")
+def op10_minhash_near_dedup(spark, folder):
+    return near_groups(table(spark, folder, "documents"))

@@ -188,3 +188,22 @@ class PreTokens:
         for k, encoded in zip(others, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             found[k] = encoded.ids
         return found
+
+
+class Values:
+    """A number by code."""
+
+    def __init__(self, kind):
+        self.values = np.empty(1 << 14, kind)
+
+    def add(self, values: list, first: int) -> None:
+        last = first + len(values)
+        while last > len(self.values):
+            self.values = np.concatenate([self.values, np.empty_like(self.values)])
+        self.values[first:last] = values
+
+    def keep(self, codes: np.ndarray) -> None:
+        self.values[: len(codes)] = self.values[codes]
+
+    def take(self, codes: np.ndarray) -> np.ndarray:
+        return self.values[codes]
