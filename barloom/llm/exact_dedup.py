@@ -2,9 +2,11 @@
 
 Each step looks only at rows that the step before could not tell apart. The first two
 work on a narrow table (id, length, hash of a prefix); only rows that share both with
-another row are read in full. Groups meet as counts that every task reduces first, and
-the counts are written out, so that joins against them can be split by adaptive
-execution where a third of all rows has one length or one text.
+another row are read in full. Which ones these are is broadcast as a set of at most
+``BUCKETS`` hash buckets, so texts are hashed where they lie and never shuffled; beyond
+that many groups more rows are hashed than need be, with the same result. Groups meet as
+counts that every task reduces first, and the counts are written out, so that joins
+against them can be split by adaptive execution where a third of all rows is one text.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,6 +15,8 @@ from barloom.operators.columns import compute_once
 from barloom.operators.keyed import landed
 
 PREFIX_CHARS = 256
+#: Bound on the numbers broadcast to pick the rows that are read in full.
+BUCKETS = 1 << 18
 #: Fixed value: the white space that counts as one space.
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -38,50 +42,21 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, prefix_chars: int) -> Da
     )
 
 
-def _same_row(left: DataFrame, right: DataFrame, *names: str) -> Column:
-    on = left["doc_id"].eqNullSafe(right["doc_id"])
-    for name in names:
-        on = on & (left[name] == right[name])
-    return on
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("length", "prefix"), F.lit(BUCKETS))
 
 
-def exact_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = PREFIX_CHARS
-) -> DataFrame:
-    """One row per row of ``docs``: doc_id, length, prefix, text_hash, keep_id, group_size, kept.
+def _in_question(keys: DataFrame) -> DataFrame:
+    """Buckets of the lengths and prefixes that several rows share: at most ``BUCKETS`` numbers.
 
-    Of equal normalised texts the smallest id stays. ``text_hash`` is null where length
-    and prefix already told the row from all others. Null texts count as empty. A null
-    id is larger than any other; rows that repeat an id with the same text are copies of
-    each other, of which one stays. An empty table gives no rows.
+    Few enough to broadcast for certain, so no text is shuffled to find the rows to read.
+    A row that only shares a bucket is hashed too, and then turns out to be alone.
     """
-    keys = landed(_keyed(docs, id_col, text_col, prefix_chars).drop("norm"), "dedup-keys")
     lengths = _repeated(keys, ["length"], "dedup-lengths")
     alike = keys.join(lengths, "length", "left_semi")
     prefixes = _repeated(alike, ["length", "prefix"], "dedup-prefixes")
-    unsure = landed(keys.join(prefixes, ["length", "prefix"], "left_semi"), "dedup-unsure")
-
-    # Only now whole texts, and only those of rows still in question.
-    texts = _keyed(docs, id_col, text_col, prefix_chars)
-    full = texts.join(unsure, _same_row(texts, unsure, "length", "prefix"), "left_semi")
-    full = full.select("doc_id", "length", "prefix", digest(F.col("norm")).alias("text_hash"))
-    rows = full.groupBy("doc_id", "length", "prefix", "text_hash").agg(F.count("*").alias("copies"))
-    rows = landed(rows, "dedup-rows")
-    groups = rows.groupBy("text_hash").agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
-    found = rows.join(landed(groups, "dedup-groups"), "text_hash")
-    found = found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    first = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("_copy") == 1)
-    found = found.withColumn("kept", first).drop("copies", "_copy")
-    alone = keys.join(prefixes, ["length", "prefix"], "left_anti")
-    return found.unionByName(
-        alone.select(
-            "*",
-            F.lit(None).cast("string").alias("text_hash"),
-            F.col("doc_id").alias("keep_id"),
-            F.lit(1).cast("bigint").alias("group_size"),
-            F.lit(True).alias("kept"),
-        )
-    )
+    buckets = prefixes.select(_bucket().alias("bucket")).distinct()
+    return F.broadcast(landed(buckets.withColumn("asked", F.lit(True)), "dedup-buckets"))
 
 
 def _repeated(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -89,32 +64,71 @@ def _repeated(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     return landed(counts.filter(F.col("_n") > 1).drop("_n"), name)
 
 
-def with_digests(
-    groups: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = PREFIX_CHARS
+def exact_groups(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    prefix_chars: int = PREFIX_CHARS,
+    hash_all: bool = False,
 ) -> DataFrame:
-    """The rows of ``exact_groups`` with ``text_sha256`` for every row, from a narrow scan."""
-    every = _keyed(docs, id_col, text_col, prefix_chars)
-    every = every.select("doc_id", "length", "prefix", digest(F.col("norm")).alias("text_sha256"))
-    alone = groups.filter(F.col("text_hash").isNull())
-    named = alone.join(every, _same_row(alone, every, "length", "prefix")).select(alone["*"], every["text_sha256"])
-    rest = groups.filter(F.col("text_hash").isNotNull()).withColumn("text_sha256", F.col("text_hash"))
-    return named.unionByName(rest)
+    """One row per row of ``docs``: doc_id, text_hash, keep_id, group_size, kept.
+
+    Of equal normalised texts the smallest id stays. ``text_hash`` is null where length
+    and prefix already told the row from all others, unless ``hash_all`` asks for it.
+    Null texts count as empty. A null id is larger than any other; rows that repeat an
+    id with the same text are copies of each other, of which one stays. An empty table
+    gives no rows.
+    """
+    keys = landed(_keyed(docs, id_col, text_col, prefix_chars).drop("norm"), "dedup-keys")
+    return _groups(docs, _in_question(keys), id_col, text_col, prefix_chars, hash_all)
+
+
+def _groups(docs, buckets, id_col, text_col, prefix_chars, hash_all):
+    # Only now whole texts, and only those of rows still in question.
+    texts = _keyed(docs, id_col, text_col, prefix_chars).withColumn("bucket", _bucket())
+    texts = texts.join(buckets, "bucket", "left").withColumn("asked", F.col("asked").isNotNull())
+    needed = F.lit(True) if hash_all else F.col("asked")
+    rows = texts.select("doc_id", "asked", F.when(needed, digest(F.col("norm"))).alias("text_hash"))
+    rows = landed(rows, "dedup-rows")
+    copies = rows.filter("asked").groupBy("doc_id", "text_hash").agg(F.count("*").alias("copies"))
+    groups = copies.groupBy("text_hash").agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
+    found = landed(copies, "dedup-copies").join(landed(groups, "dedup-groups"), "text_hash")
+    found = found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    first = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("_copy") == 1)
+    found = found.withColumn("kept", first).drop("copies", "_copy")
+    alone = rows.filter("NOT asked").select(
+        "text_hash",
+        "doc_id",
+        F.col("doc_id").alias("keep_id"),
+        F.lit(1).cast("bigint").alias("group_size"),
+        F.lit(True).alias("kept"),
+    )
+    return found.unionByName(alone)
 
 
 def drop_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = PREFIX_CHARS
 ) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    groups = exact_groups(docs, id_col, text_col, prefix_chars).filter(F.col("group_size") > 1)
+    """The rows of ``docs`` that stay, with all their columns; only texts in question are shuffled."""
+    keys = landed(_keyed(docs, id_col, text_col, prefix_chars).drop("norm"), "dedup-keys")
+    buckets = _in_question(keys)
+    groups = _groups(docs, buckets, id_col, text_col, prefix_chars, False).filter(F.col("group_size") > 1)
     decided = groups.groupBy("doc_id", "text_hash").agg(F.max("kept").alias("stays"), F.count("*").alias("copies"))
     decided = landed(decided, "dedup-decided")
-    rows = docs.withColumn("_hash", digest(normalised(F.col(text_col))))
+    rows = compute_once(docs, {"_norm": normalised(F.col(text_col))})
+    rows = rows.withColumn("_key", F.struct(F.octet_length("_norm").alias("length"), F.xxhash64(F.substring("_norm", 1, prefix_chars)).alias("prefix")))
+    bucket = F.pmod(F.xxhash64("_key.length", "_key.prefix"), F.lit(BUCKETS))
+    rows = rows.withColumn("_bucket", bucket).drop("_key")
+    asked = buckets.select(F.col("bucket").alias("_bucket"))
+    free = rows.join(F.broadcast(asked), "_bucket", "left_anti").select(*docs.columns)
+    rows = rows.join(F.broadcast(asked), "_bucket", "left_semi").withColumn("_hash", digest(F.col("_norm"))).drop("_norm", "_bucket")
     kept = _without(rows, id_col, decided.filter(~F.col("stays")), "left_anti")
     again = decided.filter(F.col("stays") & (F.col("copies") > 1))
     if again.isEmpty():  # a written table: this reads its first row
-        return kept.drop("_hash")
+        return free.unionByName(kept.drop("_hash"))
     once = _without(kept, id_col, again, "left_semi").dropDuplicates([id_col, "_hash"])
-    return _without(kept, id_col, again, "left_anti").unionByName(once).drop("_hash")
+    kept = _without(kept, id_col, again, "left_anti").unionByName(once)
+    return free.unionByName(kept.drop("_hash"))
 
 
 def _without(rows: DataFrame, id_col: str, keys: DataFrame, how: str) -> DataFrame:

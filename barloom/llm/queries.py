@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barloom.llm.exact_dedup import exact_groups, with_digests
+from barloom.llm.exact_dedup import exact_groups
 from barloom.llm.near_dedup import near_groups
 from barloom.llm.packing import pack
 from barloom.llm.token_counts import token_counts
@@ -40,9 +40,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """,
 )
 def op1_exact_dedup(spark, folder):
-    docs = table(spark, folder, "documents")
-    rows = with_digests(exact_groups(docs), docs)
-    return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    groups = exact_groups(table(spark, folder, "documents"), hash_all=True)
+    return groups.withColumnRenamed("text_hash", "text_sha256")
 
 
 @query("op3_best_fit_packing")
