@@ -309,3 +309,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     rows = rows.select("doc_id", "n_shingles", component.alias("component_id"))
     return rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, one document of each component, with all their columns."""
+    gone = near_groups(docs, id_col, text_col).filter(~F.col("kept"))
+    gone = landed(gone.select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    return docs.join(gone.hint("merge"), docs[id_col] == gone["_gone"], "left_anti")

@@ -18,49 +18,28 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from barloom.llm.words import LONGEST, PreTokens, cores_and_tails, list_ends, slices, sums_between, worker_cache
+from barloom.llm.words import LONGEST, PreTokens, absent_mark, cores_and_tails, list_ends, slices, sums_between, worker_cache
 
 #: Entries of the broadcast table and of a worker's table. Runs longer than ``LONGEST``
 #: characters are in neither, so both have a fixed size.
 FREQUENT_ENTRIES, WORKER_ENTRIES = 50_000, 600_000
 #: Documents, more or less, from which the first tier is filled.
 SAMPLE_ROWS = 2_000
-#: Characters that some tokenizer may count as white space. A space beside one of them, or
-#: at either end of a text, may belong to a longer pre-token, so it isn't cut at.
-_WHITE = r"[\x09-\x0D\x1C-\x20\x{85}\p{Z}]"
-_DOUBTFUL = rf"{_WHITE} | {_WHITE}|^ | $"
-_SAFE = rf"([^\x09-\x0D\x1C-\x20\x{{85}}\p{{Z}}]) ([^\x09-\x0D\x1C-\x20\x{{85}}\p{{Z}}])"
-_MARK = "﷐"  # a code point that is no character
+#: Characters that some tokenizer may count as white space, and a space beside one of them.
+_WHITE = r"\x09-\x0D\x1C-\x20\x{85}\p{Z}"
+_DOUBTFUL = rf"(?s)[{_WHITE}] | [{_WHITE}]|^ | $"
 
 
 def runs(texts: pa.Array) -> pa.Array:
-    """Lists of the runs between safe cuts; all but the first had a space before them."""
-    doubtful = pc.match_substring_regex(texts, rf"(?s){_DOUBTFUL}")
-    if not pc.any(doubtful).as_py():
+    """Lists of the runs between safe cuts; all but the first had a space before them.
+
+    A cut is at a space behind a character that isn't white space to anyone: a pre-token
+    ends there, and what follows is cut without regard to what came before.
+    """
+    if not pc.any(pc.match_substring_regex(texts, _DOUBTFUL)).as_py():
         return pc.split_pattern(texts, " ")
-    # Twice, as matches of one character words overlap.
-    marked = texts
-    odd = pc.match_substring(texts, _MARK)
-    for _ in range(2):
-        marked = pc.replace_substring_regex(marked, _SAFE, rf"\1{_MARK}\2")
-    plain = pc.if_else(doubtful, "", texts)
-    cut = pc.if_else(pc.and_(doubtful, pc.invert(odd)), marked, "")
-    whole = pc.if_else(pc.and_(doubtful, odd), texts, "")
-    lists = [pc.split_pattern(plain, " "), pc.split_pattern(cut, _MARK), pc.split_pattern(whole, _MARK + "-")]
-    if pc.any(pc.and_(doubtful, odd)).as_py():
-        choice = pc.if_else(pc.and_(doubtful, odd), 2, pc.if_else(doubtful, 1, 0))
-    else:
-        choice = pc.if_else(doubtful, 1, 0)
-    offsets = [lst.offsets.to_numpy() for lst in lists]
-    at = choice.to_numpy(zero_copy_only=False)
-    values = pa.concat_arrays([lst.values for lst in lists])
-    base = np.cumsum([0] + [len(lst.values) for lst in lists[:-1]])
-    rows = np.arange(len(texts))
-    first = np.stack([o[:-1] for o in offsets])[at, rows] + base[at]
-    size = np.stack([np.diff(o) for o in offsets])[at, rows]
-    ends = np.cumsum(size)
-    places = np.repeat(first - ends + size, size) + np.arange(int(ends[-1]) if len(ends) else 0)
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), values.take(pa.array(places)))
+    mark = absent_mark(texts)
+    return pc.split_pattern(pc.replace_substring_regex(texts, rf"([^{_WHITE}]) ", rf"\1{mark}"), mark)
 
 
 class RunLengths:

@@ -22,7 +22,7 @@ WORKER_WORDS, LONGEST = 600_000, 48
 SLICE_BYTES = 24 << 20
 #: Marks that make a pre-token of their own behind a letter or digit, and these.
 _MARKS = ".,;:!?"
-_ENDS = frozenset(c for c in map(chr, range(0x100)) if c.isascii() and c.isalnum() or c > "\xbf" and c.isalpha())
+ENDS = frozenset(c for c in map(chr, range(0x100)) if c.isascii() and c.isalnum() or c > "\xbf" and c.isalpha())
 #: Letters that stay themselves when lower-cased, and under NFC; and with their capitals.
 _SMALL, _LETTERS = re.compile("[a-zß-öø-ÿ]+"), re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
@@ -39,6 +39,12 @@ def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[pa.Array]:
         start = end
 
 
+def absent_mark(texts: pa.Array) -> str:
+    """A character that none of the texts holds, to mark cuts with; one that is no character if possible."""
+    places = (*range(0xFDD0, 0xFDF0), *range(0x10FFFF, 0xFFFF, -1))
+    return next(c for c in map(chr, places) if not pc.any(pc.match_substring(texts, c)).as_py())
+
+
 def space_split(texts: pa.Array) -> pa.Array:
     """Lists of words between runs of the six ASCII white space characters; some are empty."""
     return pc.ascii_split_whitespace(texts)
@@ -150,7 +156,7 @@ def cores_and_tails(words: list[str]) -> tuple[list[str], list[str]]:
     Tokenizers start a pre-token at the first of these marks after a letter or digit.
     """
     cores = [word.rstrip(_MARKS) for word in words]
-    cores = [core if core and core[-1] in _ENDS else word for core, word in zip(cores, words)]
+    cores = [core if core and core[-1] in ENDS else word for core, word in zip(cores, words)]
     return cores, [word[len(core) :] for core, word in zip(cores, words)]
 
 
