@@ -3,18 +3,8 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barloom.operators import clean
-from barloom.operators.keyed import (
-    broadcast_if_small,
-    is_small,
-    landed,
-    last_by,
-    latest_rows,
-    top_k,
-)
-from barloom.schema import BAR_COLS, FALLBACK_SOURCES, HISTORY_ROW_LIMIT, KEY
-
-# Up to here a rank per symbol is cheaper than counting days first.
-_SMALL_LIMIT = 100
+from barloom.operators.keyed import landed, last_by, top_k
+from barloom.schema import BAR_COLS, FALLBACK_SOURCES, KEY
 
 
 def source_order(default: str, others=FALLBACK_SOURCES) -> list[str]:
@@ -22,19 +12,15 @@ def source_order(default: str, others=FALLBACK_SOURCES) -> list[str]:
     return list(dict.fromkeys(s.lower() for s in [default, *others] if s))
 
 
-def source_fallback(
-    history: DataFrame, sources: list[str], few_symbols: bool = False
-) -> DataFrame:
+def source_fallback(history: DataFrame, sources: list[str]) -> DataFrame:
     """Per symbol only the rows of the first source that has any row for it.
 
-    The choice is made on the rows as they came, before any cleaning. With
-    ``few_symbols`` known the choice, a row per symbol, is broadcast.
+    The choice is made on the rows as they came, before any cleaning.
     """
     ranks = F.create_map(*[F.lit(x) for i, s in enumerate(sources) for x in (s, i)])
     ranked = history.withColumn("_rank", F.try_element_at(ranks, F.lower("source")))
     ranked = ranked.filter(F.col("_rank").isNotNull())
     best = ranked.groupBy("symbol").agg(F.min("_rank").alias("_rank"))
-    best = F.broadcast(best) if few_symbols else best
     return ranked.join(best, ["symbol", "_rank"], "left_semi").drop("_rank")
 
 
@@ -43,22 +29,17 @@ def history_scan(history: DataFrame, start, end) -> DataFrame:
     return history.filter((day >= F.lit(start).cast("date")) & (day <= F.lit(end).cast("date")))
 
 
-def history_topk(
-    history: DataFrame, limit: int, *order: Column, few_symbols: bool = False
-) -> DataFrame:
+def history_topk(history: DataFrame, limit: int, *order: Column) -> DataFrame:
     """The latest ``limit`` rows per symbol, as a capped history request returns.
 
-    ``order`` tells rows of the same day apart; the greatest come first.
+    ``order`` tells rows of the same day apart, then all other columns do; the
+    greatest come first.
     """
-    later = [o.desc() for o in order]
-    if limit <= _SMALL_LIMIT:
-        return top_k(history, ["symbol"], limit, [F.col("time").desc(), *later])
-    return latest_rows(history, ["symbol"], limit, "time", later, few_symbols)
+    ties = [o.desc() for o in (*order, *map(F.col, history.columns))]
+    return top_k(history, ["symbol"], limit, [F.col("time").desc(), *ties])
 
 
-def gap_fill(
-    history: DataFrame, board: DataFrame, today, few_symbols: bool = False
-) -> DataFrame:
+def gap_fill(history: DataFrame, board: DataFrame, today) -> DataFrame:
     """Add today's board row for symbols whose history ends before today.
 
     Symbols without any history get none: their reload has failed.
@@ -66,7 +47,6 @@ def gap_fill(
     day = (today if isinstance(today, Column) else F.lit(today)).cast("date")
     ends = history.groupBy("symbol").agg(F.max("trading_date").alias("_end"))
     behind = ends.filter(F.col("_end") < day).select("symbol")
-    behind = F.broadcast(behind) if few_symbols else behind
     rows = last_by(board, ["symbol"], F.col("trading_date"), keep=history.columns)
     fill = rows.join(behind, "symbol", "left_semi").withColumn("trading_date", day)
     return history.unionByName(fill)
@@ -82,33 +62,32 @@ def adjusted_history(
     sources: list[str],
     start,
     end,
-    limit: int = HISTORY_ROW_LIMIT,
     order: tuple[str, ...] = (),
 ) -> DataFrame:
     """Clean history of ``symbols``, filled up to ``today``, one bar per day.
 
     ``order`` names feed columns that tell repeated days of a symbol apart; the
-    last one is kept, and a board row is later than all of them. Every later step
-    has at most as many keys as ``symbols``, so its size is checked just once.
-    The rows of the symbols are written out, as the choice of a source and the limit
-    look at them several times, and so is the unique history for the fill.
+    last one is kept, and a board row is later than all of them. All rows in the range
+    count, however many. The rows of the symbols are written out, as the choice of a
+    source looks at them twice, and so is the unique history for the fill; Spark then
+    knows their size.
     """
-    keys = symbols.select("symbol").distinct()
-    few = is_small(keys)
-    wanted = history_scan(history, start, end)
-    wanted = landed(wanted.join(F.broadcast(keys) if few else keys, "symbol", "left_semi"), "wanted")
-    wanted = source_fallback(wanted, sources, few)
-    wanted = history_topk(wanted, limit, *[F.col(c) for c in order], few_symbols=few)
+    keys = landed(symbols.select("symbol").distinct(), "wanted-symbols")
+    wanted = history_scan(history, start, end).join(keys, "symbol", "left_semi")
+    wanted = source_fallback(landed(wanted, "wanted"), sources)
     bars = clean.clean_download(wanted, multiplier)
     unordered = [c for c in bars.columns if c not in order]
     deduped = last_by(bars, KEY, *[F.col(c) for c in order], keep=unordered)
     # History is unique by day now, and the board row lies after its end.
-    filled = gap_fill(landed(deduped, "history"), board, today, few)
+    filled = gap_fill(landed(deduped, "history"), board, today)
     return clean.attach_exchange(filled, listing).select(*BAR_COLS)
 
 
-def reload_attempts(ordered: DataFrame, adjusted: DataFrame) -> DataFrame:
-    """(symbol, run_order, ok): a reload is fine when it produced any bar."""
-    produced = adjusted.select("symbol").distinct().withColumn("_got", F.lit(True))
-    joined = ordered.join(broadcast_if_small(produced), "symbol", "left")
-    return joined.withColumn("ok", F.coalesce("_got", F.lit(False))).drop("_got")
+def reload_outcome(symbols: DataFrame, adjusted: DataFrame) -> DataFrame:
+    """(symbol, status): a reload is ``ok`` when it produced any bar, else ``failed``.
+
+    Each symbol stands for itself; failures of some never hold back the others.
+    """
+    produced = adjusted.select("symbol").distinct().withColumn("_got", F.lit("ok"))
+    joined = symbols.select("symbol").distinct().join(produced, "symbol", "left")
+    return joined.select("symbol", F.coalesce("_got", F.lit("failed")).alias("status"))

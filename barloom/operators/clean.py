@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from barloom.functions import dates, prices, text
 from barloom.operators.columns import compute_once
-from barloom.operators.keyed import broadcast_if_small, drop_keys, last_by
+from barloom.operators.keyed import drop_keys, last_by
 from barloom.schema import (
     BAR_COLS,
     BOARD_EXTRA_COLS,
@@ -112,7 +112,7 @@ def attach_exchange(df: DataFrame, listing: DataFrame) -> DataFrame:
     )
     # The listing is a map: one exchange per symbol, the greatest code if it repeats.
     labels = labels.groupBy("symbol").agg(F.max("exchange").alias("exchange"))
-    joined = df.drop("exchange").join(broadcast_if_small(labels), "symbol", "left")
+    joined = df.drop("exchange").join(labels, "symbol", "left")
     return joined.withColumn("exchange", F.coalesce("exchange", F.lit("Unknown")))
 
 

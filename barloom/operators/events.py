@@ -4,8 +4,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from barloom.functions import dates, text
 from barloom.operators.columns import compute_once
-from barloom.operators.keyed import keep_keys, number_rows
-from barloom.schema import EVENT_CODES, EVENT_COLS, FAILURE_STREAK, RELOAD_BATCH
+from barloom.operators.keyed import keep_keys
+from barloom.schema import EVENT_CODES, EVENT_COLS
 
 
 def corporate_actions(
@@ -72,35 +72,6 @@ def reload_set(
     return union.groupBy("symbol").agg(F.max_by("ex_date", "_rank").alias("ex_date"))
 
 
-def run_order(symbols: DataFrame) -> DataFrame:
-    """Symbols in the order they are reloaded, with their batch."""
-    ordered = number_rows(symbols, [F.col("symbol")], "run_order")
-    batch = F.floor((F.col("run_order") - 1) / RELOAD_BATCH).cast("bigint")
-    return ordered.withColumn("batch", batch)
-
-
-def reload_outcome(attempts: DataFrame, streak: int = FAILURE_STREAK) -> DataFrame:
-    """Status per attempt: ``ok``, ``failed`` or ``unprocessed``.
-
-    ``attempts`` has a dense ``run_order`` and ``ok``. Work stops for good at the
-    first ``streak`` failures in a row; later attempts do not count. A streak ends
-    at position p when each of the ``streak`` positions up to p failed, so every
-    failure votes for the positions it can help to end. That is a plain aggregate
-    on the position and needs no pass over the whole order in one task.
-    """
-    votes = attempts.filter(~F.col("ok")).select(
-        F.explode(F.sequence(F.col("run_order"), F.col("run_order") + (streak - 1))).alias("ends_at")
-    )
-    full = votes.groupBy("ends_at").agg(F.count("*").alias("n")).filter(F.col("n") == streak)
-    stop = full.agg(F.min("ends_at").alias("stop")).scalar()
-    status = (
-        F.when(F.col("run_order") > stop, "unprocessed")
-        .when(F.col("ok"), "ok")
-        .otherwise("failed")
-    )
-    return attempts.withColumn("status", status)
-
-
 def pending_after(outcome: DataFrame) -> DataFrame:
-    """Symbols the next run has to try again: failed and unprocessed ones."""
+    """Symbols the next run has to try again: those that failed."""
     return outcome.filter(F.col("status") != "ok").select("symbol")

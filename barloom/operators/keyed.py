@@ -1,36 +1,22 @@
-"""Joins and rankings by key that stay safe when keys are many or one is hot."""
+"""Joins and rankings by key that stay safe when keys are many or one is hot.
+
+How a join is done is left to Spark: it knows the size of a written table, and adaptive
+execution sees that of a shuffled one and splits hot keys.
+"""
 
 import os
-import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-BROADCAST_ROWS = 200_000
-_MONO_ID_BITS = 33
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a frame has at most ``max_rows`` rows. Never counts past the bound."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a narrow key frame for broadcast only once its row count is known to fit.
-
-    Beyond ``max_rows`` the frame comes back unmarked, so the join shuffles and
-    adaptive execution splits hot keys. The count is a job of its own: meant for
-    frames that are cheap to read, such as a stored list or a staged batch.
-    """
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
 
 def keep_keys(df: DataFrame, keys: DataFrame, on) -> DataFrame:
-    return df.join(broadcast_if_small(keys), on, "left_semi").select(*df.columns)
+    """Semi join. Spark broadcasts the keys if their size is known to fit, else it shuffles."""
+    return df.join(keys, on, "left_semi").select(*df.columns)
 
 
 def drop_keys(df: DataFrame, keys: DataFrame, on) -> DataFrame:
     """Anti join. Unlike ``NOT IN``, null keys on the right remove nothing."""
-    return df.join(broadcast_if_small(keys), on, "left_anti").select(*df.columns)
+    return df.join(keys, on, "left_anti").select(*df.columns)
 
 
 def last_by(
@@ -74,32 +60,6 @@ def top_k(
     return ranked.filter(F.col("_rank") <= k).drop("_rank")
 
 
-def latest_rows(
-    df: DataFrame, keys: list[str], k: int, day: str, ties: list[Column], few_keys: bool = False
-) -> DataFrame:
-    """The latest ``k`` rows per key by ``day``, exact for a large ``k`` as well.
-
-    Counting rows by key and day tells from which day on a key's rows fit; that is
-    reduced in every task and no longer than the calendar per key. Rows after that
-    day are just filtered, and only the rows of that one day have to be ranked. When
-    no key has more than ``k`` rows nothing is left to do. With ``few_keys`` known
-    the days, a row per key, are broadcast.
-    """
-    counts = df.groupBy(*keys, day).agg(F.count("*").alias("_n"))
-    newest = Window.partitionBy(*keys).orderBy(F.col(day).desc_nulls_last())
-    running = counts.withColumn("_sum", F.sum("_n").over(newest)).filter(F.col("_sum") > k)
-    room = F.col("_n") - (F.col("_sum") - k)
-    cut = F.min_by(F.struct(F.col(day).alias("day"), room.alias("room")), "_sum")
-    cut = landed(running.groupBy(*keys).agg(cut.alias("_cut")), "cut")
-    if cut.isEmpty():
-        return df
-    marked = df.join(F.broadcast(cut) if few_keys else cut, keys, "left")
-    fits = F.col("_cut").isNull() | F.coalesce(F.col(day) > F.col("_cut.day"), F.lit(False))
-    on_day = F.col("_cut").isNotNull() & F.col(day).eqNullSafe(F.col("_cut.day"))
-    last = top_k(marked.filter(on_day), keys, F.col("_cut.room"), ties or [F.col(day)], bound=k)
-    return marked.filter(fits).unionByName(last).select(*df.columns)
-
-
 def landed(df: DataFrame, name: str = "landed") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -113,13 +73,16 @@ def landed(df: DataFrame, name: str = "landed") -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder the cluster names; one is made up only in local mode."""
+    """The shared folder that the session names in ``spark.checkpoint.dir``.
+
+    Where it is unset, a folder of this application below the warehouse, which all
+    executors share as well.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="barloom-checkpoint-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        folder = f"{warehouse}/_intermediate/{context.applicationId}"
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder
@@ -129,27 +92,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{os.urandom(8).hex()}"
-
-
-def number_rows(df: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """Add the 1-based position of each row in the total order of the frame.
-
-    A window without partitions would pull all rows into one task. Instead the
-    rows are range partitioned and sorted where they are, and every partition
-    adds the number of rows before it. The numbered ranges are written out, so
-    that the two passes agree and a lost executor cannot change them.
-    """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    fixed = landed(ranged.withColumn("_id", F.monotonically_increasing_id()), "numbered")
-    part = F.shiftright("_id", _MONO_ID_BITS)
-    counts = fixed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
-    # One row per partition of the range step, so this window and broadcast stay small.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    local = F.col("_id").bitwiseAND(F.lit((1 << _MONO_ID_BITS) - 1))
-    return (
-        fixed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_before") + local + 1)
-        .drop("_id", "_part", "_before")
-    )

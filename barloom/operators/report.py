@@ -36,9 +36,12 @@ def run_report(
     missing: DataFrame,
     as_of: Column,
     unfilled: DataFrame | None = None,
+    absent: int = 0,
 ) -> DataFrame:
     """One row about a daily run. ``outcome`` has (symbol, status) per reload.
 
+    ``absent`` counts listed symbols that the board lacked.
+
     ``missing`` are the days that were back-filled, ``unfilled`` those of them that
     had no archive. Both are bounded by the calendar since the last run.
     """
@@ -50,6 +53,7 @@ def run_report(
     ).select(
         "trading_date",
         "rows_loaded",
+        F.lit(absent).cast("bigint").alias("absent_symbols"),
         dates.is_eod(F.col("trading_date"), as_of).alias("is_eod"),
         _day_text(missing).alias("missing_dates"),
         _day_text(missing.limit(0) if unfilled is None else unfilled).alias("unfilled_dates"),

@@ -2,8 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from barloom.operators.keyed import last_by, number_rows
-from barloom.schema import BOARD_BATCH, EXCLUDED_TYPES
+from barloom.schema import EXCLUDED_TYPES
 
 
 def active_symbols(listing: DataFrame) -> DataFrame:
@@ -31,26 +30,8 @@ def distinct_symbols(df: DataFrame) -> DataFrame:
     return df.filter(F.col("symbol") != "").select("symbol").distinct()
 
 
-def board_batches(symbols: DataFrame, board: DataFrame, size: int = BOARD_BATCH) -> DataFrame:
-    """Rows that arrived per request batch of ``size`` symbols, empty batches included.
-
-    A batch without any row means the board is incomplete and must not be used.
-    """
-    ordered = number_rows(symbols.select("symbol").distinct(), [F.col("symbol")], "position")
-    batches = ordered.withColumn("batch", F.floor((F.col("position") - 1) / size).cast("bigint"))
-    arrived = board.groupBy("symbol").agg(F.count("*").alias("arrived"))
-    return (
-        batches.join(arrived, "symbol", "left")
-        .groupBy("batch")
-        .agg(
-            F.count("*").alias("requested"),
-            F.coalesce(F.sum("arrived"), F.lit(0)).alias("arrived"),
-        )
-        .withColumn("complete", F.col("arrived") > 0)
-    )
-
-
-def refresh_cache(cached: DataFrame, symbols: DataFrame) -> DataFrame:
-    """The cached symbol list after a run that had a live list."""
-    both = cached.withColumn("_live", F.lit(0)).unionByName(symbols.withColumn("_live", F.lit(1)))
-    return last_by(both, ["symbol"], F.col("_live"), keep=["symbol", "exchange"])
+def board_coverage(symbols: DataFrame, board: DataFrame) -> DataFrame:
+    """Every listed symbol and whether the board has a row of it."""
+    arrived = board.select("symbol").distinct().withColumn("arrived", F.lit(True))
+    listed = symbols.select("symbol").distinct().join(arrived, "symbol", "left")
+    return listed.select("symbol", F.coalesce("arrived", F.lit(False)).alias("arrived"))

@@ -6,14 +6,20 @@ sinks decide which partitions of the stored table have to be read and written.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from barloom.operators.keyed import broadcast_if_small, drop_keys, last_by
+from barloom.operators.keyed import drop_keys, last_by
 from barloom.schema import KEY, PRICE_ADJ, PRICE_COLS
 
 
 def replace_dates(target: DataFrame, incoming: DataFrame, days: list) -> DataFrame:
-    """Drop some days from the target and put the incoming rows in."""
-    dropped = F.col("trading_date").isin([F.lit(d).cast("date") for d in days])
-    kept = target.filter(~F.coalesce(dropped, F.lit(False)))
+    """Replace some days of the target by the incoming rows of these days.
+
+    Incoming rows of other days, such as a board's bars of symbols that have not traded since,
+    take the place of the target's rows with their key.
+    """
+    listed = F.col("trading_date").isin([F.lit(d).cast("date") for d in days])
+    on_days = F.coalesce(listed, F.lit(False))
+    kept = target.filter(~on_days)
+    kept = drop_keys(kept, incoming.filter(~on_days).select(*KEY).distinct(), KEY)
     return kept.unionByName(incoming.select(*target.columns))
 
 
@@ -31,7 +37,6 @@ def replace_symbols(
     """
     if per_symbol:
         starts = incoming.groupBy("symbol").agg(F.min("trading_date").alias("_start"))
-        starts = broadcast_if_small(starts)
         replaced = (F.col("t.symbol") == F.col("s.symbol")) & (F.col("trading_date") >= F.col("_start"))
         kept = target.alias("t").join(starts.alias("s"), replaced, "left_anti")
         return kept.unionByName(incoming.select(*target.columns))
@@ -59,7 +64,7 @@ def copy_raw_to_adjusted(
     if not days:
         return adjusted
     on_days = F.col("trading_date").isin([F.lit(d).cast("date") for d in days])
-    keys = broadcast_if_small(excluded.select("symbol").dropna().distinct())
+    keys = excluded.select("symbol").dropna().distinct()
     untouched = adjusted.filter(~on_days)
     protected = adjusted.filter(on_days).join(keys, "symbol", "left_semi")
     copied = raw.filter(on_days).join(keys, "symbol", "left_anti")
@@ -68,10 +73,19 @@ def copy_raw_to_adjusted(
     return untouched.unionByName(protected.select(*out)).unionByName(copied.select(*out))
 
 
-def upsert(target: DataFrame, incoming: DataFrame, keys: list[str] = KEY, order=()) -> DataFrame:
-    """Insert or update by key; nothing is deleted. ``order`` decides repeated keys."""
+def upsert(
+    target: DataFrame, incoming: DataFrame, keys: list[str] = KEY, order=(), greatest: str | None = None
+) -> DataFrame:
+    """Insert or update by key; nothing is deleted. ``order`` decides repeated keys.
+
+    With ``greatest`` the row that has most of that column stays, the incoming one if equal, so
+    that batches may come in any order.
+    """
     fresh = last_by(incoming, keys, *order, keep=target.columns)
-    return drop_keys(target, fresh.select(*keys), keys).unionByName(fresh)
+    if greatest is None:
+        return drop_keys(target, fresh.select(*keys), keys).unionByName(fresh)
+    both = target.withColumn("_new", F.lit(0)).unionByName(fresh.withColumn("_new", F.lit(1)))
+    return last_by(both, keys, F.col(greatest), F.col("_new"), keep=target.columns)
 
 
 def load_append(target: DataFrame, incoming: DataFrame) -> DataFrame:

@@ -13,14 +13,14 @@ from barloom.functions import dates
 from barloom.operators import adjust, calendar, clean, contract, events, report, snapshot
 from barloom.operators import symbols as universe
 from barloom.operators import units
-from barloom.operators.keyed import keep_keys, landed
+from barloom.operators.keyed import landed
 from barloom.plans.history import backfill, unfilled_days
 from barloom.schema import (
     BAR_COLS,
     BOARD_EXTRA_COLS,
     DEFAULT_BENCHMARKS,
-    HISTORY_ROW_LIMIT,
     HISTORY_START,
+    MOST_ABSENT_SHARE,
 )
 from barloom.sinks.bar_table import BarTable, sink_symbol_history
 from barloom.sinks.run_state import RunState, version_of
@@ -40,13 +40,20 @@ class DailyFeeds:
 
 @dataclass(frozen=True)
 class DailySettings:
+    """``force`` runs on a closed day too. The run stops if more than ``most_absent`` of the
+    listed symbols are not on the board; ``archive_kind`` picks raw or adjusted archives."""
+
     as_of: datetime
     source: str = "vci"
     archive_source: str = "archive"
     benchmarks: tuple[str, ...] = tuple(DEFAULT_BENCHMARKS)
     history_start: str = HISTORY_START
-    history_limit: int = HISTORY_ROW_LIMIT
     blacklist: DataFrame | None = None
+    custom_holidays: DataFrame | None = None
+    force: bool = False
+    most_absent: float = MOST_ABSENT_SHARE
+    archive_kind: str | None = None
+    history_buckets: int | None = 16
 
 
 def board_bars(board: DataFrame, source: str, multiplier) -> DataFrame:
@@ -75,6 +82,9 @@ def run_daily(
     """
     moment = dates.moment(settings.as_of)
     version = version_of(settings.as_of)
+    holidays = landed(calendar.holiday_calendar(feeds.holidays, settings.custom_holidays), "holidays")
+    if _gate(spark, settings, holidays) != "run":
+        return None
 
     live = universe.active_symbols(feeds.listing)
     symbols = universe.symbols_with_fallback(live, state.symbol_cache(spark))
@@ -82,9 +92,8 @@ def run_daily(
     state.save_symbol_cache(symbols, version)
 
     own_source = feeds.history.filter(F.lower("source") == settings.source.lower())
-    factors = units.unit_vote(
-        symbols, feeds.board, own_source, list(settings.benchmarks), settings.as_of
-    ).first()
+    benchmarks = units.benchmark_tickers(settings.benchmarks)
+    factors = units.unit_vote(symbols, feeds.board, own_source, benchmarks, settings.as_of).first()
     t0 = landed(board_bars(feeds.board, settings.source, factors["board_multiplier"]), "board")
 
     today = t0.agg(F.max("trading_date")).first()[0]
@@ -93,7 +102,8 @@ def run_daily(
     last = _last_run(state.run(spark), today)
     if last["decision"].startswith("stop"):
         return None
-    missing = _missing(spark, last, today, feeds.holidays)
+    absent = _absent(symbols, t0, settings.most_absent)
+    missing = _missing(spark, last, today, holidays)
     missing_df = unfilled = _days(spark, missing)
 
     listed = events.distinct_keys(t0)
@@ -102,40 +112,54 @@ def run_daily(
         late = events.corporate_actions(feeds.events, missing[0], missing[-1], symbols)
     else:
         late = on_day.limit(0)
-    wanted = events.reload_set(on_day, late, state.pending(spark), today)
-    ordered = events.run_order(wanted)
+    wanted = landed(events.reload_set(on_day, late, state.pending(spark), today), "reload")
 
     if missing:
-        filled = backfill(feeds.archives, missing_df, settings.archive_source, settings.blacklist)
+        filled = backfill(
+            feeds.archives, missing, settings.archive_source, settings.blacklist, settings.archive_kind
+        )
         filled = landed(filled, "filled")
         raw.replace_own_days(filled)
-        unfilled = unfilled_days(missing_df, filled)
+        unfilled = landed(unfilled_days(missing_df, filled), "unfilled")
     raw.replace_date(t0.select(*BAR_COLS), today)
 
     rebuilt = adjust.adjusted_history(
         feeds.history,
         t0.select(*BAR_COLS),
         symbols,
-        ordered,
+        wanted,
         today,
         factors["history_multiplier"],
         adjust.source_order(settings.source),
         settings.history_start,
         settings.as_of.date(),
-        settings.history_limit,
     )
-    outcome = events.reload_outcome(adjust.reload_attempts(ordered, rebuilt))
-    outcome = landed(outcome, "outcome")
-    done = keep_keys(rebuilt, outcome.filter(F.col("status") == "ok").select("symbol"), "symbol")
-    sink_symbol_history(done, reloaded_path)
-    adjusted.replace_symbols(done)
+    # Written once, in the form in which both tables store it.
+    rebuilt = landed(clean.encode_adjusted(rebuilt), "rebuilt")
+    outcome = landed(adjust.reload_outcome(wanted, rebuilt), "outcome")
+    sink_symbol_history(rebuilt, reloaded_path, settings.history_buckets, staged=True)
+    adjusted.replace_symbols(rebuilt, staged=True)
     # Symbols whose reload failed are excluded too: they get no bar until it works.
-    adjusted.copy_raw(raw, [*missing, today], ordered.select("symbol"))
+    adjusted.copy_raw(raw, [*missing, today], wanted.select("symbol"))
 
     new = landed(snapshot.eod_snapshot(t0, state.snapshot(spark), moment, symbols), "snapshot")
     pending = events.pending_after(outcome)
     state.save(snapshot.run_metadata(t0, new, moment), pending, new, version)
-    return report.run_report(t0, outcome, missing_df, moment, unfilled)
+    return report.run_report(t0, outcome, missing_df, moment, unfilled, absent)
+
+
+def _gate(spark, settings, holidays) -> str:
+    """Whether to run on the day of ``as_of``: not on a weekend or holiday, unless forced."""
+    return calendar.run_gate(_days(spark, [settings.as_of.date()]), holidays, settings.force).first()["gate"]
+
+
+def _absent(symbols, board, most_absent: float) -> int:
+    """How many listed symbols the board lacks; too many mean that it has not landed in whole."""
+    found = universe.board_coverage(symbols, board)
+    row = found.agg(F.count("*").alias("n"), F.count_if(~F.col("arrived")).alias("absent")).first()
+    if row["absent"] > most_absent * row["n"]:
+        raise ValueError(f"{row['absent']} of {row['n']} listed symbols are not on the board; nothing was changed")
+    return row["absent"]
 
 
 def _last_run(run: DataFrame, today: date):

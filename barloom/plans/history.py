@@ -2,7 +2,7 @@
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from barloom.functions import dates
 from barloom.operators import calendar, clean, snapshot
@@ -10,43 +10,43 @@ from barloom.operators.keyed import landed
 from barloom.schema import BAR_COLS
 from barloom.sinks.bar_table import BarTable
 from barloom.sinks.run_state import RunState, version_of
-from barloom.sources.archives import ARCHIVE_ORDER, archive_scan
-
-# Fixed value: archives are named after the last day they hold, as ...Upto31012024.zip
-ARCHIVE_DAY = r"Upto(\d{8})\.zip$"
+from barloom.sources.archives import archive_day, archive_order, archive_scan, select_archives
 
 
 def history_load(
-    files: DataFrame, source: str, blacklist: DataFrame | None = None, day: date | None = None
+    files: DataFrame,
+    source: str,
+    blacklist: DataFrame | None = None,
+    day: date | None = None,
+    kind: str | None = None,
 ) -> DataFrame:
-    """Clean, unique bars of all archives; on request only those of one day.
+    """Clean, unique bars of all archives, or of one ``kind``; on request only those of one day.
 
-    Of repeated bars the last in archive, entry and line order is kept.
+    Of repeated bars the one of the latest archive, by the day in its name, is kept; then
+    entry and line order decide.
     """
-    bars = clean.clean_history(archive_scan(files), source, blacklist)
+    bars = clean.clean_history(archive_scan(select_archives(files, kind)), source, blacklist)
     if day is not None:
         bars = clean.day_slice(bars, day)
-    return clean.dedup_bars(bars, *[F.col(c) for c in ARCHIVE_ORDER], keep=BAR_COLS)
-
-
-def archive_day(path: Column) -> Column:
-    return F.try_to_date(F.regexp_extract(path, ARCHIVE_DAY, 1), "ddMMyyyy")
+    return clean.dedup_bars(bars, *archive_order(), keep=BAR_COLS)
 
 
 def backfill(
-    files: DataFrame, days: DataFrame, source: str, blacklist: DataFrame | None = None
+    files: DataFrame,
+    days: list[date],
+    source: str,
+    blacklist: DataFrame | None = None,
+    kind: str | None = None,
 ) -> DataFrame:
     """For each wanted day the bars of that day from that day's own archive.
 
-    All archives are read in one job. Archives of other days are left out by
-    their name, before their content is opened.
+    All archives are read in one job. Archives of other days or another kind are left
+    out by their name; as the days are literals, files are not even opened for it.
     """
-    wanted = days.select("trading_date").distinct()
-    dated = files.withColumn("_day", archive_day(F.col("path")))
-    named = dated.join(wanted, dated["_day"] == wanted["trading_date"], "left_semi").drop("_day")
+    named = select_archives(files, kind, sorted(set(days)))
     bars = clean.clean_history(archive_scan(named), source, blacklist)
     own = bars.filter(F.col("trading_date") == archive_day(F.col("archive")))
-    return clean.dedup_bars(own, *[F.col(c) for c in ARCHIVE_ORDER], keep=BAR_COLS)
+    return clean.dedup_bars(own, *archive_order(), keep=BAR_COLS)
 
 
 def unfilled_days(days: DataFrame, filled: DataFrame) -> DataFrame:
@@ -62,13 +62,14 @@ def run_history(
     state: RunState | None = None,
     blacklist: DataFrame | None = None,
     day: date | None = None,
+    kind: str | None = None,
 ) -> DataFrame:
     """Load the history into ``table``, or one day of it, and return the bars.
 
     With ``state`` given the end-of-day snapshot is updated as well.
     """
     spark = files.sparkSession
-    bars = landed(history_load(files, source, blacklist, day), "history")
+    bars = landed(history_load(files, source, blacklist, day, kind), "history")
     if bars.isEmpty():
         raise ValueError("no bar is left after cleaning; the table was not changed")
     if day is None:

@@ -28,10 +28,7 @@ UNIT_THRESHOLD = 1000.0
 DEFAULT_BOARD_MULTIPLIER = 1.0
 DEFAULT_HISTORY_MULTIPLIER = 1000.0
 EOD_HOUR, EOD_MINUTE = 16, 30
-BOARD_BATCH = 500
-RELOAD_BATCH = 10
-FAILURE_STREAK = 5
-HISTORY_ROW_LIMIT = 15000
+MOST_ABSENT_SHARE = 0.5
 REPORT_SHOWN = 15
 REPORT_NONE = "Không có"
 REPORT_MORE = " (+{} mã khác)"

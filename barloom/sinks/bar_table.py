@@ -12,17 +12,49 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom.operators import clean, tables
-from barloom.operators.keyed import broadcast_if_small, drop_keys, landed
+from barloom.operators.keyed import drop_keys, landed
 from barloom.schema import ADJ_SCHEMA, KEY, RAW_SCHEMA, ddl
 
 LAYOUT = ["year", "month", "bucket"]
+_LAYOUT_SCHEMA = "adjusted boolean, buckets int"
+
+
+def stored_buckets(spark: SparkSession, path: str, adjusted: bool, buckets: int | None = None) -> int | None:
+    """Bucket count of the table at ``path``; None before its first write.
+
+    It is kept beside the table, so that every process reads and writes the same
+    layout. A caller who asks for another one is refused.
+    """
+    try:
+        stored = spark.read.schema(_LAYOUT_SCHEMA).json(f"{path}.layout").first()
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    if stored["adjusted"] != adjusted or buckets not in (None, stored["buckets"]):
+        raise ValueError(f"{path} is stored as {stored.asDict()}, asked for {adjusted=}, {buckets=}")
+    return stored["buckets"]
+
+
+def settle_buckets(spark: SparkSession, path: str, adjusted: bool, buckets: int | None) -> int:
+    """The same before a write; a new table needs a bucket count, which is stored."""
+    stored = stored_buckets(spark, path, adjusted, buckets)
+    if stored is not None:
+        return stored
+    if buckets is None:
+        raise ValueError(f"{path} is new: give its bucket count")
+    row = spark.createDataFrame([(adjusted, buckets)], _LAYOUT_SCHEMA)
+    row.coalesce(1).write.mode("overwrite").json(f"{path}.layout")
+    return buckets
 
 
 @dataclass(frozen=True)
 class BarTable:
+    """A table at ``path``; ``buckets`` has to be given once, before the first write."""
+
     path: str
     adjusted: bool = False
-    buckets: int = 1
+    buckets: int | None = None
 
     @property
     def schema(self):
@@ -41,7 +73,9 @@ class BarTable:
             rows = rows.filter(_month_no() <= _month_of(end))
             rows = rows.filter(F.col("trading_date") <= F.lit(end).cast("date"))
         if symbols is not None:
-            rows = rows.filter(F.col("bucket").isin([self._bucket(F.lit(s)) for s in symbols]))
+            buckets = stored_buckets(spark, self.path, self.adjusted, self.buckets)
+            if buckets is not None:
+                rows = rows.filter(F.col("bucket").isin([_symbol_bucket(F.lit(s), buckets) for s in symbols]))
             rows = rows.filter(F.col("symbol").isin(list(symbols)))
         return rows.select(*self.schema.names)
 
@@ -70,11 +104,14 @@ class BarTable:
         current = self._rows(bars.sparkSession).filter(_month_no().isin(months))
         lost = current.filter(F.col("trading_date").isin(days))
         new = tables.replace_dates(current.select(*self.schema.names), staged, days)
-        self._rewrite(new, lost)
+        self._rewrite(new, current, lost, staged)
 
-    def replace_symbols(self, bars: DataFrame) -> None:
-        """Replace the symbols in ``bars`` from their first common date on."""
-        staged = self._stage(bars)
+    def replace_symbols(self, bars: DataFrame, staged: bool = False) -> None:
+        """Replace the symbols in ``bars`` from their first common date on.
+
+        ``staged`` says that the bars are encoded and written out already.
+        """
+        staged = bars if staged else self._stage(bars)
         start = staged.agg(F.min("trading_date")).first()[0]
         if start is None:
             return
@@ -82,10 +119,10 @@ class BarTable:
         current = self._rows(bars.sparkSession).filter(
             F.col("bucket").isin(buckets) & (_month_no() >= _month_of(start))
         )
-        symbols = broadcast_if_small(staged.select("symbol").distinct())
+        symbols = landed(staged.select("symbol").distinct(), "symbols")
         lost = current.filter(F.col("trading_date") >= F.lit(start)).join(symbols, "symbol", "left_semi")
         new = tables.replace_symbols(current.select(*self.schema.names), staged)
-        self._rewrite(new, lost)
+        self._rewrite(new, current, lost, staged)
 
     def copy_raw(self, raw: "BarTable", days: list[date], excluded: DataFrame) -> None:
         """Replace the days by the raw table's bars, except for the excluded symbols."""
@@ -94,14 +131,18 @@ class BarTable:
         spark = excluded.sparkSession
         months = sorted({d.year * 100 + d.month for d in days})
         current = self._rows(spark).filter(_month_no().isin(months))
-        keys = broadcast_if_small(excluded.select("symbol").distinct())
+        keys = landed(excluded.select("symbol").distinct(), "excluded")
         lost = current.filter(F.col("trading_date").isin(days)).join(keys, "symbol", "left_anti")
         source = raw._rows(spark).filter(_month_no().isin(months)).select(*raw.schema.names)
-        new = tables.copy_raw_to_adjusted(source, current.select(*self.schema.names), days, excluded)
-        self._rewrite(new, lost)
+        new = tables.copy_raw_to_adjusted(source, current.select(*self.schema.names), days, keys)
+        copied = source.filter(F.col("trading_date").isin(days)).join(keys, "symbol", "left_anti")
+        self._rewrite(new, current, lost, copied)
+
+    def upsert(self, bars: DataFrame, greatest: str | None = None) -> None:
+        """Insert or update by (symbol, trading_date); nothing is deleted.
 
-    def upsert(self, bars: DataFrame) -> None:
-        """Insert or update by (symbol, trading_date); nothing is deleted."""
+        With ``greatest`` the stored bar stays if it has more of that column.
+        """
         staged = self._stage(bars)
         touched = landed(self._with_layout(staged).select(*LAYOUT).distinct(), "touched")
         # As literals the folders are pruned before the scan, the join trims the rest.
@@ -110,8 +151,8 @@ class BarTable:
         current = self._rows(bars.sparkSession).filter(
             _month_no().isin(months) & F.col("bucket").isin(buckets)
         )
-        current = current.join(broadcast_if_small(touched), LAYOUT, "left_semi")
-        new = tables.upsert(current.select(*self.schema.names), staged)
+        current = current.join(touched, LAYOUT, "left_semi")
+        new = tables.upsert(current.select(*self.schema.names), staged, greatest=greatest)
         self._write(new, "dynamic")
 
     def _rows(self, spark):
@@ -120,33 +161,34 @@ class BarTable:
         except AnalysisException as problem:
             if problem.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self._with_layout(spark.createDataFrame([], self.schema))
+            return spark.createDataFrame([], self.schema).withColumns({name: F.lit(0) for name in LAYOUT})
 
     def _stage(self, bars):
         """Incoming bars, written once; all later passes read the same rows."""
         return landed(self.encode(bars), "staged")
 
-    def _bucket(self, symbol):
-        return _symbol_bucket(symbol, self.buckets)
-
     def _with_layout(self, bars):
+        buckets = settle_buckets(bars.sparkSession, self.path, self.adjusted, self.buckets)
         return bars.withColumns(
             {
                 "year": F.year("trading_date"),
                 "month": F.month("trading_date"),
-                "bucket": self._bucket(F.col("symbol")),
+                "bucket": _symbol_bucket(F.col("symbol"), buckets),
             }
         )
 
-    def _rewrite(self, new, lost):
+    def _rewrite(self, new, current, lost, incoming):
         """Write the new content of the touched folders.
 
-        A folder that only loses rows gets no file from a dynamic overwrite and
-        would keep its old ones, so it is overwritten by an empty file. There are
-        at most months times buckets such folders.
+        A folder that loses all rows and gets none is not written by a dynamic overwrite
+        and would keep its old files, so it is overwritten by an empty file. Counts of
+        rows tell which ones these are, without working out the new content twice.
+        There are at most months times buckets of them.
         """
-        kept = self._with_layout(new).select(*LAYOUT).distinct()
-        emptied = lost.select(*LAYOUT).distinct().join(kept, LAYOUT, "left_anti").collect()
+        before = current.groupBy(*LAYOUT).agg(F.count("*").alias("_rows"))
+        gone = lost.groupBy(*LAYOUT).agg(F.count("*").alias("_rows"))
+        filled = self._with_layout(incoming).select(*LAYOUT).distinct()
+        emptied = gone.join(before, [*LAYOUT, "_rows"]).join(filled, LAYOUT, "left_anti").collect()
         self._write(new, "dynamic")
         for row in emptied:
             folder = "/".join(f"{name}={row[name]}" for name in LAYOUT)
@@ -163,15 +205,17 @@ class BarTable:
         writer.parquet(self.path)
 
 
-def sink_symbol_history(bars: DataFrame, path: str, buckets: int = 16) -> None:
+def sink_symbol_history(bars: DataFrame, path: str, buckets: int | None = None, staged: bool = False) -> None:
     """Store whole adjusted histories; a symbol in ``bars`` replaces its stored one.
 
     Histories lie in symbol buckets, not in a folder per symbol, so the number of
     folders does not grow with the market. Only the buckets of ``bars`` are rewritten.
+    ``buckets`` has to be given for a new table; ``staged`` says that the bars are
+    encoded and written out already.
     """
     spark = bars.sparkSession
-    staged = landed(clean.encode_adjusted(bars), "staged")
-    bucket = _symbol_bucket(F.col("symbol"), buckets)
+    staged = bars if staged else landed(clean.encode_adjusted(bars), "staged")
+    bucket = _symbol_bucket(F.col("symbol"), settle_buckets(spark, path, True, buckets))
     touched = [r[0] for r in staged.select(bucket).distinct().collect()]
     if not touched:
         return
@@ -188,11 +232,10 @@ def sink_symbol_history(bars: DataFrame, path: str, buckets: int = 16) -> None:
     )
 
 
-def read_symbol_history(
-    spark: SparkSession, path: str, symbols: list[str] | None = None, buckets: int = 16
-) -> DataFrame:
+def read_symbol_history(spark: SparkSession, path: str, symbols: list[str] | None = None) -> DataFrame:
     rows = _stored_histories(spark, path)
-    if symbols is not None:
+    buckets = stored_buckets(spark, path, True) if symbols is not None else None
+    if buckets is not None:
         own = [_symbol_bucket(F.lit(s), buckets) for s in symbols]
         rows = rows.filter(F.col("bucket").isin(own) & F.col("symbol").isin(list(symbols)))
     return rows.drop("bucket")

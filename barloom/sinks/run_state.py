@@ -11,6 +11,7 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from barloom.operators.keyed import last_by
 from barloom.schema import (
     PENDING_SCHEMA,
     RUN_STATE_SCHEMA,
@@ -64,7 +65,10 @@ class RunState:
 
 @dataclass(frozen=True)
 class KeyValueState:
-    """Key to JSON text, a folder per key, so that a put reads nothing."""
+    """Key to JSON text, a folder per key, so that a put reads nothing.
+
+    Of entries that repeat a key in one put, the one with the greatest value stays.
+    """
 
     path: str
 
@@ -76,7 +80,7 @@ class KeyValueState:
 
     def put(self, entries: DataFrame) -> None:
         (
-            entries.select("key", "value")
+            last_by(entries.select("key", "value"), ["key"])
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("key")

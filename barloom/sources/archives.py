@@ -1,12 +1,14 @@
 """Zipped history: archives of headerless CSV files, one per exchange."""
 
 import io
+import struct
 import zipfile
 import zlib
 from collections.abc import Iterator
+from datetime import date
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barloom.functions import text
 from barloom.schema import HISTORY_LINE_DDL, ZIP_SIGNATURE
@@ -16,14 +18,49 @@ ship_with_tasks(__name__)
 
 ARCHIVE_ORDER = ["archive", "entry_no", "line_no"]
 
+# Archives are named after the last day they hold, as ...Upto31012024.zip, and
+# those with prices as traded have Raw. before it.
+_DAY, _RAW = r"Upto(\d{8})\.zip$", r"Raw\.Upto\d{8}\.zip$"
+KINDS = ("raw", "adjusted")
+
 _LINES = "archive string, entry string, entry_no int, line_no bigint, line string, error string"
+_ENTRIES = "archive string, entry string, entry_no int, method int, crc bigint, data binary, error string"
 _LINES_PER_BATCH = 20_000
+_LINES_PER_TASK = 200_000
 _BLOCK = 1 << 20
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Files below ``path`` with their content, as (path, content)."""
-    return spark.read.format("binaryFile").load(path).select("path", "content")
+    """Files below ``path`` with their content, as (path, content).
+
+    The path comes from the file's metadata, so a filter on it is applied when files are
+    listed, and the others are never opened.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(F.col("_metadata.file_path").alias("path"), "content")
+
+
+def archive_day(path: Column) -> Column:
+    """The day an archive is named after; null if its name holds none."""
+    return F.try_to_date(F.regexp_extract(path, _DAY, 1), "ddMMyyyy")
+
+
+def archive_order() -> list[Column]:
+    """Later archives by their day, not by their name as text; then position."""
+    return [archive_day(F.col("archive")), *map(F.col, ARCHIVE_ORDER)]
+
+
+def select_archives(files: DataFrame, kind: str | None = None, days: list[date] | None = None) -> DataFrame:
+    """Files of one kind of prices, ``raw`` or ``adjusted``, and of some days; by name alone."""
+    if kind not in (None, *KINDS):
+        raise ValueError(f"kind {kind!r} is none of {KINDS}")
+    if kind is not None:
+        raw = F.col("path").rlike(_RAW)
+        files = files.filter(raw if kind == "raw" else ~raw)
+    if days is not None:
+        names = [d.strftime("%d%m%Y") for d in days]
+        files = files.filter(F.regexp_extract("path", _DAY, 1).isin(names))
+    return files
 
 
 def admitted(files: DataFrame) -> DataFrame:
@@ -40,13 +77,14 @@ def _has_signature():
 
 
 def archive_lines(files: DataFrame) -> DataFrame:
-    """Lines of all CSV entries, in parallel over archives.
+    """Lines of all CSV entries, in parallel over entries.
 
-    The lines of an entry leave Python in small batches, so memory is bounded by
-    the compressed archive. A damaged archive or entry gives one row with
-    ``error`` set and none of its lines.
+    A task first cuts an archive into its entries, still compressed, which are dealt out;
+    then each is inflated on its own and its lines leave Python in small batches. A
+    damaged archive or entry gives one row with ``error`` set and none of its lines.
     """
-    return admitted(files).select("path", "content").mapInArrow(_expand, _LINES)
+    entries = admitted(files).select("path", "content").mapInArrow(_entries, _ENTRIES)
+    return entries.repartition("archive", "entry_no").mapInArrow(_inflate, _LINES)
 
 
 def archive_problems(files: DataFrame) -> DataFrame:
@@ -65,51 +103,133 @@ def parse_lines(lines: DataFrame, column: str = "line") -> DataFrame:
 def archive_scan(files: DataFrame) -> DataFrame:
     """Raw history lines of all archives, with exchange and position of each."""
     lines = archive_lines(files).filter(F.col("error").isNull()).drop("error")
+    # One entry may hold most of the history: its lines are parsed in many tasks.
+    block = F.floor(F.col("line_no") / _LINES_PER_TASK)
+    lines = lines.repartition("archive", "entry_no", block)
     parsed = parse_lines(lines)
     return parsed.withColumn("exchange", text.normalize_exchange(F.col("entry"))).drop("entry")
 
 
-def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column("path"), batch.column("content")):
-            yield from _expand_archive(path.as_py(), content.as_buffer())
+            yield from _entries_of(path.as_py(), content.as_buffer())
 
 
-def _expand_archive(archive, content):
+def _entries_of(archive, content):
     try:
         opened = zipfile.ZipFile(io.BufferedReader(pa.BufferReader(content)))
     except (zipfile.BadZipFile, ValueError, OSError) as problem:
-        yield _problem(archive, None, problem)
+        yield _entry(archive, None, -1, 0, 0, None, _text(problem))
         return
     with opened:
-        names = [n for n in opened.namelist() if n.endswith(".csv")]
-        for number, name in enumerate(names):
-            try:
-                _verify(opened, name)
-            except (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError) as problem:
-                yield _problem(archive, name, problem)
+        infos = [i for i in opened.infolist() if i.filename.endswith(".csv")]
+        for number, info in enumerate(infos):
+            # The local header says where the data begins; its two lengths may differ from
+            # those in the directory at the end.
+            head = content[info.header_offset : info.header_offset + 30].to_pybytes()
+            error = None
+            if len(head) < 30 or head[: len(ZIP_SIGNATURE)] != ZIP_SIGNATURE:
+                error = "BadZipFile: bad header of an entry"
+            elif info.flag_bits & 1:
+                error = "RuntimeError: entry is encrypted"
+            elif info.compress_type not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
+                error = f"NotImplementedError: compression {info.compress_type}"
+            if error:
+                yield _entry(archive, info.filename, number, 0, 0, None, error)
                 continue
-            yield from _entry_batches(opened, archive, name, number)
-
-
-def _verify(opened, name):
-    """Read an entry to its end, so that a bad checksum shows before any line is used."""
-    with opened.open(name) as entry:
-        while entry.read(_BLOCK):
-            pass
-
-
-def _entry_batches(opened, archive, name, number):
-    with opened.open(name) as entry:
-        stream = io.TextIOWrapper(entry, encoding="utf-8", errors="replace", newline="\n")
-        first, lines = 0, []
-        for line in stream:
-            lines.append(line.rstrip("\r\n"))
-            if len(lines) == _LINES_PER_BATCH:
-                yield _batch(archive, name, number, first, lines)
-                first, lines = first + len(lines), []
-        if lines:
+            start = info.header_offset + 30 + sum(struct.unpack("<HH", head[26:30]))
+            data = content[start : start + info.compress_size].to_pybytes()
+            yield _entry(archive, info.filename, number, info.compress_type, info.CRC, data, None)
+
+
+def _entry(archive, name, number, method, crc, data, error):
+    row = {"archive": archive, "entry": name, "entry_no": number, "method": method, "crc": crc, "data": data, "error": error}
+    return pa.RecordBatch.from_pylist([row], _ENTRY_SCHEMA)
+
+
+_ENTRY_SCHEMA = pa.schema(
+    [
+        ("archive", pa.string()),
+        ("entry", pa.string()),
+        ("entry_no", pa.int32()),
+        ("method", pa.int32()),
+        ("crc", pa.int64()),
+        ("data", pa.binary()),
+        ("error", pa.string()),
+    ]
+)
+
+
+class _Inflated(io.RawIOBase):
+    """The bytes of an entry, inflated block by block."""
+
+    def __init__(self, data, method):
+        self.blocks, self.rest = _blocks(data, method), b""
+
+    def readable(self):
+        return True
+
+    def readinto(self, into):
+        while not self.rest:
+            self.rest = next(self.blocks, None)
+            if self.rest is None:
+                self.rest = b""
+                return 0
+        size = min(len(into), len(self.rest))
+        into[:size], self.rest = self.rest[:size], self.rest[size:]
+        return size
+
+
+def _blocks(data, method):
+    if method == zipfile.ZIP_STORED:
+        yield data
+        return
+    inflater, given = zlib.decompressobj(-15), data
+    while given and not inflater.eof:
+        yield inflater.decompress(given, _BLOCK)
+        given = inflater.unconsumed_tail
+    if not inflater.eof:
+        raise EOFError("entry ends early")
+
+
+def _inflate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in range(len(batch)):
+            archive, name, number, method, crc, data, error = (c[row].as_py() for c in batch.columns)
+            if error is None:
+                error = _damage(data, method, crc)
+            if error:
+                yield _batch(archive, name, -1, 0, [None], error)
+            else:
+                yield from _entry_lines(archive, name, number, data, method)
+
+
+def _damage(data, method, crc):
+    """Inflate an entry to its end, so that a bad checksum shows before any line is used."""
+    found = 0
+    try:
+        for block in _blocks(data, method):
+            found = zlib.crc32(block, found)
+    except (zlib.error, EOFError) as problem:
+        return _text(problem)
+    return None if found == crc else "BadZipFile: bad checksum"
+
+
+def _entry_lines(archive, name, number, data, method):
+    stream = io.TextIOWrapper(io.BufferedReader(_Inflated(data, method)), encoding="utf-8", errors="replace", newline="\n")
+    first, lines = 0, []
+    for line in stream:
+        lines.append(line.rstrip("\r\n"))
+        if len(lines) == _LINES_PER_BATCH:
             yield _batch(archive, name, number, first, lines)
+            first, lines = first + len(lines), []
+    if lines:
+        yield _batch(archive, name, number, first, lines)
+
+
+def _text(problem):
+    return f"{type(problem).__name__}: {problem}"
 
 
 def _batch(archive, name, number, first, lines, error=None):
@@ -125,7 +245,3 @@ def _batch(archive, name, number, first, lines, error=None):
         ],
         names=["archive", "entry", "entry_no", "line_no", "line", "error"],
     )
-
-
-def _problem(archive, name, problem):
-    return _batch(archive, name, -1, 0, [None], f"{type(problem).__name__}: {problem}")

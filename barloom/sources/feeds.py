@@ -15,7 +15,7 @@ from barloom.schema import (
 def csv_scan(spark: SparkSession, path: str) -> DataFrame:
     """Unzipped history CSVs; the file name tells the exchange."""
     rows = spark.read.schema(HISTORY_LINE_SCHEMA).option("mode", "PERMISSIVE").csv(path)
-    name = F.col("_metadata.file_path")
+    name = F.col("_metadata.file_name")
     return rows.select("*", text.normalize_exchange(name).alias("exchange"))
 
 

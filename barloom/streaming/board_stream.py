@@ -24,12 +24,14 @@ def refresh_table(
     """Apply all files landed so far, then stop. Returns the streaming query.
 
     A board file may hold some symbols only, so its bars are upserted rather than
-    put in place of the whole day. An upsert can be repeated, so a batch that is
-    replayed after a failure changes nothing.
+    put in place of the whole day. Volume accumulates over a day, so of two bars the one with
+    the greater volume is the later one; files may land in any order, and a batch that
+    is replayed after a failure changes nothing.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(board_bars(batch, source, multiplier).select(*BAR_COLS))
+        bars = board_bars(batch, source, multiplier).select(*BAR_COLS)
+        table.upsert(bars, greatest="total_volume")
 
     return (
         stream.writeStream.foreachBatch(apply)

@@ -355,6 +355,26 @@ def _(t):
     return adjust.history_topk(t.downloads, 5, F.col("seq"))
 
 
+@query(
+    "history_topk_large",
+    ["board"],
+    """SELECT upper(exchange) AS symbol, cast(make_timestamp(time * 1000) AS date) AS time, count(*) AS n
+FROM (SELECT * FROM board QUALIFY row_number() OVER (
+  PARTITION BY upper(exchange) ORDER BY cast(make_timestamp(time * 1000) AS date) DESC, time DESC, symbol DESC) <= 700)
+GROUP BY 1, 2""",
+)
+def _(t):
+    """A large limit over few, hot keys: the rows that stay, by key and day."""
+    rows = t.board.select(
+        F.upper("exchange").alias("symbol"),
+        F.to_date(F.timestamp_millis("time")).alias("time"),
+        F.col("time").alias("moment"),
+        F.col("symbol").alias("seller"),
+    )
+    kept = adjust.history_topk(rows, 700, F.col("moment"), F.col("seller"))
+    return kept.groupBy("symbol", "time").agg(F.count("*").alias("n"))
+
+
 @query(
     "source_fallback",
     ["downloads"],

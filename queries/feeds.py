@@ -91,6 +91,12 @@ class Feeds:
         ranged = ranged.withColumn("exchange", F.coalesce("exchange", F.lit("other")))
         return ranged.mapInArrow(_pack, "path string, content binary")
 
+    def zipped(self, lines: DataFrame, path: str) -> DataFrame:
+        """Some lines as archives of one name, an archive per partition."""
+        lines = lines.withColumn("exchange", F.coalesce("exchange", F.lit("other")))
+        ranged = lines.repartitionByRange("seq").sortWithinPartitions("seq")
+        return ranged.mapInArrow(_pack, "path string, content binary").withColumn("path", F.lit(path))
+
     def day_archives(self) -> DataFrame:
         """Archives of single days, named after the day, with all lines of the day."""
         rows = self.lines.withColumn("day", F.date_format(_event_day(), "ddMMyyyy"))

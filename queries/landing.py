@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import prices, text
 from barloom.operators import clean, symbols, tables
+from barloom.operators.keyed import landed
 from barloom.plans import history
 from barloom.schema import BOARD_SCHEMA, EVENT_SCHEMA, KEY, PRICE_COLS
 from barloom.sinks.bar_table import BarTable, read_symbol_history, sink_symbol_history
@@ -78,7 +79,19 @@ def _(t):
     rows.drop("seq", "exchange").write.partitionBy("folder").option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False
     ).csv(path)
-    return _finite(feeds.csv_scan(t.spark, path).drop("folder"))
+    return _finite(feeds.csv_scan(t.spark, _named_files(t.spark, path)))
+
+
+def _named_files(spark, path):
+    """Files named after their exchange, in a folder that is named after another one."""
+    named = f"{path}/hose_landing"
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    store = place(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(place(named))
+    for number, found in enumerate(store.globStatus(place(f"{path}/folder=*/part-*"))):
+        exchange = found.getPath().getParent().getName().removeprefix("folder=")
+        store.rename(found.getPath(), place(f"{named}/{exchange}-{number}.csv"))
+    return named
 
 
 @query("board_scan", ["board"], "SELECT * FROM board")
@@ -117,17 +130,14 @@ def _(t):
 
 
 @query(
-    "board_batches",
+    "board_coverage",
     ["active", "board"],
-    """SELECT batch, count(*) AS requested, cast(coalesce(sum(arrived), 0) AS bigint) AS arrived,
-       coalesce(sum(arrived), 0) > 0 AS complete
-FROM (SELECT s.symbol, (row_number() OVER (ORDER BY s.symbol) - 1) // 500 AS batch,
-             (SELECT count(*) FROM board b WHERE upper(b.symbol) = s.symbol) AS arrived
-      FROM (SELECT DISTINCT symbol FROM active) s) GROUP BY batch""",
+    """SELECT DISTINCT s.symbol, s.symbol IN (SELECT upper(symbol) FROM board WHERE symbol IS NOT NULL) AS arrived
+FROM active s""",
 )
 def _(t):
     board = t.board.select(text.normalize_symbol(F.col("symbol")).alias("symbol"))
-    return symbols.board_batches(symbols.active_symbols(t.listing), board)
+    return symbols.board_coverage(symbols.active_symbols(t.listing), board)
 
 
 @query("event_scan", ["corp_events"], "SELECT * FROM corp_events")
@@ -212,7 +222,7 @@ def _(t):
 )
 def _(t):
     path = t.scratch("reloaded")
-    sink_symbol_history(t.bars, path)
+    sink_symbol_history(t.bars, path, buckets=16)
     return read_symbol_history(t.spark, path)
 
 
@@ -363,14 +373,15 @@ _STORED = f"""SELECT symbol, trading_date, {_raw(PRICE_COLS)}, total_volume, exc
     "stored_replace_date",
     ["bars", "board_bars"],
     f"""{_STORED} FROM (SELECT * FROM bars WHERE trading_date <> DATE '{TODAY}'
+  AND (symbol, trading_date) NOT IN (SELECT (symbol, trading_date) FROM board_bars)
 UNION ALL SELECT symbol, trading_date, open_price, high_price, low_price, close_price,
-  total_volume, exchange, source FROM board_bars WHERE trading_date = DATE '{TODAY}')""",
+  total_volume, exchange, source FROM board_bars)""",
 )
 def _(t):
-    """The same replacement in a stored table, done twice."""
+    """The same replacement in a stored table, done twice, by a board that holds older days too."""
     table = BarTable(t.scratch("raw"), buckets=2)
     table.truncate_load(t.bars)
-    fresh = clean.day_slice(board_bars(t), TODAY)
+    fresh = landed(board_bars(t), "fresh")
     table.replace_date(fresh, TODAY)
     table.replace_date(fresh, TODAY)
     return table.read(t.spark)
@@ -398,7 +409,7 @@ def _(t):
     f"{_STORED} FROM (SELECT * FROM bars UNION ALL SELECT * FROM ticks)",
 )
 def _(t):
-    table = BarTable(t.scratch("raw"))
+    table = BarTable(t.scratch("raw"), buckets=2)
     table.truncate_load(t.bars)
     table.append(t.ticks)
     return table.read(t.spark)
@@ -410,11 +421,13 @@ def _(t):
     f"{_STORED} FROM board_bars",
 )
 def _(t):
-    """Board files streamed into a raw table until all have been applied."""
-    landed, table = t.scratch("board"), BarTable(t.scratch("raw"))
-    t.board.write.json(landed)
-    running = refresh_table(board_stream(t.spark, landed), table, "vci", 1.0, t.scratch("offsets"))
-    running.awaitTermination()
+    """Board files streamed into a raw table, a batch with the later half of the rows first."""
+    landed, table, offsets = t.scratch("board"), BarTable(t.scratch("raw"), buckets=2), t.scratch("offsets")
+    later = F.col("volume_accumulated") % 2 == 0
+    later = t.board.filter(later), t.board.filter(F.coalesce(~later, F.lit(True)))
+    for half in later:
+        half.write.mode("append").json(landed)
+        refresh_table(board_stream(t.spark, landed), table, "vci", 1.0, offsets).awaitTermination()
     return table.read(t.spark)
 
 
@@ -439,23 +452,85 @@ WHERE trading_date BETWEEN DATE '2024-01-02' AND DATE '2024-01-09' AND dayofweek
 QUALIFY row_number() OVER (PARTITION BY symbol, trading_date ORDER BY seq DESC) = 1""",
 )
 def _(t):
-    days = t.spark.createDataFrame([(d,) for d in _BACKFILL_DAYS], "trading_date date")
-    return history.backfill(t.day_archives(), days, "archive")
+    return history.backfill(t.day_archives(), _BACKFILL_DAYS, "archive")
+
+
+_TABLE = """cleaned QUALIFY row_number() OVER (PARTITION BY symbol, trading_date ORDER BY seq DESC) = 1"""
 
 
 @query(
     "stored_history",
     ["cleaned"],
-    """SELECT symbol, exchange, trading_date,
-       """
-    + ", ".join(f"cast(round({c}) AS bigint) AS {c}" for c in PRICE_COLS)
-    + """, round((open_price + high_price + low_price + close_price) / 4.0, 1) AS average_price, total_volume
+    f"""SELECT 'snapshot' AS part, symbol, exchange, trading_date, {_raw(PRICE_COLS)},
+  round((open_price + high_price + low_price + close_price) / 4.0, 1) AS average_price, total_volume,
+  NULL::varchar AS source, NULL::varchar AS last_successful_run, NULL::boolean AS is_eod, NULL::bigint AS total_tickers
 FROM cleaned WHERE symbol <> ''
-QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY trading_date DESC, seq DESC) = 1""",
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY trading_date DESC, seq DESC) = 1
+UNION ALL SELECT 'table', symbol, exchange, trading_date, {_raw(PRICE_COLS)}, NULL, total_volume, source, NULL, NULL, NULL
+FROM (SELECT * FROM {_TABLE})
+UNION ALL SELECT 'run', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+  strftime(max(trading_date), '%Y-%m-%d'), true, count(DISTINCT symbol) FILTER (symbol <> '') FROM cleaned""",
 )
 def _(t):
-    """The history run end to end: table, snapshot and run state."""
+    """The history run end to end: table, snapshot and run row."""
     state = RunState(t.scratch("state"))
     table = BarTable(t.scratch("raw"), buckets=2)
     history.run_history(t.archives, table, "archive", AS_OF, state)
-    return state.snapshot(t.spark)
+    return clean.union_diagonal(
+        state.snapshot(t.spark).withColumn("part", F.lit("snapshot")),
+        table.read(t.spark).withColumn("part", F.lit("table")),
+        state.run(t.spark).withColumn("part", F.lit("run")),
+    )
+
+
+@query(
+    "stored_truncate",
+    ["ticks", "bars"],
+    f"{_STORED} FROM bars",
+)
+def _(t):
+    """A table over many months that becomes one of a single month: older folders go."""
+    table = BarTable(t.scratch("raw"), buckets=2)
+    table.truncate_load(t.ticks)
+    table.truncate_load(t.bars)
+    return table.read(t.spark)
+
+
+@query(
+    "stored_upsert",
+    ["bars", "board_bars"],
+    f""", incoming AS ({_INCOMING}), table_rows AS ({_UPSERT})
+{_STORED} FROM table_rows""",
+)
+def _(t):
+    """Upserts by two handles of one table; the second takes the bucket count from the store."""
+    path = t.scratch("raw")
+    BarTable(path, buckets=3).truncate_load(t.bars)
+    fresh = landed(board_bars(t), "fresh")
+    for _ in range(2):
+        BarTable(path).upsert(fresh)
+    return BarTable(path).read(t.spark)
+
+
+# Archives whose names sort against their days: the last lines come in Upto01022024, the others in
+# Upto31012024 and, with prices as traded, in Raw.Upto02022024.
+_LATE, _EARLY, _OTHER = "h/Upto01022024.zip", "h/Upto31012024.zip", "h/Raw.Upto02022024.zip"
+
+
+@query(
+    "history_load_by_day",
+    ["cleaned"],
+    """SELECT * EXCLUDE (seq) REPLACE (CASE WHEN seq % 2 = 0 THEN total_volume * 2 ELSE total_volume END AS total_volume)
+FROM (SELECT *, seq % 2 = 0 AS late FROM cleaned)
+QUALIFY row_number() OVER (PARTITION BY symbol, trading_date ORDER BY late DESC, seq DESC) = 1""".replace(
+        "SELECT * EXCLUDE (seq)", "SELECT * EXCLUDE (seq, late)"
+    ),
+)
+def _(t):
+    """Even lines in a later archive than odd ones, each told by its volume; raw prices left out."""
+    even = F.col("seq") % 2 == 0
+    more = (F.col("total_volume").cast("double").cast("bigint") * 2).cast("string")
+    late = t.lines.filter(even).withColumn("total_volume", more)
+    halved = t.lines.withColumns({c: F.col(c) / 2 for c in PRICE_COLS})
+    files = t.zipped(late, _LATE).unionByName(t.zipped(t.lines.filter(~even), _EARLY))
+    return history.history_load(files.unionByName(t.zipped(halved, _OTHER)), "archive", kind="adjusted")

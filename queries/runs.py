@@ -218,44 +218,26 @@ def _(t):
     return _reload_set(t)
 
 
-@query(
-    "reload_order",
-    ["event_rows", "blacklist"],
-    _RELOAD
-    + """SELECT *, row_number() OVER (ORDER BY symbol) AS run_order,
-       (row_number() OVER (ORDER BY symbol) - 1) // 10 AS batch FROM reload""",
-)
-def _(t):
-    return events.run_order(_reload_set(t))
-
-
-# An attempt per symbol; it worked unless its newest order came from the last source.
-_ATTEMPTS = """attempts AS (SELECT symbol, row_number() OVER (ORDER BY symbol) AS run_order, ok
-  FROM (SELECT symbol, max_by(source, seq) <> 'MSN' AS ok FROM downloads GROUP BY symbol)),
-outcome AS (SELECT *, CASE WHEN run_order > (SELECT min(run_order) FROM (
-    SELECT run_order, count(*) FILTER (WHERE NOT ok) OVER (ORDER BY run_order ROWS 4 PRECEDING) AS n
-    FROM attempts) WHERE n = 5) THEN 'unprocessed'
-  WHEN ok THEN 'ok' ELSE 'failed' END AS status FROM attempts)
+# A reload per symbol with a download; it works unless its newest order came from the last source.
+_RELOADED = """wanted AS (SELECT DISTINCT symbol FROM downloads),
+outcome AS (SELECT symbol, CASE WHEN max_by(source, seq) <> 'MSN' THEN 'ok' ELSE 'failed' END AS status
+  FROM downloads GROUP BY symbol)
 """
 
 
-def _attempts(t):
-    ok = (F.max_by("source", "seq") != "MSN").alias("ok")
-    return events.run_order(t.downloads.groupBy("symbol").agg(ok)).drop("batch")
+def _outcome(t):
+    worked = t.downloads.groupBy("symbol").agg(F.max_by("source", "seq").alias("source"))
+    return adjust.reload_outcome(t.downloads.select("symbol"), worked.filter(F.col("source") != "MSN"))
 
 
-@query("reload_outcome", ["downloads"], f", {_ATTEMPTS} SELECT * FROM outcome")
+@query("reload_outcome", ["downloads"], f", {_RELOADED} SELECT * FROM outcome")
 def _(t):
-    return events.reload_outcome(_attempts(t))
+    return _outcome(t)
 
 
-@query(
-    "pending_after",
-    ["downloads"],
-    f", {_ATTEMPTS} SELECT symbol FROM outcome WHERE status <> 'ok'",
-)
+@query("pending_after", ["downloads"], f", {_RELOADED} SELECT symbol FROM outcome WHERE status <> 'ok'")
 def _(t):
-    return events.pending_after(events.reload_outcome(_attempts(t)))
+    return events.pending_after(_outcome(t))
 
 
 def _sql_text(where):
@@ -268,8 +250,8 @@ def _sql_text(where):
 @query(
     "run_report",
     ["downloads", "board_bars", "state_dates", "holidays"],
-    f""", {_ATTEMPTS}
-SELECT max(trading_date) AS trading_date, count(*) AS rows_loaded, true AS is_eod,
+    f""", {_RELOADED}
+SELECT max(trading_date) AS trading_date, count(*) AS rows_loaded, 0::BIGINT AS absent_symbols, true AS is_eod,
   (SELECT string_agg(strftime(d, '%Y-%m-%d'), ', ' ORDER BY d) FROM (
      SELECT DISTINCT cast(ts AS date) AS d FROM events) WHERE dayofweek(d) BETWEEN 1 AND 5
      AND d NOT IN (SELECT holiday FROM holidays)) AS missing_dates,
@@ -280,7 +262,7 @@ FROM board_bars""",
 def _(t):
     days = t.table("events").select(F.col("ts").cast("date").alias("trading_date")).distinct()
     missing = calendar.trading_days(days, t.holidays)
-    outcome = landed(events.reload_outcome(_attempts(t)))
+    outcome = landed(_outcome(t))
     return report.run_report(board_bars(t), outcome, missing, dates.moment(AS_OF) + F.expr("INTERVAL 2 DAYS"))
 
 
@@ -310,8 +292,7 @@ _ADJUSTED = """adjusted AS (
           FROM (SELECT *, CASE lower(source) WHEN 'vci' THEN 0 WHEN 'kbs' THEN 1 ELSE 2 END AS p
                 FROM downloads WHERE time BETWEEN DATE '1996-01-01' AND DATE '2024-01-30'
                   AND symbol IN (SELECT symbol FROM wanted)
-                QUALIFY min(p) OVER (PARTITION BY symbol) = p)
-          QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY time DESC, seq DESC) <= 4)
+                QUALIFY min(p) OVER (PARTITION BY symbol) = p))
         WHERE NOT {invalid}
         QUALIFY row_number() OVER (PARTITION BY symbol, trading_date ORDER BY seq DESC) = 1) h
   LEFT JOIN listing l ON l.symbol = h.symbol),
@@ -331,7 +312,7 @@ WHERE b.symbol IN (SELECT symbol FROM adjusted GROUP BY symbol HAVING max(tradin
     f""", wanted AS (SELECT symbol FROM active), {_ADJUSTED}""",
 )
 def _(t):
-    """Every active symbol's history rebuilt, four rows each, and today's row."""
+    """Every active symbol's whole history rebuilt, and today's row."""
     return adjust.adjusted_history(
         t.downloads,
         board_bars(t).select(*BAR_COLS),
@@ -342,7 +323,6 @@ def _(t):
         adjust.source_order("VCI"),
         "1996-01-01",
         TODAY,
-        limit=4,
         order=("seq",),
     )
 
@@ -397,7 +377,8 @@ def _daily(t):
     meta = snapshot.run_metadata(before, first, dates.moment(earlier))
     state.save(meta, t.blacklist, first, version_of(earlier))
 
-    on_board = t.board.filter(dates.epoch_ms_to_market_date(F.col("time")) == F.lit(TODAY))
+    # Symbols that did not trade on the day show their last one; nothing is later than the run.
+    on_board = t.board.filter(dates.epoch_ms_to_market_date(F.col("time")) <= F.lit(TODAY))
     history = bars.filter(F.col("trading_date") < F.lit(TODAY)).select(
         "symbol",
         F.lit("VCI").alias("source"),
@@ -409,16 +390,16 @@ def _daily(t):
         t.listing, landed(on_board), history, _daily_events(t), t.holidays, landed(t.day_archives())
     )
     voters = ("S00000003", "S00000007", "S00000011", "S00000013")
-    settings = DailySettings(AS_OF, benchmarks=voters)
+    settings = DailySettings(AS_OF, benchmarks=voters, most_absent=1.0)
     reloaded = t.scratch("reloaded")
     summary = run_daily(t.spark, feeds, raw, adjusted, state, reloaded, settings)
     return raw, adjusted, state, reloaded, summary
 
 
 _DAILY_SQL = f"""
-, t0 AS (SELECT symbol, DATE '{TODAY}' AS trading_date,
+, t0 AS (SELECT symbol, trading_date,
     {", ".join(f"{c} * 1000 AS {c}" for c in [*PRICE_COLS, "average_price"])},
-    total_volume, exchange, source FROM board_bars WHERE trading_date = DATE '{TODAY}'),
+    total_volume, exchange, source FROM board_bars WHERE trading_date <= DATE '{TODAY}'),
 filled AS (SELECT * EXCLUDE (seq) FROM cleaned
   WHERE trading_date IN (DATE '2024-01-26', DATE '2024-01-29')
   QUALIFY row_number() OVER (PARTITION BY symbol, trading_date ORDER BY seq DESC) = 1),
@@ -442,21 +423,19 @@ hist AS (SELECT b.* REPLACE ({", ".join(f"{c} * h AS {c}" for c in PRICE_COLS)},
   WHERE trading_date < DATE '{TODAY}' AND b.symbol IN (SELECT symbol FROM reload)
     AND NOT {INVALID.replace("open_price", "b.open_price")}),
 rebuilt AS (SELECT * FROM hist UNION ALL
-  SELECT t.symbol, t.trading_date, t.open_price, t.high_price, t.low_price, t.close_price, t.total_volume,
+  SELECT t.symbol, DATE '{TODAY}', t.open_price, t.high_price, t.low_price, t.close_price, t.total_volume,
     coalesce(CASE WHEN l.symbol IS NOT NULL THEN {exchange_label("l.exchange")} END, 'Unknown'), t.source
-  FROM t0 t LEFT JOIN active l ON l.symbol = t.symbol WHERE t.symbol IN (SELECT symbol FROM hist)),
-attempts AS (SELECT symbol, row_number() OVER (ORDER BY symbol) AS run_order,
-    symbol IN (SELECT symbol FROM rebuilt) AS ok FROM reload),
-outcome AS (SELECT *, CASE WHEN run_order > (SELECT min(run_order) FROM (
-    SELECT run_order, count(*) FILTER (WHERE NOT ok) OVER (ORDER BY run_order ROWS 4 PRECEDING) AS n
-    FROM attempts) WHERE n = 5) THEN 'unprocessed'
-  WHEN ok THEN 'ok' ELSE 'failed' END AS status FROM attempts),
-done AS (SELECT * FROM rebuilt WHERE symbol IN (SELECT symbol FROM outcome WHERE status = 'ok')),
+  FROM (SELECT * FROM t0 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY trading_date DESC) = 1) t
+  LEFT JOIN active l ON l.symbol = t.symbol WHERE t.symbol IN (SELECT symbol FROM hist)),
+outcome AS (SELECT symbol, CASE WHEN symbol IN (SELECT symbol FROM rebuilt) THEN 'ok' ELSE 'failed' END AS status
+  FROM reload),
+done AS (SELECT * FROM rebuilt),
 raw_table AS (SELECT symbol, trading_date, {", ".join(f"cast(round({c}) AS bigint) AS {c}" for c in PRICE_COLS)},
     total_volume, exchange, source FROM (
-  SELECT * FROM bars WHERE trading_date <= DATE '{_LAST_LOADED}'
-  UNION ALL SELECT symbol, trading_date, open_price, high_price, low_price, close_price,
-    total_volume, exchange, source FROM filled
+  SELECT * FROM (SELECT * FROM bars WHERE trading_date <= DATE '{_LAST_LOADED}'
+    UNION ALL SELECT symbol, trading_date, open_price, high_price, low_price, close_price,
+      total_volume, exchange, source FROM filled)
+    WHERE (symbol, trading_date) NOT IN (SELECT (symbol, trading_date) FROM t0)
   UNION ALL SELECT symbol, trading_date, open_price, high_price, low_price, close_price,
     total_volume, exchange, source FROM t0)),
 adj_table AS (
@@ -508,7 +487,8 @@ def _(t):
     "daily_update_report",
     _DAILY_FEEDS,
     _DAILY_SQL
-    + f"""SELECT DATE '{TODAY}' AS trading_date, (SELECT count(*) FROM t0) AS rows_loaded, true AS is_eod,
+    + f"""SELECT DATE '{TODAY}' AS trading_date, (SELECT count(*) FROM t0) AS rows_loaded,
+  (SELECT count(DISTINCT symbol) FROM active WHERE symbol NOT IN (SELECT symbol FROM t0)) AS absent_symbols, true AS is_eod,
   '2024-01-26, 2024-01-29' AS missing_dates, 'Không có' AS unfilled_dates,
   {_sql_text("status = 'ok'")} AS reloaded, {_sql_text("status <> 'ok'")} AS failed,
   CASE WHEN EXISTS (SELECT 1 FROM outcome WHERE status <> 'ok') THEN '⚠️' ELSE '✅' END AS status""",

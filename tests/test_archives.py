@@ -88,17 +88,53 @@ def test_history_load_keeps_the_last_line(spark, rows, folder):
 def test_backfill_takes_each_day_from_its_own_archive(spark, rows, folder):
     files = archives.read_archives(spark, folder)
     wanted = spark.createDataFrame([(d("2024-01-02"),), (d("2024-01-03"),), (d("2024-01-05"),)], "trading_date date")
-    filled = history.backfill(files, wanted, "archive")
+    filled = history.backfill(files, [row[0] for row in wanted.collect()], "archive")
     # The first archive also holds a line of the 3rd, which is not its own day.
     assert rows(filled, "symbol", "trading_date") == [("FPT", d("2024-01-02")), ("SHS", d("2024-01-02"))]
     assert rows(history.unfilled_days(wanted, filled)) == [(d("2024-01-03"),), (d("2024-01-05"),)]
 
 
+def named(spark, **volumes):
+    line = "AAA,20240131,1,2,1,1,{}\n"
+    files = [(f"x/{name.replace('_', '.')}.zip", packed([("x.HNX.csv", line.format(v))])) for name, v in volumes.items()]
+    return spark.createDataFrame(files, "path string, content binary")
+
+
+def test_the_newer_archive_wins_by_its_day(spark, rows):
+    files = named(spark, Upto31012024=1000, Upto01022024=2000, Raw_Upto02022024=3000)
+    volume = lambda **kw: rows(history.history_load(files, "archive", **kw), "total_volume")
+    assert volume(kind="adjusted") == [(2000,)] and volume(kind="raw") == volume() == [(3000,)]
+    with pytest.raises(ValueError):
+        history.history_load(files, "archive", kind="both")
+
+
+def test_backfill_of_one_kind(spark, rows):
+    files = named(spark, Upto31012024=1000, Raw_Upto31012024=3000)
+    for kind, volume in (("raw", 3000), ("adjusted", 1000)):
+        filled = history.backfill(files, [d("2024-01-31")], "archive", kind=kind)
+        assert rows(filled, "total_volume") == [(volume,)]
+
+
+def test_only_wanted_archives_are_opened(spark, folder):
+    wanted = archives.select_archives(archives.read_archives(spark, folder), days=[d("2024-01-02"), d("2024-01-06")])
+    assert len(wanted.collect()) == 2
+    scan = wanted._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.metrics().apply("numFiles").value() == 2
+
+
+def test_a_long_entry_keeps_its_lines_in_order(spark, monkeypatch):
+    monkeypatch.setattr(archives, "_LINES_PER_TASK", 1000)
+    text = "".join(f"S{n},20240102,1,2,1,1,{n}\n" for n in range(50_000))
+    files = spark.createDataFrame([("x/Upto02012024.zip", packed([("x.HNX.csv", text)]))], "path string, content binary")
+    got = archives.archive_scan(files)
+    assert got.filter("symbol = concat('S', line_no) AND total_volume = cast(line_no AS string)").count() == 50_000
+
+
 def test_run_history(spark, rows, folder, tmp_path):
     from datetime import datetime
 
     files = archives.read_archives(spark, folder)
-    table, state = BarTable(str(tmp_path / "raw")), RunState(str(tmp_path / "state"))
+    table, state = BarTable(str(tmp_path / "raw"), buckets=1), RunState(str(tmp_path / "state"))
     history.run_history(files, table, "archive", datetime(2024, 1, 4, 9, 0), state)
     assert table.read(spark).count() == 4
     assert state.run(spark).first() == ("2024-01-03", True, 3)
@@ -115,10 +151,10 @@ def test_landed_feeds(spark, rows, tmp_path):
     blacklist.write_text("# bad ones\n\n aaa \nBBB\nBBB\n  # more\n")
     assert rows(feeds.blacklist_load(spark, str(blacklist))) == [("AAA",), ("BBB",)]
 
-    lines = tmp_path / "csv" / "board=HNX"
+    lines = tmp_path / "hose_landing" / "csv"
     lines.mkdir(parents=True)
-    (lines / "part.csv").write_text("AAA,20240102,1,x,NaN,Inf,7.0\nBBB,20240102\n")
-    got = feeds.csv_scan(spark, str(tmp_path / "csv"))
+    (lines / "HNX.csv").write_text("AAA,20240102,1,x,NaN,Inf,7.0\nBBB,20240102\n")
+    got = feeds.csv_scan(spark, str(lines))
     assert rows(got, "symbol", "high_price", "total_volume", "exchange") == [
         ("AAA", None, "7.0", "HNX"),
         ("BBB", None, None, "HNX"),

@@ -34,7 +34,7 @@ class Market:
     def listing_all(self):
         return self.listing or [("FPT", "HSX", "stock"), ("HPG", "hose", "stock"), ("VNM", "HNX", "stock")]
 
-    def run(self, as_of, board, history=()):
+    def run(self, as_of, board, history=(), **settings):
         spark = self.spark
         feeds = DailyFeeds(
             listing=spark.createDataFrame(self.listing, "symbol string, exchange string, type string"),
@@ -44,7 +44,7 @@ class Market:
             holidays=spark.createDataFrame([(d("2024-01-01"),)], "holiday date"),
             archives=spark.createDataFrame([("x/Upto31012024.zip", _zip("FPT,20240131,99,99,99,99,5\n"))], "path string, content binary"),
         )
-        settings = DailySettings(datetime.fromisoformat(as_of))
+        settings = DailySettings(datetime.fromisoformat(as_of), **settings)
         return run_daily(spark, feeds, self.raw, self.adjusted, self.state, self.reloaded, settings)
 
     def prices(self, rows, table):
@@ -115,6 +115,34 @@ def test_daily_runs(spark, rows, tmp_path):
     assert ("HPG", "2024-02-02", 44000.0) in market.prices(rows, market.adjusted)
 
 
+def test_closed_days_and_boards_that_lack_symbols(spark, rows, tmp_path):
+    market = Market(spark, tmp_path)
+    custom = spark.createDataFrame([(d("2024-01-30"),)], "holiday date")
+    assert market.run("2024-01-28T12:00:00", market.board(0, 95.0)) is None  # a Sunday
+    assert market.run("2024-01-30T14:00:00", market.board(0, 95.0), custom_holidays=custom) is None
+    with pytest.raises(ValueError, match="2 of 3 listed symbols are not on the board"):
+        market.run("2024-01-30T14:00:00", market.board(0, 95.0)[:1])
+    assert market.raw.read(spark).count() == market.state.run(spark).count() == 0
+    report = market.run("2024-01-30T14:00:00", market.board(0, 95.0)[:2], custom_holidays=custom, force=True).first()
+    assert (report.rows_loaded, report.absent_symbols) == (2, 1)
+
+
+def test_failed_reloads_and_old_board_days(spark, rows, tmp_path):
+    """Five symbols without history come before a good one; STALE last traded the day before."""
+    market = Market(spark, tmp_path)
+    names = ["AA1", "AA2", "AA3", "AA4", "AA5", "FPT", "STALE"]
+    market.listing = [(n, "HSX", "stock") for n in names]
+    market.events = [("2024-01-30", None, n, None, "DIV", None) for n in names[:6]]
+    board = [row if row[0] != "STALE" else (*row[:2], NOON - 86_400_000, *row[3:]) for row in market.board(0, 50.0)]
+    for hour in (13, 14, 15):
+        report = market.run(f"2024-01-30T{hour}:00:00", board, [("FPT", "2024-01-29", 48.0)]).first()
+        assert (report.reloaded, report.failed) == ("FPT", "AA1, AA2, AA3, AA4, AA5")
+        raw = market.prices(rows, market.raw)
+        assert raw == [*[(n, "2024-01-30", 50000.0) for n in names[:6]], ("STALE", "2024-01-29", 50000.0)]
+    assert ("FPT", "2024-01-29", 48000.0) in market.prices(rows, market.adjusted)
+    assert rows(market.state.pending(spark)) == [(n,) for n in names[:5]]
+
+
 def test_a_board_that_breaks_the_contract_stops_the_run(spark, tmp_path):
     market = Market(spark, tmp_path)
     board = market.board(0, 95.0) + [("x y", "HSX", NOON, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1)]
@@ -124,7 +152,7 @@ def test_a_board_that_breaks_the_contract_stops_the_run(spark, tmp_path):
 
 
 def test_board_stream(spark, rows, tmp_path):
-    landed, table = tmp_path / "board", BarTable(str(tmp_path / "raw"))
+    landed, table = tmp_path / "board", BarTable(str(tmp_path / "raw"), buckets=2)
     landed.mkdir()
 
     def land(name, *quotes):
@@ -144,3 +172,6 @@ def test_board_stream(spark, rows, tmp_path):
     land("2.json", ("FPT", 3, 97.0), ("VNM", 3, 68.0))
     assert refresh() == [("FPT", 97000, 3), ("HPG", 28000, 1), ("VNM", 68000, 3)]
     assert len(refresh()) == 3
+    # A file of an earlier moment that lands late changes nothing.
+    land("3.json", ("FPT", 2, 90.0), ("HPG", 4, 29.0))
+    assert refresh() == [("FPT", 97000, 3), ("HPG", 29000, 4), ("VNM", 68000, 3)]

@@ -1,6 +1,5 @@
 """Calendar, events, units, snapshot and report."""
 
-import random
 from datetime import datetime
 
 import pytest
@@ -8,8 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from barloom.functions.dates import moment
-from barloom.operators import calendar, events, report, snapshot, symbols, units
-from barloom.operators.keyed import number_rows
+from barloom.operators import adjust, calendar, events, report, snapshot, symbols, units
 from barloom.schema import EVENT_SCHEMA, SNAPSHOT_SCHEMA
 from tests.helpers import bar, bars, d
 
@@ -112,55 +110,12 @@ def test_reload_set_priorities(spark, rows):
     ]
 
 
-def test_number_rows_is_the_sorted_position(spark):
-    names = [f"S{n:04d}" for n in range(500)]
-    shuffled = random.Random(3).sample(names, len(names))
-    df = spark.createDataFrame([(n,) for n in shuffled], "symbol string").repartition(6)
-    got = {r["symbol"]: r["pos"] for r in number_rows(df, [F.col("symbol")], "pos").collect()}
-    assert got == {n: i + 1 for i, n in enumerate(names)}
-
-
-def outcome_by_hand(oks, streak):
-    failures, status = 0, []
-    for ok in oks:
-        if failures >= streak:
-            status.append("unprocessed")
-            continue
-        failures = 0 if ok else failures + 1
-        status.append("ok" if ok else "failed")
-    return status
-
-
-@pytest.mark.parametrize("seed", range(4))
-def test_reload_outcome_against_a_loop(spark, seed):
-    rng = random.Random(seed)
-    oks = [rng.random() < 0.45 for _ in range(60)]
-    _check_outcome(spark, oks)
-
-
-@pytest.mark.parametrize(
-    "oks",
-    [
-        [False] * 4 + [True] * 3,
-        [False] * 5 + [True] * 3,
-        [True] * 8 + [False] * 5 + [True] * 9,
-        [False] * 4 + [True] + [False] * 4 + [True],
-        [True] * 12,
-        [False] * 12,
-    ],
-)
-def test_reload_outcome_edges(spark, oks):
-    _check_outcome(spark, oks)
-
-
-def _check_outcome(spark, oks):
-    data = [(f"S{i:03d}", i + 1, ok) for i, ok in enumerate(oks)]
-    df = spark.createDataFrame(data, "symbol string, run_order bigint, ok boolean").repartition(3)
-    got = events.reload_outcome(df)
-    statuses = [r["status"] for r in got.orderBy("run_order").collect()]
-    assert statuses == outcome_by_hand(oks, 5)
-    pending = {r[0] for r in events.pending_after(got).collect()}
-    assert pending == {f"S{i:03d}" for i, s in enumerate(statuses) if s != "ok"}
+def test_failed_reloads_hold_back_no_other(spark, rows):
+    wanted = spark.createDataFrame([(f"S{n:02d}",) for n in range(12)] + [("S00",)], "symbol string")
+    adjusted = bars(spark, bar("S00", "2024-01-29"), bar("S11", "2024-01-29"), bar("S11", "2024-01-30"), bar("X", "2024-01-30"))
+    outcome = adjust.reload_outcome(wanted, adjusted)
+    assert rows(outcome) == [("S00", "ok"), *[(f"S{n:02d}", "failed") for n in range(1, 11)], ("S11", "ok")]
+    assert rows(events.pending_after(outcome)) == [(f"S{n:02d}",) for n in range(1, 11)]
 
 
 def feeds(spark, quotes, closes):
@@ -200,15 +155,12 @@ def test_symbols(spark, rows):
     assert rows(symbols.symbols_with_fallback(none, cached)) == [("OLD", "HNX")]
     with pytest.raises(PySparkException, match="no symbols"):
         symbols.require_symbols(symbols.symbols_with_fallback(none, cached.filter("false"))).count()
-    merged = symbols.refresh_cache(cached.unionByName(spark.createDataFrame([("FPT", "?")], cached.schema)), live)
-    assert rows(merged) == [("FPT", "HSX"), ("OLD", "HNX")]
 
 
-def test_board_batches(spark, rows):
-    listed = spark.createDataFrame([(f"S{n}",) for n in range(5)], "symbol string")
-    board = spark.createDataFrame([("S0",), ("S0",), ("S1",), ("S4",)], "symbol string")
-    got = rows(symbols.board_batches(listed, board, size=2))
-    assert got == [(0, 2, 3, True), (1, 2, 0, False), (2, 1, 1, True)]
+def test_board_coverage(spark, rows):
+    listed = spark.createDataFrame([("S0",), ("S1",), ("S1",)], "symbol string")
+    board = spark.createDataFrame([("S0",), ("S0",), ("S4",), (None,)], "symbol string")
+    assert rows(symbols.board_coverage(listed, board)) == [("S0", True), ("S1", False)]
 
 
 def old_snapshot(spark, *rows):
@@ -261,7 +213,7 @@ def test_inherited_pending(spark, rows):
 def test_report(spark):
     board = bars(spark, bar("A", "2024-01-30"), bar("B", "2024-01-30"))
     outcome = spark.createDataFrame(
-        [(f"S{n:02d}", "ok") for n in range(17)] + [("X", "failed"), ("Y", "unprocessed")], "symbol string, status string"
+        [(f"S{n:02d}", "ok") for n in range(17)] + [("X", "failed"), ("Y", "failed")], "symbol string, status string"
     )
     line = report.run_report(board, outcome, days(spark, "2024-01-29", "2024-01-26"), moment(CLOSED)).first()
     assert line.rows_loaded == 2 and line.is_eod and line.trading_date == d("2024-01-30")

@@ -4,7 +4,7 @@ import random
 from datetime import date
 
 import pytest
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from barloom.operators import adjust, clean, tables
 from barloom.schema import HISTORY_FEED_SCHEMA, KEY
@@ -23,8 +23,7 @@ def test_source_order():
     assert adjust.source_order("msn") == ["msn", "vci", "kbs"]
 
 
-@pytest.mark.parametrize("few", [True, False])
-def test_source_fallback_chooses_before_cleaning(spark, rows, few):
+def test_source_fallback_chooses_before_cleaning(spark, rows):
     history = feed(
         spark,
         ("A", "VCI", "2024-01-02", -1.0),
@@ -33,20 +32,19 @@ def test_source_fallback_chooses_before_cleaning(spark, rows, few):
         ("B", "KBS", "2024-01-02", 7.0),
         ("C", "other", "2024-01-02", 8.0),
     )
-    chosen = adjust.source_fallback(history, ["vci", "kbs", "msn"], few)
+    chosen = adjust.source_fallback(history, ["vci", "kbs", "msn"])
     assert rows(chosen, "symbol", "source") == [("A", "VCI"), ("B", "KBS")]
     assert rows(clean.clean_download(chosen, 1000.0), "symbol", "close_price") == [("B", 7000.0)]
 
 
-@pytest.mark.parametrize("few", [True, False])
 @pytest.mark.parametrize("limit", [1, 7, 130, 400, 5000])
 @pytest.mark.parametrize("days", [300, 4])
-def test_top_k_against_sorting(spark, limit, days, few):
-    """Both ways of trimming, with one symbol and few days that hold most rows."""
+def test_top_k_against_sorting(spark, limit, days):
+    """One symbol and few days hold most rows."""
     rng = random.Random(limit)
     data = [("HOT" if rng.random() < 0.7 else f"S{rng.randrange(5)}", rng.randrange(days), i) for i in range(800)]
     df = spark.createDataFrame(data, "symbol string, time int, seq int").repartition(5)
-    got = sorted(tuple(r) for r in adjust.history_topk(df, limit, F.col("seq"), few_symbols=few).collect())
+    got = sorted(tuple(r) for r in adjust.history_topk(df, limit, F.col("seq")).collect())
     want = []
     for symbol in {r[0] for r in data}:
         own = sorted((r for r in data if r[0] == symbol), key=lambda r: (-r[1], -r[2]))
@@ -54,16 +52,15 @@ def test_top_k_against_sorting(spark, limit, days, few):
     assert got == sorted(want)
 
 
-@pytest.mark.parametrize("few", [True, False])
-def test_gap_fill(spark, rows, few):
+def test_gap_fill(spark, rows):
     history = bars(spark, bar("A", "2024-01-29"), bar("B", "2024-01-30"), bar("A", "2024-01-26"))
     board = bars(spark, bar("A", "2024-01-30", 7.0), bar("B", "2024-01-30", 8.0), bar("C", "2024-01-30", 9.0))
-    filled = adjust.gap_fill(history, board, d("2024-01-31"), few)
+    filled = adjust.gap_fill(history, board, d("2024-01-31"))
     assert rows(filled.filter("close_price < 10"), *KEY, "close_price") == [
         ("A", d("2024-01-31"), 7.0),
         ("B", d("2024-01-31"), 8.0),
     ]
-    today = adjust.gap_fill(history, board, d("2024-01-30"), few)
+    today = adjust.gap_fill(history, board, d("2024-01-30"))
     assert rows(today.filter("close_price < 10"), *KEY) == [("A", d("2024-01-30"))]
 
 
@@ -89,9 +86,29 @@ def test_adjusted_history(spark, rows):
         ("A", d("2024-01-30"), 5000.0, "HoSE", "vci"),
         ("B", d("2024-01-30"), 3000.0, "Unknown", "kbs"),
     ]
-    ordered = wanted.withColumn("run_order", F.row_number().over(Window.orderBy("symbol")))
-    attempts = adjust.reload_attempts(ordered, got)
-    assert rows(attempts, "symbol", "ok") == [("A", True), ("B", True), ("C", False), ("D", False)]
+    outcome = adjust.reload_outcome(wanted, got)
+    assert rows(outcome) == [("A", "ok"), ("B", "ok"), ("C", "failed"), ("D", "failed")]
+
+
+def test_a_long_history_is_rebuilt_in_whole(spark):
+    """No request size cuts it, and invalid rows take no room of others."""
+    days = [f"{y}-{m:02d}-{day:02d}" for y in range(2000, 2024) for m in range(1, 13) for day in range(1, 29)]
+    history = feed(spark, *[("A", "VCI", day, -1.0 if k % 3 == 0 else 1.0) for k, day in enumerate(days)])
+    listing = spark.createDataFrame([("A", "HSX")], "symbol string, exchange string")
+    wanted = spark.createDataFrame([("A",)], "symbol string")
+    got = adjust.adjusted_history(
+        history, bars(spark, bar("Z", "2024-01-30")), listing, wanted, d("2024-01-30"), 1.0, ["vci"], "2000-01-01", "2024-01-30"
+    )
+    assert got.count() == sum(k % 3 != 0 for k in range(len(days)))
+
+
+def test_history_rows_that_tie_are_told_apart_by_all_columns(spark):
+    rows = [("A", 1, n % 3, f"x{n}") for n in range(6)]
+    got = [
+        adjust.history_topk(spark.createDataFrame(data, "symbol string, time int, seq int, note string"), 1, F.col("seq")).first()
+        for data in (rows, rows[::-1])
+    ]
+    assert got[0] == got[1] == ("A", 1, 2, "x5")
 
 
 @pytest.fixture
@@ -179,7 +196,7 @@ def test_state(spark, rows, tmp_path):
     kv = KeyValueState(str(tmp_path / "kv"))
     assert rows(kv.read(spark)) == []
     kv.put(state)
-    kv.put(spark.createDataFrame([("k", "3"), ("2024", "a/b")], state.schema))
+    kv.put(spark.createDataFrame([("k", "3"), ("2024", "a/b"), ("k", "2")], state.schema))
     assert rows(kv.read(spark)) == [("2024", "a/b"), ("k", "3"), ("x", "2")]
 
 
@@ -212,6 +229,43 @@ def table(tmp_path):
     return BarTable(str(tmp_path / "raw"), buckets=3)
 
 
+def test_the_layout_outlives_the_process(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    names = [f"S{n}" for n in range(10)]
+    with pytest.raises(ValueError, match="give its bucket count"):
+        BarTable(path).truncate_load(bars(spark, bar("S1", "2024-01-30")))
+    BarTable(path, buckets=4).truncate_load(bars(spark, *[bar(n, "2024-01-30") for n in names]))
+    assert BarTable(path).read(spark, symbols=names).count() == 10
+    BarTable(path).upsert(bars(spark, *[bar(n, "2024-01-30", 7.0) for n in names]))
+    assert BarTable(path).read(spark).count() == 10
+    for wrong in (BarTable(path, buckets=64), BarTable(path, adjusted=True)):
+        with pytest.raises(ValueError, match="is stored as"):
+            wrong.upsert(bars(spark, bar("S1", "2024-01-30")))
+    with pytest.raises(ValueError, match="is stored as"):
+        BarTable(path, buckets=64).read(spark, symbols=names)
+
+
+def test_bars_of_other_days_replace_their_own_key(spark, rows, table, stored):
+    """A board holds symbols that have not traded today; storing it again adds nothing."""
+    table.truncate_load(stored)
+    board = bars(spark, bar("A", "2024-01-30", 9.0), bar("C", "2024-01-29", 8.0), bar("Q", "2023-12-29", 7.0))
+    for _ in range(3):
+        table.replace_date(board, d("2024-01-30"))
+        assert rows(table.read(spark), *KEY, "close_price") == [
+            ("A", d("2023-12-29"), 1),
+            ("A", d("2024-01-29"), 2),
+            ("A", d("2024-01-30"), 9),
+            ("C", d("2024-01-29"), 8),
+            ("Q", d("2023-12-29"), 7),
+        ]
+
+
+def test_the_greater_volume_stays(spark, rows, table):
+    for price, volume in ((1.0, 100), (2.0, 300), (3.0, 200), (4.0, 300)):
+        table.upsert(bars(spark, bar("A", "2024-01-30", price, volume)), greatest="total_volume")
+    assert rows(table.read(spark), "close_price", "total_volume") == [(4, 300)]
+
+
 def test_stored_table_starts_empty(spark, table):
     assert table.read(spark).count() == 0
     table.replace_date(bars(spark, bar("A", "2024-01-30")), d("2024-01-30"))
@@ -305,6 +359,8 @@ def test_symbol_history_replaces_only_its_symbols(spark, rows, tmp_path):
         assert got == sorted(
             [(s, d("2024-01-29")) for s in names if s != "S1"] + [("S1", d("2024-01-30")), ("S1", d("2024-01-31"))]
         )
-    assert read_symbol_history(spark, path, ["S1", "S2"], buckets=2).count() == 3
-    sink_symbol_history(bars(spark, bar("S1", "2024-01-30")).filter("false"), path, buckets=2)
+    assert read_symbol_history(spark, path, ["S1", "S2"]).count() == 3
+    sink_symbol_history(bars(spark, bar("S1", "2024-01-30")).filter("false"), path)
+    with pytest.raises(ValueError, match="is stored as"):
+        sink_symbol_history(bars(spark, bar("S1", "2024-01-30")), path, buckets=3)
     assert read_symbol_history(spark, path).count() == 7
