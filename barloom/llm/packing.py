@@ -230,13 +230,13 @@ def pieces(docs: DataFrame, tokenizer_path: str, limit: int, end_id: int, id_col
                         some = ids[start : start + limit]
                         rows.append((doc, piece, start, len(some), zlib.crc32(some.tobytes()), part, seen[len(some)]))
                         seen[len(some)] += 1
-            columns = list(zip(*rows)) if rows else [[]] * len(schema)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, schema)], [n for n, _ in schema])
+            own, *columns = list(zip(*rows)) if rows else [[]] * (1 + len(schema))
+            arrays = [pa.array(own, batch.schema.field(0).type), *(pa.array(c, t) for c, (_, t) in zip(columns, schema))]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", *(n for n, _ in schema)])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType
-    schema = [("doc_id", pa.string() if kind.simpleString() == "string" else pa.int64()), ("piece", pa.int32())]
-    schema += [(n, pa.int64()) for n in ("start", "length", "ids_crc32", "part", "rank")]
+    schema = [("piece", pa.int32())] + [(n, pa.int64()) for n in ("start", "length", "ids_crc32", "part", "rank")]
     return rows.mapInArrow(
         cut,
         f"doc_id {kind.simpleString()}, piece int, start long, length long, ids_crc32 long, part long, rank long",

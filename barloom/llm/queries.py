@@ -234,22 +234,17 @@ def op8_chat_format(spark, folder):
 @query("op4_piece_lattice")
 def op4_piece_lattice(spark, folder):
     """The best paths of each text, and whether its text comes back from them."""
-    docs, model = table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model")
-    text = F.coalesce("text", F.lit(""))
-    encoded = encode(docs, model)
-    found = decode(encoded, model)
-    hashes = docs.select("doc_id", F.xxhash64(text).alias("text_hash"))
-    others = F.to_json("others")
-    narrow = found.select(
-        "doc_id",
+    model, text = public_tokenizers.path("piece_bpe_32k.model"), F.coalesce("text", F.lit(""))
+    key = F.struct("doc_id", F.xxhash64(text).alias("text_hash")).alias("key")
+    docs = table(spark, folder, "documents").select(key, "text")
+    found = decode(encode(docs, model, id_col="key"), model)
+    return found.select(
+        F.col("doc_id.doc_id").alias("doc_id"),
         F.size("ids").cast("bigint").alias("n_pieces"),
         F.sha2(F.encode(F.array_join("ids", " "), "UTF-8"), 256).alias("ids_sha256"),
         "score",
         (1 + F.size("others")).alias("n_paths"),
         F.get("others", F.lit(0))["score"].alias("second_score"),
-        F.sha2(F.encode(others, "UTF-8"), 256).alias("others_sha256"),
-        F.xxhash64("decoded").alias("decoded_hash"),
-    )
-    return narrow.join(hashes, "doc_id").select(
-        *narrow.columns[:-1], (F.col("decoded_hash") == F.col("text_hash")).alias("round_trip")
+        F.sha2(F.encode(F.to_json("others"), "UTF-8"), 256).alias("others_sha256"),
+        (F.xxhash64("decoded") == F.col("doc_id.text_hash")).alias("round_trip"),
     )
