@@ -26,9 +26,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from barloom.llm.words import ENDS, Lists, Values, WordCodes, absent_mark, list_ends, slices, worker_cache
 
-#: Paths of a text that are found, and how much worse than the worst piece of one character a
-#: character without a piece is.
-N_BEST, UNKNOWN_PENALTY = 3, 10.0
+#: Paths of a text that are found; how much worse than the worst piece a character without a
+#: piece is; and scores that models give to pieces no path should take if it can.
+N_BEST, UNKNOWN_PENALTY, NEVER = 3, 10.0, -1e8
 _UNIT_LIMIT = 300_000
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
 
@@ -55,7 +55,7 @@ class Pieces:
             self.automaton.add_word(text, edge)
         self.automaton.make_automaton()
         self.singles = frozenset(text for text in whole if len(text) == 1)
-        self.unknown = min(score for size, score, _ in found.values() if size == 1) - UNKNOWN_PENALTY
+        self.unknown = min(score for _, score, _ in found.values() if score > NEVER) - UNKNOWN_PENALTY
         pairs = {pair for text in whole for pair in zip(text, text[1:])}
         #: Marks that no piece holds behind a letter or digit, so that the lattice falls apart there.
         self.marks = "".join(m for m in ".,;:!?" if not any(b == m and a in ENDS for a, b in pairs))
