@@ -23,8 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from barloom.llm.components import components
-from barloom.llm.shingles import FUNCTIONS, ShingleSets, mixed, signature, similarity
-from barloom.llm.words import slices, worker_cache
+from barloom.llm.shingles import FUNCTIONS, mixed, shingle_sets, signature, similarity
+from barloom.llm.words import slices
 from barloom.operators.keyed import landed
 
 #: Links: 100 * intersection >= 75 * union.
@@ -39,19 +39,14 @@ _SETS = "doc_id long, n_shingles long, digest string, signature binary"
 _PAIRS = "node long, a long, b long"
 
 
-def _sets() -> ShingleSets:
-    return worker_cache("shingles", ShingleSets)
-
-
 def shingle_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, digest, signature) of every row; no digest without shingles."""
 
     def read(batches):
-        sets = _sets()
         for batch in batches:
             sizes, digests, signatures = [], [], []
             for texts in slices(batch.column(1)):
-                for found in sets(texts):
+                for found in shingle_sets(texts):
                     sizes.append(len(found))
                     digests.append(xxhash.xxh3_128_hexdigest(found.tobytes()) if len(found) else None)
                     signatures.append(signature(found).tobytes() if len(found) else None)
@@ -229,11 +224,10 @@ def _links(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> Dat
     both = first.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
 
     def confirm(batches):
-        sets = _sets()
         for batch in batches:
             good, columns = [], [slices(batch.column(k)) for k in (2, 3)]
-            left = (found for part in columns[0] for found in sets(part))
-            right = (found for part in columns[1] for found in sets(part))
+            left = (found for part in columns[0] for found in shingle_sets(part))
+            right = (found for part in columns[1] for found in shingle_sets(part))
             for x, y in zip(left, right):
                 common, union = similarity(x, y)
                 good.append(bool(union) and 100 * common >= PERCENT * union)

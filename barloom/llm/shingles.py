@@ -5,7 +5,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-from barloom.llm.words import Values, WordCodes, list_ends, space_split
+from barloom.llm.words import list_ends, space_split
 
 WORDS = 5
 #: Minwise functions of a signature.
@@ -21,39 +21,32 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class ShingleSets:
-    """Sets of texts, lower-cased from A to Z: distinct runs of five words.
+def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
+    """A sorted array of distinct numbers for each text: its shingles.
 
-    A text of fewer words has one shingle, all of it; a text without words has none.
+    Lower-cased from A to Z; a shingle is a run of five words, or all of a text with fewer. A
+    text without words has none. Each distinct word of the column is hashed once.
     """
-
-    def __init__(self):
-        self.hashes = Values(np.uint64)
-        self.codes = WordCodes(self._learn, self.hashes.keep)
-
-    def _learn(self, words, first):
-        self.hashes.add([xxhash.xxh64_intdigest(w) for w in words], first)
-
-    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
-        """A sorted array of distinct numbers for each text."""
-        lists = space_split(pc.ascii_lower(texts))
-        words = lists.flatten()
-        hashes = self.hashes.take(self.codes(words))
-        real = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
-        ends = np.concatenate([[0], np.cumsum(real)])[list_ends(lists)]
-        hashes = hashes[real]
-        windows = sum(hashes[k : len(hashes) - WORDS + 1 + k] * _ODD[k] for k in range(WORDS)) if len(hashes) >= WORDS else hashes[:0]
-        windows = mixed(windows)
-        found = []
-        for first, last in zip([0, *ends[:-1]], ends):
-            if last - first >= WORDS:
-                found.append(np.unique(windows[first : last - WORDS + 1]))
-            elif last > first:
-                some = hashes[first:last] * _ODD[: last - first]
-                found.append(mixed(some.sum(keepdims=True) + np.uint64(last - first)))
-            else:
-                found.append(hashes[:0])
-        return found
+    lists = space_split(pc.ascii_lower(texts))
+    words = lists.flatten()
+    real = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
+    words = words.dictionary_encode()
+    hashes = np.array([xxhash.xxh64_intdigest(w) for w in words.dictionary.to_pylist()], np.uint64)
+    hashes = hashes[words.indices.to_numpy()]
+    ends = np.concatenate([[0], np.cumsum(real)])[list_ends(lists)]
+    hashes = hashes[real]
+    windows = sum(hashes[k : len(hashes) - WORDS + 1 + k] * _ODD[k] for k in range(WORDS)) if len(hashes) >= WORDS else hashes[:0]
+    windows = mixed(windows)
+    found = []
+    for first, last in zip([0, *ends[:-1]], ends):
+        if last - first >= WORDS:
+            found.append(np.unique(windows[first : last - WORDS + 1]))
+        elif last > first:
+            some = hashes[first:last] * _ODD[: last - first]
+            found.append(mixed(some.sum(keepdims=True) + np.uint64(last - first)))
+        else:
+            found.append(hashes[:0])
+    return found
 
 
 def _functions() -> tuple[np.ndarray, np.ndarray]:

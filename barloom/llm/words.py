@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 
 WORKER_WORDS, LONGEST = 600_000, 48
 #: Bytes of text handled at a time, unless one text is longer.
-SLICE_BYTES = 24 << 20
+SLICE_BYTES = 8 << 20
 #: Marks that make a pre-token of their own behind a letter or digit, and these.
 _MARKS = ".,;:!?"
 ENDS = frozenset(c for c in map(chr, range(0x100)) if c.isascii() and c.isalnum() or c > "\xbf" and c.isalpha())
