@@ -174,16 +174,19 @@ def secret_corpus(spark, n=300):
     draw = np.random.default_rng(0)
     hexes = lambda k: "".join(draw.choice(list("0123456789abcdef"), k))
     rows = [(k, f"some words before password={hexes(18)} and after", "en") for k in range(n)]
-    rows += [(n + k, f"the number {'0123456789' * 2}{k:06d} and {'long' * 5}word{k % 10}", "en") for k in range(n)]
-    rows += [(9000 + k, f"use {hexes(20)} here", "en") for k in range(20)]
-    return documents(spark, rows)
+    rows += [(n + k, f"the number 0123456789{k:08d} and {'long' * 5}word{k % 10}", "en") for k in range(n)]
+    return documents(spark, rows), [f"use {hexes(20)} here" for _ in range(40)]
 
 
 def test_the_network_finds_what_the_patterns_miss(spark):
-    found = {r.doc_id: [tuple(s) for s in r.spans] for r in secrets.find_secrets(secret_corpus(spark)).collect()}
-    assert all(found[k] and found[k][0][2] == "assign" for k in range(300))
-    assert sum(bool(found[k]) for k in range(300, 600)) <= 6
-    assert sum(found[9000 + k] == [(4, 24, "network")] for k in range(20)) >= 18
+    docs, missed = secret_corpus(spark)
+    found = {r.doc_id: [tuple(s) for s in r.spans] for r in secrets.find_secrets(docs).collect()}
+    assert all(found[k][0][2] == "assign" and len(found[k]) == 1 for k in range(300))
+    assert not any(found[k] for k in range(300, 600))
+    model = secrets.train(secrets.labelled(docs, "doc_id", "text", 1000))
+    plain = [f"or 9876543210{k:08d} so" for k in range(40)]
+    spans = secrets.all_spans(pa.array(missed + plain), model)
+    assert sum(s == [(4, 24, "network")] for s in spans[:40]) >= 36 and not any(spans[40:])
 
 
 def test_secrets_of_awkward_rows(spark):

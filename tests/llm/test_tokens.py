@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from barloom.llm.packing import fill_patterns, nonnegative_least_squares, pack, plan_sequences
+from barloom.llm.packing import WordIds, fill_patterns, nonnegative_least_squares, pack, plan_sequences
 from barloom.llm.piece_lattice import Pieces, UnitPaths, apply_edits, decode, encode, lattice, n_best, units_of
 from barloom.llm.token_counts import RunLengths, load_tokenizer, token_counts
 from barloom.llm.words import WordCodes
@@ -26,6 +26,11 @@ def by_bytes():
     return load_tokenizer(BYTES)
 
 
+@pytest.fixture(scope="module")
+def by_words():
+    return load_tokenizer(WORDS)
+
+
 @pytest.fixture(scope="module")
 def pieces():
     return Pieces(MODEL)
@@ -47,13 +52,10 @@ def test_runs_count_as_whole_texts(by_bytes, texts):
 
 @settings(max_examples=200, deadline=None)
 @given(st.lists(ODD, min_size=1, max_size=4))
-def test_words_have_the_ids_of_whole_texts(texts):
-    from barloom.llm.packing import WordIds
-
-    tokenizer = load_tokenizer(WORDS)
-    ids, ends = WordIds(tokenizer)(pa.array(texts))
+def test_words_have_the_ids_of_whole_texts(by_words, texts):
+    ids, ends = WordIds(by_words)(pa.array(texts))
     found = [ids[a:b].tolist() for a, b in zip([0, *ends[:-1]], ends)]
-    assert found == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert found == [by_words.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_a_full_table_of_words_starts_anew():
