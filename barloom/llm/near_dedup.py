@@ -11,10 +11,11 @@ blocks, each with the same few pivots, and what the blocks leave apart is compar
 all of the node.
 
 In a node of many similar classes not all pairs are written out: a first round takes the
-pairs of a spanning forest, most similar first. All pairs found are confirmed on full
-sets. Where the classes of such a node are still in different components, a second
-round takes every pair between components. So no link found in a node is lost, and a
-group of copies costs about as many rows as it has members.
+pairs of a spanning forest, most similar first, and confirms them on full sets. Where the
+classes of such a node are still in different components, a second round brings their full
+sets together and compares all of them exactly, in one product of matrices; only the
+links of a spanning forest leave the task. So no link between classes of a node is lost,
+and a group of copies costs about as many rows as it has members.
 """
 
 import numpy as np
@@ -31,7 +32,9 @@ from barloom.operators.keyed import landed
 PERCENT = 75
 #: At the threshold a pair shares a node of the first level of a tree with probability 0.81, so
 #: that ten trees miss it with probability 1e-7; deep down it is about one in three by tree.
-TREES, DEPTH, NODE_SIZE, PIVOTS = 10, 5, 160, 8
+TREES, DEPTH, NODE_SIZE, PIVOTS = 10, 5, 700, 8
+#: Shingles that a task multiplies at a time.
+_COLUMNS = 2048
 #: Equal signature values below which a pair isn't confirmed: four standard deviations
 #: below the threshold, so one in 30,000 pairs exactly at it goes missing.
 LEAST_EQUAL = 34
@@ -133,7 +136,7 @@ def _block_nodes(blocks: DataFrame) -> DataFrame:
 # Comparing
 
 
-def _similar(node, size, tokens, apart=None):
+def _similar(node, size, tokens):
     """Index pairs within a node that may be linked, by equal signature values."""
     found = []
     for step in range(1, len(node)):
@@ -142,50 +145,78 @@ def _similar(node, size, tokens, apart=None):
             break
         other = rows + step
         near = 100 * np.minimum(size[rows], size[other]) >= PERCENT * np.maximum(size[rows], size[other])
-        if apart is not None:
-            near &= apart[rows] != apart[other]
         rows, other = rows[near], other[near]
-        equal = np.concatenate([(tokens[rows[k : k + 4096]] == tokens[other[k : k + 4096]]).sum(axis=1) for k in range(0, len(rows), 4096)] or [np.zeros(0, int)])
+        equal = (tokens[rows] == tokens[other]).sum(axis=1)
         good = equal >= LEAST_EQUAL
         found.append(np.stack([rows[good], other[good], equal[good]]))
     return np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
 
 
-def _forest(node, pairs):
-    """Pairs of a spanning forest by node, most similar first; and the nodes with more pairs."""
-    a, b, equal = pairs
-    parent, kept, dense = {}, [], set()
+class _Forest:
+    def __init__(self):
+        self.parent = {}
 
-    def root(x):
+    def root(self, x):
+        parent = self.parent
         while (up := parent.get(x, x)) != x:
             parent[x] = x = parent.get(up, up)
         return x
 
-    for k in np.argsort(-equal, kind="stable").tolist():
-        x, y = root(int(a[k])), root(int(b[k]))
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            kept.append(k)
-        else:
-            dense.add(int(node[a[k]]))
-    return pairs[:, kept], sorted(dense)
+    def join(self, x, y) -> bool:
+        """Whether the two were apart."""
+        x, y = self.root(x), self.root(y)
+        if x == y:
+            return False
+        self.parent[max(x, y)] = min(x, y)
+        return True
+
+
+def _spanning(node, pairs):
+    """Pairs of a spanning forest by node, most similar first; and the nodes with more pairs."""
+    a, b, equal = pairs
+    order = np.lexsort((-equal, node[a]))
+    starts = np.flatnonzero(np.diff(node[a[order]], prepend=node[a[order[0]]] - 1)) if len(order) else []
+    kept, dense = [], []
+    for first, last in zip(starts, [*starts[1:], len(order)]):
+        forest, some, left = _Forest(), order[first:last], 0
+        members = len(np.unique(np.concatenate([a[some], b[some]])))
+        for k in some.tolist():
+            if forest.join(int(a[k]), int(b[k])):
+                kept.append(k)
+                left += 1
+                if left == members - 1:
+                    break
+        if len(some) > left:
+            dense.append(int(node[a[some[0]]]))
+    return pairs[:, kept], dense
 
 
 def _whole_nodes(batches):
-    """Batches (node, id, size, signature, ...) cut so that no node is split; rows come by node."""
+    """Runs of rows (node, ...) of about ``NODE_SIZE``, none of which splits a node; rows come by node."""
     rest = None
     for batch in batches:
         if rest is not None:
             batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
         node = batch.column(0).to_numpy()
         cut = int(np.searchsorted(node, node[-1])) if len(node) else 0
+        yield from _runs(batch, node, cut)
         rest = batch.slice(cut)
-        if cut:
-            yield batch.slice(0, cut)
     if rest is not None and len(rest):
         yield rest
 
 
+def _runs(batch, node, cut):
+    start = 0
+    while start < cut:
+        end = min(cut, start + NODE_SIZE)
+        if end < cut:
+            end = int(np.searchsorted(node, node[end]))
+        if end <= start:
+            end = int(np.searchsorted(node, node[start], side="right"))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def _pairs_of(node, ids, pairs):
     a, b = ids[pairs[0]], ids[pairs[1]]
     real = a != b
@@ -196,30 +227,75 @@ def _pairs_of(node, ids, pairs):
 def _first_round(batches):
     for batch in _whole_nodes(batches):
         node, ids, size = (batch.column(k).to_numpy() for k in range(3))
-        kept, dense = _forest(node, _similar(node, size, _tokens(batch.column(3))))
+        kept, dense = _spanning(node, _similar(node, size, _tokens(batch.column(3))))
         columns = _pairs_of(node, ids, kept)
         dense = np.array(dense, np.int64)
         columns = [np.concatenate([c, d]) for c, d in zip(columns, (dense, np.full(len(dense), -1), np.full(len(dense), -1)))]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "a", "b"])
 
 
+def _exact_links(sets: list[np.ndarray], component: np.ndarray) -> list[tuple[int, int]]:
+    """Index pairs of linked sets that tie different components together, a forest of them."""
+    sizes = np.array([len(x) for x in sets], np.float64)
+    owner = np.repeat(np.arange(len(sets)), sizes.astype(np.int64))
+    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = counts > 1  # the others are in no intersection
+    number = np.cumsum(shared) - 1
+    rows, columns = owner[shared[column]], number[column[shared[column]]]
+    order = np.argsort(columns, kind="stable")
+    rows, columns = rows[order], columns[order]
+    common = np.zeros((len(sets), len(sets)))
+    for start in range(0, int(shared.sum()), _COLUMNS):
+        first, last = np.searchsorted(columns, (start, start + _COLUMNS))
+        part = np.zeros((len(sets), _COLUMNS), np.float32)
+        part[rows[first:last], columns[first:last] - start] = 1
+        common += part @ part.T
+    linked = 100 * common >= PERCENT * (sizes[:, None] + sizes[None] - common)
+    linked &= component[:, None] != component[None]
+    forest, found = _Forest(), []
+    for x, y in np.argwhere(np.triu(linked, 1)).tolist():
+        if forest.join(int(component[x]), int(component[y])):
+            found.append((x, y))
+    return found
+
+
 def _second_round(batches):
     for batch in _whole_nodes(batches):
-        node, ids, size = (batch.column(k).to_numpy() for k in range(3))
-        pairs = _similar(node, size, _tokens(batch.column(3)), batch.column(4).to_numpy())
+        node, ids, component = (batch.column(k).to_numpy() for k in range(3))
+        sets = [np.frombuffer(x, "<u8") for x in batch.column(3).to_pylist()]
+        starts = np.flatnonzero(np.diff(node, prepend=node[0] - 1)).tolist()
+        found = []
+        for first, last in zip(starts, [*starts[1:], len(node)]):
+            if len(set(component[first:last].tolist())) > 1:
+                found += [(first + x, first + y) for x, y in _exact_links(sets[first:last], component[first:last])]
+        pairs = np.array(found, np.int64).reshape(-1, 2).T
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in _pairs_of(node, ids, pairs)], ["node", "a", "b"])
 
 
-def _compared(members: DataFrame, classes: DataFrame, function, *more: str) -> DataFrame:
-    rows = members.join(classes, "id").select("node", "id", "size", "signature", *more)
+def _compared(rows: DataFrame, function) -> DataFrame:
     return rows.repartition("node").sortWithinPartitions("node", "id").mapInArrow(function, _PAIRS)
 
 
+def _texts(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return texts.join(ids, "id", "left_semi")
+
+
+def _full_sets(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, shingles) of some classes, the numbers as bytes."""
+
+    def read(batches):
+        for batch in batches:
+            found = [x.tobytes() for texts in slices(batch.column(1)) for x in shingle_sets(texts)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "shingles"])
+
+    return _texts(ids, docs, id_col, text_col).mapInArrow(read, "id long, shingles binary")
+
+
 def _links(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Those of the pairs (a, b) whose full sets are similar enough."""
     needed = landed(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "needed")
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(needed, "id", "left_semi")
-    texts = landed(texts, "texts")
+    texts = landed(_texts(needed, docs, id_col, text_col), "texts")
     first = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     both = first.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
 
@@ -236,33 +312,36 @@ def _links(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> Dat
     return both.select("a", "b", "text_a", "text_b").mapInArrow(confirm, "a long, b long")
 
 
-def _all_pairs(spark, classes, docs, id_col, text_col):
-    """Links between classes, by both rounds."""
-    small, large = _node_members(classes)
-    members, oversize = small, not large.isEmpty()
+def _labels(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(node, component) of the classes that have links, by both rounds."""
+    members, large = _node_members(classes)
+    oversize = not large.isEmpty()
     if oversize:
         blocks = landed(_blocks(large), "blocks")
         members = members.unionByName(_block_nodes(blocks))
-    found = landed(_compared(members, classes, _first_round), "pairs")
+    rows = members.join(classes, "id").select("node", "id", "size", "signature")
+    found = landed(_compared(rows, _first_round), "pairs")
     pairs = landed(found.filter(F.col("a") >= 0).select("a", "b").distinct(), "first-pairs")
     links = landed(_links(pairs, docs, id_col, text_col), "links")
     labels = landed(components(links), "labels")
-    labelled = classes.join(labels, F.col("id") == F.col("node"), "left")
-    labelled = labelled.select("id", "size", "signature", F.coalesce("component", "id").alias("component"))
-    labelled = landed(labelled, "labelled")
+
+    every = classes.select("id").join(labels, F.col("id") == F.col("node"), "left")
+    every = landed(every.select("id", F.coalesce("component", "id").alias("component")), "labelled")
     dense = landed(found.filter(F.col("a") < 0).select("node").distinct(), "dense")
-    again = members.join(dense, "node", "left_semi").join(labelled.select("id", "component"), "id")
+    again = members.join(dense, "node", "left_semi").join(every, "id")
     torn = again.groupBy("node").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     torn = landed(torn.filter(F.col("x") != F.col("y")).select("node"), "torn")
-    more = again.select("node", "id").join(torn, "node", "left_semi")
+    again = again.select("node", "id", "component").join(torn, "node", "left_semi")
     if oversize:
-        more = more.unionByName(_left_over(blocks, labelled.select("id", "component")))
-    later = _compared(landed(more, "again"), labelled, _second_round, "component")
-    later = later.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    later = landed(later, "later-pairs")
-    if later.isEmpty():
-        return links
-    return links.unionByName(_links(later, docs, id_col, text_col))
+        again = again.unionByName(_left_over(blocks, every))
+    again = landed(again, "again")
+    if again.isEmpty():
+        return labels
+    needed = landed(again.select("id").distinct(), "needed")
+    sets = landed(_full_sets(needed, docs, id_col, text_col), "sets")
+    rows = again.join(sets, "id").select("node", "id", "component", "shingles")
+    more = landed(_compared(rows, _second_round).select("a", "b").distinct(), "more-links")
+    return labels if more.isEmpty() else components(links.unionByName(more))
 
 
 def _left_over(blocks: DataFrame, labels: DataFrame) -> DataFrame:
@@ -274,10 +353,12 @@ def _left_over(blocks: DataFrame, labels: DataFrame) -> DataFrame:
     sizes = landed(apart.groupBy("node").agg(F.count("*").alias("m")), "apart")
     chunks = F.ceil(F.col("m") / (NODE_SIZE // 2)).cast("int")
     chunk = F.pmod(F.xxhash64("id"), chunks.cast("long")).cast("int")
-    asked = apart.join(sizes, "node").select("node", chunk.alias("chunk"), "id", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"))
-    there = rows.join(sizes, "node").select("node", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), "id", "block")
+    all_blocks = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block")
+    asked = apart.join(sizes, "node").select("node", chunk.alias("chunk"), "id", "component", all_blocks)
+    all_chunks = F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk")
+    there = rows.join(sizes, "node").select("node", all_chunks, "id", "component", "block")
     every = asked.unionByName(there.select(*asked.columns))
-    return every.select(F.xxhash64("node", "block", "chunk").alias("node"), "id")
+    return every.select(F.xxhash64("node", "block", "chunk").alias("node"), "id", "component")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -295,8 +376,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("size"), F.first("signature").alias("signature")
     )
     classes = landed(classes, "classes")
-    links = landed(_all_pairs(docs.sparkSession, classes.drop("digest"), docs, id_col, text_col), "all-links")
-    labels = components(links).select(F.col("node").alias("id"), "component")
+    labels = _labels(classes.drop("digest"), docs, id_col, text_col)
+    labels = labels.select(F.col("node").alias("id"), "component")
     named = classes.select("digest", "id").join(labels, "id", "left")
     named = landed(named.select("digest", F.coalesce("component", "id").alias("component")), "named")
     rows = every.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")

@@ -1,6 +1,6 @@
 """Reply trees against walks by hand, and the way back from every format."""
 
-from hypothesis import given, strategies as st
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from barloom.llm.chat import CONTROLS, END, START, escape, format_trees, format_turns, linear_trees, read_back, read_turns, unescape
@@ -8,12 +8,14 @@ from barloom.llm.chat import CONTROLS, END, START, escape, format_trees, format_
 PARTS = st.lists(st.sampled_from([*CONTROLS, "\\", "\\:", "<|", "|>", "im_start", "\n", "n", "a", "[", "<", "é"]), max_size=8).map("".join)
 
 
+@settings(deadline=None)
 @given(PARTS)
 def test_escapes_can_be_undone(text):
     assert unescape(escape(text)) == text
     assert not any(c in escape(text) for c in CONTROLS)
 
 
+@settings(deadline=None)
 @given(st.lists(st.tuples(PARTS, PARTS), max_size=4))
 def test_turns_come_back(turns):
     text, _ = format_turns(turns)

@@ -3,8 +3,12 @@
 import hashlib
 import re
 from collections import defaultdict
+from unittest import mock
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings, strategies as st
 
 from barloom.llm import near_dedup
 from barloom.llm.components import components
@@ -61,6 +65,17 @@ def check_near(spark, rows):
     assert all(r.kept == (r.doc_id == r.component_id) for r in found.values())
 
 
+@settings(deadline=None)
+@given(st.lists(st.integers(0, 12), max_size=60), st.integers(1, 9), st.integers(1, 6))
+def test_runs_of_rows_split_no_node(nodes, size, limit):
+    nodes = np.array(sorted(nodes), np.int64)
+    batches = [pa.RecordBatch.from_arrays([pa.array(nodes[k : k + size])], ["node"]) for k in range(0, len(nodes), size)]
+    with mock.patch.object(near_dedup, "NODE_SIZE", limit):
+        runs = [run.column(0).to_pylist() for run in near_dedup._whole_nodes(batches)]
+    assert [x for run in runs for x in run] == nodes.tolist() and all(runs)
+    assert all(a[-1] != b[0] for a, b in zip(runs, runs[1:]))
+
+
 def test_near_groups(spark):
     check_near(spark, corpus(2, 40))
 
