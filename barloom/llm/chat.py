@@ -62,26 +62,37 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
 # Trees
 
 
-def _jumps(nodes: DataFrame) -> list[DataFrame]:
-    """Tables (tree, id, up, score, depth): 1, 2, 4, ... messages up, until all have reached a root.
-
-    ``score`` and ``depth`` sum up the messages from id, inclusive, to ``up``, exclusive.
-    Messages that answer each other in a circle reach no root; they are given up when
-    the pointers are longer than the table.
+def _jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Tables (tree, id, up, score, depth): 1, 2, 4, ... messages up; and all messages at the end.
+
+    ``score`` and ``depth`` sum up the messages from id, inclusive, to ``up``, exclusive; a null
+    ``up`` says that the root is among them. The tables hold the others only, and a tree
+    leaves the rounds once all its messages have reached the root, so a few deep trees
+    don't make all others go through their rounds. Messages that answer each other in a
+    circle never do; they are given up when the pointers are longer than the table.
     """
     known = nodes.select("tree", F.col("id").alias("parent"), F.lit(True).alias("known"))
     up = F.when(F.col("known"), F.col("parent")).alias("up")
     jump = nodes.join(known, ["tree", "parent"], "left")
     jump = landed(jump.select("tree", "id", up, "score", F.lit(1).cast("bigint").alias("depth")), "jump")
-    jumps, reach, rows = [jump], 1, nodes.count()
-    while reach <= rows and not jump.filter(F.col("up").isNotNull()).isEmpty():
-        a, b = jump.alias("a"), jump.alias("b")
-        both = a.join(b, (F.col("a.tree") == F.col("b.tree")) & (F.col("a.up") == F.col("b.id")), "left")
-        more = [(F.col(f"a.{c}") + F.coalesce(F.col(f"b.{c}"), F.lit(0))).alias(c) for c in ("score", "depth")]
-        jump = landed(both.select("a.tree", "a.id", F.col("b.up").alias("up"), *more), "jump")
-        jumps.append(jump)
+    steps, whole, reach, rows = [], None, 1, nodes.count()
+    while reach <= rows:
+        on_the_way = jump.filter(F.col("up").isNotNull())
+        trees = landed(on_the_way.select("tree").distinct(), "trees")
+        if trees.isEmpty():
+            break
+        steps.append(on_the_way)
+        finished = jump.join(trees, "tree", "left_anti")
+        whole = finished if whole is None else whole.unionByName(finished)
+        live = jump.join(trees, "tree", "left_semi")
+        live = landed(live, "live")
+        a, b = live.filter(F.col("up").isNotNull()).alias("a"), live.alias("b")
+        both = a.join(b, (F.col("a.tree") == F.col("b.tree")) & (F.col("a.up") == F.col("b.id")))
+        more = [(F.col(f"a.{c}") + F.col(f"b.{c}")).alias(c) for c in ("score", "depth")]
+        moved = both.select("a.tree", "a.id", F.col("b.up").alias("up"), *more)
+        jump = landed(moved.unionByName(live.filter(F.col("up").isNull())), "jump")
         reach *= 2
-    return jumps
+    return steps, jump if whole is None else whole.unionByName(jump)
 
 
 def paths(nodes: DataFrame, branches: int | None) -> DataFrame:
@@ -90,7 +101,7 @@ def paths(nodes: DataFrame, branches: int | None) -> DataFrame:
     ``nodes`` are (tree, id, parent, score). Paths are ranked by mean score, then by the id of
     their leaf; ``branches`` of each tree are chosen, None takes all.
     """
-    *steps, whole = _jumps(nodes)
+    steps, whole = _jumps(nodes)
     parents = nodes.select("tree", F.col("parent").alias("id")).filter("id is not null")
     leaves = whole.filter(F.col("up").isNull()).join(parents, ["tree", "id"], "left_anti")
     order = Window.partitionBy("tree").orderBy(F.desc(F.col("score") / F.col("depth")), "id")
@@ -100,7 +111,6 @@ def paths(nodes: DataFrame, branches: int | None) -> DataFrame:
     found = landed(leaves.select("tree", "branch", F.col("depth").alias("place"), "id"), "paths")
     for step in steps:
         above = found.join(step.select("tree", "id", "up", F.col("depth").alias("by")), ["tree", "id"])
-        above = above.filter(F.col("up").isNotNull())
         above = above.select("tree", "branch", (F.col("place") - F.col("by")).alias("place"), F.col("up").alias("id"))
         found = landed(found.unionByName(above), "paths")
     return found
