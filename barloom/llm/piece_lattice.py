@@ -2,8 +2,8 @@
 
 The pieces that match a text form a lattice; a path's score is the sum of its pieces'
 scores in the model. Pieces with a space hold it in front only, so the lattice falls apart
-into units: a run of spaces and the word behind it, or marks and line ends. Within a unit a forward pass of
-Viterbi gives the best score to every position, and an A* search runs backward from the end
+into units: a run of spaces and the word behind it, or marks and line ends. Within a unit a forward
+pass of Viterbi gives the best score to every position, and an A* search runs backward from the end
 with these scores as its heuristic. As they are exact, paths come out best first, and no
 state is opened that no best path needs. The best paths of a text then follow from
 those of its units: only the units with the smallest loss for their second path can
@@ -29,26 +29,37 @@ from barloom.llm.words import ENDS, Lists, Values, WordCodes, absent_mark, list_
 #: Paths of a text that are found; how much worse than the worst piece a character without a
 #: piece is; and scores that models give to pieces no path should take if it can.
 N_BEST, UNKNOWN_PENALTY, NEVER = 3, 10.0, -1e8
-_UNIT_LIMIT = 300_000
+#: Distinct units a worker keeps, and bytes of text it segments at a time.
+_UNIT_LIMIT, _TOGETHER = 150_000, 4 << 20
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
 
 
+def piece_bytes(model: sentencepiece.SentencePieceProcessor) -> list[bytes]:
+    """What each piece stands for in a text; nothing for control pieces."""
+    found = []
+    for number in range(model.vocab_size()):
+        piece = model.id_to_piece(number)
+        if model.is_byte(number):
+            found.append(bytes([int(_BYTE.fullmatch(piece)[1], 16)]))
+        elif model.is_control(number) or model.is_unknown(number) or model.is_unused(number):
+            found.append(b"")
+        else:
+            found.append(piece.replace("▁", " ").encode())
+    return found
+
+
 class Pieces:
     """The pieces of a model file, with a space where the file has its mark for one."""
 
     def __init__(self, path: str):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        found, self.bytes, self.raw = {}, {}, []
-        for number in range(model.vocab_size()):
-            data = b""
+        found, self.bytes, self.raw = {}, {}, piece_bytes(model)
+        for number, data in enumerate(self.raw):
             if model.is_byte(number):
-                data = bytes([int(_BYTE.fullmatch(model.id_to_piece(number))[1], 16)])
                 self.bytes[data[0]] = number
-            elif not (model.is_control(number) or model.is_unknown(number) or model.is_unused(number)):
-                text = model.id_to_piece(number).replace("▁", " ")
-                data = text.encode()
+            elif data:
+                text = data.decode()
                 found[text] = (len(text), model.get_score(number), (number,))
-            self.raw.append(data)
         whole = list(found)
         self.automaton = ahocorasick.Automaton()
         for text, edge in found.items():
@@ -119,54 +130,82 @@ def n_best(unit: str, pieces: Pieces, n: int = N_BEST) -> list[tuple[float, list
     return found
 
 
+def best_path(unit: str, pieces: Pieces) -> tuple[list[int], float, float]:
+    """Ids and score of the best path by Viterbi, and how much the second best loses.
+
+    At every position of the best path, the best piece that ends there but isn't on the path
+    starts another one; as the scores up to it are exact, the least loss among these
+    is that of the second path.
+    """
+    size = len(unit)
+    best, second, back = [-np.inf] * (size + 1), [-np.inf] * (size + 1), [None] * (size + 1)
+    best[0] = 0.0
+    for last, (length, score, ids) in pieces.edges(unit):
+        end = last + 1
+        total = best[end - length] + score
+        if total > best[end]:
+            second[end], best[end], back[end] = best[end], total, (end - length, ids)
+        elif total > second[end]:
+            second[end] = total
+    path, loss, at = [], np.inf, size
+    while at:
+        loss = min(loss, best[at] - second[at])
+        at, ids = back[at]
+        path.append(ids)
+    return [i for ids in reversed(path) for i in ids], best[size], loss
+
+
 class UnitPaths:
-    """Best path by code of a unit, and how much the others lose and what they are."""
+    """Best path by code of a unit, and the loss of its second path.
+
+    The other paths of a unit are only searched for where a text needs them.
+    """
 
     def __init__(self, pieces: Pieces, n: int):
         self.pieces, self.n = pieces, n
-        self.ids, self.score, self.loss, self.others = Lists(np.int32), Values(np.float64), Values(np.float64), []
+        self.ids, self.score, self.loss = Lists(np.int32), Values(np.float64), Values(np.float64)
         self.codes = WordCodes(self._learn, self._keep, _UNIT_LIMIT)
 
     def _learn(self, units, first):
-        paths = [n_best(unit, self.pieces, self.n) for unit in units]
-        self.ids.add([p[0][1] for p in paths], first)
-        self.score.add([p[0][0] for p in paths], first)
-        self.loss.add([p[0][0] - p[1][0] if len(p) > 1 else np.inf for p in paths], first)
-        del self.others[first:]
-        self.others += [[(p[0][0] - score, ids) for score, ids in p[1:]] for p in paths]
+        paths = [best_path(unit, self.pieces) for unit in units]
+        self.ids.add([ids for ids, _, _ in paths], first)
+        self.score.add([score for _, score, _ in paths], first)
+        self.loss.add([loss for _, _, loss in paths], first)
 
     def _keep(self, codes):
         for table in (self.ids, self.score, self.loss):
             table.keep(codes)
-        self.others = [self.others[k] for k in codes]
 
     def __call__(self, texts: pa.Array):
         """For each text: ids and score of its best path, and the edits and losses of the next ones."""
         lists = units_of(texts, self.pieces)
-        codes = self.codes(lists.flatten())
+        units = lists.flatten()
+        codes = self.codes(units)
         sizes = self.ids.size[codes]
         ids, ends, loss = self.ids.take(codes), np.cumsum(sizes), self.loss.take(codes)
         score = self.score.take(codes)
         last = 0
-        for end in list_ends(lists):
-            some = slice(last, int(end))
+        for end in list_ends(lists).tolist():
+            some = slice(last, end)
             first = int(ends[last] - sizes[last])
-            # The units that lose least, the first of those that lose as much.
-            near = np.argsort(loss[some], kind="stable") if end - last < 64 else _least(loss[some], self.n - 1)
             paths = [(0.0, [])]
-            for place in near[: self.n - 1]:
+            # Only the units that lose least can differ from their best path.
+            for place in _least(loss[some], self.n - 1):
                 at = last + int(place)
-                more = [(lost, (int(ends[at] - sizes[at]) - first, int(ends[at]) - first, other)) for lost, other in self.others[codes[at]]]
-                paths = sorted(paths + [(a + lost, [*edits, edit]) for a, edits in paths for lost, edit in more], key=lambda p: p[0])
+                (top, _), *others = n_best(units[at].as_py(), self.pieces, self.n)
+                where = int(ends[at] - sizes[at]) - first, int(ends[at]) - first
+                more = [(top - found, (*where, other)) for found, other in others]
+                paths = sorted(paths + [(a + lost, [*edits, edit]) for a, edits in paths for lost, edit in more], key=_total)
                 paths = paths[: self.n]
             yield ids[first : int(ends[end - 1])], float(score[some].sum()), paths[1:]
-            last = int(end)
+            last = end
 
 
 def _least(values: np.ndarray, n: int) -> np.ndarray:
-    """Places of the ``n`` least values, by value and place."""
+    """Places of the ``n`` least finite values, by value and place."""
+    n = min(n, len(values))
     bound = np.partition(values, n - 1)[n - 1] if n else -np.inf
-    places = np.flatnonzero(values <= bound)
+    places = np.flatnonzero((values <= bound) & (values < np.inf))
     return places[np.argsort(values[places], kind="stable")][:n]
 
 
@@ -208,16 +247,16 @@ def encode(docs: DataFrame, model_path: str, n: int = N_BEST, id_col: str = "doc
     def read(batches):
         paths = worker_cache(f"pieces {n} {model_path}", lambda: UnitPaths(Pieces(model_path), n))
         for batch in batches:
-            ids, scores, others = [], [], []
-            for texts in slices(batch.column(1)):
-                for best, score, more in paths(texts):
-                    ids.append(best)
-                    scores.append(score)
-                    others.append([{"score": score - lost, "edits": _sorted(edits)} for lost, edits in more])
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            values = np.concatenate(ids) if ids else np.empty(0, np.int32)
-            arrays = [batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32())), pa.array(scores, pa.float64()), pa.array(others, _EDITS)]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "ids", "score", "others"])
+            start = 0
+            for texts in slices(batch.column(1), _TOGETHER):
+                found = list(paths(texts))
+                offsets = np.concatenate([[0], np.cumsum([len(ids) for ids, _, _ in found])]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([ids for ids, _, _ in found]), pa.int32()))
+                scores = pa.array([score for _, score, _ in found], pa.float64())
+                others = [[{"score": score - lost, "edits": _sorted(edits)} for lost, edits in more] for _, score, more in found]
+                own = batch.column(0).slice(start, len(found))
+                start += len(found)
+                yield pa.RecordBatch.from_arrays([own, ids, scores, pa.array(others, _EDITS)], ["doc_id", "ids", "score", "others"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -244,7 +283,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
 
     def read(batches):
         raw = Lists(np.uint8)
-        raw.add([list(data) for data in Pieces(model_path).raw], 0)
+        raw.add([list(data) for data in piece_bytes(sentencepiece.SentencePieceProcessor(model_file=model_path))], 0)
         for batch in batches:
             texts, lists = [], batch.column(place)
             for start in range(0, len(lists), 256):
