@@ -3,8 +3,8 @@
 A sequence of the network is a word with a space on either side, so its state starts anew
 where a word does, and a position's label depends on its word alone. Each task therefore runs the
 network once for a distinct word and adds up, for a text, the evidence of all
-positions of all its words; a word longer than ``SPAN`` bytes is cut into spans, none is left
-out. The pooled probability of a text is that of its mean evidence by word.
+positions of all its words; a word longer than ``SPAN`` bytes is cut into spans between its
+characters, in training as well, none is left out. The pooled probability of a text is that of its mean evidence by word.
 """
 
 import uuid
@@ -29,6 +29,17 @@ _MARKED = r"(\p{L})([^\p{L}\p{M}\s])"
 _WORD_LIMIT = 300_000
 
 
+def pieces(data: bytes) -> list[bytes]:
+    """The bytes of a word, cut between characters into runs of at most ``SPAN``."""
+    cut = [0]
+    while len(data) - cut[-1] > SPAN:
+        end = cut[-1] + SPAN
+        while data[end] & 0xC0 == 0x80:
+            end -= 1
+        cut.append(end)
+    return [data[a:b] for a, b in zip(cut, [*cut[1:], len(data)])]
+
+
 def spans_of(words: list[str]) -> tuple[list[bytes], np.ndarray]:
     """The spans of words, each between two spaces, and the word each span is of."""
     spans, owner = [], []
@@ -38,8 +49,8 @@ def spans_of(words: list[str]) -> tuple[list[bytes], np.ndarray]:
             spans.append(b" " + data + b" ")
             owner.append(number)
         else:
-            cut = range(0, len(data), SPAN)
-            spans += [b" " + data[start : start + SPAN] + b" " for start in cut]
+            cut = pieces(data)
+            spans += [b" " + piece + b" " for piece in cut]
             owner += [number] * len(cut)
     return spans, np.array(owner, np.int64)
 
@@ -99,7 +110,10 @@ class WordEvidence:
 
 
 def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, learn_from: Column) -> list[tuple[str, str]]:
-    """(language, word) pairs of a bounded sample of the rows that may be learnt from."""
+    """(language, word) pairs of a bounded sample of the rows that may be learnt from.
+
+    Of a long word its pieces are sampled, each as a word, so that scripts without spaces are learnt too.
+    """
     rows = docs.filter(learn_from & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("key"))
     counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
@@ -116,13 +130,14 @@ def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, learn_fr
             langs, words = [], []
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words_of = fold(pa.array([text]))[0].as_py().split()
-                found = sorted(set(words_of), key=lambda w: (xxhash.xxh64_intdigest(w), w))[:TRAINING_WORDS]
+                cut = {piece.decode() for word in set(words_of) for piece in pieces(word.encode())}
+                found = sorted(cut, key=lambda w: (xxhash.xxh64_intdigest(w), w))[:TRAINING_WORDS]
                 langs += [lang] * len(found)
                 words += found
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.string())], ["lang", "word"])
 
     pairs = picked.select("lang", "text").mapInArrow(read, "lang string, word string")
-    pairs = pairs.filter(F.octet_length("word") <= SPAN).withColumn("key", F.xxhash64("lang", "word"))
+    pairs = pairs.withColumn("key", F.xxhash64("lang", "word"))
     most = 2 * TRAINING_DOCS * TRAINING_WORDS * len(counts)
     return [(row.lang, row.word) for row in pairs.orderBy("key", "lang", "word").limit(most).collect()]
 

@@ -1,12 +1,14 @@
 """The recurrent network against finite differences, and languages on held-out documents."""
 
+import random
+
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from barloom.llm.bigru import BiGru
-from barloom.llm.language import SPAN, WordEvidence, fold, predict_language, sequences, train
+from barloom.llm.language import SPAN, WordEvidence, fold, predict_language, sequences, spans_of, train
 from barloom.llm.queries import op7_language_id
 from tests.llm.cases import LONG, TEXTS, documents
 
@@ -66,3 +68,32 @@ def test_nothing_to_learn_from(spark):
     assert {r.lang_pred for r in predict_language(documents(spark), F.lit(False)).collect()} == {"und"}
     assert predict_language(documents(spark, []), F.lit(True)).count() == 0
     assert train([]) is None
+
+
+def unspaced(lang, first, last, docs, seed):
+    """Documents of a script without spaces: every clause is far longer than a span."""
+    draw = random.Random(seed)
+    letters = [chr(c) for c in range(first, last) if chr(c).isalpha()]
+    clause = lambda: "".join(draw.choices(letters, k=draw.randint(25, 60)))
+    return [(draw.getrandbits(40), "。".join(clause() for _ in range(5)), lang) for _ in range(docs)]
+
+
+def test_languages_without_spaces(spark):
+    """A language whose words are all longer than a span is learnt and predicted like any other."""
+    spaced = [(10**13 + k, " ".join(random.Random(k).choices(LONG.split()[:500], k=40)), "en") for k in range(120)]
+    rows = spaced + unspaced("zh", 0x4E00, 0x4F00, 120, 1) + unspaced("th", 0xE01, 0xE2F, 120, 2)
+    assert all(len(w.encode()) > SPAN for _, text, lang in rows if lang != "en" for w in fold(pa.array([text]))[0].as_py().split() if w != "。")
+    learn_from = F.crc32(F.col("doc_id").cast("string")) % 3 != 1
+    docs = documents(spark, rows)
+    found = predict_language(docs, learn_from).join(docs.select("doc_id", "lang"), "doc_id").filter(~learn_from).collect()
+    assert {r.lang for r in found} == {"en", "zh", "th"}
+    for lang in ("en", "zh", "th"):
+        assert np.mean([r.lang_pred == lang for r in found if r.lang == lang]) >= 0.9, lang
+
+
+def test_spans_hold_whole_characters():
+    words = ["汉" * 25, "a" + "é" * 40, "x" * 61, "a" + "😀" * 9, "short"]
+    spans, owner = spans_of(words)
+    assert all(len(span) <= SPAN + 2 for span in spans)
+    for number, word in enumerate(words):
+        assert "".join(span[1:-1].decode() for span, of in zip(spans, owner) if of == number) == word
