@@ -16,17 +16,25 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barloom.llm.bigru import BiGru
-from barloom.llm.words import WordCodes, list_ends, slices, space_split, worker_cache
+from barloom.llm.words import SLICE_BYTES, WordCodes, list_ends, slices, space_split, worker_cache
+from barloom.operators.keyed import landed
 
 #: Bytes of a sequence without its two spaces, and the sequences that run together.
 SPAN, TOGETHER = 30, 1024
-#: Bounds of the training sample: documents by language (more or less), words by document,
-#: languages, and passes over the sample.
-TRAINING_DOCS, TRAINING_WORDS, MOST_LANGUAGES, EPOCHS = 400, 32, 64, 4
+#: Bounds of the training sample: documents by language (more or less) and of all languages,
+#: words by document, and passes over the sample. Each language has one document at least.
+TRAINING_DOCS, ALL_DOCS, TRAINING_WORDS, EPOCHS = 400, 25_600, 32, 4
 UNKNOWN = "und"
 _PAD = 256
 _MARKED = r"(\p{L})([^\p{L}\p{M}\s])"
-_WORD_LIMIT = 300_000
+#: Languages up to which a task's tables, slices and sequences have their full size; beyond, they
+#: shrink as the languages grow. Places of the hash that documents are sampled by.
+_WORD_LIMIT, _FULL = 300_000, 64
+_PLACES = 1 << 40
+
+
+def _fewer(size: int, classes: int) -> int:
+    return max(1, size * _FULL // max(_FULL, classes))
 
 
 def pieces(data: bytes) -> list[bytes]:
@@ -73,8 +81,9 @@ class WordEvidence:
     """Evidence for each language by distinct word."""
 
     def __init__(self, net: BiGru, classes: int):
-        self.net, self.rows = net, np.zeros((1 << 14, classes))
-        self.codes = WordCodes(self._learn, self._keep, _WORD_LIMIT)
+        self.net, self.rows = net, np.zeros((_fewer(1 << 14, classes), classes))
+        self.together = _fewer(TOGETHER, classes)
+        self.codes = WordCodes(self._learn, self._keep, _fewer(_WORD_LIMIT, classes))
 
     def _learn(self, words, first):
         while first + len(words) > len(self.rows):
@@ -83,8 +92,8 @@ class WordEvidence:
         spans, owner = spans_of(words)
         sizes = np.fromiter(map(len, spans), np.int64, len(spans))
         order = np.argsort(-sizes, kind="stable")
-        for start in range(0, len(order), TOGETHER):
-            some = order[start : start + TOGETHER]
+        for start in range(0, len(order), self.together):
+            some = order[start : start + self.together]
             width = int(sizes[some[0]])
             data = b"".join(spans[k].ljust(width, b"\0") for k in some.tolist())
             x = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(len(some), width).T)
@@ -112,33 +121,39 @@ class WordEvidence:
 def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, learn_from: Column) -> list[tuple[str, str]]:
     """(language, word) pairs of a bounded sample of the rows that may be learnt from.
 
-    Of a long word its pieces are sampled, each as a word, so that scripts without spaces are learnt too.
+    Every language has a document at least. Of a long word its pieces are sampled, each as a word, so
+    that scripts without spaces are learnt too.
     """
     rows = docs.filter(learn_from & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("key"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
-    if not counts:
+    key = F.xxhash64(id_col, text_col)
+    rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), key.alias("key"))
+    place = F.pmod(F.col("key"), F.lit(_PLACES))
+    counts = landed(rows.groupBy("lang").agg(F.count("*").alias("n"), F.min(place).alias("least")), "languages")
+    languages = counts.count()
+    if not languages:
         return []
     # A share of the keys by language: as many documents of a rare one as of a common one.
-    share = F.lit(0.0)
-    for row in counts:
-        share = F.when(F.col("lang") == row["lang"], F.lit(min(1.0, TRAINING_DOCS / row["n"]))).otherwise(share)
-    picked = rows.filter(F.pmod(F.col("key"), F.lit(1 << 20)) < share * (1 << 20))
+    each = max(1.0, min(TRAINING_DOCS, ALL_DOCS / languages))
+    upto = F.greatest(F.least(F.lit(1.0), F.lit(each) / F.col("n")) * _PLACES, F.col("least") + 1.0)
+    picked = rows.join(F.broadcast(counts.select("lang", upto.alias("upto"))), "lang").filter(place < F.col("upto"))
 
     def read(batches):
         for batch in batches:
-            langs, words = [], []
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            langs, keys, words = [], [], []
+            for lang, text, key in zip(*(column.to_pylist() for column in batch.columns)):
                 words_of = fold(pa.array([text]))[0].as_py().split()
                 cut = {piece.decode() for word in set(words_of) for piece in pieces(word.encode())}
                 found = sorted(cut, key=lambda w: (xxhash.xxh64_intdigest(w), w))[:TRAINING_WORDS]
                 langs += [lang] * len(found)
+                keys += [key] * len(found)
                 words += found
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.string())], ["lang", "word"])
+            columns = [pa.array(langs, pa.string()), pa.array(keys, pa.int64()), pa.array(words, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "doc", "word"])
 
-    pairs = picked.select("lang", "text").mapInArrow(read, "lang string, word string")
-    pairs = pairs.withColumn("key", F.xxhash64("lang", "word"))
-    most = 2 * TRAINING_DOCS * TRAINING_WORDS * len(counts)
+    # Rows that repeat count once, so they take no other language's place.
+    pairs = picked.select("lang", "text", "key").mapInArrow(read, "lang string, doc long, word string").distinct()
+    pairs = pairs.select("lang", "word", F.xxhash64("lang", "word").alias("key"))
+    most = int(2 * each * TRAINING_WORDS * languages)
     return [(row.lang, row.word) for row in pairs.orderBy("key", "lang", "word").limit(most).collect()]
 
 
@@ -148,7 +163,8 @@ def train(pairs: list[tuple[str, str]], seed: int = 0) -> tuple[BiGru, list[str]
     if not languages:
         return None
     x, mask, owner = sequences([word for _, word in pairs])
-    y = np.array([languages.index(lang) for lang, _ in pairs])[owner]
+    place = {lang: k for k, lang in enumerate(languages)}
+    y = np.array([place[lang] for lang, _ in pairs])[owner]
     net = BiGru(len(languages), seed)
     net.fit(x, mask, y, EPOCHS)
     return net, languages
@@ -172,7 +188,7 @@ def predict_language(
         evidence = worker_cache(name, lambda: WordEvidence(model.value[0], len(languages))) if languages else None
         for batch in batches:
             found, scores = [], []
-            for texts in slices(batch.column(1)):
+            for texts in slices(batch.column(1), _fewer(SLICE_BYTES, len(languages))):
                 letters = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
                 if evidence is None:
                     letters[:] = False

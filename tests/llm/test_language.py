@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.llm.bigru import BiGru
-from barloom.llm.language import SPAN, WordEvidence, fold, predict_language, sequences, spans_of, train
+from barloom.llm.language import SPAN, WordEvidence, _sample, fold, predict_language, sequences, spans_of, train
 from barloom.llm.queries import op7_language_id
 from tests.llm.cases import LONG, TEXTS, documents
 
@@ -97,3 +97,22 @@ def test_spans_hold_whole_characters():
     assert all(len(span) <= SPAN + 2 for span in spans)
     for number, word in enumerate(words):
         assert "".join(span[1:-1].decode() for span, of in zip(spans, owner) if of == number) == word
+
+
+def test_every_language_is_learnt(spark):
+    """70 languages, the last 6 rarer than the others, each in 64 letters of its own."""
+    draw, rows = random.Random(5), []
+    for k in range(70):
+        letters = [chr(0x4E00 + 64 * k + j) for j in range(64)]
+        for _ in range(20 if k < 64 else 14):
+            words = ["".join(draw.choices(letters, k=3)) for _ in range(32)]
+            rows.append((draw.getrandbits(40), " ".join(words), f"l{k:02}"))
+    rows += [(3, "q w", "once")] + [(4, "汉字 q", "copies")] * 3000
+    learn_from = (F.crc32(F.col("doc_id").cast("string")) % 3 != 1) | (F.col("doc_id") < 5)
+    docs = documents(spark, rows)
+    pairs = _sample(docs, "doc_id", "text", "lang", learn_from)
+    assert {lang for lang, _ in pairs} == {lang for _, _, lang in rows}
+    assert sum(lang == "copies" for lang, _ in pairs) <= 2
+    found = predict_language(docs, learn_from).join(docs.select("doc_id", "lang"), "doc_id").filter(~learn_from).collect()
+    rare = [r.lang_pred == r.lang for r in found if r.lang >= "l64"]
+    assert len(rare) > 10 and np.mean(rare) >= 0.5
