@@ -143,7 +143,8 @@ def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, learn_fr
             for lang, text, key in zip(*(column.to_pylist() for column in batch.columns)):
                 words_of = fold(pa.array([text]))[0].as_py().split()
                 cut = {piece.decode() for word in set(words_of) for piece in pieces(word.encode())}
-                found = sorted(cut, key=lambda w: (xxhash.xxh64_intdigest(w), w))[:TRAINING_WORDS]
+                seed = key % (1 << 64)  # each document has an order of its own, so common words do not crowd out others
+                found = sorted(cut, key=lambda w: (xxhash.xxh64_intdigest(w, seed), w))[:TRAINING_WORDS]
                 langs += [lang] * len(found)
                 keys += [key] * len(found)
                 words += found

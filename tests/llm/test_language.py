@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.llm.bigru import BiGru
-from barloom.llm.language import SPAN, WordEvidence, _sample, fold, predict_language, sequences, spans_of, train
+from barloom.llm.language import SPAN, TRAINING_WORDS, WordEvidence, _sample, fold, predict_language, sequences, spans_of, train
 from barloom.llm.queries import op7_language_id
 from tests.llm.cases import LONG, TEXTS, documents
 
@@ -82,7 +82,8 @@ def test_languages_without_spaces(spark):
     """A language whose words are all longer than a span is learnt and predicted like any other."""
     spaced = [(10**13 + k, " ".join(random.Random(k).choices(LONG.split()[:500], k=40)), "en") for k in range(120)]
     rows = spaced + unspaced("zh", 0x4E00, 0x4F00, 120, 1) + unspaced("th", 0xE01, 0xE2F, 120, 2)
-    assert all(len(w.encode()) > SPAN for _, text, lang in rows if lang != "en" for w in fold(pa.array([text]))[0].as_py().split() if w != "。")
+    clauses = [w for _, text, lang in rows if lang != "en" for w in fold(pa.array([text]))[0].as_py().split() if w != "。"]
+    assert all(len(w.encode()) > SPAN for w in clauses)
     learn_from = F.crc32(F.col("doc_id").cast("string")) % 3 != 1
     docs = documents(spark, rows)
     found = predict_language(docs, learn_from).join(docs.select("doc_id", "lang"), "doc_id").filter(~learn_from).collect()
@@ -116,3 +117,12 @@ def test_every_language_is_learnt(spark):
     found = predict_language(docs, learn_from).join(docs.select("doc_id", "lang"), "doc_id").filter(~learn_from).collect()
     rare = [r.lang_pred == r.lang for r in found if r.lang >= "l64"]
     assert len(rare) > 10 and np.mean(rare) >= 0.5
+
+
+def test_documents_give_different_words(spark):
+    """Documents that share their words do not all give the same 32 of them."""
+    words = [f"w{k}" for k in range(300)]
+    docs = documents(spark, [(k, " ".join(words), "en") for k in range(60)])
+    pairs = _sample(docs, "doc_id", "text", "lang", F.lit(True))
+    assert len(pairs) == 60 * TRAINING_WORDS
+    assert len({word for _, word in pairs}) > 200
