@@ -233,7 +233,7 @@ def op8_chat_format(spark, folder):
 
 @query("op4_piece_lattice")
 def op4_piece_lattice(spark, folder):
-    """The best paths of each text, and whether its text comes back from them."""
+    """The best paths of each text, what its ids decode to, and whether that is the text."""
     model, text = public_tokenizers.path("piece_bpe_32k.model"), F.coalesce("text", F.lit(""))
     key = F.struct("doc_id", F.xxhash64(text).alias("text_hash")).alias("key")
     docs = table(spark, folder, "documents").select(key, "text")
@@ -247,4 +247,7 @@ def op4_piece_lattice(spark, folder):
         F.get("others", F.lit(0))["score"].alias("second_score"),
         F.sha2(F.encode(F.to_json("others"), "UTF-8"), 256).alias("others_sha256"),
         (F.xxhash64("decoded") == F.col("doc_id.text_hash")).alias("round_trip"),
+        "ids",
+        "others",
+        "decoded",
     )

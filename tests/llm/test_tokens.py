@@ -1,5 +1,6 @@
 """Token counts, packing and the piece lattice against the libraries and plain search."""
 
+import hashlib
 import itertools
 import zlib
 from collections import defaultdict
@@ -12,6 +13,7 @@ from hypothesis import given, settings, strategies as st
 
 from barloom.llm.packing import WordIds, fill_patterns, nonnegative_least_squares, pack, plan_sequences
 from barloom.llm.piece_lattice import Pieces, UnitPaths, apply_edits, decode, encode, lattice, n_best, units_of
+from barloom.llm.queries import op4_piece_lattice
 from barloom.llm.token_counts import RunLengths, load_tokenizer, token_counts
 from barloom.llm.words import WordCodes
 from tests.llm.cases import TEXTS, documents
@@ -174,3 +176,16 @@ def test_encode_and_decode(spark, pieces):
             ids = apply_edits(row.ids, [e.asDict() for e in other.edits])
             assert b"".join(pieces.raw[k] for k in ids).decode()[1:] == row.decoded and ids != row.ids
     assert encode(documents(spark, []), MODEL).count() == 0
+
+
+def test_piece_lattice_query_returns_paths_and_texts(spark):
+    """The paths and the decoded text stand beside their digests and agree with them."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    rows = op4_piece_lattice(spark, folder).join(docs, "doc_id").collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert hashlib.sha256(" ".join(map(str, r.ids)).encode()).hexdigest() == r.ids_sha256
+        assert (len(r.ids), len(r.others) + 1) == (r.n_pieces, r.n_paths)
+        assert (r.decoded == (r.text or "")) == r.round_trip
+        assert r.second_score == (r.others[0]["score"] if r.others else None)
