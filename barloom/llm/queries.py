@@ -1,38 +1,22 @@
 """The queries of these operators over whole tables, and their SQL where SQL can say it."""
 
-from collections.abc import Callable
-
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import functions as F
 
+import barloom.llm.vector_queries  # noqa: F401  (registers its queries)
 from barloom.llm.chat import format_trees, linear_trees, read_back
 from barloom.llm.exact_dedup import exact_groups
 from barloom.llm.language import predict_language
 from barloom.llm.near_dedup import near_groups
 from barloom.llm.packing import pack
+from barloom.llm.phrases import collocations
 from barloom.llm.piece_lattice import decode, encode
 from barloom.llm.quality import judged
+from barloom.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from barloom.llm.secrets import find_secrets
 from barloom.llm.token_counts import token_counts
 from barloom.llm.url_filter import filter_urls
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def register(build):
-        QUERIES[name] = build
-        if sql is not None:
-            ORACLES[name] = sql
-        return build
-
-    return register
-
-
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
 
 @query(
     "op1_exact_dedup",
@@ -251,3 +235,48 @@ def op4_piece_lattice(spark, folder):
         "others",
         "decoded",
     )
+
+
+@query(
+    "op12_phrase_collocations",
+    r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+        FROM documents
+    ), w AS (
+        SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+    ), f1 AS MATERIALIZED (
+        SELECT lang, x AS w1, count(*) AS f FROM (SELECT lang, unnest(w) AS x FROM w) GROUP BY ALL
+    ), f2 AS MATERIALIZED (
+        SELECT lang, w[i] AS w1, w[i + 1] AS w2, count(*) AS f
+        FROM (SELECT lang, w, unnest(range(1, len(w))) AS i FROM w) GROUP BY ALL
+    ), f3 AS MATERIALIZED (
+        SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3, count(*) AS f
+        FROM (SELECT lang, w, unnest(range(1, len(w) - 1)) AS i FROM w) GROUP BY ALL HAVING count(*) >= 10
+    ), cuts AS (
+        SELECT f2.lang, w1 || ' ' || f2.w2 AS phrase, f2.f AS a, 1 AS k, x.f AS l, y.f AS r
+        FROM f2 JOIN f1 x USING (lang, w1) JOIN f1 y ON y.lang = f2.lang AND y.w1 = f2.w2 WHERE f2.f >= 10
+        UNION ALL
+        SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, 1, x.f, y.f
+        FROM f3 t JOIN f1 x ON x.lang = t.lang AND x.w1 = t.w1 JOIN f2 y ON y.lang = t.lang AND y.w1 = t.w2 AND y.w2 = t.w3
+        UNION ALL
+        SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, 2, x.f, y.f
+        FROM f3 t JOIN f2 x ON x.lang = t.lang AND x.w1 = t.w1 AND x.w2 = t.w2 JOIN f1 y ON y.lang = t.lang AND y.w1 = t.w3
+    ), scored AS (
+        SELECT lang, phrase, a, min(struct_pack(s := ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT, k := k, l := l, r := r)) AS b
+        FROM cuts GROUP BY ALL
+    ), inside AS (
+        SELECT lang, phrase, max(f) AS most FROM (
+            SELECT lang, w1 || ' ' || w2 AS phrase, f FROM f3 UNION ALL SELECT lang, w2 || ' ' || w3, f FROM f3
+        ) GROUP BY ALL
+    ), ranked AS (
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY b.s DESC, a DESC, phrase) AS rank, phrase, a, b.l AS l, b.r AS r, b.s AS score
+        FROM scored LEFT JOIN inside USING (lang, phrase) WHERE most IS NULL OR 100 * most < 50 * a
+    )
+    SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score
+    FROM ranked JOIN (SELECT lang, sum(f) AS n FROM f1 GROUP BY ALL) USING (lang) WHERE rank <= 2000
+    """,
+)
+def op12_phrase_collocations(spark, folder):
+    return collocations(table(spark, folder, "documents"))
