@@ -25,13 +25,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from barloom.operators.keyed import landed, top_k
 
 #: Neighbours of a node, reverse ones in its list, offers a node gets from one list, slots of offers.
-NEIGHBOURS, REVERSE, OFFERS, SLOTS = 16, 12, 4, 64
+NEIGHBOURS, REVERSE, OFFERS, SLOTS = 32, 24, 6, 128
 #: Rounds end when fewer than this share of neighbours is new, or after so many rounds.
-SETTLED, ROUNDS = 0.002, 16
+SETTLED, ROUNDS = 0.01, 16
 #: Members of a starting group, on average.
-_GROUP = 32
+_GROUP = 64
 #: Entry nodes of a search, starts a query takes from them, beam, nodes expanded a round.
-ENTRIES, STARTS, BEAM, WIDTH = 256, 4, 48, 8
+ENTRIES, STARTS, BEAM, WIDTH = 256, 4, 128, 24
 _CHUNK = 256
 _NBRS = "array<struct<score:float,id:bigint,fresh:boolean>>"
 _SEEN = "array<struct<score:double,node:bigint,done:boolean>>"
@@ -111,7 +111,7 @@ def _compare(lists: DataFrame, most: int) -> DataFrame:
                 fit = real[:, :, None] & real[:, None, :] & (fresh[at][:, :, None] | fresh[at][:, None, :])
                 fit &= (ids[at][:, :, None] != ids[at][:, None, :]) & (scores > least[at][:, :, None])
                 scores[~fit] = -9
-                best = np.argsort(-scores, axis=2, kind="stable")[:, :, :most]
+                best = np.argpartition(-scores, min(most, len(wide)) - 1, axis=2)[:, :, :most]
                 top = np.take_along_axis(scores, best, axis=2)
                 group, row, place = np.nonzero(top > -9)
                 other = best[group, row, place]
@@ -171,7 +171,8 @@ def _descended(graph: DataFrame, most: int, reverse: int, salt: int) -> DataFram
     members = lists.select(F.col("node").alias("of"), F.explode("list").alias("e")).select("of", "e.id", "e.fresh")
     least = F.when(F.size("nbrs") == most, F.element_at("nbrs", -1)["score"]).otherwise(F.lit(-2.0).cast("float"))
     vectors = graph.select(F.col("node").alias("id"), least.alias("least"), "unit")
-    met = members.join(vectors, "id").groupBy("of").agg(F.collect_list(F.struct("id", "fresh", "least", "unit")).alias("members"))
+    tasks = int(graph.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # comparing costs more than its bytes tell
+    met = members.join(vectors, "id").repartition(tasks, "of").groupBy("of").agg(F.collect_list(F.struct("id", "fresh", "least", "unit")).alias("members"))
     offers = _compare(met, OFFERS)
     slot = F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(SLOTS)).alias("slot")
     best = offers.groupBy("to", slot).agg(F.max(F.struct("score", "id")).alias("e")).select("to", "e.score", "e.id")

@@ -143,11 +143,12 @@ def compress(
     size = [row.n for row in least.select(F.size("vector").alias("n")).collect()]
     rows = rows.filter(F.size("vector") == (size[0] if size else 0))
     books = codebooks_of(rows, parts, entries, rounds, scale)
+    width = 1 if books is None else books.shape[2]  # without codebooks there are no rows
     shared = rows.sparkSession.sparkContext.broadcast(books)
 
     def code(batches):
         books = shared.value
-        for some, numbers in _batches(batches, 2, scale, books.shape[2]):
+        for some, numbers in _batches(batches, 2, scale, width):
             cut = numbers.reshape(len(numbers), parts, -1)
             found = [nearest(cut[:, part], books[part]) for part in range(parts)]
             codes = np.stack([entry for entry, _ in found], axis=1)
