@@ -88,22 +88,22 @@ class PhraseTrie:
         return {"groups": self.groups, "numbers": self.numbers, "base": base, "check": check, "ends": self.ends, "depth": self.depth}
 
 
-def walk(trie: dict, group: str, numbers: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """End states of all phrases of the trie in a text, overlaps included.
+def walk(trie: dict, group: str, numbers: np.ndarray, starts: int) -> np.ndarray:
+    """End states of all phrases of the trie in rows of word numbers, overlaps included.
 
-    ``numbers`` are the word numbers of the text's distinct words, ``codes`` the words of the text as
-    places in them, -1 where a piece ends. All positions go down one level at a time.
+    ``numbers`` are those of words, a row of them in each row, 0 where a piece ends. A phrase may start
+    at the first ``starts`` places of a row. All places go down one level at a time.
     """
     base, check, known = trie["base"], trie["check"], trie["numbers"]
     if group not in trie["groups"] or not len(known):
         return np.empty(0, np.int64)
-    place = np.minimum(np.searchsorted(known, numbers), len(known) - 1)
-    labels = np.append(np.where(known[place] == numbers, place, -1), -1)[codes]  # code -1 is the last
-    at = np.flatnonzero(labels >= 0)
+    flat = numbers.ravel()
+    place = np.minimum(np.searchsorted(known, flat), len(known) - 1)
+    labels = np.where(known[place] == flat, place, -1)
+    at = np.flatnonzero(labels.reshape(numbers.shape)[:, :starts] >= 0)
+    at += at // starts * (numbers.shape[1] - starts)
     state = np.full(len(at), base[0] + trie["groups"][group], np.int64)
     for level in range(trie["depth"]):
-        inside = at + level < len(labels)
-        at, state = at[inside], state[inside]
         label = labels[at + level]
         child = base[state] + label
         real = (label >= 0) & (child > 0) & (child < len(check))

@@ -1,16 +1,17 @@
 """Phrase collocations by counting candidates in double-array tries.
 
-Texts are read once, into blocks: the distinct words of a run of texts of one language,
-and its words as places among them. All later passes read the blocks.
+Texts are read once, into short rows of word numbers (64-bit hashes, checked to be different for
+all words of a language), with the words behind them; all later passes read these rows.
+A row also holds the first words of the next one, so that no phrase is lost between them.
 
 1. Words are counted; those below the least count are out.
 2. A phrase can only be frequent if both its parts (all but its last and all but its first word) are.
    A bitmap of fixed size of the frequent ones (a superset: two may share a bit) goes to
    all tasks. Phrases seen whose parts are both in it, and whose occurrences, summed with
-   each block's count cut at the least count, reach that count, are the candidates. Nothing
+   each task's counts cut at the least count, reach that count, are the candidates. Nothing
    that could be frequent is lost; the cut sums serve for nothing else.
 3. Candidates are built into double-array tries of a bounded number of phrases, as many as
-   it takes. Each is broadcast; every task walks all positions of a block through it at
+   it takes. Each is broadcast; every task walks all positions of many rows through it at
    once, level by level, and counts end states with ``bincount``; Spark adds up the tasks.
 
 Steps 2 and 3 are repeated for each length. Scoring joins the counts by phrase.
@@ -24,17 +25,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barloom.llm.phrase_trie import PhraseTrie, walk
 from barloom.llm.words import absent_mark, slices
-from barloom.operators.keyed import landed, top_k
+from barloom.operators.keyed import landed, scratch_path, top_k
 
 #: Phrases of a trie at most, and bits of the bitmap.
-TRIE_PHRASES, BITS = 1 << 19, 1 << 26
-#: Bytes of text in a block, unless one text is longer.
-BLOCK_BYTES = 8 << 20
+TRIE_PHRASES, BITS = 1 << 21, 1 << 26
+#: Bytes of text cut at a time, unless one text is longer, and words in a row.
+SLICE_BYTES, ROW_WORDS = 4 << 20, 512
+#: Rows of words that are worked on at a time, and rows that a task sends at a time.
+_TOGETHER, _ROWS = 2048, 1 << 16
 _END = r"[.,;:!?\x0A-\x0D]"
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
-# Blocks
+# Rows of words
 
 
 def _words(texts: pa.Array) -> pa.DictionaryArray:
@@ -46,147 +49,179 @@ def _words(texts: pa.Array) -> pa.DictionaryArray:
     return pc.if_else(pc.equal(words, mark), pa.scalar(None, words.type), words).dictionary_encode()
 
 
-def blocks(docs: DataFrame, text_col: str, lang_col: str, seed: int) -> DataFrame:
-    """(lang, words, numbers, codes): distinct words, their 64-bit numbers, and the text as places in them."""
+def _dealt(values: pa.Array, rows: int) -> pa.Array:
+    """``values`` as ``rows`` lists."""
+    ends = np.linspace(0, len(values), rows + 1).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), values)
+
+
+def word_rows(docs: DataFrame, text_col: str, lang_col: str, longest: int, seed: int) -> DataFrame:
+    """(lang, numbers, words, word_numbers, counts) of runs of ``ROW_WORDS`` words.
+
+    ``numbers`` holds 64-bit word numbers, 0 where a piece ends, and those of the next words as far as
+    a phrase can reach. The distinct words of a slice of texts, with their numbers and
+    counts, are dealt over its rows.
+    """
+    width = ROW_WORDS + longest - 1
 
     def cut(batches):
         for batch in batches:
             for lang in pc.unique(batch.column(0)).to_pylist():
-                for texts in slices(batch.column(1).filter(pc.equal(batch.column(0), lang)), BLOCK_BYTES):
+                for texts in slices(batch.column(1).filter(pc.equal(batch.column(0), lang)), SLICE_BYTES):
                     found = _words(texts)
-                    words = found.dictionary
-                    numbers = np.array([xxhash.xxh64_intdigest(w, seed) for w in words.to_pylist()], np.uint64)
-                    codes = pc.fill_null(found.indices, -1).to_numpy().astype("<i4")
-                    columns = [[lang], [words], [numbers.tobytes()], [codes.tobytes()]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
-
-    names, kinds = ["lang", "words", "numbers", "codes"], [pa.string(), pa.list_(pa.string()), pa.binary(), pa.binary()]
-    rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(cut, "lang string, words array<string>, numbers binary, codes binary")
-
-
-def _read(batches):
-    """(lang, word numbers, codes) of each block."""
+                    own = np.array([xxhash.xxh64_intdigest(w, seed) or 1 for w in found.dictionary.to_pylist()], np.uint64)
+                    codes = pc.fill_null(found.indices, len(own)).to_numpy()
+                    rows = -(-len(codes) // ROW_WORDS)
+                    numbers = np.append(own, np.uint64(0))[codes]
+                    numbers = np.append(numbers, np.zeros(rows * ROW_WORDS + longest - len(numbers), np.uint64))
+                    wide = numbers[np.arange(rows)[:, None] * ROW_WORDS + np.arange(width)]
+                    ends = pa.py_buffer((np.arange(rows + 1) * width * 8).astype(np.int32))
+                    counts = np.bincount(codes, minlength=len(own) + 1)[: len(own)]
+                    columns = [
+                        pa.repeat(pa.scalar(lang), rows),
+                        pa.Array.from_buffers(pa.binary(), rows, [None, ends, pa.py_buffer(wide)]),
+                        _dealt(found.dictionary, rows),
+                        _dealt(pa.array(own.view(np.int64)), rows),
+                        _dealt(pa.array(counts), rows),
+                    ]
+                    table = pa.RecordBatch.from_arrays(columns, names)
+                    for first in range(0, rows, _TOGETHER):
+                        yield table.slice(first, _TOGETHER)
+
+    names = ["lang", "numbers", "words", "word_numbers", "counts"]
+    lang, text = F.coalesce(F.col(lang_col).cast("string"), F.lit("und")), F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(lang.alias("lang"), text.alias("text"))
+    kinds = "lang string, numbers binary, words array<string>, word_numbers array<long>, counts array<long>"
+    return rows.mapInArrow(cut, kinds)
+
+
+def _read(batches, longest: int):
+    """(lang, numbers) of many rows at a time: a row of numbers each."""
     for batch in batches:
-        for k in range(batch.num_rows):
-            numbers = np.frombuffer(batch.column("numbers")[k].as_py(), np.uint64)
-            yield batch.column("lang")[k].as_py(), numbers, np.frombuffer(batch.column("codes")[k].as_py(), "<i4")
-
-
-def count_words(cut: DataFrame) -> DataFrame:
-    """(lang, word, w1, f) of every distinct word; ``w1`` is its number."""
-
-    def count(batches):
-        for batch in batches:
-            for k in range(batch.num_rows):
-                codes = np.frombuffer(batch.column("codes")[k].as_py(), "<i4")
-                words = batch.column("words").slice(k, 1).flatten()
-                counts = np.bincount(codes[codes >= 0], minlength=len(words))
-                numbers = np.frombuffer(batch.column("numbers")[k].as_py(), np.int64)
-                lang = pa.repeat(batch.column("lang")[k], len(words))
-                yield pa.RecordBatch.from_arrays([lang, words, pa.array(numbers), pa.array(counts)], ["lang", "word", "w1", "f"])
-
-    counted = cut.mapInArrow(count, "lang string, word string, w1 long, f long")
-    return counted.groupBy("lang", "word", "w1").agg(F.sum("f").alias("f"))
-
-
-def numbered_blocks(docs: DataFrame, text_col: str, lang_col: str) -> tuple[DataFrame, DataFrame]:
-    """Blocks and word counts, with numbers that no two words of a language share."""
-    seed = 0
+        for lang in pc.unique(batch.column("lang")).to_pylist():
+            own = batch.column("numbers").filter(pc.equal(batch.column("lang"), lang))
+            for first in range(0, len(own), _TOGETHER):
+                some = own.slice(first, _TOGETHER)
+                start = some.offset
+                ends = np.frombuffer(some.buffers()[1], np.int32)[start : start + len(some) + 1]
+                numbers = np.frombuffer(some.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+                yield lang, numbers.view(np.uint64).reshape(len(some), ROW_WORDS + longest - 1)
+
+
+def numbered_rows(docs: DataFrame, text_col: str, lang_col: str, longest: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of words and (lang, word, w1, f), with numbers that no two words of a language share."""
+    seed, spark = 0, docs.sparkSession
     while True:
-        cut = landed(blocks(docs, text_col, lang_col, seed), "phrase-blocks")
-        words = landed(count_words(cut), "phrase-words")
+        path = scratch_path(spark, "word-rows")
+        rows = word_rows(docs, text_col, lang_col, longest, seed)
+        rows.write.option("compression", "zstd").parquet(path)  # numbers repeat: a third of the default's size
+        rows = spark.read.schema(rows.schema).parquet(path)
+        met = rows.select("lang", F.explode(F.arrays_zip("words", "word_numbers", "counts")).alias("x"))
+        met = met.select("lang", F.col("x.words").alias("word"), F.col("x.word_numbers").alias("w1"), F.col("x.counts").alias("f"))
+        words = landed(met.groupBy("lang", "word", "w1").agg(F.sum("f").alias("f")), "phrase-words")
         if words.groupBy("lang", "w1").count().filter("count > 1").isEmpty():
-            return cut, words
+            return rows.select("lang", "numbers"), words
         seed += 1
 
 
 # Candidates
 
 
-def _phrase_bits(group: int, words: list[np.ndarray]) -> np.ndarray:
-    """A place in the bitmap for each phrase (its words' numbers by place)."""
-    x = np.array([group], np.uint64) * _ODD[3]
+def _phrase_hash(lang: str, words: list[np.ndarray]) -> np.ndarray:
+    """A number for each phrase of a language, given its words' numbers by place."""
+    x = np.array([xxhash.xxh64_intdigest(lang)], np.uint64) * _ODD[3]
     for place, numbers in enumerate(words):
-        x = x ^ (numbers * _ODD[place])
+        x = x ^ (numbers * _ODD[place % 3])
         x = (x ^ (x >> np.uint64(29))) * _ODD[1]
-    return (x >> np.uint64(20)) % np.uint64(BITS)
-
+    return x
 
-def _lang_number(lang: str) -> int:
-    return xxhash.xxh64_intdigest(lang) >> 1
 
+def _hit(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = (hashes >> np.uint64(20)) % np.uint64(BITS)
+    return ((bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
 
-def bitmap(frequent: DataFrame, size: int) -> np.ndarray:
-    """Bits of all phrases of ``frequent`` (lang, w1 ... w<size>), as bytes."""
 
-    def places(batches):
-        for batch in batches:
-            langs = batch.column("lang").to_pylist()
-            words = [batch.column(f"w{k + 1}").to_numpy().view(np.uint64) for k in range(size)]
-            at = np.zeros(len(langs), np.int64)
-            for lang in set(langs):
-                own = np.array([x == lang for x in langs])
-                at[own] = _phrase_bits(_lang_number(lang), [w[own] for w in words]).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(at)], ["at"])
-
-    found = frequent.select("lang", *_names(size)).mapInArrow(places, "at long")
+def bitmap(hashes: DataFrame) -> np.ndarray:
+    """The bits of all ``hash`` of a frame, as bytes."""
+    at = F.expr(f"shiftrightunsigned(hash, 20) % {BITS}").alias("at")
     bit = F.expr("shiftleft(1L, cast(at % 64 as int))")
-    held = found.groupBy(F.expr("at div 64").alias("place")).agg(F.bit_or(bit).alias("bits"))
+    held = hashes.select(at).groupBy(F.expr("at div 64").alias("place")).agg(F.bit_or(bit).alias("bits"))
     table = held.toArrow()  # BITS / 64 rows at most
     out = np.zeros(BITS // 64, np.int64)
     out[table.column("place").to_numpy()] = table.column("bits").to_numpy()
     return out.view(np.uint8)
 
 
+def phrase_hashes(phrases: DataFrame, size: int) -> DataFrame:
+    """(hash) of phrases (lang, w1 ... w<size>)."""
+
+    def made(batches):
+        for batch in batches:
+            for lang in pc.unique(batch.column(0)).to_pylist():
+                own = batch.filter(pc.equal(batch.column(0), lang))
+                hashes = _phrase_hash(lang, [own.column(k + 1).to_numpy().view(np.uint64) for k in range(size)])
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["hash"])
+
+    return phrases.select("lang", *_names(size)).mapInArrow(made, "hash long")
+
+
 def _names(size: int) -> list[str]:
     return [f"w{k + 1}" for k in range(size)]
 
 
-def candidates(cut: DataFrame, frequent: DataFrame, size: int, least: int) -> DataFrame:
+def candidates(texts: DataFrame, frequent: DataFrame, size: int, least: int, longest: int) -> DataFrame:
     """(lang, w1 ... w<size>): phrases that may occur ``least`` times, given the frequent ones a word shorter."""
-    bits = cut.sparkSession.sparkContext.broadcast(bitmap(frequent, size - 1))
+    bits = texts.sparkSession.sparkContext.broadcast(bitmap(phrase_hashes(frequent, size - 1)))
+    names = _names(size)
 
     def propose(batches):
-        held = bits.value
-        for lang, numbers, codes in _read(batches):
-            group, last = _lang_number(lang), len(codes) - size + 1
-            if last < 1:
-                continue
-            if size == 2:  # parts are single words: look up each distinct one
-                at = _phrase_bits(group, [numbers])
-                known = np.append((held[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1, 0).astype(bool)
-                part = known[codes]
-            else:
-                run = [codes[k : len(codes) - size + 2 + k] for k in range(size - 1)]
-                part = np.all([r >= 0 for r in run], axis=0)
-                at = _phrase_bits(group, [numbers[r[part]] for r in run])
-                part[part] = ((held[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
-            both = np.flatnonzero(part[:last] & part[1 : last + 1])
-            rows, counts = _distinct(np.stack([codes[both + k] for k in range(size)]), len(numbers))
-            columns = [pa.repeat(pa.scalar(lang), len(counts)), *(pa.array(numbers[r].view(np.int64)) for r in rows)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.minimum(counts, least))], ["lang", *_names(size), "n"])
-
-    names = _names(size)
-    seen = cut.select("lang", "numbers", "codes").mapInArrow(propose, f"lang string, {', '.join(f'{w} long' for w in names)}, n long")
+        for lang, numbers in _read(batches, longest):
+            # The parts of a phrase, all but its last and all but its first word, start at its place and at the next.
+            run = [numbers[:, k : ROW_WORDS + 1 + k] for k in range(size - 1)]
+            part = np.all([r != 0 for r in run], axis=0)
+            part[part] = _hit(bits.value, _phrase_hash(lang, [r[part] for r in run]))
+            row, place = np.nonzero(part[:, :ROW_WORDS] & part[:, 1:])
+            known, codes = np.unique(np.concatenate([numbers[row, place + k] for k in range(size)]), return_inverse=True)
+            found, counts = _distinct(np.split(codes, size), len(known))
+            counts = np.minimum(counts, least)
+            for first in range(0, len(counts), _ROWS):
+                some = slice(first, first + _ROWS)
+                columns = [pa.array(known[f[some]].view(np.int64)) for f in found]
+                columns = [pa.repeat(pa.scalar(lang), len(columns[0])), *columns, pa.array(counts[some])]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", *names, "n"])
+
+    seen = texts.mapInArrow(propose, f"lang string, {', '.join(f'{w} long' for w in names)}, n long")
     return seen.groupBy("lang", *names).agg(F.sum("n").alias("n")).filter(F.col("n") >= least).drop("n")
 
 
-def _distinct(columns: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct columns of codes below ``words`` and how often each occurs."""
+def _distinct(columns: list[np.ndarray], words: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows of codes below ``words`` and how often each occurs."""
+    if words ** len(columns) < 2**63:  # a row fits into one number
+        key = columns[0].astype(np.int64)
+        for column in columns[1:]:
+            key *= words
+            key += column
+        key, counts = np.unique(key, return_counts=True)
+        found = []
+        for _ in columns:
+            key, last = np.divmod(key, words)
+            found.insert(0, last)
+        return found, counts
     key = columns[0].astype(np.int64)
-    for row in columns[1:]:  # numbered anew at each word, so that the key stays small
-        key = np.unique(key, return_inverse=True)[1] * np.int64(words) + row
+    for column in columns[1:]:  # numbered anew at each word, so that the key stays small
+        key = np.unique(key, return_inverse=True)[1] * np.int64(words) + column
     _, first, counts = np.unique(key, return_index=True, return_counts=True)
-    return columns[:, first], counts
+    return [column[first] for column in columns], counts
 
 
 # Counting
 
 
-def count_candidates(cut: DataFrame, found: DataFrame, size: int, trie_phrases: int = TRIE_PHRASES) -> DataFrame:
-    """(lang, w1 ... w<size>, f) of the candidates ``found``, a pass over the blocks per trie."""
-    names, spark = _names(size), cut.sparkSession
+def count_candidates(
+    texts: DataFrame, found: DataFrame, size: int, longest: int, trie_phrases: int = TRIE_PHRASES
+) -> DataFrame:
+    """(lang, w1 ... w<size>, f) of the candidates ``found``, a pass over the rows of words per trie."""
+    names, spark = _names(size), texts.sparkSession
     found = landed(found, "phrase-candidates")
     # Hashes deal phrases out evenly; half the bound leaves room for chance.
     shards = -(-2 * found.count() // trie_phrases) or 1
@@ -202,15 +237,15 @@ def count_candidates(cut: DataFrame, found: DataFrame, size: int, trie_phrases:
         def count(batches, shared=shared):
             trie = shared.value
             ends = np.zeros(len(trie["check"]), np.int64)
-            for lang, numbers, codes in _read(batches):
-                ends += np.bincount(walk(trie, lang, numbers, codes), minlength=len(ends))
+            for lang, numbers in _read(batches, longest):
+                ends += np.bincount(walk(trie, lang, numbers, ROW_WORDS), minlength=len(ends))
             n = ends[trie["ends"]]
             met = np.flatnonzero(n)
             langs = pa.array(list(trie["groups"]), pa.string()).take(pa.array(trie["heads"][met]))
             columns = [langs, *(pa.array(w.view(np.int64)) for w in trie["words"][met].T.copy()), pa.array(n[met])]
             yield pa.RecordBatch.from_arrays(columns, ["lang", *names, "f"])
 
-        rows = cut.select("lang", "numbers", "codes").mapInArrow(count, f"lang string, {', '.join(f'{w} long' for w in names)}, f long")
+        rows = texts.mapInArrow(count, f"lang string, {', '.join(f'{w} long' for w in names)}, f long")
         rows = rows.groupBy("lang", *names).agg(F.sum("f").alias("f"))
         counted = rows if counted is None else counted.unionByName(rows)
     return counted
@@ -253,11 +288,11 @@ def collocations(
     language is ``und``. Repeated rows count as often as they come; languages without
     such phrases, and empty tables, give no rows.
     """
-    cut, words = numbered_blocks(docs, text_col, lang_col)
+    texts, words = numbered_rows(docs, text_col, lang_col, longest)
     counts = {1: landed(words.filter(F.col("f") >= least), "phrases-1")}
     for size in range(2, longest + 1):
-        found = candidates(cut, counts[size - 1], size, least)
-        counted = count_candidates(cut, found, size, trie_phrases).filter(F.col("f") >= least)
+        found = candidates(texts, counts[size - 1], size, least, longest)
+        counted = count_candidates(texts, found, size, longest, trie_phrases).filter(F.col("f") >= least)
         counts[size] = landed(counted, f"phrases-{size}")
 
     scored = None

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from barloom.llm.phrase_trie import PhraseTrie, walk
-from barloom.llm.phrases import collocations
+from barloom.llm.phrases import _distinct, collocations
 from tests.llm.cases import SCHEMA, TEXTS, documents
 
 
@@ -93,18 +93,27 @@ def test_trie_walk(depth):
     trie = PhraseTrie(["de", "en"], heads, words)
     data = trie.arrays()
     assert len(np.unique(data["ends"])) == len(words)
-    codes = draw.integers(-1, len(numbers), 5000).astype("<i4")
-    codes[draw.random(5000) < 0.5] %= 8
+    numbers = np.append(numbers, np.uint64(0))
+    codes = draw.integers(0, len(numbers), (60, 80 + depth - 1))
+    codes[draw.random(codes.shape) < 0.5] %= 8
+    texts = numbers[codes]
     for label, lang in enumerate(["de", "en"]):
-        seen = Counter(
-            tuple(numbers[codes[k : k + depth]]) for k in range(len(codes) - depth + 1) if (codes[k : k + depth] >= 0).all()
-        )
-        counts = np.bincount(walk(data, lang, numbers, codes), minlength=len(data["check"]))
+        seen = Counter(tuple(row[k : k + depth].tolist()) for row in texts for k in range(80) if row[k : k + depth].all())
+        counts = np.bincount(walk(data, lang, texts, 80), minlength=len(data["check"]))
         own = heads == label
-        assert [int(counts[e]) for e in data["ends"][own]] == [seen[tuple(w)] for w in words[own]]
-    assert len(walk(data, "fr", numbers, codes)) == 0
+        assert [int(counts[e]) for e in data["ends"][own]] == [seen[tuple(w)] for w in words[own].tolist()]
+    assert len(walk(data, "fr", texts, 80)) == 0
 
 
 def test_trie_without_phrases():
     data = PhraseTrie([], np.empty(0, np.int64), np.empty((0, 2), np.uint64)).arrays()
-    assert len(walk(data, "en", np.array([3], np.uint64), np.array([0, 0], "<i4"))) == 0
+    assert len(walk(data, "en", np.array([[3, 3, 0]], np.uint64), 2)) == 0
+
+
+def test_distinct_rows_of_codes():
+    draw = np.random.default_rng(4)
+    columns = [draw.integers(0, 5, 300) for _ in range(3)]
+    seen = Counter(zip(*(c.tolist() for c in columns)))
+    for words in (5, 1 << 21):  # in one number, and numbered anew
+        rows, counts = _distinct(columns, words)
+        assert dict(zip(zip(*(r.tolist() for r in rows)), counts.tolist())) == seen
