@@ -24,6 +24,7 @@ from barloom.schema import (
 )
 from barloom.sinks.bar_table import BarTable, sink_symbol_history
 from barloom.sinks.run_state import RunState, version_of
+from barloom.sources.archive_source import ArchiveFolder
 
 
 @dataclass(frozen=True)
@@ -35,7 +36,7 @@ class DailyFeeds:
     history: DataFrame
     events: DataFrame
     holidays: DataFrame
-    archives: DataFrame
+    archives: DataFrame | ArchiveFolder
 
 
 @dataclass(frozen=True)
@@ -52,7 +53,7 @@ class DailySettings:
     custom_holidays: DataFrame | None = None
     force: bool = False
     most_absent: float = MOST_ABSENT_SHARE
-    archive_kind: str | None = None
+    archive_kind: str = "raw"
     history_buckets: int | None = 16
 
 

@@ -50,16 +50,32 @@ def archive_order() -> list[Column]:
     return [archive_day(F.col("archive")), *map(F.col, ARCHIVE_ORDER)]
 
 
-def select_archives(files: DataFrame, kind: str | None = None, days: list[date] | None = None) -> DataFrame:
-    """Files of one kind of prices, ``raw`` or ``adjusted``, and of some days; by name alone."""
-    if kind not in (None, *KINDS):
+def of_kind(path: Column, kind: str) -> Column:
+    """Whether an archive's name fits a kind of prices; a name that tells none fits both."""
+    if kind not in KINDS:
         raise ValueError(f"kind {kind!r} is none of {KINDS}")
-    if kind is not None:
-        raw = F.col("path").rlike(_RAW)
-        files = files.filter(raw if kind == "raw" else ~raw)
+    raw = path.rlike(_RAW)
+    return (raw | ~path.rlike(_DAY)) if kind == "raw" else ~raw
+
+
+def select_archives(
+    files: DataFrame, kind: str = "raw", days: list[date] | None = None, until: date | None = None
+) -> DataFrame:
+    """Files of one kind of prices, ``raw`` or ``adjusted``, by name alone; kinds are never mixed.
+
+    ``days`` keeps archives of these days. ``until`` keeps the newest day's up to that one, as
+    archives are cumulative; it lists the names once. Without any day in a name all files stay.
+    """
+    files = files.filter(of_kind(F.col("path"), kind))
     if days is not None:
         names = [d.strftime("%d%m%Y") for d in days]
         files = files.filter(F.regexp_extract("path", _DAY, 1).isin(names))
+    if until is not None:
+        day = archive_day(F.col("path"))
+        newest, dated = files.agg(F.max(F.when(day <= F.lit(until), day)), F.count(day)).first()
+        if dated:
+            wanted = "" if newest is None else newest.strftime("%d%m%Y")
+            files = files.filter(F.regexp_extract("path", _DAY, 1) == (wanted or "none"))
     return files
 
 
@@ -102,11 +118,14 @@ def parse_lines(lines: DataFrame, column: str = "line") -> DataFrame:
 
 def archive_scan(files: DataFrame) -> DataFrame:
     """Raw history lines of all archives, with exchange and position of each."""
-    lines = archive_lines(files).filter(F.col("error").isNull()).drop("error")
     # One entry may hold most of the history: its lines are parsed in many tasks.
     block = F.floor(F.col("line_no") / _LINES_PER_TASK)
-    lines = lines.repartition("archive", "entry_no", block)
-    parsed = parse_lines(lines)
+    return parsed_history(archive_lines(files).repartition("archive", "entry_no", block))
+
+
+def parsed_history(lines: DataFrame) -> DataFrame:
+    """History lines of ``archive_lines`` as typed columns; problems are left out."""
+    parsed = parse_lines(lines.filter(F.col("error").isNull()).drop("error"))
     return parsed.withColumn("exchange", text.normalize_exchange(F.col("entry"))).drop("entry")
 
 
@@ -164,8 +183,8 @@ _ENTRY_SCHEMA = pa.schema(
 class _Inflated(io.RawIOBase):
     """The bytes of an entry, inflated block by block."""
 
-    def __init__(self, data, method):
-        self.blocks, self.rest = _blocks(data, method), b""
+    def __init__(self, blocks):
+        self.blocks, self.rest = blocks, b""
 
     def readable(self):
         return True
@@ -181,14 +200,16 @@ class _Inflated(io.RawIOBase):
         return size
 
 
-def _blocks(data, method):
+def _blocks(chunks, method):
+    """What the compressed ``chunks`` of an entry hold, a bounded block at a time."""
     if method == zipfile.ZIP_STORED:
-        yield data
+        yield from chunks
         return
-    inflater, given = zlib.decompressobj(-15), data
-    while given and not inflater.eof:
-        yield inflater.decompress(given, _BLOCK)
-        given = inflater.unconsumed_tail
+    inflater = zlib.decompressobj(-15)
+    for given in chunks:
+        while given and not inflater.eof:
+            yield inflater.decompress(given, _BLOCK)
+            given = inflater.unconsumed_tail
     if not inflater.eof:
         raise EOFError("entry ends early")
 
@@ -198,26 +219,26 @@ def _inflate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in range(len(batch)):
             archive, name, number, method, crc, data, error = (c[row].as_py() for c in batch.columns)
             if error is None:
-                error = _damage(data, method, crc)
+                error = _damage(_blocks([data], method), crc)
             if error:
                 yield _batch(archive, name, -1, 0, [None], error)
             else:
-                yield from _entry_lines(archive, name, number, data, method)
+                yield from _entry_lines(archive, name, number, _blocks([data], method))
 
 
-def _damage(data, method, crc):
+def _damage(blocks, crc):
     """Inflate an entry to its end, so that a bad checksum shows before any line is used."""
     found = 0
     try:
-        for block in _blocks(data, method):
+        for block in blocks:
             found = zlib.crc32(block, found)
     except (zlib.error, EOFError) as problem:
         return _text(problem)
     return None if found == crc else "BadZipFile: bad checksum"
 
 
-def _entry_lines(archive, name, number, data, method):
-    stream = io.TextIOWrapper(io.BufferedReader(_Inflated(data, method)), encoding="utf-8", errors="replace", newline="\n")
+def _entry_lines(archive, name, number, blocks):
+    stream = io.TextIOWrapper(io.BufferedReader(_Inflated(blocks)), encoding="utf-8", errors="replace", newline="\n")
     first, lines = 0, []
     for line in stream:
         lines.append(line.rstrip("\r\n"))

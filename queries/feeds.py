@@ -16,6 +16,7 @@ from barloom.functions.dates import moment
 from barloom.functions.text import normalize_exchange
 from barloom.schema import PRICE_COLS
 from barloom.shipping import ship_with_tasks
+from barloom.sources.archive_source import ArchiveFolder, file_system
 from barloom.sources.feeds import blacklist_symbols
 
 ship_with_tasks(__name__)
@@ -97,12 +98,29 @@ class Feeds:
         ranged = lines.repartitionByRange("seq").sortWithinPartitions("seq")
         return ranged.mapInArrow(_pack, "path string, content binary").withColumn("path", F.lit(path))
 
-    def day_archives(self) -> DataFrame:
+    def landed_archives(self, files: DataFrame) -> ArchiveFolder:
+        """Archives (path, content) as files in one folder of the shared store."""
+        folder = self.scratch("archives")
+
+        def write(batches):
+            system, base = file_system(folder)
+            for batch in batches:
+                for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                    system.create_dir(base, recursive=True)
+                    with system.open_output_stream(f"{base}/{path.replace('/', '-')}") as out:
+                        out.write(content.as_buffer())
+                yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+        files.mapInArrow(write, "n long").agg(F.sum("n")).first()
+        return ArchiveFolder(self.spark, folder)
+
+    def day_archives(self, lines: DataFrame | None = None, raw: bool = True) -> DataFrame:
         """Archives of single days, named after the day, with all lines of the day."""
-        rows = self.lines.withColumn("day", F.date_format(_event_day(), "ddMMyyyy"))
+        rows = (self.lines if lines is None else lines).withColumn("day", F.date_format(_event_day(), "ddMMyyyy"))
         rows = rows.withColumn("exchange", F.coalesce("exchange", F.lit("other")))
         ranged = rows.repartitionByRange("day", "seq").sortWithinPartitions("day", "seq")
-        return ranged.mapInArrow(_pack_days, "path string, content binary")
+        packed = ranged.mapInArrow(_pack_days, "path string, content binary")
+        return packed if raw else packed.withColumn("path", F.replace("path", F.lit("Raw."), F.lit("")))
 
     @property
     def bars(self) -> DataFrame:
@@ -304,7 +322,7 @@ def _pack_days(batches):
         for row in batch.to_pylist():
             days.setdefault(row["day"], []).append(row)
         for day, rows in days.items():
-            yield _archive_batch(f"{rows[0]['seq']:015d}/Upto{day}.zip", rows)
+            yield _archive_batch(f"{rows[0]['seq']:015d}/Raw.Upto{day}.zip", rows)
 
 
 def _archive_batch(path, rows):

@@ -40,6 +40,12 @@ def _(t):
     return _finite(archives.archive_scan(t.archives).drop(*archives.ARCHIVE_ORDER))
 
 
+@query("archive_source", ["lines"], _RAW_LINES)
+def _(t):
+    """The same archives as files, read by entry through the data source."""
+    return _finite(t.landed_archives(t.archives).scan().drop(*archives.ARCHIVE_ORDER))
+
+
 @query(
     "archive_admission",
     [],
@@ -455,6 +461,45 @@ def _(t):
     return history.backfill(t.day_archives(), _BACKFILL_DAYS, "archive")
 
 
+def _both_kinds(t):
+    """Archives of each day with prices as traded, and with other, adjusted ones."""
+    halved = t.lines.withColumns({c: F.col(c) / 2 for c in PRICE_COLS})
+    return t.day_archives().unionByName(t.day_archives(halved, raw=False))
+
+
+_BACKFILLED = """SELECT * EXCLUDE (seq) FROM cleaned
+WHERE trading_date BETWEEN DATE '2024-01-02' AND DATE '2024-01-09' AND dayofweek(trading_date) BETWEEN 1 AND 5
+QUALIFY row_number() OVER (PARTITION BY symbol, trading_date ORDER BY seq DESC) = 1"""
+
+
+@query("backfill_both_kinds", ["cleaned"], _BACKFILLED)
+def _(t):
+    """Both kinds of archives are landed and none is asked for: prices as traded are read."""
+    return history.backfill(_both_kinds(t), _BACKFILL_DAYS, "archive")
+
+
+@query("backfill_from_source", ["cleaned"], _BACKFILLED)
+def _(t):
+    """The same from files in a folder, through the data source."""
+    return history.backfill(t.landed_archives(_both_kinds(t)), _BACKFILL_DAYS, "archive")
+
+
+@query(
+    "history_load_newest",
+    ["cleaned"],
+    """SELECT * EXCLUDE (seq) REPLACE (total_volume * 2 AS total_volume) FROM cleaned WHERE seq % 2 = 0
+QUALIFY row_number() OVER (PARTITION BY symbol, trading_date ORDER BY seq DESC) = 1""",
+)
+def _(t):
+    """Archives of three days: the newest up to the given day is read alone."""
+    even = F.col("seq") % 2 == 0
+    more = (F.col("total_volume").cast("double").cast("bigint") * 2).cast("string")
+    files = t.zipped(t.lines.filter(even).withColumn("total_volume", more), "h/Raw.Upto01022024.zip")
+    files = files.unionByName(t.zipped(t.lines.filter(~even), "h/Raw.Upto31012024.zip"))
+    files = files.unionByName(t.zipped(t.lines, "h/Raw.Upto01032024.zip"))
+    return history.history_load(files, "archive", until=date(2024, 2, 15))
+
+
 _TABLE = """cleaned QUALIFY row_number() OVER (PARTITION BY symbol, trading_date ORDER BY seq DESC) = 1"""
 
 

@@ -8,6 +8,7 @@ from barloom.plans import history
 from barloom.sinks.bar_table import BarTable
 from barloom.sinks.run_state import RunState
 from barloom.sources import archives, feeds
+from barloom.sources.archive_source import ArchiveFolder, ZipHistoryReader, chosen
 from tests.helpers import d
 
 
@@ -43,12 +44,12 @@ def broken_entry():
 def folder(tmp_path):
     landing = tmp_path / "landing"
     landing.mkdir()
-    (landing / "Upto02012024.zip").write_bytes(GOOD)
-    (landing / "Upto03012024.zip").write_bytes(broken_entry())
-    (landing / "Upto04012024.zip").write_bytes(b"<html>not found</html>")
-    (landing / "Upto05012024.zip").write_bytes(GOOD[: len(GOOD) // 2])
-    (landing / "Upto06012024.zip").write_bytes(packed([("readme.txt", "x")]))
-    (landing / "Upto07012024.zip").write_bytes(b"")
+    (landing / "Raw.Upto02012024.zip").write_bytes(GOOD)
+    (landing / "Raw.Upto03012024.zip").write_bytes(broken_entry())
+    (landing / "Raw.Upto04012024.zip").write_bytes(b"<html>not found</html>")
+    (landing / "Raw.Upto05012024.zip").write_bytes(GOOD[: len(GOOD) // 2])
+    (landing / "Raw.Upto06012024.zip").write_bytes(packed([("readme.txt", "x")]))
+    (landing / "Raw.Upto07012024.zip").write_bytes(b"")
     return str(landing)
 
 
@@ -66,9 +67,9 @@ def test_scan_skips_what_is_damaged(spark, rows, folder):
     ]
     names = {p.rsplit("/", 1)[1] for (p,) in archives.quarantined(files).select("path").collect()}
     # An empty file is not even listed; its day shows up as unfilled.
-    assert names == {"Upto04012024.zip"}
+    assert names == {"Raw.Upto04012024.zip"}
     problems = [(a.rsplit("/", 1)[1], e) for a, e, _ in archives.archive_problems(files).collect()]
-    assert sorted(problems, key=str) == [("Upto03012024.zip", "a.HNX.csv"), ("Upto05012024.zip", None)]
+    assert sorted(problems, key=str) == [("Raw.Upto03012024.zip", "a.HNX.csv"), ("Raw.Upto05012024.zip", None)]
 
 
 def test_history_load_keeps_the_last_line(spark, rows, folder):
@@ -144,6 +145,8 @@ def test_run_history(spark, rows, folder, tmp_path):
     with pytest.raises(ValueError, match="no bar is left"):
         history.run_history(files, table, "archive", datetime(2024, 1, 4, 9, 0), day=d("2030-01-01"))
     assert table.read(spark).count() == 4
+    history.run_history(ArchiveFolder(spark, folder), table, "archive", datetime(2024, 1, 4, 9, 0), until=d("2024-01-02"))
+    assert rows(table.read(spark), "symbol") == [("FPT",), ("SHS",), ("SHS",)]
 
 
 def test_landed_feeds(spark, rows, tmp_path):
@@ -167,3 +170,61 @@ def test_landed_feeds(spark, rows, tmp_path):
     board = tmp_path / "board.json"
     board.write_text('{"symbol":"A","close_price":1,"time":5}\n{"symbol":"B","close_price":1.5}\n')
     assert rows(feeds.board_scan(spark, str(board)), "symbol", "close_price", "time") == [("A", 1.0, 5), ("B", 1.5, None)]
+
+
+def test_source_gives_the_same_lines_and_problems(spark, rows, folder):
+    files, source = archives.read_archives(spark, folder), ArchiveFolder(spark, folder)
+    columns = ["entry", "entry_no", "line_no", "line"]
+    name = F.regexp_extract("archive", "[^/]*$", 0).alias("name")
+    sound = lambda lines: rows(lines.filter("error is null").select(name, *columns))
+    assert sound(source.lines()) == sound(archives.archive_lines(files)) != []
+    bad = rows(source.lines().filter("error is not null").select(name, "entry", "error"))
+    assert [(n[8:10], e) for n, e, _ in bad] == [("03", "a.HNX.csv"), ("04", None), ("05", None), ("07", None)]
+    assert source.lines().filter("error is not null and line is not null").count() == 0
+    bars = history.history_load(source, "archive")
+    assert rows(bars) == rows(history.history_load(files, "archive")) != []
+
+
+def test_source_reads_an_entry_per_task_without_a_shuffle(spark, folder):
+    scan = ArchiveFolder(spark, f"file://{folder}").scan()
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "BatchScan" in plan
+    parts = ZipHistoryReader({"path": folder}).partitions()
+    assert sorted((p.archive[-16:-4], p.entry) for p in parts if p.error is None) == [
+        ("Upto02012024", "empty.UPCOM.csv"), ("Upto02012024", "x.HNX.csv"), ("Upto02012024", "x.HSX.csv"),
+        ("Upto03012024", "a.HNX.csv"), ("Upto03012024", "b.HNX.csv"),
+    ]
+
+
+def test_source_skips_to_an_entry_of_a_large_archive(spark, tmp_path):
+    """An archive above 2 GB, most of it a hole: only the wanted entry's bytes are read."""
+    path = tmp_path / "Raw.Upto02012024.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("a.HSX.csv", "AAA,20240102,1,2,1,1,1\n")
+    small = path.read_bytes()
+    hole = 3 << 30
+    with open(path, "wb") as out:
+        out.write(b"PK\x03\x04")
+        out.truncate(hole)
+        out.seek(hole)
+        out.write(small)
+    assert path.stat().st_size > 2**31
+    got = ArchiveFolder(spark, str(tmp_path)).scan().select("symbol", "exchange", "total_volume").collect()
+    assert [tuple(r) for r in got] == [("AAA", "HoSE", "1")]
+
+
+def test_source_of_an_empty_folder(spark, tmp_path):
+    assert ArchiveFolder(spark, str(tmp_path)).scan().collect() == []
+    assert ArchiveFolder(spark, str(tmp_path)).lines(days=[d("2024-01-02")]).collect() == []
+
+
+def test_names_are_chosen_alike(spark, rows):
+    names = ["x/Raw.Upto31012024.zip", "x/Raw.Upto01022024.zip", "x/Upto05022024.zip", "x/part-1.zip", "x/Raw.Upto99992024.zip"]
+    files = spark.createDataFrame([(n, b"") for n in names], "path string, content binary")
+    for kind in archives.KINDS:
+        for days in (None, ["2024-01-31"], ["2024-02-05", "2024-02-01"]):
+            for until in (None, "2024-01-01", "2024-01-31", "2024-02-03", "2024-03-01"):
+                if days and until:
+                    continue
+                kept = archives.select_archives(files, kind, days and [d(x) for x in days], until and d(until))
+                assert sorted(r[0] for r in rows(kept, "path")) == sorted(chosen(names, kind, days and ",".join(days), until)), (kind, days, until)
