@@ -37,10 +37,12 @@ def run_report(
     as_of: Column,
     unfilled: DataFrame | None = None,
     absent: int = 0,
+    broken: int | None = None,
 ) -> DataFrame:
     """One row about a daily run. ``outcome`` has (symbol, status) per reload.
 
-    ``absent`` counts listed symbols that the board lacked.
+    ``absent`` counts listed symbols that the board lacked. ``broken`` counts lines of feeds that could
+    not be read; where it was not counted there is no such column.
 
     ``missing`` are the days that were back-filled, ``unfilled`` those of them that
     had no archive. Both are bounded by the calendar since the last run.
@@ -54,6 +56,7 @@ def run_report(
         "trading_date",
         "rows_loaded",
         F.lit(absent).cast("bigint").alias("absent_symbols"),
+        *([] if broken is None else [F.lit(broken).cast("bigint").alias("broken_lines")]),
         dates.is_eod(F.col("trading_date"), as_of).alias("is_eod"),
         _day_text(missing).alias("missing_dates"),
         _day_text(missing.limit(0) if unfilled is None else unfilled).alias("unfilled_dates"),

@@ -21,15 +21,20 @@ from barloom.schema import (
     DEFAULT_BENCHMARKS,
     HISTORY_START,
     MOST_ABSENT_SHARE,
+    MOST_BROKEN_SHARE,
 )
 from barloom.sinks.bar_table import BarTable, sink_symbol_history
 from barloom.sinks.run_state import RunState, version_of
 from barloom.sources.archive_source import ArchiveFolder
+from barloom.sources.feeds import require_sound
 
 
 @dataclass(frozen=True)
 class DailyFeeds:
-    """Landed inputs of a run, as the readers in ``barloom.sources`` return them."""
+    """Landed inputs of a run, as the readers in ``barloom.sources`` return them.
+
+    ``broken`` has the counts of ``feeds.broken_lines`` of the JSON feeds.
+    """
 
     listing: DataFrame
     board: DataFrame
@@ -37,12 +42,14 @@ class DailyFeeds:
     events: DataFrame
     holidays: DataFrame
     archives: DataFrame | ArchiveFolder
+    broken: DataFrame | None = None
 
 
 @dataclass(frozen=True)
 class DailySettings:
     """``force`` runs on a closed day too. The run stops if more than ``most_absent`` of the
-    listed symbols are not on the board; ``archive_kind`` picks raw or adjusted archives."""
+    listed symbols are not on the board, or more than ``most_broken`` of a feed's lines are broken;
+    ``archive_kind`` picks raw or adjusted archives."""
 
     as_of: datetime
     source: str = "vci"
@@ -53,6 +60,7 @@ class DailySettings:
     custom_holidays: DataFrame | None = None
     force: bool = False
     most_absent: float = MOST_ABSENT_SHARE
+    most_broken: float = MOST_BROKEN_SHARE
     archive_kind: str = "raw"
     history_buckets: int | None = 16
 
@@ -86,6 +94,7 @@ def run_daily(
     holidays = landed(calendar.holiday_calendar(feeds.holidays, settings.custom_holidays), "holidays")
     if _gate(spark, settings, holidays) != "run":
         return None
+    broken = None if feeds.broken is None else require_sound(feeds.broken, settings.most_broken)
 
     live = universe.active_symbols(feeds.listing)
     symbols = universe.symbols_with_fallback(live, state.symbol_cache(spark))
@@ -146,7 +155,7 @@ def run_daily(
     new = landed(snapshot.eod_snapshot(t0, state.snapshot(spark), moment, symbols), "snapshot")
     pending = events.pending_after(outcome)
     state.save(snapshot.run_metadata(t0, new, moment), pending, new, version)
-    return report.run_report(t0, outcome, missing_df, moment, unfilled, absent)
+    return report.run_report(t0, outcome, missing_df, moment, unfilled, absent, broken)
 
 
 def _gate(spark, settings, holidays) -> str:

@@ -29,6 +29,7 @@ DEFAULT_BOARD_MULTIPLIER = 1.0
 DEFAULT_HISTORY_MULTIPLIER = 1000.0
 EOD_HOUR, EOD_MINUTE = 16, 30
 MOST_ABSENT_SHARE = 0.5
+MOST_BROKEN_SHARE = 0.01
 REPORT_SHOWN = 15
 REPORT_NONE = "Không có"
 REPORT_MORE = " (+{} mã khác)"

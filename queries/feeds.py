@@ -98,9 +98,9 @@ class Feeds:
         ranged = lines.repartitionByRange("seq").sortWithinPartitions("seq")
         return ranged.mapInArrow(_pack, "path string, content binary").withColumn("path", F.lit(path))
 
-    def landed_archives(self, files: DataFrame) -> ArchiveFolder:
+    def landed_archives(self, files: DataFrame, folder: str | None = None) -> ArchiveFolder:
         """Archives (path, content) as files in one folder of the shared store."""
-        folder = self.scratch("archives")
+        folder = folder or self.scratch("archives")
 
         def write(batches):
             system, base = file_system(folder)

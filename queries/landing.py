@@ -12,6 +12,7 @@ from barloom.schema import BOARD_SCHEMA, EVENT_SCHEMA, KEY, PRICE_COLS
 from barloom.sinks.bar_table import BarTable, read_symbol_history, sink_symbol_history
 from barloom.sinks.run_state import KeyValueState, RunState
 from barloom.sources import archives, feeds
+from barloom.streaming.archive_intake import archive_stream, take_archives
 from barloom.streaming.board_stream import board_stream, refresh_table
 from queries.cleaning import board_bars
 from queries.feeds import AS_OF, TODAY, exchange_label
@@ -154,6 +155,31 @@ def _(t):
     return feeds.event_scan(t.spark, path)
 
 
+@query(
+    "broken_feed_lines",
+    ["board", "corp_events"],
+    """SELECT 'board' AS feed, (SELECT count(*) FROM board) + (SELECT count(*) FROM documents) AS lines,
+  (SELECT count(*) FROM documents) AS broken, (SELECT count(*) FROM board) AS kept
+UNION ALL SELECT 'events', (SELECT count(*) FROM corp_events) + (SELECT count(*) FROM pages),
+  (SELECT count(*) FROM pages), (SELECT count(*) FROM corp_events)""",
+)
+def _(t):
+    """Feeds between whose lines others stand: cut off after a document's number, and a page's HTML."""
+    board, events = t.scratch("board"), t.scratch("events")
+    row = F.to_json(F.struct("*"))
+    cut_off = F.concat(F.lit('{"symbol":"'), F.col("doc_id").cast("string"))
+    t.board.select(row.alias("value")).unionByName(t.table("documents").select(cut_off.alias("value"))).write.text(board)
+    content = F.array(F.struct(*[f.name for f in EVENT_SCHEMA]))
+    paged = t.events.select(F.to_json(F.struct(F.struct(content.alias("content")).alias("data"))).alias("value"))
+    html = F.concat(F.lit("<"), F.regexp_replace("html", r"[\r\n]", " "))
+    paged.unionByName(t.table("pages").select(html.alias("value"))).write.text(events)
+    counts = feeds.broken_lines(t.spark, board, "board").unionByName(feeds.broken_lines(t.spark, events, "events"))
+    totals = counts.groupBy("feed").agg(F.sum("lines").alias("lines"), F.sum("broken").alias("broken"))
+    kept = feeds.board_scan(t.spark, board).select(F.lit("board").alias("feed"))
+    kept = kept.unionByName(feeds.event_scan(t.spark, events).select(F.lit("events").alias("feed")))
+    return totals.join(kept.groupBy("feed").agg(F.count("*").alias("kept")), "feed")
+
+
 @query("active_symbols", ["active"], "SELECT * FROM active")
 def _(t):
     path = t.scratch("listing")
@@ -461,6 +487,10 @@ def _(t):
     return history.backfill(t.day_archives(), _BACKFILL_DAYS, "archive")
 
 
+_STORED_DAYS = f"""SELECT symbol, trading_date, {_raw(PRICE_COLS)}, total_volume, exchange, source FROM cleaned
+QUALIFY row_number() OVER (PARTITION BY symbol, trading_date ORDER BY seq DESC) = 1"""
+
+
 def _both_kinds(t):
     """Archives of each day with prices as traded, and with other, adjusted ones."""
     halved = t.lines.withColumns({c: F.col(c) / 2 for c in PRICE_COLS})
@@ -484,6 +514,20 @@ def _(t):
     return history.backfill(t.landed_archives(_both_kinds(t)), _BACKFILL_DAYS, "archive")
 
 
+@query("archive_intake", ["cleaned"], _STORED_DAYS)
+def _(t):
+    """Archives of both kinds that land in two parts, a late part with earlier days too: each is taken once."""
+    table, offsets = BarTable(t.scratch("raw"), buckets=2), t.scratch("offsets")
+    late = F.hash("path") % 2 == 0
+    files = landed(_both_kinds(t), "both-kinds")
+    folder = t.landed_archives(files.filter(~late))
+    for _ in range(2):
+        take_archives(archive_stream(t.spark, folder.path), table, "archive", offsets).awaitTermination()
+    t.landed_archives(files.filter(late), folder.path)
+    take_archives(archive_stream(t.spark, folder.path), table, "archive", offsets).awaitTermination()
+    return table.read(t.spark)
+
+
 @query(
     "history_load_newest",
     ["cleaned"],

@@ -42,7 +42,7 @@ class Market:
             history=spark.createDataFrame([(s, "VCI", d(x), p, p, p, p, 1) for s, x, p in history], HISTORY_FEED_SCHEMA),
             events=spark.createDataFrame(self.events, EVENT_SCHEMA),
             holidays=spark.createDataFrame([(d("2024-01-01"),)], "holiday date"),
-            archives=spark.createDataFrame([("x/Upto31012024.zip", _zip("FPT,20240131,99,99,99,99,5\n"))], "path string, content binary"),
+            archives=spark.createDataFrame([("x/Raw.Upto31012024.zip", _zip("FPT,20240131,99,99,99,99,5\n"))], "path string, content binary"),
         )
         settings = DailySettings(datetime.fromisoformat(as_of), **settings)
         return run_daily(spark, feeds, self.raw, self.adjusted, self.state, self.reloaded, settings)
