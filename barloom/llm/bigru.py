@@ -24,6 +24,12 @@ class BiGru:
             w[f"{side}_bias"] = np.zeros(3 * HIDDEN)
         self.weights = {name: value.astype(np.float32) for name, value in w.items()}
 
+    @classmethod
+    def of(cls, weights: dict[str, np.ndarray]) -> "BiGru":
+        net = cls(len(weights["bias"]))
+        net.weights = weights
+        return net
+
     def _run(self, side, e, mask, keep):
         """States by step of one direction, and what backpropagation needs of each step."""
         w, steps = self.weights, range(e.shape[1])

@@ -83,7 +83,8 @@ def exact_groups(
     return _groups(docs, _in_question(keys), id_col, text_col, prefix_chars, hash_all)
 
 
-def _groups(docs, buckets, id_col, text_col, prefix_chars, hash_all):
+def _counted(docs, buckets, id_col, text_col, prefix_chars, hash_all):
+    """Rows with their hash where asked for, (doc_id, text_hash, copies), and (text_hash, keep_id, group_size)."""
     # Only now whole texts, and only those of rows still in question.
     texts = _keyed(docs, id_col, text_col, prefix_chars).withColumn("bucket", _bucket())
     texts = texts.join(buckets, "bucket", "left").withColumn("asked", F.col("asked").isNotNull())
@@ -91,8 +92,14 @@ def _groups(docs, buckets, id_col, text_col, prefix_chars, hash_all):
     rows = texts.select("doc_id", "asked", F.when(needed, digest(F.col("norm"))).alias("text_hash"))
     rows = landed(rows, "dedup-rows")
     copies = rows.filter("asked").groupBy("doc_id", "text_hash").agg(F.count("*").alias("copies"))
+    copies = landed(copies, "dedup-copies")
     groups = copies.groupBy("text_hash").agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
-    found = landed(copies, "dedup-copies").join(landed(groups, "dedup-groups"), "text_hash")
+    return rows, copies, landed(groups, "dedup-groups")
+
+
+def _groups(docs, buckets, id_col, text_col, prefix_chars, hash_all):
+    rows, copies, groups = _counted(docs, buckets, id_col, text_col, prefix_chars, hash_all)
+    found = copies.join(groups, "text_hash")
     found = found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     first = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("_copy") == 1)
     found = found.withColumn("kept", first).drop("copies", "_copy")
@@ -109,28 +116,34 @@ def _groups(docs, buckets, id_col, text_col, prefix_chars, hash_all):
 def drop_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = PREFIX_CHARS
 ) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; only texts in question are shuffled."""
+    """The rows of ``docs`` that stay, with all their columns; only texts in question are shuffled.
+
+    Columns may have any names: while rows are judged they lie in a struct of their own.
+    """
     keys = landed(_keyed(docs, id_col, text_col, prefix_chars).drop("norm"), "dedup-keys")
     buckets = _in_question(keys)
-    groups = _groups(docs, buckets, id_col, text_col, prefix_chars, False).filter(F.col("group_size") > 1)
-    decided = groups.groupBy("doc_id", "text_hash").agg(F.max("kept").alias("stays"), F.count("*").alias("copies"))
+    _, copies, groups = _counted(docs, buckets, id_col, text_col, prefix_chars, False)
+    # No aggregate follows this join by text, so a hot text can be split in it.
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("stays")
+    decided = copies.join(groups.filter(F.col("group_size") > 1), "text_hash").select("doc_id", "text_hash", stays, "copies")
     decided = landed(decided, "dedup-decided")
-    rows = compute_once(docs, {"_norm": normalised(F.col(text_col))})
-    rows = rows.withColumn("_key", F.struct(F.octet_length("_norm").alias("length"), F.xxhash64(F.substring("_norm", 1, prefix_chars)).alias("prefix")))
-    bucket = F.pmod(F.xxhash64("_key.length", "_key.prefix"), F.lit(BUCKETS))
-    rows = rows.withColumn("_bucket", bucket).drop("_key")
-    asked = buckets.select(F.col("bucket").alias("_bucket"))
-    free = rows.join(F.broadcast(asked), "_bucket", "left_anti").select(*docs.columns)
-    rows = rows.join(F.broadcast(asked), "_bucket", "left_semi").withColumn("_hash", digest(F.col("_norm"))).drop("_norm", "_bucket")
-    kept = _without(rows, id_col, decided.filter(~F.col("stays")), "left_anti")
+    rows = docs.select(F.struct("*").alias("row"))
+    rows = compute_once(rows, {"norm": normalised(F.col("row")[text_col])})
+    prefix = F.xxhash64(F.substring("norm", 1, prefix_chars))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(F.octet_length("norm"), prefix), F.lit(BUCKETS)))
+    asked = F.broadcast(buckets.select("bucket"))
+    free = rows.join(asked, "bucket", "left_anti").select("row.*")
+    rows = rows.join(asked, "bucket", "left_semi")
+    rows = rows.select("row", F.col("row")[id_col].alias("id"), digest(F.col("norm")).alias("hash"))
+    kept = _without(rows, decided.filter(~F.col("stays")), "left_anti")
     again = decided.filter(F.col("stays") & (F.col("copies") > 1))
     if again.isEmpty():  # a written table: this reads its first row
-        return free.unionByName(kept.drop("_hash"))
-    once = _without(kept, id_col, again, "left_semi").dropDuplicates([id_col, "_hash"])
-    kept = _without(kept, id_col, again, "left_anti").unionByName(once)
-    return free.unionByName(kept.drop("_hash"))
+        return free.unionByName(kept.select("row.*"))
+    once = _without(kept, again, "left_semi").dropDuplicates(["id", "hash"])
+    kept = _without(kept, again, "left_anti").unionByName(once)
+    return free.unionByName(kept.select("row.*"))
 
 
-def _without(rows: DataFrame, id_col: str, keys: DataFrame, how: str) -> DataFrame:
-    keys = keys.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_key"))
-    return rows.join(keys, rows[id_col].eqNullSafe(keys["_id"]) & (rows["_hash"] == keys["_key"]), how)
+def _without(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    keys = keys.select(F.col("doc_id").alias("key_id"), F.col("text_hash").alias("key_hash"))
+    return rows.join(keys, rows["id"].eqNullSafe(keys["key_id"]) & (rows["hash"] == keys["key_hash"]), how)

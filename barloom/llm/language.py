@@ -171,6 +171,11 @@ def train(pairs: list[tuple[str, str]], seed: int = 0) -> tuple[BiGru, list[str]
     return net, languages
 
 
+def plain(model: tuple[BiGru, list[str]] | None) -> tuple[dict, list[str]] | None:
+    """A model as data, to be broadcast: tasks need not have the classes of this package."""
+    return model and (model[0].weights, model[1])
+
+
 def predict_language(
     docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> DataFrame:
@@ -181,12 +186,12 @@ def predict_language(
     is nothing to learn from. Rows that repeat get the same answer; an empty table gives no rows.
     """
     context = docs.sparkSession.sparkContext
-    model = context.broadcast(train(_sample(docs, id_col, text_col, lang_col, learn_from)))
+    model = context.broadcast(plain(train(_sample(docs, id_col, text_col, lang_col, learn_from))))
     name = f"language {uuid.uuid4()}"
 
     def read(batches):
         languages = model.value[1] if model.value else []
-        evidence = worker_cache(name, lambda: WordEvidence(model.value[0], len(languages))) if languages else None
+        evidence = worker_cache(name, lambda: WordEvidence(BiGru.of(model.value[0]), len(languages))) if languages else None
         for batch in batches:
             found, scores = [], []
             for texts in slices(batch.column(1), _fewer(SLICE_BYTES, len(languages))):
