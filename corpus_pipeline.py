@@ -4,6 +4,8 @@ Each stage is one operator over all rows that the stage before it kept. Its resu
 written as Parquet and read back for the next one.
 """
 
+from itertools import count
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -32,9 +34,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the texts; n_chars follows the change. All documents stay."""
-    masked = mask_secrets(docs.withColumn("_before", F.length("text")))
-    n_chars = F.coalesce(F.col("n_chars") + F.length("text") - F.col("_before"), F.col("n_chars"))
-    return masked.withColumn("n_chars", n_chars).drop("_before")
+    taken = {name.lower() for name in docs.columns}
+    before = next(name for k in count() if (name := f"_chars_before_{k}") not in taken)
+    masked = mask_secrets(docs.withColumn(before, F.length("text")))
+    n_chars = F.coalesce(F.col("n_chars") + F.length("text") - F.col(before), F.col("n_chars"))
+    return masked.withColumn("n_chars", n_chars).drop(before)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
