@@ -7,9 +7,11 @@ A row also holds the first words of the next one, so that no phrase is lost betw
 1. Words are counted; those below the least count are out.
 2. A phrase can only be frequent if both its parts (all but its last and all but its first word) are.
    A bitmap of fixed size of the frequent ones (a superset: two may share a bit) goes to
-   all tasks. Phrases seen whose parts are both in it, and whose occurrences, summed with
-   each task's counts cut at the least count, reach that count, are the candidates. Nothing
-   that could be frequent is lost; the cut sums serve for nothing else.
+   all tasks. Occurrences of phrases whose parts are both in it are first added up by a hash of
+   the phrase, in as many places as the bitmap has bits; places below the least count hold no
+   frequent phrase. Phrases of the other places whose occurrences, summed with each task's counts
+   cut at the least count, reach that count, are the candidates. Nothing that could be
+   frequent is lost; the cut sums serve for nothing else.
 3. Candidates are built into double-array tries of a bounded number of phrases, as many as
    it takes. Each is broadcast; every task walks all positions of many rows through it at
    once, level by level, and counts end states with ``bincount``; Spark adds up the tasks.
@@ -27,12 +29,12 @@ from barloom.llm.phrase_trie import PhraseTrie, walk
 from barloom.llm.words import absent_mark, slices
 from barloom.operators.keyed import landed, scratch_path, top_k
 
-#: Phrases of a trie at most, and bits of the bitmap.
-TRIE_PHRASES, BITS = 1 << 21, 1 << 26
+#: Phrases of a trie at most, bits of a bitmap, and places of it that are added up together.
+TRIE_PHRASES, BITS, BLOCK = 1 << 21, 1 << 26, 1 << 16
 #: Bytes of text cut at a time, unless one text is longer, and words in a row.
 SLICE_BYTES, ROW_WORDS = 4 << 20, 512
-#: Rows of words that are worked on at a time, and rows that a task sends at a time.
-_TOGETHER, _ROWS = 2048, 1 << 16
+#: Rows of words that are worked on at a time, rows that a task sends at a time, and phrases it adds up at a time.
+_TOGETHER, _ROWS, _SUMMED = 2048, 1 << 16, 1 << 21
 _END = r"[.,;:!?\x0A-\x0D]"
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -136,8 +138,12 @@ def _phrase_hash(lang: str, words: list[np.ndarray]) -> np.ndarray:
     return x
 
 
+def _place(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(20)) % np.uint64(BITS)
+
+
 def _hit(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = (hashes >> np.uint64(20)) % np.uint64(BITS)
+    at = _place(hashes)
     return ((bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
 
 
@@ -169,19 +175,78 @@ def _names(size: int) -> list[str]:
     return [f"w{k + 1}" for k in range(size)]
 
 
+def _possible(lang: str, numbers: np.ndarray, bits: np.ndarray, size: int) -> list[np.ndarray]:
+    """The words, by place, of all phrases in some rows whose two parts are in the bitmap."""
+    # The parts of a phrase, all but its last and all but its first word, start at its place and at the next.
+    run = [numbers[:, k : ROW_WORDS + 1 + k] for k in range(size - 1)]
+    part = np.all([r != 0 for r in run], axis=0)
+    part[part] = _hit(bits, _phrase_hash(lang, [r[part] for r in run]))
+    row, place = np.nonzero(part[:, :ROW_WORDS] & part[:, 1:])
+    return [numbers[row, place + k] for k in range(size)]
+
+
+def _block_sums(places: list[np.ndarray], most: int) -> pa.RecordBatch:
+    """(block, places, counts): how often each place occurs, counts cut at ``most``, a row per block."""
+    found, counts = np.unique(np.concatenate(places), return_counts=True)
+    ends = np.searchsorted(found, np.arange(0, BITS + 1, BLOCK))
+    blocks = np.flatnonzero(np.diff(ends))
+    ends = np.append(0, ends[blocks + 1]).astype(np.int32)
+    within, counts = (found % BLOCK).astype(np.uint16), np.minimum(counts, most).astype(np.uint8)
+    columns = [
+        pa.Array.from_buffers(pa.binary(), len(blocks), [None, pa.py_buffer(ends * np.int32(values.itemsize)), pa.py_buffer(values)])
+        for values in (within, counts)
+    ]
+    return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), *columns], ["block", "places", "counts"])
+
+
+def reached(texts: DataFrame, parts, size: int, least: int, longest: int) -> np.ndarray:
+    """The bitmap of the places at which phrases with frequent ``parts`` occur ``least`` times, all together.
+
+    Every task adds up its phrases by place and sends three bytes for a place; places are added up in
+    blocks, each as an array of fixed size. Counts are cut at a byte, which ``least`` may be above.
+    """
+    most = min(least, 255)
+
+    def add_up(batches):
+        held, n = [], 0
+        for lang, numbers in _read(batches, longest):
+            held.append(_place(_phrase_hash(lang, _possible(lang, numbers, parts.value, size))).astype(np.uint32))
+            n += len(held[-1])
+            if n >= _SUMMED:
+                yield _block_sums(held, most)
+                held, n = [], 0
+        if n:
+            yield _block_sums(held, most)
+
+    def reach(batches):
+        sums = {}
+        for batch in batches:
+            for block, places, counts in zip(*(column.to_pylist() for column in batch.columns)):
+                own, at = sums.setdefault(block, np.zeros(BLOCK, np.uint8)), np.frombuffer(places, np.uint16)
+                own[at] = np.minimum(own[at].astype(np.uint16) + np.frombuffer(counts, np.uint8), most)
+        for block, own in sums.items():
+            bits = np.packbits(own >= most, bitorder="little").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([bits], pa.binary())], ["block", "bits"])
+
+    sums = texts.mapInArrow(add_up, "block int, places binary, counts binary").repartition("block")
+    bits = np.zeros((BITS // BLOCK, BLOCK // 8), np.uint8)
+    for block, own in zip(*(c.to_pylist() for c in sums.mapInArrow(reach, "block int, bits binary").toArrow().columns)):
+        bits[block] = np.frombuffer(own, np.uint8)  # BITS / BLOCK rows at most
+    return bits.reshape(-1)
+
+
 def candidates(texts: DataFrame, frequent: DataFrame, size: int, least: int, longest: int) -> DataFrame:
     """(lang, w1 ... w<size>): phrases that may occur ``least`` times, given the frequent ones a word shorter."""
-    bits = texts.sparkSession.sparkContext.broadcast(bitmap(phrase_hashes(frequent, size - 1)))
+    context = texts.sparkSession.sparkContext
+    parts = context.broadcast(bitmap(phrase_hashes(frequent, size - 1)))
+    whole = context.broadcast(reached(texts, parts, size, least, longest))
     names = _names(size)
 
     def propose(batches):
         for lang, numbers in _read(batches, longest):
-            # The parts of a phrase, all but its last and all but its first word, start at its place and at the next.
-            run = [numbers[:, k : ROW_WORDS + 1 + k] for k in range(size - 1)]
-            part = np.all([r != 0 for r in run], axis=0)
-            part[part] = _hit(bits.value, _phrase_hash(lang, [r[part] for r in run]))
-            row, place = np.nonzero(part[:, :ROW_WORDS] & part[:, 1:])
-            known, codes = np.unique(np.concatenate([numbers[row, place + k] for k in range(size)]), return_inverse=True)
+            words = _possible(lang, numbers, parts.value, size)
+            often = _hit(whole.value, _phrase_hash(lang, words))
+            known, codes = np.unique(np.concatenate([w[often] for w in words]), return_inverse=True)
             found, counts = _distinct(np.split(codes, size), len(known))
             counts = np.minimum(counts, least)
             for first in range(0, len(counts), _ROWS):
