@@ -7,9 +7,11 @@ a sequence has tokens, however many pieces there are:
 2. non-negative least squares fits how often each is repeated to the histogram;
 3. the counts are rounded down to what the histogram holds, and classes are
    replaced by the exact lengths of their pieces;
-4. what is left over is packed by best fit, longest first, into the open sequences.
+4. what is left over is packed by best fit, longest first, into the open sequences;
+5. where that takes more sequences than the tokens need, sequences with much room are opened again
+   and their pieces packed by best fit, while that saves sequences.
 
-All four steps handle runs of equal sequences, not single pieces. Tasks then look up the
+All steps handle runs of equal sequences, not single pieces. Tasks then look up the
 place of a piece by its length and its number among the pieces of that length; these
 numbers come from counts per input partition, so no length, however frequent, is ever
 sorted or gathered in one task.
@@ -32,6 +34,8 @@ from barloom.operators.keyed import landed
 
 #: Length classes of the patterns, and the most classes in a pattern.
 CLASSES, PATTERN_SIZE = 128, 4
+#: Tokens of room from which on sequences are opened again, tried in this order.
+ROOMS = (64, 32, 16, 8, 4, 2, 1)
 _LEAST_GAIN = 1e-9
 _MARKED = "([A-Za-z0-9À-ÖØ-öø-ÿ])([.,;:!?])"
 
@@ -131,7 +135,28 @@ def plan_sequences(histogram: np.ndarray, limit: int) -> list[tuple[tuple[int, .
         if times > 0:
             runs += _zip_runs([_take(pools[k], times) for k in sorted(each, reverse=True) for _ in range(each[k])])
     rest = sorted((run for pool in pools.values() for run in pool), reverse=True)
-    return _best_fit(runs, [tuple(run) for run in rest], limit)
+    return _reopened(_best_fit(runs, [tuple(run) for run in rest], limit), limit)
+
+
+def _reopened(plan, limit):
+    """The plan, or one of fewer sequences that keeps only those of it with less room than one of ``ROOMS``."""
+    needed = -(-sum(sum(lengths) * count for lengths, count in plan) // limit)
+    size = lambda runs: sum(count for _, count in runs)
+    best = plan
+    for room in ROOMS:
+        if size(best) <= needed:
+            break
+        kept, pieces = [], defaultdict(int)
+        for lengths, count in plan:
+            if limit - sum(lengths) < room:
+                kept.append((lengths, count))
+            else:
+                for length in lengths:
+                    pieces[length] += count
+        again = _best_fit(kept, sorted(pieces.items(), reverse=True), limit)
+        if size(again) < size(best):
+            best = again
+    return best
 
 
 def _best_fit(runs, rest, limit):

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import zlib
+from bisect import bisect_left, insort
 from collections import defaultdict
 
 import numpy as np
@@ -13,7 +14,7 @@ from hypothesis import given, settings, strategies as st
 
 from barloom.llm.packing import WordIds, fill_patterns, nonnegative_least_squares, pack, plan_sequences
 from barloom.llm.piece_lattice import Pieces, UnitPaths, apply_edits, decode, encode, lattice, n_best, units_of
-from barloom.llm.queries import op4_piece_lattice
+from barloom.llm.queries import QUERIES, op4_piece_lattice
 from barloom.llm.token_counts import RunLengths, load_tokenizer, token_counts
 from barloom.llm.words import WordCodes
 from tests.llm.cases import TEXTS, documents
@@ -113,7 +114,23 @@ def test_plan_is_complete_and_near_the_bound(seed):
         for length in piece_lengths:
             placed[length] += count
     assert (placed == histogram).all()
-    assert sum(n for _, n in plan) <= 1.03 * lengths.sum() / 2048 + 1
+    assert sum(n for _, n in plan) <= best_fit_sequences(lengths, 2048)
+
+
+def best_fit_sequences(lengths, limit):
+    """How many sequences plain best fit takes, longest piece first."""
+    rooms = []
+    for length in sorted(map(int, lengths), reverse=True):
+        at = bisect_left(rooms, length)
+        insort(rooms, (rooms.pop(at) if at < len(rooms) else limit) - length)
+    return len(rooms)
+
+
+def test_no_more_sequences_than_best_fit_on_documents(spark):
+    packed = QUERIES["op3_best_fit_packing"](spark, "/root/testdata/sf0.01").select("sequence_id", "length").toPandas()
+    best = best_fit_sequences(packed.length, 2048)
+    assert packed.groupby("sequence_id").length.sum().max() <= 2048
+    assert packed.sequence_id.nunique() <= best
 
 
 def test_plan_of_few_or_no_pieces():
