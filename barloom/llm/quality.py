@@ -2,18 +2,23 @@
 
 Counts of words, symbols, repeated lines and repeated words come from each whole text, inside
 its row. Fixed base rules reject first. Then each rule of ``RULES`` has a ladder of
-cutoffs, from mild to strict. On labelled documents of good quality, and for each stratum
-(language), a rung counts how many good ones it would reject; the exact binomial
-probability of seeing so few, if it rejected a share of ``risk / rules`` in truth, must be
-at most ``alpha / (strata * rules)``. A ladder is climbed until a rung fails (a fixed
-sequence of tests), so the chance that any stratum loses more than ``risk`` of its good
+cutoffs, from mild to strict, and ``STEPS`` is one fixed sequence of steps: the rungs of the
+first rule, then those of the second on top of the first one's strictest, and so on. For each
+stratum (a language of the data) a step counts how many labelled documents of good quality all its
+cutoffs together would reject; the exact binomial probability of seeing so few, if they
+rejected a share of ``risk`` in truth, must be at most the stratum's part of ``alpha``. Steps
+are taken until one fails, so a stratum needs no correction for them. ``alpha`` is
+shared in equal parts by as many strata, those with the most labels, as could pass with their part
+if no good document were rejected; this depends on numbers of labels alone, not on what any
+rule does. So the chance that any stratum loses more than ``risk`` of its good
 documents is at most ``alpha``. A stratum with too few labels gets no cutoff.
 """
 
+import math
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barloom.operators.columns import compute_once
 from barloom.operators.keyed import landed
@@ -21,7 +26,6 @@ from barloom.operators.keyed import landed
 #: What parts words, the symbols, and the base rules.
 SPACES, SYMBOLS, WINDOW = r"[\x20\x09-\x0D]+", "#*$%&|<>", 5
 LEAST_WORDS, MOST_REPEATED_PERCENT = 10, 20
-STRATA = ("en", "de", "fr", "es")
 RISK, ALPHA = 0.01, 0.05
 #: A measure and its cutoffs from mild to strict; at or above one a document is rejected.
 RULES = {
@@ -30,6 +34,8 @@ RULES = {
     "repeat_share": (0.19, 0.15, 0.1),
     "word_length": (40.0, 30.0, 20.0, 15.0),
 }
+#: The rule and the cutoff that each step adds to the steps before it.
+STEPS = [(rule, cutoff) for rule, ladder in RULES.items() for cutoff in ladder]
 
 
 def measures(
@@ -40,10 +46,9 @@ def measures(
     With ``carry``, the row itself comes along as the struct ``row``.
     """
     carried = [F.struct(*docs.columns).alias("row")] if carry else []
-    known = F.col(stratum_col).isin(*STRATA)
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
-        F.when(known, F.col(stratum_col)).otherwise("other").alias("stratum"),
+        F.coalesce(F.col(stratum_col).cast("string"), F.lit("und")).alias("stratum"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         *carried,
     )
@@ -139,43 +144,51 @@ def binomial_tail(n: Column, k: Column, share: float) -> Column:
 
 
 def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, alpha: float = ALPHA) -> DataFrame:
-    """(stratum, one column by rule): the strictest rung that passes, null if none does.
+    """(stratum, one column by rule): the cutoffs after the last step that passes; only strata that have any.
 
-    ``labels`` has doc_id and quality; a document is good if all its labels say 1. At most a
-    row by stratum, as there are as many strata as ``STRATA`` and one more.
+    ``labels`` has doc_id and quality; a document is good if all its labels say 1.
     """
     good = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).filter(F.col("quality") == 1)
     held_out = measured.filter(~base_failed()).join(good.select("doc_id"), "doc_id", "left_semi")
-    counts = [F.count_if(_rejects(rule, c)).alias(f"{rule}_{rung}") for rule, ladder in RULES.items() for rung, c in enumerate(ladder)]
-    counted = landed(held_out.groupBy("stratum").agg(F.count("*").alias("n"), *counts), "rungs")
-    share, level = risk / len(RULES), alpha / ((len(STRATA) + 1) * len(RULES))
+    # A document is rejected from the first step on that rejects it.
+    first = F.least(*[F.when(_rejects(rule, c), step) for step, (rule, c) in enumerate(STEPS)])
+    counts = [F.count_if(F.col("first") <= step).alias(f"step_{step}") for step in range(len(STEPS))]
+    counted = held_out.select("stratum", first.alias("first")).groupBy("stratum").agg(F.count("*").alias("n"), *counts)
+    # Strata that could pass with all of ``alpha``: none of them has fewer than ln(alpha) / ln(1 - risk) labels.
+    able = landed(counted.filter(F.col("n") * math.log(1 - risk) <= math.log(alpha)), "steps")
+    placed = able.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), "stratum")))
+    fits = F.col("n") * math.log(1 - risk) <= F.lit(math.log(alpha)) - F.log("place")
+    sharing = F.max(F.when(fits, F.col("place"))).over(Window.partitionBy())
+    shared = placed.withColumn("sharing", sharing).filter("place <= sharing")
 
     def passes(rejected):
-        n = F.col("n")
-        few = rejected <= n * F.lit(share)
-        return few & F.coalesce(F.when(few, binomial_tail(n, rejected, share)) <= level, F.lit(False))
+        few = rejected <= F.col("n") * F.lit(risk)
+        sure = F.when(few, binomial_tail(F.col("n"), rejected, risk)) <= F.lit(alpha) / F.col("sharing")
+        return F.coalesce(sure, F.lit(False))
 
+    passed = F.array(*[passes(F.col(f"step_{step}")) for step in range(len(STEPS))], F.lit(False))
+    steps = compute_once(shared, {"steps": F.array_position(passed, False) - 1}).filter("steps > 0")
     chosen = []
-    for rule, ladder in RULES.items():
-        best, climbed = F.lit(None).cast("double"), F.lit(True)
-        for rung, cutoff in enumerate(ladder):
-            climbed = climbed & passes(F.col(f"{rule}_{rung}"))
-            best = F.when(climbed, F.lit(cutoff)).otherwise(best)
+    for rule in RULES:
+        own = [(step, cutoff) for step, (r, cutoff) in enumerate(STEPS) if r == rule]
+        best = F.lit(None).cast("double")
+        for step, cutoff in own:
+            best = F.when(F.col("steps") > step, F.lit(cutoff)).otherwise(best)
         chosen.append(best.alias(f"{rule}_cutoff"))
-    return counted.select("stratum", *chosen)
+    return steps.select("stratum", *chosen)
 
 
 def _verdicts(measured: DataFrame, limits: DataFrame) -> DataFrame:
     rejected = reduce(or_, [_rejects(rule, F.col(f"{rule}_cutoff")) for rule in RULES])
-    rows = measured.join(F.broadcast(limits), "stratum", "left").withColumn("base_failed", base_failed())
+    rows = measured.join(limits, "stratum", "left").withColumn("base_failed", base_failed())
     return rows.withColumn("kept", ~F.col("base_failed") & ~rejected)
 
 
 def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
     """The measures of every row, base_failed, kept, and the cutoffs of its stratum.
 
-    A null or blank text has no words and fails the base rules. A null or unknown stratum
-    counts as ``other``. Rows that repeat are judged alike. Without labels only the base
+    A null or blank text has no words and fails the base rules. A null stratum counts
+    as ``und``. Rows that repeat are judged alike. Without labels only the base
     rules hold; an empty table gives no rows.
     """
     measured = landed(measures(docs, id_col, text_col, stratum_col), "measures")

@@ -94,8 +94,7 @@ def op5_url_filter(spark, folder):
     "op6_quality_rules",
     r"""
     WITH docs AS (
-        SELECT doc_id, CASE WHEN lang IN ('en', 'de', 'fr', 'es') THEN lang ELSE 'other' END AS stratum,
-            coalesce(text, '') AS t FROM documents
+        SELECT doc_id, coalesce(lang, 'und') AS stratum, coalesce(text, '') AS t FROM documents
     ), cut AS (
         SELECT doc_id, stratum, t,
             list_filter(regexp_split_to_array(t, '[ 	-
@@ -122,29 +121,41 @@ def op5_url_filter(spark, folder):
     ), f AS (
         SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m
     ), v AS (
-        SELECT doc_id, stratum, base_failed, unnest([
-            {'rule': 'symbol_share', 'x': n_symbols / nullif(word_chars, 0), 'ladder': [0.3, 0.2, 0.1, 0.05, 0.02]},
-            {'rule': 'line_share', 'x': n_dup_lines / nullif(n_lines, 0), 'ladder': [0.9, 0.7, 0.5, 0.3]},
-            {'rule': 'repeat_share', 'x': n_repeat_words / nullif(n_words, 0), 'ladder': [0.19, 0.15, 0.1]},
-            {'rule': 'word_length', 'x': word_chars / nullif(n_words, 0), 'ladder': [40.0, 30.0, 20.0, 15.0]}
+        SELECT doc_id, unnest([
+            {'rule': 'symbol_share', 'x': n_symbols / nullif(word_chars, 0)},
+            {'rule': 'line_share', 'x': n_dup_lines / nullif(n_lines, 0)},
+            {'rule': 'repeat_share', 'x': n_repeat_words / nullif(n_words, 0)},
+            {'rule': 'word_length', 'x': word_chars / nullif(n_words, 0)}
         ], recursive := true) FROM f
     ), good AS (
         SELECT doc_id FROM labels GROUP BY 1 HAVING min(quality) = 1
-    ), rungs AS (
-        SELECT stratum, rule, i, ladder[i]::DOUBLE AS cutoff, count(*) AS n,
-            count(*) FILTER (coalesce(x, -1) >= ladder[i]::DOUBLE) AS k
-        FROM (SELECT *, unnest(range(1, len(ladder) + 1)) AS i FROM v WHERE NOT base_failed AND doc_id IN (FROM good))
-        GROUP BY ALL
+    ), steps AS (
+        SELECT rule, cutoff, row_number() OVER () - 1 AS step FROM (VALUES
+            ('symbol_share', 0.3::DOUBLE), ('symbol_share', 0.2), ('symbol_share', 0.1), ('symbol_share', 0.05), ('symbol_share', 0.02),
+            ('line_share', 0.9), ('line_share', 0.7), ('line_share', 0.5), ('line_share', 0.3),
+            ('repeat_share', 0.19), ('repeat_share', 0.15), ('repeat_share', 0.1),
+            ('word_length', 40), ('word_length', 30), ('word_length', 20), ('word_length', 15)) AS s(rule, cutoff)
+    ), firsts AS (
+        SELECT doc_id, min(step) AS first FROM v JOIN steps USING (rule) WHERE x >= cutoff GROUP BY 1
+    ), held AS (
+        SELECT stratum, first FROM f LEFT JOIN firsts USING (doc_id) WHERE NOT base_failed AND doc_id IN (FROM good)
+    ), sizes AS (
+        SELECT stratum, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, stratum) AS place FROM held GROUP BY 1
+    ), sharing AS (
+        SELECT max(place) AS m FROM sizes WHERE n * ln(0.99::DOUBLE) <= ln(0.05::DOUBLE) - ln(place)
+    ), counts AS (
+        SELECT stratum, step, n, m, (SELECT count(*) FROM held h WHERE h.stratum = s.stratum AND h.first <= step) AS k
+        FROM sizes s, sharing, steps WHERE place <= m
     ), tested AS (
-        SELECT *, CASE WHEN k <= n * 0.0025::DOUBLE THEN list_sum(list_transform(range(0, k + 1),
-            lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(0.0025::DOUBLE) + (n - j) * ln(1 - 0.0025::DOUBLE))))
-            <= 0.05::DOUBLE / 20 ELSE false END AS ok FROM rungs
+        SELECT *, CASE WHEN k <= n * 0.01::DOUBLE THEN list_sum(list_transform(range(0, k + 1),
+            lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(0.01::DOUBLE) + (n - j) * ln(1 - 0.01::DOUBLE))))
+            <= 0.05::DOUBLE / m ELSE false END AS ok FROM counts
     ), climbed AS (
-        SELECT *, bool_and(ok) OVER (PARTITION BY stratum, rule ORDER BY i) AS up FROM tested
+        SELECT stratum, step, bool_and(ok) OVER (PARTITION BY stratum ORDER BY step) AS up FROM tested
     ), limits AS (
-        SELECT stratum, rule, min(cutoff) AS cutoff FROM climbed WHERE up GROUP BY 1, 2
+        SELECT stratum, max(step) AS last FROM climbed WHERE up GROUP BY 1
     ), bad AS (
-        SELECT DISTINCT doc_id FROM v JOIN limits USING (stratum, rule) WHERE x >= cutoff
+        SELECT doc_id FROM f JOIN firsts USING (doc_id) JOIN limits USING (stratum) WHERE first <= last
     )
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
         NOT base_failed AND doc_id NOT IN (FROM bad) AS kept

@@ -129,6 +129,32 @@ def test_cutoffs_bound_the_false_rejections(spark):
     assert stay.columns == docs.columns and sorted(r.doc_id for r in stay.collect()) == sorted(d for d, k in kept.items() if k)
 
 
+def test_strata_share_alpha_by_their_numbers_of_labels(spark):
+    text = "plain words that say nothing but are many enough to be kept by all"
+    sizes = {"en": 600, "xx": 450, None: 400, "de": 310, "fr": 40}
+    rows, labels = [], []
+    for lang, size in sizes.items():
+        for k in range(size + 5):  # the last five are bad ones, full of symbols
+            rows.append((len(rows), f"{text} {k}" + (" " + "#" * 60 if k >= size else ""), lang))
+            labels.append((len(labels), int(k < size), 0))
+    # With two strata a part is 0.025, which takes 368 labels without a hit; with three 408, with four 437.
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    gone = {rows[r.doc_id][2] for r in quality.judged(documents(spark, rows), labels).filter("not kept").collect()}
+    assert gone == {"en", "xx"}
+    found = quality.cutoffs(quality.measures(documents(spark, rows)), labels).collect()
+    assert {r.stratum for r in found} == {"en", "xx"}
+    assert all(r.symbol_share_cutoff == 0.02 and r.word_length_cutoff == 15.0 for r in found)
+
+
+def test_a_step_that_rejects_good_documents_ends_the_sequence(spark):
+    text = "plain words that say nothing but are many enough to be kept by all"
+    rows = [(k, f"{text} {k}" + (" ######" if k % 20 == 0 else ""), "en") for k in range(1000)]
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(1000)], "doc_id long, quality int, toxic int")
+    row = quality.cutoffs(quality.measures(documents(spark, rows)), labels).first()
+    # Six symbols are a share of about 0.1: 5 % of the good ones would go at 0.1 or 0.05, and nothing after that is tried.
+    assert row.symbol_share_cutoff in (0.2, 0.1) and row.line_share_cutoff is None and row.word_length_cutoff is None
+
+
 def test_quality_of_awkward_rows(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     rows = quality.judged(documents(spark), labels).collect()
