@@ -52,8 +52,15 @@ def gap_fill(history: DataFrame, board: DataFrame, today) -> DataFrame:
     return history.unionByName(fill)
 
 
+def of_symbols(history, symbols: DataFrame) -> DataFrame:
+    """The rows of ``symbols``: a semi join, or what a feed in buckets reads for them."""
+    if isinstance(history, DataFrame):
+        return history.join(symbols, "symbol", "left_semi")
+    return history.of_symbols(symbols)
+
+
 def adjusted_history(
-    history: DataFrame,
+    history,
     board: DataFrame,
     listing: DataFrame,
     symbols: DataFrame,
@@ -66,6 +73,7 @@ def adjusted_history(
 ) -> DataFrame:
     """Clean history of ``symbols``, filled up to ``today``, one bar per day.
 
+    ``history`` is the feed's frame, or a ``BucketedHistory``, of which only folders of ``symbols`` are read.
     ``order`` names feed columns that tell repeated days of a symbol apart; the
     last one is kept, and a board row is later than all of them. All rows in the range
     count, however many. The rows of the symbols are written out, as the choice of a
@@ -73,7 +81,7 @@ def adjusted_history(
     knows their size.
     """
     keys = landed(symbols.select("symbol").distinct(), "wanted-symbols")
-    wanted = history_scan(history, start, end).join(keys, "symbol", "left_semi")
+    wanted = history_scan(of_symbols(history, keys), start, end)
     wanted = source_fallback(landed(wanted, "wanted"), sources)
     bars = clean.clean_download(wanted, multiplier)
     unordered = [c for c in bars.columns if c not in order]

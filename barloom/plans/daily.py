@@ -24,6 +24,7 @@ from barloom.schema import (
     MOST_BROKEN_SHARE,
 )
 from barloom.sinks.bar_table import BarTable, sink_symbol_history
+from barloom.sinks.history_feed import BucketedHistory
 from barloom.sinks.run_state import RunState, version_of
 from barloom.sources.archive_source import ArchiveFolder
 from barloom.sources.feeds import require_sound
@@ -38,7 +39,7 @@ class DailyFeeds:
 
     listing: DataFrame
     board: DataFrame
-    history: DataFrame
+    history: DataFrame | BucketedHistory
     events: DataFrame
     holidays: DataFrame
     archives: DataFrame | ArchiveFolder
@@ -101,8 +102,9 @@ def run_daily(
     symbols = landed(universe.require_symbols(symbols), "symbols")
     state.save_symbol_cache(symbols, version)
 
-    own_source = feeds.history.filter(F.lower("source") == settings.source.lower())
     benchmarks = units.benchmark_tickers(settings.benchmarks)
+    quoted = adjust.of_symbols(feeds.history, units.vote_candidates(symbols, benchmarks))
+    own_source = quoted.filter(F.lower("source") == settings.source.lower())
     factors = units.unit_vote(symbols, feeds.board, own_source, benchmarks, settings.as_of).first()
     t0 = landed(board_bars(feeds.board, settings.source, factors["board_multiplier"]), "board")
 

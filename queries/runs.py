@@ -10,6 +10,7 @@ from barloom.operators.keyed import landed, last_by
 from barloom.plans.daily import DailyFeeds, DailySettings, run_daily
 from barloom.schema import BAR_COLS, PRICE_ADJ, PRICE_COLS
 from barloom.sinks.bar_table import BarTable, read_symbol_history
+from barloom.sinks.history_feed import BucketedHistory
 from barloom.sinks.run_state import RunState, version_of
 from queries.cleaning import board_bars, cleaned
 from queries.feeds import AS_OF, BEFORE_CLOSE, INVALID, TODAY, exchange_label
@@ -327,6 +328,31 @@ def _(t):
     )
 
 
+@query(
+    "adjusted_history_bucketed",
+    ["downloads", "board_bars", "listing", "active"],
+    f""", wanted AS (SELECT symbol FROM active), {_ADJUSTED}""",
+)
+def _(t):
+    """The same from a feed that lies in symbol buckets, landed in two batches."""
+    feed = BucketedHistory(t.spark, t.scratch("feed"), 16, t.downloads.schema)
+    old = F.col("time") < F.lit("2000-01-01").cast("date")
+    feed.append(t.downloads.filter(old))
+    feed.append(t.downloads.filter(~old | old.isNull()))
+    return adjust.adjusted_history(
+        feed,
+        board_bars(t).select(*BAR_COLS),
+        t.listing,
+        symbols.active_symbols(t.listing),
+        TODAY,
+        1000.0,
+        adjust.source_order("VCI"),
+        "1996-01-01",
+        TODAY,
+        order=("seq",),
+    )
+
+
 @query(
     "absent_days",
     ["cleaned", "holidays"],

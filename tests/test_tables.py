@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from barloom.operators import adjust, clean, tables
 from barloom.schema import HISTORY_FEED_SCHEMA, KEY
 from barloom.sinks.bar_table import BarTable, read_symbol_history, sink_symbol_history
+from barloom.sinks.history_feed import BucketedHistory
 from barloom.sinks.run_state import KeyValueState, RunState
 from tests.helpers import bar, bars, d
 
@@ -90,6 +91,36 @@ def test_adjusted_history(spark, rows):
     assert rows(outcome) == [("A", "ok"), ("B", "ok"), ("C", "failed"), ("D", "failed")]
 
 
+def test_a_reload_reads_only_the_buckets_of_its_symbols(spark, rows, tmp_path):
+    names = [f"S{k}" for k in range(40)]
+    history = BucketedHistory(spark, str(tmp_path / "feed"), 8)
+    wanted = spark.createDataFrame([("S1",), ("S2",), ("none",), (None,)], "symbol string")
+    assert history.read().count() == history.of_symbols(wanted).count() == 0
+    history.append(feed(spark, *[(s, "VCI", "2024-01-26", 1.0) for s in [*names, None]]))
+    history.append(feed(spark, *[(s, "VCI", "2024-01-29", 2.0) for s in names]))
+    assert history.read().count() == 81 and history.read().columns == HISTORY_FEED_SCHEMA.names
+    with pytest.raises(ValueError, match="asked for"):
+        BucketedHistory(spark, history.path, 4).of_symbols(wanted)
+    listing = spark.createDataFrame([("S1", "HSX")], "symbol string, exchange string")
+
+    def rebuilt(source):
+        board = bars(spark, bar("S1", "2024-01-30", 5000.0))
+        range_ = (d("2024-01-30"), 1000.0, ["vci"], "2000-01-01", "2024-01-30")
+        return rows(adjust.adjusted_history(source, board, listing, wanted, *range_))
+
+    before = rebuilt(history.read())
+    assert len(before) == 5 and rebuilt(history) == before
+    plan = history.of_symbols(wanted)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruningexpression(symbol_bucket" in plan
+    # Files of other buckets are not opened: they may hold anything.
+    own = {r[0] for r in wanted.select(F.expr("cast(pmod(xxhash64(symbol), 8) as int)")).collect()}
+    spoilt = [f for f in (tmp_path / "feed").glob("symbol_bucket=*/*.parquet") if int(f.parent.name.split("=")[1]) not in own]
+    for file in spoilt:
+        file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+        file.write_bytes(b"not a table")
+    assert spoilt and rebuilt(history) == before
+
+
 def test_a_long_history_is_rebuilt_in_whole(spark):
     """No request size cuts it, and invalid rows take no room of others."""
     days = [f"{y}-{m:02d}-{day:02d}" for y in range(2000, 2024) for m in range(1, 13) for day in range(1, 29)]
