@@ -103,7 +103,9 @@ def run_daily(
     state.save_symbol_cache(symbols, version)
 
     benchmarks = units.benchmark_tickers(settings.benchmarks)
-    quoted = adjust.of_symbols(feeds.history, units.vote_candidates(symbols, benchmarks))
+    quoted = feeds.history
+    if isinstance(quoted, BucketedHistory):
+        quoted = quoted.of_symbols(units.vote_candidates(symbols, benchmarks))
     own_source = quoted.filter(F.lower("source") == settings.source.lower())
     factors = units.unit_vote(symbols, feeds.board, own_source, benchmarks, settings.as_of).first()
     t0 = landed(board_bars(feeds.board, settings.source, factors["board_multiplier"]), "board")
