@@ -6,7 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from barloom.operators import adjust, clean, tables
+from barloom.operators import adjust, clean, tables, units
 from barloom.schema import HISTORY_FEED_SCHEMA, KEY
 from barloom.sinks.bar_table import BarTable, read_symbol_history, sink_symbol_history
 from barloom.sinks.history_feed import BucketedHistory
@@ -121,6 +121,17 @@ def test_a_reload_reads_only_the_buckets_of_its_symbols(spark, rows, tmp_path):
     assert spoilt and rebuilt(history) == before
 
 
+def test_the_unit_vote_reads_a_feed_in_buckets(spark, tmp_path):
+    history = BucketedHistory(spark, str(tmp_path / "feed"), 8)
+    history.append(feed(spark, ("AAA", "vci", "2024-01-29", 20.0), ("BBB", "vci", "2024-01-29", 30_000.0)))
+    listed = spark.createDataFrame([("AAA",), ("BBB",)], "symbol string")
+    board = spark.createDataFrame([], "symbol string, time timestamp, close_price double")
+    for benchmarks in (["AAA"], ["BBB"], ["CCC"]):  # none listed: the first symbol of three characters
+        quoted = history.of_symbols(units.vote_candidates(listed, benchmarks))
+        got = units.unit_vote(listed, board, quoted, benchmarks, d("2024-01-30")).first()
+        assert got == units.unit_vote(listed, board, history.read(), benchmarks, d("2024-01-30")).first()
+
+
 def test_a_long_history_is_rebuilt_in_whole(spark):
     """No request size cuts it, and invalid rows take no room of others."""
     days = [f"{y}-{m:02d}-{day:02d}" for y in range(2000, 2024) for m in range(1, 13) for day in range(1, 29)]
