@@ -3,13 +3,16 @@
 The month prunes by date, the bucket by symbol: a daily load rewrites one month,
 a history reload rewrites the buckets of its symbols. Inside a file rows are
 sorted by symbol and date, so row groups prune further.
+
+A folder that lost all its rows holds one row without a symbol instead: a dynamic
+overwrite replaces only folders that get a row. Readers here skip such rows.
 """
 
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barloom.operators import clean, tables
 from barloom.operators.keyed import drop_keys, landed
@@ -101,10 +104,11 @@ class BarTable:
             return
         days = sorted(days or own)
         months = sorted({d.year * 100 + d.month for d in own.union(days)})
-        current = self._rows(bars.sparkSession).filter(_month_no().isin(months))
+        touched = _month_no().isin(months)
+        current = self._rows(bars.sparkSession).filter(touched)
         lost = current.filter(F.col("trading_date").isin(days))
         new = tables.replace_dates(current.select(*self.schema.names), staged, days)
-        self._rewrite(new, current, lost, staged)
+        self._rewrite(new, touched, lost, staged)
 
     def replace_symbols(self, bars: DataFrame, staged: bool = False) -> None:
         """Replace the symbols in ``bars`` from their first common date on.
@@ -116,13 +120,12 @@ class BarTable:
         if start is None:
             return
         buckets = [r[0] for r in self._with_layout(staged).select("bucket").distinct().collect()]
-        current = self._rows(bars.sparkSession).filter(
-            F.col("bucket").isin(buckets) & (_month_no() >= _month_of(start))
-        )
+        touched = F.col("bucket").isin(buckets) & (_month_no() >= _month_of(start))
+        current = self._rows(bars.sparkSession).filter(touched)
         symbols = landed(staged.select("symbol").distinct(), "symbols")
         lost = current.filter(F.col("trading_date") >= F.lit(start)).join(symbols, "symbol", "left_semi")
         new = tables.replace_symbols(current.select(*self.schema.names), staged)
-        self._rewrite(new, current, lost, staged)
+        self._rewrite(new, touched, lost, staged)
 
     def copy_raw(self, raw: "BarTable", days: list[date], excluded: DataFrame) -> None:
         """Replace the days by the raw table's bars, except for the excluded symbols."""
@@ -130,13 +133,14 @@ class BarTable:
             return
         spark = excluded.sparkSession
         months = sorted({d.year * 100 + d.month for d in days})
-        current = self._rows(spark).filter(_month_no().isin(months))
+        touched = _month_no().isin(months)
+        current = self._rows(spark).filter(touched)
         keys = landed(excluded.select("symbol").distinct(), "excluded")
         lost = current.filter(F.col("trading_date").isin(days)).join(keys, "symbol", "left_anti")
-        source = raw._rows(spark).filter(_month_no().isin(months)).select(*raw.schema.names)
+        source = raw._rows(spark).filter(touched).select(*raw.schema.names)
         new = tables.copy_raw_to_adjusted(source, current.select(*self.schema.names), days, keys)
         copied = source.filter(F.col("trading_date").isin(days)).join(keys, "symbol", "left_anti")
-        self._rewrite(new, current, lost, copied)
+        self._rewrite(new, touched, lost, copied)
 
     def upsert(self, bars: DataFrame, greatest: str | None = None) -> None:
         """Insert or update by (symbol, trading_date); nothing is deleted.
@@ -155,13 +159,34 @@ class BarTable:
         new = tables.upsert(current.select(*self.schema.names), staged, greatest=greatest)
         self._write(new, "dynamic")
 
+    def extent(self, spark: SparkSession, touched: Column | None = None) -> DataFrame:
+        """(year, month, bucket, n_rows, last_day) of the folders that hold rows.
+
+        It is read off the files' footers, without a scan of rows; ``touched`` is a
+        condition on the folders. A table without files has no folder.
+        """
+        rows = self._files(_footer_session(spark))
+        if touched is not None:
+            rows = rows.filter(touched)
+        found = rows.groupBy(*LAYOUT).agg(
+            F.count("symbol").alias("n_rows"), F.max("trading_date").alias("last_day")
+        )
+        return found.filter(F.col("n_rows") > 0)
+
+    def last_day(self, spark: SparkSession) -> DataFrame:
+        """The last day stored, null for an empty table; from footers alone."""
+        return self.extent(spark).agg(F.max("last_day").alias("trading_date"))
+
     def _rows(self, spark):
+        return self._files(spark).filter(F.col("symbol").isNotNull())
+
+    def _files(self, spark):
         try:
             return _read_parquet(spark, self.path, self.schema, LAYOUT)
         except AnalysisException as problem:
             if problem.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return spark.createDataFrame([], self.schema).withColumns({name: F.lit(0) for name in LAYOUT})
+            return spark.createDataFrame([], self.schema).withColumns({name: F.lit(1) for name in LAYOUT})
 
     def _stage(self, bars):
         """Incoming bars, written once; all later passes read the same rows."""
@@ -177,27 +202,26 @@ class BarTable:
             }
         )
 
-    def _rewrite(self, new, current, lost, incoming):
+    def _rewrite(self, new, touched, lost, incoming):
         """Write the new content of the touched folders.
 
-        A folder that loses all rows and gets none is not written by a dynamic overwrite
-        and would keep its old files, so it is overwritten by an empty file. Counts of
-        rows tell which ones these are, without working out the new content twice.
-        There are at most months times buckets of them.
+        A folder that loses as many rows as it has, and gets none, is emptied: it gets a row
+        without a symbol in the same write, which is one job however many they are. Its row
+        is dated on the first of the month, so that the last day in the footers stays right
+        beside rows that are appended later.
         """
-        before = current.groupBy(*LAYOUT).agg(F.count("*").alias("_rows"))
+        before = self.extent(new.sparkSession, touched).select(*LAYOUT, F.col("n_rows").alias("_rows"))
         gone = lost.groupBy(*LAYOUT).agg(F.count("*").alias("_rows"))
         filled = self._with_layout(incoming).select(*LAYOUT).distinct()
-        emptied = gone.join(before, [*LAYOUT, "_rows"]).join(filled, LAYOUT, "left_anti").collect()
-        self._write(new, "dynamic")
-        for row in emptied:
-            folder = "/".join(f"{name}={row[name]}" for name in LAYOUT)
-            empty = new.sparkSession.createDataFrame([], self.schema)
-            empty.write.mode("overwrite").parquet(f"{self.path}/{folder}")
+        emptied = gone.join(before, [*LAYOUT, "_rows"]).join(filled, LAYOUT, "left_anti").drop("_rows")
+        self._write(new, "dynamic", emptied.withColumn("trading_date", F.make_date("year", "month", F.lit(1))))
 
-    def _write(self, bars, overwrite):
+    def _write(self, bars, overwrite, emptied=None):
         """Write bars by layout. Rebalancing splits folders too big for one task."""
-        laid_out = self._with_layout(bars).hint("rebalance", *LAYOUT)
+        laid_out = self._with_layout(bars)
+        if emptied is not None:
+            laid_out = laid_out.unionByName(emptied, allowMissingColumns=True)
+        laid_out = laid_out.hint("rebalance", *LAYOUT)
         writer = laid_out.sortWithinPartitions(*LAYOUT, *KEY).write.partitionBy(*LAYOUT)
         writer = writer.option("compression", "snappy").mode("overwrite" if overwrite else "append")
         if overwrite:
@@ -259,6 +283,17 @@ def _read_parquet(spark, path, schema, folders):
     return spark.read.schema(declared).parquet(path)
 
 
+def _footer_session(spark: SparkSession) -> SparkSession:
+    """A session with the same settings in which Spark answers counts and extremes from Parquet footers."""
+    side = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            side.conf.set(name, value)
+    side.conf.set("spark.sql.sources.useV1SourceList", "")
+    side.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return side
+
+
 def _month_no():
     return F.col("year") * 100 + F.col("month")
 

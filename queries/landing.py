@@ -435,6 +435,37 @@ def _(t):
     return table.read(t.spark)
 
 
+@query(
+    "stored_extent",
+    ["bars", "ticks"],
+    """SELECT cast(year(trading_date) AS integer) AS year, cast(month(trading_date) AS integer) AS month,
+       count(*) AS n_rows, max(trading_date) AS last_day
+FROM (SELECT * FROM bars UNION ALL SELECT * FROM ticks) GROUP BY ALL""",
+)
+def _(t):
+    """Rows and last day of each month of a stored table, from the footers of its files."""
+    table = BarTable(t.scratch("raw"), buckets=2)
+    table.truncate_load(t.bars)
+    table.append(t.ticks)
+    months = table.extent(t.spark).groupBy("year", "month")
+    return months.agg(F.sum("n_rows").alias("n_rows"), F.max("last_day").alias("last_day"))
+
+
+@query(
+    "stored_emptied_folders",
+    ["bars"],
+    f"""{_STORED} FROM bars WHERE symbol = (SELECT min(symbol) FROM bars)
+  OR trading_date NOT IN (SELECT trading_date FROM bars WHERE symbol = (SELECT min(symbol) FROM bars))""",
+)
+def _(t):
+    """Every day of one symbol becomes that symbol's bar alone, which empties most folders of the others."""
+    table = BarTable(t.scratch("raw"), buckets=8)
+    table.truncate_load(t.bars)
+    first = t.bars.agg(F.min("symbol")).scalar()
+    table.replace_own_days(t.bars.filter(F.col("symbol") == first))
+    return table.read(t.spark)
+
+
 @query(
     "stored_append",
     ["bars", "ticks"],

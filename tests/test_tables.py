@@ -330,6 +330,47 @@ def test_stored_replace_date_empties_folders(spark, rows, table, stored):
     assert table.read(spark).count() == 4
 
 
+def test_extent_comes_from_footers(spark, rows, table, stored):
+    assert rows(table.last_day(spark)) == [(None,)] and rows(table.extent(spark)) == []
+    table.truncate_load(stored)
+    plan = table.last_day(spark)._jdf.queryExecution().toString()
+    assert "PushedAggregation: [COUNT(symbol), MAX(trading_date)]" in plan and "PushedGroupBy" in plan
+    assert rows(table.last_day(spark)) == [(d("2024-01-30"),)]
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+    extent = table.extent(spark)
+    assert extent.agg({"n_rows": "sum"}).first()[0] == table.read(spark).count() == stored.count()
+
+
+def test_emptied_folders_take_no_job_of_their_own(spark, rows, tmp_path):
+    """All buckets of a day but one lose their rows; the last day is right with and without later rows."""
+    jobs, context = {}, spark.sparkContext
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.threshold", 1000)  # listing takes no job either way
+    for buckets in (5, 25):
+        table = BarTable(str(tmp_path / f"raw{buckets}"), buckets=buckets)
+        table.truncate_load(bars(spark, *[bar(f"S{n}", day) for n in range(200) for day in ("2023-12-29", "2024-01-30")]))
+        folders = table.extent(spark).count()
+        assert folders > buckets
+        context.setJobGroup(f"empty{buckets}", "")
+        try:
+            table.replace_date(bars(spark, bar("Z", "2024-01-30")), d("2024-01-30"))
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+        jobs[buckets] = len(context.statusTracker().getJobIdsForGroup(f"empty{buckets}"))
+        assert rows(table.read(spark, "2024-01-01"), "symbol") == [("Z",)]
+        assert table.extent(spark).count() == folders // 2 + 1 and table.read(spark).count() == 201
+    spark.conf.unset("spark.sql.sources.parallelPartitionDiscovery.threshold")
+    assert jobs[5] == jobs[25], jobs
+    # Once more on folders that are empty already, then rows beside the row that keeps a folder empty.
+    table.replace_own_days(bars(spark, bar("Z", "2023-12-29")))
+    table.replace_date(bars(spark, bar("Z", "2024-01-30", 3.0)), d("2024-01-30"))
+    assert table.extent(spark).count() == 2
+    table.append(bars(spark, *[bar(f"S{n}", "2023-12-28") for n in range(200)]))
+    assert rows(table.read(spark, "2024-01-01"), "symbol", "close_price") == [("Z", 3)]
+    months = table.extent(spark).filter("month = 12 AND n_rows > 1").agg({"last_day": "min", "n_rows": "sum"})
+    assert rows(months) and rows(table.last_day(spark)) == [(d("2024-01-30"),)]
+    assert table.read(spark, end="2023-12-31").count() == 201
+
+
 def test_stored_replace_own_days(spark, rows, table, stored):
     table.truncate_load(stored)
     table.replace_own_days(bars(spark, bar("Q", "2023-12-29", 7.0), bar("Q", "2024-01-29", 6.0)))
