@@ -4,7 +4,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from barloom.functions import prices, text
+from barloom.functions import dates, prices, text
 from barloom.operators import clean, symbols, tables
 from barloom.operators.keyed import landed
 from barloom.plans import history
@@ -14,6 +14,7 @@ from barloom.sinks.run_state import KeyValueState, RunState
 from barloom.sources import archives, feeds
 from barloom.streaming.archive_intake import archive_stream, take_archives
 from barloom.streaming.board_stream import board_stream, refresh_table
+from barloom.streaming.running_day import store_closed_days
 from queries.cleaning import board_bars
 from queries.feeds import AS_OF, TODAY, exchange_label
 from queries.registry import query
@@ -494,6 +495,23 @@ def _(t):
     return table.read(t.spark)
 
 
+@query(
+    "running_day_stream",
+    ["board_bars"],
+    f"{_STORED} FROM board_bars WHERE trading_date < (SELECT max(trading_date) FROM board_bars)",
+)
+def _(t):
+    """Board files of the earlier days, then the later ones, then the earlier ones again; the last day stays open."""
+    folder, table, offsets = t.scratch("board"), BarTable(t.scratch("raw"), buckets=2), t.scratch("offsets")
+    day = dates.epoch_ms_to_market_date(F.col("time"))
+    early = F.coalesce(day <= F.lit("2024-01-15").cast("date"), F.lit(False))
+    for part in (early, ~early, early):
+        t.board.filter(part).write.mode("append").json(folder)
+        stream = board_stream(t.spark, folder)
+        store_closed_days(stream, table, "vci", 1.0, offsets, "0 seconds").awaitTermination()
+    return table.read(t.spark)
+
+
 @query(
     "history_load",
     ["cleaned", "blacklist"],
