@@ -170,7 +170,11 @@ def op6_quality_rules(spark, folder):
 
 @query("op2_secret_scan")
 def op2_secret_scan(spark, folder):
-    found = find_secrets(table(spark, folder, "documents"))
+    return secret_digests(find_secrets(table(spark, folder, "documents")))
+
+
+def secret_digests(found):
+    """Counts by kind, and the spans as text, of what ``find_secrets`` returns."""
     name = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
     base = F.filter("spans", lambda s: s["kind"] != "network")
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")

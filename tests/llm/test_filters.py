@@ -1,5 +1,7 @@
 """URL filter, quality rules and secrets against plain loops."""
 
+import hashlib
+import random
 import re
 from math import comb
 
@@ -8,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from barloom.llm import quality, secrets
+from barloom.llm import quality, queries, secrets
 from barloom.llm.charnet import CharNet, encode
 from barloom.llm.url_filter import DigestArray, filter_urls, judge, write_digests
 from tests.llm.cases import TEXTS, documents
@@ -245,3 +247,46 @@ def test_gradients_of_the_character_network():
         net.weights[name][at] -= 2e-6
         assert grad[at] == pytest.approx((up - loss()) / 2e-6, rel=1e-3)
         net.weights[name][at] += 1e-6
+
+
+def test_masking_takes_the_rest_of_a_key(spark):
+    key = "AKIA" + "B" * 17
+    texts = {
+        f"id {key}+rest/of_key9 end": "id [SECRET] end",
+        f"x9-{key}, {'0a' * 13}zz.": "[SECRET], [SECRET].",
+        f"my_password = hunter22 {key}": "my_[SECRET] [SECRET]",
+        "token: abc.def-gh, so": "[SECRET], so",
+        "nothing here": "nothing here",
+    }
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    masked = {r.doc_id: r.text for r in secrets.mask_secrets(docs).collect()}
+    assert [masked[k] for k in range(len(texts))] == list(texts.values())
+    assert secrets.whole_runs("", []) == []
+
+
+def test_base_digest_of_secrets(spark):
+    """The query's digest and counts against the patterns run over whole texts."""
+    texts = [f"a {'0a' * 13} AKIA{'B' * 17} password: hunter22", None, "", "secret=abc token=abcdef99", f"AKIA{'0' * 20}"]
+    docs = [(k, t) for k, t in enumerate(texts)]
+    spans = {k: plain_spans(t or "") for k, t in docs}
+    found = secrets.find_secrets(spark.createDataFrame(docs, "doc_id long, text string"))
+    got = {r.doc_id: r for r in queries.secret_digests(found).collect()}
+    assert len(got) == len(docs)
+    for k, base in spans.items():
+        joined = ",".join(f"{kind}:{start}:{end}" for start, end, kind in base)
+        assert got[k].base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert got[k].spans == joined
+        assert [got[k][f"n_{kind}"] for kind in secrets.KINDS[:3]] == [sum(s[2] == kind for s in base) for kind in secrets.KINDS[:3]]
+
+
+def test_windows_of_one_value_are_on_one_side():
+    """Held-out values are not among those fitted, and copies of rows change no side."""
+    rng = random.Random(5)
+    value = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    rows = [(True, "password = ", value(32), "\n") for _ in range(60)] + [(False, "see ", f"chapter-{n:02d}-of-the-book", ".") for n in range(60)]
+    rows = [row for row in rows for _ in range(3)]
+    net, threshold = secrets.train(rows)
+    assert 0 < threshold <= secrets.SURE
+    scores = net.probabilities(secrets.encode([row[1:] for row in rows]))
+    assert min(s for s, row in zip(scores, rows) if row[0]) > max(s for s, row in zip(scores, rows) if not row[0])
+    assert secrets.train([(True, "", "a1" * 12, "")] * 50 + [(False, "", "b-2-c-3-d-4-e-5-f", "")] * 50) is None
