@@ -3,6 +3,9 @@
 Each run adds the folder ``version=<its moment>`` to every table and writes the
 run row last. Readers follow the newest run row, so a run that broke off is not
 seen, and repeating it with the same moment replaces its own folders only.
+
+State that is absent or unreadable counts as empty: Spark logs a damaged file and skips
+it. If that was the newest run row, the newest one that can be read holds.
 """
 
 from dataclasses import dataclass
@@ -74,7 +77,7 @@ class KeyValueState:
 
     def read(self, spark: SparkSession) -> DataFrame:
         try:
-            return spark.read.schema(STATE_SCHEMA).parquet(self.path).select("key", "value")
+            return _reader(spark).schema(STATE_SCHEMA).parquet(self.path).select("key", "value")
         except AnalysisException as problem:
             return _empty_if_absent(spark, problem, STATE_SCHEMA)
 
@@ -91,11 +94,15 @@ class KeyValueState:
 def _read(spark, path, schema):
     declared = f"{schema if isinstance(schema, str) else ddl(schema)}, version string"
     try:
-        return spark.read.schema(declared).parquet(path)
+        return _reader(spark).schema(declared).parquet(path)
     except AnalysisException as problem:
         return _empty_if_absent(spark, problem, declared)
 
 
+def _reader(spark):
+    return spark.read.option("ignoreCorruptFiles", True)
+
+
 def _empty_if_absent(spark, problem, schema):
     if problem.getCondition() != "PATH_NOT_FOUND":
         raise problem

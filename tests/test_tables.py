@@ -266,6 +266,32 @@ def test_run_state_follows_the_newest_complete_run(spark, rows, tmp_path):
     assert rows(state.snapshot(spark), "symbol") == [("B",)]
 
 
+def test_unreadable_state_counts_as_empty(spark, rows, tmp_path):
+    state, schema = RunState(str(tmp_path / "state")), "last_successful_run string, is_eod boolean, total_tickers long"
+    for version, day in (("1", "2024-01-29"), ("2", "2024-01-30")):
+        run = spark.createDataFrame([(day, True, 1)], schema)
+        pending = spark.createDataFrame([(f"P{version}",)], "symbol string")
+        state.save(run, pending, state.snapshot(spark), version)
+    values = KeyValueState(str(tmp_path / "values"))
+    values.put(spark.createDataFrame([("a", "1"), ("b", "2")], "key string, value string"))
+
+    def damage(folder):
+        found = list(folder.rglob("*.parquet"))
+        for file in found:
+            file.write_bytes(b"PAR1 cut off")
+        assert found
+
+    damage(tmp_path / "state" / "pending" / "version=2")
+    damage(tmp_path / "values" / "key=a")
+    assert rows(state.pending(spark)) == [] and rows(state.run(spark), "last_successful_run") == [("2024-01-30",)]
+    assert rows(values.read(spark)) == [("b", "2")]
+    damage(tmp_path / "state" / "run" / "version=2")
+    assert rows(state.run(spark), "last_successful_run") == [("2024-01-29",)]
+    assert rows(state.pending(spark)) == [("P1",)]
+    damage(tmp_path / "state" / "run")
+    assert rows(state.run(spark)) == [] and rows(state.pending(spark)) == []
+
+
 @pytest.fixture
 def table(tmp_path):
     return BarTable(str(tmp_path / "raw"), buckets=3)
