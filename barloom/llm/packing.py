@@ -38,6 +38,8 @@ CLASSES, PATTERN_SIZE = 128, 4
 ROOMS = (64, 32, 16, 8, 4, 2, 1)
 _LEAST_GAIN = 1e-9
 _MARKED = "([A-Za-z0-9À-ÖØ-öø-ÿ])([.,;:!?])"
+#: What may be part of a special token, or a capital that a combining mark may follow.
+_AS_IT_IS = r"\|>|[A-Z][^\x00-\x{2FF}]"
 
 
 # Plan, on the driver: arrays as long as a sequence
@@ -229,10 +231,11 @@ class WordIds:
         """Fewer distinct words with the same ids: small letters, and a space before marks.
 
         The tokenizer lower-cases, drops spaces, and starts a pre-token at such a mark.
-        Texts that may hold a special token are left alone, as its letters count.
+        Texts that may hold a special token are left alone, as its letters count. So are those
+        with a mark behind a capital: NFC comes first, and joins some marks to a small letter only.
         """
         folded = pc.replace_substring_regex(pc.ascii_lower(texts), _MARKED, r"\1 \2")
-        return pc.if_else(pc.match_substring(texts, "|>"), texts, folded)
+        return pc.if_else(pc.match_substring_regex(texts, _AS_IT_IS), texts, folded)
 
     def _learn(self, words: list[str], first: int) -> None:
         self.ids.add(self.encode(words), first)
@@ -249,7 +252,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, limit: int, end_id: int, id_col
             docs, rows = iter(batch.column(0).to_pylist()), []
             for texts in slices(batch.column(1)):
                 all_ids, ends = words(texts)
-                for doc, first, last in zip(docs, [0, *ends[:-1]], ends):
+                # The ids come last: a zip that ends on another list has taken none too many.
+                for first, last, doc in zip([0, *ends[:-1]], ends, docs):
                     ids = np.append(all_ids[first:last], np.uint32(end_id)).astype("<u4")
                     for piece, start in enumerate(range(0, len(ids), limit)):
                         some = ids[start : start + limit]

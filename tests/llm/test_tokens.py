@@ -61,6 +61,14 @@ def test_words_have_the_ids_of_whole_texts(by_words, texts):
     assert found == [by_words.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("letter, mark", [("J", "\u030c"), ("H", "\u0331"), ("T", "\u0308"), ("W", "\u0316\u030a"), ("Y", "\u030a")])
+def test_marks_behind_capitals(by_words, letter, mark):
+    texts = [f"a {letter}{mark}b, {letter.lower()}{mark} z", f"{letter}. {letter}"]
+    ids, ends = WordIds(by_words)(pa.array(texts))
+    found = [ids[a:b].tolist() for a, b in zip([0, *ends[:-1]], ends)]
+    assert found == [by_words.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_a_full_table_of_words_starts_anew():
     seen = {}
 
@@ -103,6 +111,14 @@ def test_pack(spark):
     assert pack(documents(spark, []), WORDS).count() == 0
 
 
+def test_pack_batches_of_several_slices(spark):
+    sizes = [1_100_000, 3, 1_200_000, 5, 1_300_000, 7]
+    docs = documents(spark, [(k, "abc def " * n, "en") for k, n in enumerate(sizes)]).coalesce(1)
+    tokens = {row.doc_id: row.n for row in pack(docs, WORDS).groupBy("doc_id").agg({"length": "sum"}).toDF("doc_id", "n").collect()}
+    each = len(load_tokenizer(WORDS).encode("abc def", add_special_tokens=False).ids)
+    assert tokens == {k: each * n + 1 for k, n in enumerate(sizes)}
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_plan_is_complete_and_near_the_bound(seed):
     draw = np.random.default_rng(seed)
