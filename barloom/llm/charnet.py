@@ -34,6 +34,22 @@ class CharNet:
             "bias": np.zeros(1),
         }
         self.scale, self.shift = 1.0, 0.0
+        self.mean, self.spread = ({k: np.zeros_like(v) for k, v in self.weights.items()} for _ in range(2))
+        self.step = 0
+
+    def state(self) -> np.ndarray:
+        """The weights and Adam's two means of their gradients, one behind the other."""
+        return np.concatenate([part[k].ravel() for part in (self.weights, self.mean, self.spread) for k in self.weights])
+
+    def resume(self, state: np.ndarray, step: int) -> "CharNet":
+        """Go on from a ``state`` after ``step`` steps."""
+        at = 0
+        for part in (self.weights, self.mean, self.spread):
+            for name, value in part.items():
+                part[name] = state[at : at + value.size].reshape(value.shape)
+                at += value.size
+        self.step = step
+        return self
 
     def plain(self) -> dict:
         """All that the network knows, as arrays and numbers."""
@@ -71,34 +87,34 @@ class CharNet:
         grads["embedding"] = embedding
         return grads
 
-    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 8, batch: int = 64, rate: float = 0.01, seed: int = 0) -> None:
-        order, step = np.random.default_rng(seed), 0
-        mean = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        spread = {k: np.zeros_like(v) for k, v in self.weights.items()}
+    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int, order: np.random.Generator, batch: int = 64, rate: float = 0.01) -> None:
+        mean, spread = self.mean, self.spread
         for _ in range(epochs):
             rows = order.permutation(len(x))
             for start in range(0, len(rows), batch):
-                some, step = rows[start : start + batch], step + 1
+                some = rows[start : start + batch]
+                self.step += 1
                 for name, g in self._gradients(x[some], y[some]).items():
                     mean[name] = 0.9 * mean[name] + 0.1 * g
                     spread[name] = 0.999 * spread[name] + 0.001 * g * g
-                    change = mean[name] / (1 - 0.9**step) / (np.sqrt(spread[name] / (1 - 0.999**step)) + 1e-8)
+                    change = mean[name] / (1 - 0.9**self.step) / (np.sqrt(spread[name] / (1 - 0.999**self.step)) + 1e-8)
                     self.weights[name] = self.weights[name] - rate * change
 
     def logits(self, x: np.ndarray, batch: int = 512) -> np.ndarray:
         found = [self._forward(x[k : k + batch])[3] for k in range(0, len(x), batch)]
         return np.concatenate(found) if found else np.empty(0)
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray, steps: int = 200) -> None:
-        """Fit probability = sigmoid(scale * logit + shift) by Newton's method."""
-        features = np.stack([self.logits(x), np.ones(len(x))], axis=1)
+    def calibrate(self, logits: np.ndarray, y: np.ndarray, counts: np.ndarray, steps: int = 200) -> None:
+        """Fit probability = sigmoid(scale * logit + shift) by Newton's method; rows come as counts of a logit and class."""
+        features = np.stack([logits, np.ones(len(logits))], axis=1)
         # Counts as if one more row of each class had been seen, so that no fit runs away.
-        wanted = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
+        yes, no = counts @ y, counts @ (1 - y)
+        wanted = np.where(y > 0, (yes + 1) / (yes + 2), 1 / (no + 2))
         both = np.array([1.0, 0.0])
         for _ in range(steps):
             p = 1 / (1 + np.exp(-np.clip(features @ both, -30, 30)))
-            gradient = features.T @ (p - wanted)
-            curve = (features * (p * (1 - p))[:, None]).T @ features + 1e-6 * np.eye(2)
+            gradient = features.T @ (counts * (p - wanted))
+            curve = (features * (counts * p * (1 - p))[:, None]).T @ features + 1e-6 * np.eye(2)
             move = np.linalg.solve(curve, gradient)
             both = both - np.clip(move, -1, 1)
             if np.abs(move).max() < 1e-8:
@@ -106,4 +122,7 @@ class CharNet:
         self.scale, self.shift = both
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.scale * self.logits(x) + self.shift, -30, 30)))
+        return self.calibrated(self.logits(x))
+
+    def calibrated(self, logits: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.scale * logits + self.shift, -30, 30)))

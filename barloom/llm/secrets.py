@@ -2,9 +2,11 @@
 
 The patterns always hold. A candidate is any other run of 16 or more characters of a key's
 alphabet with a digit in it; a network reads it with what stands around it. It is
-trained on labelled findings: what the patterns found (with the words that gave it away
-blotted out in half of the rows, so that the value itself is learnt) against candidates
-that they did not find. The logit is calibrated on findings held out of the fit, each
+trained on all labelled findings of the table: what the patterns found (each as it
+is and with the words that gave it away blotted out, so that the value itself is learnt) against candidates
+that they did not find. Findings are dealt into shares by hash; in each round every share is
+fitted in a task of its own from the same weights, and the mean of the shares' weights is
+where the next round starts. The logit is calibrated on findings held out of the fit, each
 with its real surroundings and with blotted ones; all windows of one value are on the same
 side. A candidate counts from the probability ``SURE`` on, or from a lower one if it takes
 that to find ``RECALL`` of the held-out secrets in either form.
@@ -34,8 +36,12 @@ _REST = re.compile(r"[A-Za-z0-9+/_=-]+")
 #: What a text must hold for a pattern or a candidate to be possible; run by Arrow.
 _MAY_ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]"""
 _MAY_RUN = rf"[A-Za-z0-9+/_=-]{{{LEAST_CANDIDATE}}}"
-#: Rows of a class that are collected to train on; a quarter of them is held out of the fit.
-TRAINING_ROWS, LEAST_TRAINING_ROWS = 2_000, 40
+#: Findings of a share, or more if there would be more than so many shares; a quarter is held out of the fit.
+SHARE_ROWS, MOST_SHARES = 4_096, 256
+#: Findings of a class that it takes to learn, and rounds of the fit.
+LEAST_TRAINING_ROWS, ROUNDS = 40, 8
+#: Logits are counted in steps of one in so many, up to this size either way.
+_LOGIT_PARTS, _LOGIT_MOST = 256, 64
 RECALL, SURE = 0.98, 0.8
 BEFORE, INSIDE, AFTER = 32, 48, 16
 MASK = "[SECRET]"
@@ -83,12 +89,10 @@ def _possible(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return assign, assign | pc.match_substring_regex(texts, _MAY_RUN).to_numpy(zero_copy_only=False)
 
 
-def labelled(docs: DataFrame, id_col: str, text_col: str, rows: int) -> list:
-    """(is a secret, before, inside, after) of up to ``rows`` findings a class, chosen by hash.
+def labelled(docs: DataFrame, id_col: str, text_col: str, rows: int = SHARE_ROWS) -> DataFrame:
+    """(share, secret, before, inside, after) of all different findings, in shares of about ``rows``.
 
-    Each task sends its findings' windows, at most 96 characters each; the driver takes
-    ``rows`` of each class with the least hash. The windows are written out, so that the
-    texts are read once for both classes.
+    The windows, at most 96 characters each, are written out, so that the texts are read once.
     """
 
     def read(batches):
@@ -110,37 +114,105 @@ def labelled(docs: DataFrame, id_col: str, text_col: str, rows: int) -> list:
 
     schema = "secret boolean, before string, inside string, after string"
     found = docs.select(F.col(text_col).alias("text")).mapInArrow(read, schema)
-    every = ["secret", "before", "inside", "after"]
-    keyed = landed(found.withColumn("key", F.xxhash64(*every[1:])), "findings")
-    yes, no = (keyed.filter(F.col("secret") == c).orderBy("key", *every).limit(rows) for c in (True, False))
-    return [tuple(row)[:4] for row in yes.unionByName(no).collect()]
+    found = landed(found.distinct(), "findings")
+    shares = min(max(1, found.count() // rows), MOST_SHARES)
+    share = F.pmod(F.xxhash64("before", "inside", "after"), F.lit(shares)).cast("int")
+    # With a number of partitions, so that adaptive execution does not join shares into one task.
+    return found.select(share.alias("share"), *found.columns).repartition(shares, "share")
 
 
-def train(found: list[tuple[bool, str, str, str]]) -> tuple[CharNet, float] | None:
-    """The network and its threshold; None if a class has too few rows to learn from."""
-    y = np.array([float(row[0]) for row in found])
-    if min(y.sum(), len(y) - y.sum()) < LEAST_TRAINING_ROWS:
-        return None
-    deal = np.array([zlib.crc32(inside.encode()) for _, _, inside, _ in found])
-    held, blotted = deal % 4 == 3, deal // 4 % 2 == 1
-    if min(y[held].sum(), (1 - y[held]).sum(), y[~held].sum(), (1 - y[~held]).sum()) == 0:
+def _each(found: DataFrame | list, work, columns: str):
+    """What ``work(share, rows)`` makes of every share: a frame, or a table for a list, which is one share."""
+
+    kinds = {"long": pa.int64(), "binary": pa.binary()}
+    schema = pa.schema([(name, kinds[kind]) for name, kind in map(str.split, columns.split(", "))])
+
+    def made(share, rows):
+        return pa.table(list(work(share, sorted(rows))), schema=schema)
+
+    if isinstance(found, list):
+        return made(0, found)
+    return found.groupBy("share").applyInArrow(
+        lambda key, table: made(key[0].as_py(), zip(*(c.to_pylist() for c in table.columns[1:]))), columns
+    )
+
+
+def _forms(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of findings: the class, what is held out, and the codes with real and with blotted surroundings.
+
+    A row held out has a part of its value's hash, so all rows of one value are on one side.
+    """
+    deal = np.array([zlib.crc32(inside.encode()) for _, _, inside, _ in rows])
+    real, blank = encode([row[1:] for row in rows]), encode([_blotted(*row[1:]) for row in rows])
+    return np.array([float(row[0]) for row in rows]), deal % 4 == 3, np.stack([real, blank])
+
+
+def _summed(counts) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and their counts, added up over all shares."""
+    if isinstance(counts, DataFrame):
+        counts = counts.groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    keys, at = np.unique(counts.column("key").to_numpy(), return_inverse=True)
+    return keys, np.bincount(at, counts.column("n").to_numpy(), len(keys))
+
+
+def train(found: DataFrame | list[tuple[bool, str, str, str]]) -> tuple[CharNet, float] | None:
+    """The network and its threshold; None if a class has too few rows to learn from.
+
+    ``found`` is what ``labelled`` gives, or a list of such findings, which are one share. Only weights and
+    counts by logit come to the driver: a row of weights per share, and as many counts as there are steps of a logit.
+    """
+    counted, weights = "key long, n long", "share long, n long, step long, state binary"
+
+    def sizes(share, rows):
+        held = [zlib.crc32(inside.encode()) % 4 == 3 for _, _, inside, _ in rows]
+        return np.unique([2 * h + row[0] for h, row in zip(held, rows)], return_counts=True) if rows else ([], [])
+
+    def fit(share, rows):
+        y, held, forms = _forms(rows)
+        own = CharNet().resume(state, step)
+        own.fit(np.concatenate(forms[:, ~held]), np.tile(y[~held], 2), 1, np.random.default_rng([turn, share]))
+        return [[share], [int((~held).sum())], [own.step], [own.state().tobytes()]]
+
+    def logits(share, rows):
+        y, held, forms = _forms(rows)
+        net = CharNet().resume(state, step)
+        keys = []
+        for form, x in enumerate(forms):
+            some = np.clip(net.logits(x[held]), -_LOGIT_MOST, _LOGIT_MOST)
+            part = np.floor(some * _LOGIT_PARTS).astype(np.int64) + _LOGIT_MOST * _LOGIT_PARTS
+            keys.append(4 * part + 2 * form + y[held].astype(np.int64))
+        return np.unique(np.concatenate(keys), return_counts=True)
+
+    keys, n = _summed(_each(found, sizes, counted))
+    n_fit_no, n_fit_yes, n_held_no, n_held_yes = (int(n[keys == k].sum()) for k in range(4))
+    if min(n_fit_no + n_held_no, n_fit_yes + n_held_yes) < LEAST_TRAINING_ROWS or len(keys) < 4:
         return None
-    real, blank = encode([row[1:] for row in found]), encode([_blotted(*row[1:]) for row in found])
     net = CharNet()
-    net.fit(np.where(blotted[:, None], blank, real)[~held], y[~held])
-    net.calibrate(np.concatenate([real[held], blank[held]]), np.tile(y[held], 2))
-    secrets = held & (y > 0)
-    worse = min(_found_from(net.probabilities(form[secrets])) for form in (real, blank))
-    return net, min(SURE, worse)
+    state, step = net.state(), 0
+    for turn in range(ROUNDS):
+        learnt = _each(found, fit, weights)
+        learnt = learnt if isinstance(found, list) else learnt.toArrow()  # a row per share
+        learnt = learnt.filter(pc.greater(learnt.column("n"), 0)).sort_by("share")
+        states = np.stack([np.frombuffer(s) for s in learnt.column("state").to_pylist()])
+        state = np.average(states, axis=0, weights=learnt.column("n").to_numpy())
+        step = pc.max(learnt.column("step")).as_py()
+    net.resume(state, step)
+    keys, n = _summed(_each(found, logits, counted))
+    logit, form, y = keys // 4 / _LOGIT_PARTS - _LOGIT_MOST, keys // 2 % 2, keys % 2
+    net.calibrate(logit, y.astype(float), n)
+    of = [(y == 1) & (form == k) for k in range(2)]
+    return net, min(SURE, *(_found_from(net.calibrated(logit[some]), n[some]) for some in of))
 
 
 def _blotted(before: str, inside: str, after: str) -> tuple[str, str, str]:
     return re.sub("[A-Za-z]", "x", before), inside, after
 
 
-def _found_from(probabilities: np.ndarray) -> float:
+def _found_from(probabilities: np.ndarray, counts: np.ndarray) -> float:
     """The greatest threshold at which ``RECALL`` of these are found."""
-    return float(np.sort(probabilities)[int((1 - RECALL) * len(probabilities))])
+    order = np.argsort(probabilities)
+    missed = np.cumsum(counts[order])
+    return float(probabilities[order][np.searchsorted(missed, int((1 - RECALL) * missed[-1]), side="right")])
 
 
 def plain(model: tuple[CharNet, float] | None) -> tuple[dict, float] | None:
@@ -172,7 +244,7 @@ def all_spans(texts: pa.Array, model: tuple[CharNet, float] | None) -> list[list
     return [sorted(set(found), key=_order) for found in spans]
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = TRAINING_ROWS) -> DataFrame:
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = SHARE_ROWS) -> DataFrame:
     """(doc_id, spans) of every row: an array of (start, end, kind) in code points, by start and kind.
 
     A null text counts as empty and has no spans. Rows that repeat have the same spans. A
@@ -220,7 +292,7 @@ def mask(text: str, spans: list[tuple[int, int, str]]) -> str:
     return "".join(out) + text[at:]
 
 
-def mask_secrets(docs: DataFrame, text_col: str = "text", rows: int = TRAINING_ROWS) -> DataFrame:
+def mask_secrets(docs: DataFrame, text_col: str = "text", rows: int = SHARE_ROWS) -> DataFrame:
     """``docs`` with the secrets in its texts replaced, each with the whole run it is a part of; all other columns and texts stay as they are."""
     model = docs.sparkSession.sparkContext.broadcast(plain(train(labelled(docs, "", text_col, rows))))
     place = docs.columns.index(text_col)

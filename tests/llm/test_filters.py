@@ -217,6 +217,19 @@ def test_the_network_finds_what_the_patterns_miss(spark):
     assert sum(s == [(4, 24, "network")] for s in spans[:40]) >= 36 and not any(spans[40:])
 
 
+def test_the_network_learns_from_all_findings(spark):
+    """Every different finding is in a share, and shares of any size give a network that works."""
+    docs, _ = secret_corpus(spark, 900)
+    found = secrets.labelled(docs.union(docs), "doc_id", "text", 400)
+    assert {r.secret: r["count"] for r in found.groupBy("secret").count().collect()} == {True: 900, False: 1800}
+    assert found.select("share").distinct().count() == 6
+    net, threshold = secrets.train(found)
+    assert (net.state() == secrets.train(found.repartition(7))[0].state()).all()
+    rows = [tuple(row)[1:] for row in found.collect()]
+    scores = net.probabilities(secrets.encode([row[1:] for row in rows]))
+    assert all((score >= threshold) == row[0] for score, row in zip(scores, rows))
+
+
 def test_secrets_of_awkward_rows(spark):
     rows = secrets.find_secrets(documents(spark)).collect()
     assert sorted(str((r.doc_id, [tuple(s) for s in r.spans])) for r in rows) == sorted(str((d, plain_spans(t or ""))) for d, t, _ in TEXTS)
