@@ -30,7 +30,7 @@ from barloom.llm.words import ENDS, Lists, Values, WordCodes, absent_mark, list_
 #: piece is; and scores that models give to pieces no path should take if it can.
 N_BEST, UNKNOWN_PENALTY, NEVER = 3, 10.0, -1e8
 #: Distinct units a worker keeps, and bytes of text it segments at a time.
-_UNIT_LIMIT, _TOGETHER = 150_000, 4 << 20
+_UNIT_LIMIT, _TOGETHER = 150_000, 1 << 20
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
 
 

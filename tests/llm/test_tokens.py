@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import tracemalloc
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -13,10 +14,10 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from barloom.llm.packing import WordIds, fill_patterns, nonnegative_least_squares, pack, plan_sequences
-from barloom.llm.piece_lattice import Pieces, UnitPaths, apply_edits, decode, encode, lattice, n_best, units_of
+from barloom.llm.piece_lattice import _TOGETHER as SEGMENTED, Pieces, UnitPaths, apply_edits, decode, encode, lattice, n_best, units_of
 from barloom.llm.queries import QUERIES, op4_piece_lattice
 from barloom.llm.token_counts import RunLengths, load_tokenizer, token_counts
-from barloom.llm.words import WordCodes
+from barloom.llm.words import WordCodes, slices
 from tests.llm.cases import TEXTS, documents
 
 WORDS, BYTES = (public_tokenizers.path(f"{n}.json") for n in ("word_bpe_49k", "byte_bpe_50k"))
@@ -111,6 +112,20 @@ def test_pack(spark):
     assert pack(documents(spark, []), WORDS).count() == 0
 
 
+def test_units_of_a_batch_take_little_memory(pieces):
+    """A task holds the arrays of one slice of texts at a time, however long the batch."""
+    texts = pa.array(["the cat sat on a mat " * 100] * 2000)
+    paths = UnitPaths(pieces, 3)
+    list(paths(texts.slice(0, 1)))
+    tracemalloc.start()
+    try:
+        for some in slices(texts, SEGMENTED):
+            list(paths(some))
+        assert tracemalloc.get_traced_memory()[1] < 64 << 20
+    finally:
+        tracemalloc.stop()
+
+
 def test_pack_batches_of_several_slices(spark):
     sizes = [1_100_000, 3, 1_200_000, 5, 1_300_000, 7]
     docs = documents(spark, [(k, "abc def " * n, "en") for k, n in enumerate(sizes)]).coalesce(1)
