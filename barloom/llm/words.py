@@ -41,8 +41,9 @@ def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[pa.Array]:
 
 def absent_mark(texts: pa.Array) -> str:
     """A character that none of the texts holds, to mark cuts with; one that is no character if possible."""
-    places = (*range(0xFDD0, 0xFDF0), *range(0x10FFFF, 0xFFFF, -1))
-    return next(c for c in map(chr, places) if not pc.any(pc.match_substring(texts, c)).as_py())
+    places = chain(range(0xFDD0, 0xFDF0), range(0x10FFFF, 0xFFFF, -1))
+    # Looked for as a pattern, as Arrow's search for plain strings goes byte by byte.
+    return next(c for c in map(chr, places) if not pc.any(pc.match_substring_regex(texts, c)).as_py())
 
 
 def space_split(texts: pa.Array) -> pa.Array:
@@ -77,7 +78,7 @@ class WordCodes:
         if self.next > self.limit:
             self._shrink()
         found = words.dictionary_encode()
-        distinct = found.dictionary.to_pylist()
+        distinct = found.dictionary.to_numpy(zero_copy_only=False).tolist()
         known = self.known
         new = [w for w in distinct if w not in known]
         if new:

@@ -17,7 +17,7 @@ from barloom.llm.packing import WordIds, fill_patterns, nonnegative_least_square
 from barloom.llm.piece_lattice import _TOGETHER as SEGMENTED, Pieces, UnitPaths, apply_edits, decode, encode, lattice, n_best, units_of
 from barloom.llm.queries import QUERIES, op4_piece_lattice
 from barloom.llm.token_counts import RunLengths, load_tokenizer, token_counts
-from barloom.llm.words import WordCodes, slices
+from barloom.llm.words import WordCodes, absent_mark, slices
 from tests.llm.cases import TEXTS, documents
 
 WORDS, BYTES = (public_tokenizers.path(f"{n}.json") for n in ("word_bpe_49k", "byte_bpe_50k"))
@@ -70,6 +70,16 @@ def test_marks_behind_capitals(by_words, letter, mark):
     assert found == [by_words.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_the_mark_is_absent_and_found_without_listing_all_characters():
+    texts = pa.array(["a", None, "\ufdd0 b\ufdd1", ""])
+    tracemalloc.start()
+    assert absent_mark(texts) == "\ufdd2" and absent_mark(texts.slice(3)) == absent_mark(texts[:0]) == "\ufdd0"
+    assert absent_mark(pa.array(["".join(map(chr, range(0xFDD0, 0xFDF0))), "\U0010ffff"])) == "\U0010fffe"
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 1 << 20
+
+
 def test_a_full_table_of_words_starts_anew():
     seen = {}
 
