@@ -16,18 +16,20 @@ class PhraseTrie:
     def __init__(self, groups: list[str], heads: np.ndarray, words: np.ndarray):
         """``words``: 64-bit word numbers (phrase, place); ``heads``: the place of each phrase's group in ``groups``."""
         self.groups = {group: label for label, group in enumerate(groups)}
-        self.numbers, labels = np.unique(words, return_inverse=True)
-        labels = labels.reshape(words.shape)
-        rows = np.column_stack([heads, labels]) if len(words) else np.empty((0, words.shape[1] + 1), np.int64)
+        self.numbers = np.unique(words)
         self.depth = words.shape[1]
+        rows = np.empty((len(words), self.depth + 1), np.int32)
+        rows[:, 0] = heads
+        for place in range(self.depth):
+            rows[:, place + 1] = np.searchsorted(self.numbers, words[:, place])
         self._build(rows)
 
     def _build(self, rows: np.ndarray) -> None:
-        self.base, self.check = np.zeros(1, np.int64), np.full(1, -2, np.int64)
+        self.base, self.check = np.zeros(1, np.int32), np.full(1, -2, np.int32)
         self._grow(2 * len(rows) + len(self.numbers) + len(self.groups) + 2)
         self.check[0] = -2  # the root is taken and is nobody's child
         self._free_from = 1
-        states = np.zeros(len(rows), np.int64)
+        states = np.zeros(len(rows), np.int32)
         for place in range(rows.shape[1]):
             order = np.lexsort([rows[:, place], states])
             parents, labels = states[order], rows[order, place]
@@ -39,8 +41,8 @@ class PhraseTrie:
 
     def _grow(self, size: int) -> None:
         more = max(0, size - len(self.check))
-        self.base = np.concatenate([self.base, np.zeros(more, np.int64)])
-        self.check = np.concatenate([self.check, np.full(more, -1, np.int64)])
+        self.base = np.concatenate([self.base, np.zeros(more, np.int32)])
+        self.check = np.concatenate([self.check, np.full(more, -1, np.int32)])
 
     def _add_children(self, parents: np.ndarray, labels: np.ndarray) -> None:
         """Places for all children of some states (sorted): states with many children first, single ones at last."""
@@ -84,7 +86,7 @@ class PhraseTrie:
     def arrays(self) -> dict:
         """Plain data to send to tasks."""
         size = int(np.flatnonzero(self.check != -1).max()) + 1 if len(self.ends) else 1
-        base, check = self.base[:size].astype(np.int32), self.check[:size].astype(np.int32)
+        base, check = self.base[:size], self.check[:size]
         return {"groups": self.groups, "numbers": self.numbers, "base": base, "check": check, "ends": self.ends, "depth": self.depth}
 
 

@@ -30,7 +30,7 @@ from barloom.llm.words import absent_mark, slices
 from barloom.operators.keyed import landed, scratch_path, top_k
 
 #: Phrases of a trie at most, bits of a bitmap, and places of it that are added up together.
-TRIE_PHRASES, BITS, BLOCK = 1 << 21, 1 << 26, 1 << 16
+TRIE_PHRASES, BITS, BLOCK = 1 << 20, 1 << 26, 1 << 16
 #: Bytes of text cut at a time, unless one text is longer, and words in a row.
 SLICE_BYTES, ROW_WORDS = 4 << 20, 512
 #: Rows of words that are worked on at a time, rows that a task sends at a time, and phrases it adds up at a time.
@@ -282,22 +282,30 @@ def _distinct(columns: list[np.ndarray], words: int) -> tuple[list[np.ndarray],
 # Counting
 
 
+def shared_trie(phrases: pa.Table) -> dict:
+    """The trie of phrases (lang, w1, ...) as plain data, with the phrases themselves."""
+    langs, words = phrases.column("lang"), phrases.drop_columns("lang").columns
+    groups = sorted(pc.unique(langs).to_pylist())
+    heads = pc.index_in(langs, pa.array(groups, pa.string())).to_numpy()
+    words = np.stack([column.to_numpy().view(np.uint64) for column in words], axis=1)
+    return PhraseTrie(groups, heads, words).arrays() | {"heads": heads, "words": words}
+
+
 def count_candidates(
-    texts: DataFrame, found: DataFrame, size: int, longest: int, trie_phrases: int = TRIE_PHRASES
+    texts: DataFrame, found: DataFrame, size: int, least: int, longest: int, trie_phrases: int = TRIE_PHRASES
 ) -> DataFrame:
-    """(lang, w1 ... w<size>, f) of the candidates ``found``, a pass over the rows of words per trie."""
+    """(lang, w1 ... w<size>, f) of the candidates ``found`` that occur ``least`` times, a pass over the rows of words per trie.
+
+    The driver holds one trie at a time.
+    """
     names, spark = _names(size), texts.sparkSession
+    path, kind = scratch_path(spark, f"phrases-{size}"), f"lang string, {', '.join(f'{w} long' for w in names)}, f long"
     found = landed(found, "phrase-candidates")
     # Hashes deal phrases out evenly; half the bound leaves room for chance.
     shards = -(-2 * found.count() // trie_phrases) or 1
-    counted = None
     for shard in range(shards):
-        own = found.filter(F.pmod(F.xxhash64("lang", *names), F.lit(shards)) == shard).toArrow()
-        groups = sorted(set(own.column("lang").to_pylist()))
-        heads = pc.index_in(own.column("lang"), pa.array(groups, pa.string())).to_numpy().astype(np.int64)
-        words = np.stack([own.column(w).to_numpy().view(np.uint64) for w in names], axis=1)
-        trie = PhraseTrie(groups, heads, words).arrays()
-        shared = spark.sparkContext.broadcast(trie | {"heads": heads.astype(np.int32), "words": words})
+        own = found.filter(F.pmod(F.xxhash64("lang", *names), F.lit(shards)) == shard)
+        shared = spark.sparkContext.broadcast(shared_trie(own.toArrow()))
 
         def count(batches, shared=shared):
             trie = shared.value
@@ -310,10 +318,11 @@ def count_candidates(
             columns = [langs, *(pa.array(w.view(np.int64)) for w in trie["words"][met].T.copy()), pa.array(n[met])]
             yield pa.RecordBatch.from_arrays(columns, ["lang", *names, "f"])
 
-        rows = texts.mapInArrow(count, f"lang string, {', '.join(f'{w} long' for w in names)}, f long")
-        rows = rows.groupBy("lang", *names).agg(F.sum("f").alias("f"))
-        counted = rows if counted is None else counted.unionByName(rows)
-    return counted
+        rows = texts.mapInArrow(count, kind).groupBy("lang", *names).agg(F.sum("f").alias("f"))
+        rows.filter(F.col("f") >= least).write.mode("append").parquet(path)
+        shared.destroy()
+        del shared, count, rows  # and the trie with them, before the next is built
+    return spark.read.schema(kind).parquet(path)
 
 
 # Scores
@@ -357,8 +366,7 @@ def collocations(
     counts = {1: landed(words.filter(F.col("f") >= least), "phrases-1")}
     for size in range(2, longest + 1):
         found = candidates(texts, counts[size - 1], size, least, longest)
-        counted = count_candidates(texts, found, size, longest, trie_phrases).filter(F.col("f") >= least)
-        counts[size] = landed(counted, f"phrases-{size}")
+        counts[size] = count_candidates(texts, found, size, least, longest, trie_phrases)
 
     scored = None
     for size in range(2, longest + 1):

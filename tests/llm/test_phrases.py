@@ -2,13 +2,15 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from barloom.llm.phrase_trie import PhraseTrie, walk
-from barloom.llm.phrases import _distinct, collocations
+from barloom.llm.phrases import TRIE_PHRASES, _distinct, collocations, shared_trie
 from tests.llm.cases import SCHEMA, TEXTS, documents
 
 
@@ -110,6 +112,19 @@ def test_trie_without_phrases():
     assert len(walk(data, "en", np.array([[3, 3, 0]], np.uint64), 2)) == 0
 
 
+def test_the_largest_trie_fits_into_the_driver():
+    draw, rows = np.random.default_rng(7), 40_000
+    pairs = draw.permutation(rows * 5)[:rows]
+    columns = [draw.choice(["de", "en"], rows).tolist(), pairs // 500, pairs % 500]
+    phrases = pa.table(dict(zip(["lang", "w1", "w2"], columns)))
+    tracemalloc.start()
+    data = shared_trie(phrases)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(np.unique(data["ends"])) == rows
+    assert most / rows * TRIE_PHRASES / 2 < 100 << 20  # half the bound on average
+
+
 def test_distinct_rows_of_codes():
     draw = np.random.default_rng(4)
     columns = [draw.integers(0, 5, 300) for _ in range(3)]
