@@ -9,16 +9,24 @@ A row also holds the first words of the next one, so that no phrase is lost betw
    A bitmap of fixed size of the frequent ones (a superset: two may share a bit) goes to
    all tasks. Occurrences of phrases whose parts are both in it are first added up by a hash of
    the phrase, in as many places as the bitmap has bits; places below the least count hold no
-   frequent phrase. Phrases of the other places whose occurrences, summed with each task's counts
-   cut at the least count, reach that count, are the candidates. Nothing that could be
-   frequent is lost; the cut sums serve for nothing else.
+   frequent phrase. Phrases of the other places are proposed in two turns, so that few tasks
+   spell out the same phrase: first those of some rows, which finds most, and these are
+   counted in all rows (step 3). Their counts are taken off the sums of their places, and only a place
+   that still has the least count may hold another frequent phrase; all rows propose those.
+   Sums of proposals, with each task's counts cut at the least count, choose the candidates. Nothing
+   that could be frequent is lost; the cut sums serve for nothing else.
 3. Candidates are built into double-array tries of a bounded number of phrases, as many as
    it takes. Each is broadcast; every task walks all positions of many rows through it at
-   once, level by level, and counts end states with ``bincount``; Spark adds up the tasks.
+   once, level by level, and counts end states with ``bincount``; the counts go out packed by
+   blocks of phrases, and Spark adds up the tasks.
 
 Steps 2 and 3 are repeated for each length. Scoring joins the counts by phrase.
 """
 
+from collections.abc import Iterable, Iterator
+from itertools import groupby
+from operator import itemgetter
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,12 +37,14 @@ from barloom.llm.phrase_trie import PhraseTrie, walk
 from barloom.llm.words import absent_mark, slices
 from barloom.operators.keyed import landed, scratch_path, top_k
 
-#: Phrases of a trie at most, bits of a bitmap, and places of it that are added up together.
-TRIE_PHRASES, BITS, BLOCK = 1 << 20, 1 << 26, 1 << 16
+#: Phrases of a trie at most, bits of a bitmap, and places of it, or phrases of a trie, that are added up together.
+TRIE_PHRASES, BITS, BLOCK = 1 << 20, 1 << 26, 1 << 14
+#: Of so many rows of words one proposes candidates in the first turn.
+FIRST_OF = 8
 #: Bytes of text cut at a time, unless one text is longer, and words in a row.
 SLICE_BYTES, ROW_WORDS = 4 << 20, 512
 #: Rows of words that are worked on at a time, rows that a task sends at a time, and phrases it adds up at a time.
-_TOGETHER, _ROWS, _SUMMED = 2048, 1 << 16, 1 << 21
+_TOGETHER, _ROWS, _SUMMED = 2048, 1 << 16, 1 << 22
 _END = r"[.,;:!?\x0A-\x0D]"
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -126,6 +136,49 @@ def numbered_rows(docs: DataFrame, text_col: str, lang_col: str, longest: int) -
         seed += 1
 
 
+# Sums by place, packed
+
+_SUMS = "block int, sign int, n int, gaps binary, counts binary"
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 on, each in as few bytes as hold the greatest."""
+    return numbers.astype(np.min_scalar_type(int(numbers.max()))).tobytes()
+
+
+def _unpacked(packed: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(packed, f"u{len(packed) // n}").astype(np.int64)
+
+
+def _block_rows(places: np.ndarray, counts: np.ndarray, sign: int = 1) -> pa.RecordBatch:
+    """``_SUMS`` of counts by place (ascending): a row per block, that holds the gaps between its places."""
+    blocks, starts = np.unique(places // BLOCK, return_index=True)
+    within, ends = (places % BLOCK).astype(np.int64), np.append(starts[1:], len(places))
+    spans = [slice(*span) for span in zip(starts.tolist(), ends.tolist())]
+    columns = [
+        pa.array(blocks, pa.int32()),
+        pa.repeat(pa.scalar(sign, pa.int32()), len(blocks)),
+        pa.array(ends - starts, pa.int32()),
+        pa.array([_packed(np.diff(within[span], prepend=0)) for span in spans], pa.binary()),
+        pa.array([_packed(counts[span]) for span in spans], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["block", "sign", "n", "gaps", "counts"])
+
+
+def _block_sums(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+    """Each block with the sums of its places, from ``_SUMS`` in order of blocks."""
+    rows = (row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns)))
+    for block, own in groupby(rows, itemgetter(0)):
+        sums = np.zeros(BLOCK, np.int64)
+        for _, sign, n, gaps, counts in own:
+            sums[np.cumsum(_unpacked(gaps, n))] += sign * _unpacked(counts, n)
+        yield block, sums
+
+
+def _by_block(sums: DataFrame) -> DataFrame:
+    return sums.repartition("block").sortWithinPartitions("block")
+
+
 # Candidates
 
 
@@ -185,27 +238,8 @@ def _possible(lang: str, numbers: np.ndarray, bits: np.ndarray, size: int) -> li
     return [numbers[row, place + k] for k in range(size)]
 
 
-def _block_sums(places: list[np.ndarray], most: int) -> pa.RecordBatch:
-    """(block, places, counts): how often each place occurs, counts cut at ``most``, a row per block."""
-    found, counts = np.unique(np.concatenate(places), return_counts=True)
-    ends = np.searchsorted(found, np.arange(0, BITS + 1, BLOCK))
-    blocks = np.flatnonzero(np.diff(ends))
-    ends = np.append(0, ends[blocks + 1]).astype(np.int32)
-    within, counts = (found % BLOCK).astype(np.uint16), np.minimum(counts, most).astype(np.uint8)
-    columns = [
-        pa.Array.from_buffers(pa.binary(), len(blocks), [None, pa.py_buffer(ends * np.int32(values.itemsize)), pa.py_buffer(values)])
-        for values in (within, counts)
-    ]
-    return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), *columns], ["block", "places", "counts"])
-
-
-def reached(texts: DataFrame, parts, size: int, least: int, longest: int) -> np.ndarray:
-    """The bitmap of the places at which phrases with frequent ``parts`` occur ``least`` times, all together.
-
-    Every task adds up its phrases by place and sends three bytes for a place; places are added up in
-    blocks, each as an array of fixed size. Counts are cut at a byte, which ``least`` may be above.
-    """
-    most = min(least, 255)
+def place_sums(texts: DataFrame, parts, size: int, least: int, longest: int) -> DataFrame:
+    """``_SUMS`` of the places at which phrases with frequent ``parts`` occur ``least`` times, all together."""
 
     def add_up(batches):
         held, n = [], 0
@@ -213,42 +247,92 @@ def reached(texts: DataFrame, parts, size: int, least: int, longest: int) -> np.
             held.append(_place(_phrase_hash(lang, _possible(lang, numbers, parts.value, size))).astype(np.uint32))
             n += len(held[-1])
             if n >= _SUMMED:
-                yield _block_sums(held, most)
+                yield _block_rows(*np.unique(np.concatenate(held), return_counts=True))
                 held, n = [], 0
         if n:
-            yield _block_sums(held, most)
+            yield _block_rows(*np.unique(np.concatenate(held), return_counts=True))
 
     def reach(batches):
-        sums = {}
-        for batch in batches:
-            for block, places, counts in zip(*(column.to_pylist() for column in batch.columns)):
-                own, at = sums.setdefault(block, np.zeros(BLOCK, np.uint8)), np.frombuffer(places, np.uint16)
-                own[at] = np.minimum(own[at].astype(np.uint16) + np.frombuffer(counts, np.uint8), most)
-        for block, own in sums.items():
-            bits = np.packbits(own >= most, bitorder="little").tobytes()
+        for block, sums in _block_sums(batches):
+            often = np.flatnonzero(sums >= least)
+            if len(often):
+                yield _block_rows(block * BLOCK + often, sums[often])
+
+    return _by_block(texts.mapInArrow(add_up, _SUMS)).mapInArrow(reach, _SUMS)
+
+
+def taken_off(phrases: DataFrame, size: int) -> DataFrame:
+    """``_SUMS`` that take counted phrases (lang, w1 ... w<size>, f) off their places."""
+
+    def made(batches):
+        held, n = [], 0
+        for lang, words, f in _counted(batches, size):
+            held.append(np.stack([_place(_phrase_hash(lang, words)).astype(np.int64), f]))
+            n += len(f)
+            if n >= _SUMMED:
+                yield summed(held)
+                held, n = [], 0
+        if n:
+            yield summed(held)
+
+    def summed(held):
+        places, f = np.concatenate(held, axis=1)
+        order = np.argsort(places)
+        found, first = np.unique(places[order], return_index=True)
+        return _block_rows(found, np.add.reduceat(f[order], first), -1)
+
+    return phrases.select("lang", *_names(size), "f").mapInArrow(made, _SUMS)
+
+
+def _counted(batches, size: int):
+    """(lang, words by place, f) of many phrases of a language at a time."""
+    for batch in batches:
+        for lang in pc.unique(batch.column(0)).to_pylist():
+            own = batch.filter(pc.equal(batch.column(0), lang))
+            yield lang, [own.column(k + 1).to_numpy().view(np.uint64) for k in range(size)], own.column(size + 1).to_numpy()
+
+
+def reached(sums: DataFrame, least: int) -> np.ndarray:
+    """The bitmap of the places whose sums are ``least`` or more."""
+
+    def made(batches):
+        for block, own in _block_sums(batches):
+            bits = np.packbits(own >= least, bitorder="little").tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([bits], pa.binary())], ["block", "bits"])
 
-    sums = texts.mapInArrow(add_up, "block int, places binary, counts binary").repartition("block")
     bits = np.zeros((BITS // BLOCK, BLOCK // 8), np.uint8)
-    for block, own in zip(*(c.to_pylist() for c in sums.mapInArrow(reach, "block int, bits binary").toArrow().columns)):
+    for block, own in zip(*(c.to_pylist() for c in _by_block(sums).mapInArrow(made, "block int, bits binary").toArrow().columns)):
         bits[block] = np.frombuffer(own, np.uint8)  # BITS / BLOCK rows at most
     return bits.reshape(-1)
 
 
-def candidates(texts: DataFrame, frequent: DataFrame, size: int, least: int, longest: int) -> DataFrame:
-    """(lang, w1 ... w<size>): phrases that may occur ``least`` times, given the frequent ones a word shorter."""
-    context = texts.sparkSession.sparkContext
-    parts = context.broadcast(bitmap(phrase_hashes(frequent, size - 1)))
-    whole = context.broadcast(reached(texts, parts, size, least, longest))
+def at_places(phrases: DataFrame, size: int, places) -> DataFrame:
+    """(lang, w1 ... w<size>) of the counted ``phrases`` that are at one of the ``places``."""
     names = _names(size)
 
+    def kept(batches):
+        for lang, words, _ in _counted(batches, size):
+            here = _hit(places.value, _phrase_hash(lang, words))
+            columns = [pa.array(w[here].view(np.int64)) for w in words]
+            yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), int(here.sum())), *columns], ["lang", *names])
+
+    return phrases.select("lang", *names, "f").mapInArrow(kept, f"lang string, {', '.join(f'{w} long' for w in names)}")
+
+
+def candidates(texts: DataFrame, parts, places, size: int, least: int, longest: int, one_of: int = 1) -> DataFrame:
+    """(lang, w1 ... w<size>): phrases with frequent ``parts`` at some ``places`` that may occur ``least`` times.
+
+    Only one of ``one_of`` rows is looked at, and their share of ``least`` is enough.
+    """
+    names, most = _names(size), -(-least // one_of)
+
     def propose(batches):
         for lang, numbers in _read(batches, longest):
-            words = _possible(lang, numbers, parts.value, size)
-            often = _hit(whole.value, _phrase_hash(lang, words))
+            words = _possible(lang, numbers[::one_of], parts.value, size)
+            often = _hit(places.value, _phrase_hash(lang, words))
             known, codes = np.unique(np.concatenate([w[often] for w in words]), return_inverse=True)
             found, counts = _distinct(np.split(codes, size), len(known))
-            counts = np.minimum(counts, least)
+            counts = np.minimum(counts, most)
             for first in range(0, len(counts), _ROWS):
                 some = slice(first, first + _ROWS)
                 columns = [pa.array(known[f[some]].view(np.int64)) for f in found]
@@ -256,7 +340,24 @@ def candidates(texts: DataFrame, frequent: DataFrame, size: int, least: int, lon
                 yield pa.RecordBatch.from_arrays(columns, ["lang", *names, "n"])
 
     seen = texts.mapInArrow(propose, f"lang string, {', '.join(f'{w} long' for w in names)}, n long")
-    return seen.groupBy("lang", *names).agg(F.sum("n").alias("n")).filter(F.col("n") >= least).drop("n")
+    return seen.groupBy("lang", *names).agg(F.sum("n").alias("n")).filter(F.col("n") >= most).drop("n")
+
+
+def frequent_phrases(
+    texts: DataFrame, shorter: DataFrame, size: int, least: int, longest: int, trie_phrases: int = TRIE_PHRASES
+) -> DataFrame:
+    """(lang, w1 ... w<size>, f) of the phrases that occur ``least`` times, given those a word shorter."""
+    context = texts.sparkSession.sparkContext
+    parts = context.broadcast(bitmap(phrase_hashes(shorter, size - 1)))
+    sums = landed(place_sums(texts, parts, size, least, longest), "phrase-places")
+    places = context.broadcast(reached(sums, least))
+    first = candidates(texts, parts, places, size, least, longest, FIRST_OF)
+    first = count_candidates(texts, first, size, least, longest, trie_phrases)
+    # Without the phrases that are counted; a place below ``least`` has no room for another one.
+    places = context.broadcast(reached(sums.unionByName(taken_off(first, size)), least))
+    others = candidates(texts, parts, places, size, least, longest)
+    others = others.join(at_places(first, size, places), ["lang", *_names(size)], "left_anti")
+    return first.unionByName(count_candidates(texts, others, size, least, longest, trie_phrases))
 
 
 def _distinct(columns: list[np.ndarray], words: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -291,6 +392,22 @@ def shared_trie(phrases: pa.Table) -> dict:
     return PhraseTrie(groups, heads, words).arrays() | {"heads": heads, "words": words}
 
 
+def trie_sums(texts: DataFrame, shared, longest: int) -> DataFrame:
+    """``_SUMS`` of the phrases of a shared trie, by their place in it: a row per task and block."""
+
+    def count(batches):
+        trie = shared.value
+        ends = np.zeros(len(trie["check"]), np.int64)
+        for lang, numbers in _read(batches, longest):
+            ends += np.bincount(walk(trie, lang, numbers, ROW_WORDS), minlength=len(ends))
+        n = ends[trie["ends"]]
+        met = np.flatnonzero(n)
+        if len(met):
+            yield _block_rows(met, n[met])
+
+    return texts.mapInArrow(count, _SUMS)
+
+
 def count_candidates(
     texts: DataFrame, found: DataFrame, size: int, least: int, longest: int, trie_phrases: int = TRIE_PHRASES
 ) -> DataFrame:
@@ -307,21 +424,19 @@ def count_candidates(
         own = found.filter(F.pmod(F.xxhash64("lang", *names), F.lit(shards)) == shard)
         shared = spark.sparkContext.broadcast(shared_trie(own.toArrow()))
 
-        def count(batches, shared=shared):
+        def spell(batches, shared=shared):
             trie = shared.value
-            ends = np.zeros(len(trie["check"]), np.int64)
-            for lang, numbers in _read(batches, longest):
-                ends += np.bincount(walk(trie, lang, numbers, ROW_WORDS), minlength=len(ends))
-            n = ends[trie["ends"]]
-            met = np.flatnonzero(n)
-            langs = pa.array(list(trie["groups"]), pa.string()).take(pa.array(trie["heads"][met]))
-            columns = [langs, *(pa.array(w.view(np.int64)) for w in trie["words"][met].T.copy()), pa.array(n[met])]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", *names, "f"])
-
-        rows = texts.mapInArrow(count, kind).groupBy("lang", *names).agg(F.sum("f").alias("f"))
-        rows.filter(F.col("f") >= least).write.mode("append").parquet(path)
+            for block, n in _block_sums(batches):
+                often = np.flatnonzero(n >= least)
+                met = block * BLOCK + often
+                langs = pa.array(list(trie["groups"]), pa.string()).take(pa.array(trie["heads"][met]))
+                columns = [langs, *(pa.array(w.view(np.int64)) for w in trie["words"][met].T.copy()), pa.array(n[often])]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", *names, "f"])
+
+        rows = _by_block(trie_sums(texts, shared, longest)).mapInArrow(spell, kind)
+        rows.write.mode("append").parquet(path)
         shared.destroy()
-        del shared, count, rows  # and the trie with them, before the next is built
+        del shared, spell, rows  # and the trie with them, before the next is built
     return spark.read.schema(kind).parquet(path)
 
 
@@ -365,8 +480,7 @@ def collocations(
     texts, words = numbered_rows(docs, text_col, lang_col, longest)
     counts = {1: landed(words.filter(F.col("f") >= least), "phrases-1")}
     for size in range(2, longest + 1):
-        found = candidates(texts, counts[size - 1], size, least, longest)
-        counts[size] = count_candidates(texts, found, size, least, longest, trie_phrases)
+        counts[size] = frequent_phrases(texts, counts[size - 1], size, least, longest, trie_phrases)
 
     scored = None
     for size in range(2, longest + 1):

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from barloom.llm import phrases
 from barloom.llm.phrase_trie import PhraseTrie, walk
 from barloom.llm.phrases import TRIE_PHRASES, _distinct, collocations, shared_trie
 from tests.llm.cases import SCHEMA, TEXTS, documents
@@ -85,6 +86,47 @@ def test_clashing_columns(spark):
     assert [tuple(r) for r in found] == [("en", 1, "one two three", 12, 12, 12, 36, 10**6)]
 
 
+@pytest.mark.parametrize("first_of", [1, 3, 1000])
+def test_places_that_many_phrases_share(spark, monkeypatch, first_of):
+    for name, value in {"BITS": 1 << 10, "BLOCK": 1 << 4, "FIRST_OF": first_of, "ROW_WORDS": 8, "_SUMMED": 200}.items():
+        monkeypatch.setattr(phrases, name, value)
+    rows = mixed_texts(5, 200)
+    assert sorted(map(tuple, collocations(documents(spark, rows).repartition(3)).collect())) == expected(rows)
+
+
+def test_rows_sent_to_count_phrases(spark):
+    """A row per task and block of phrases, however many phrases a task meets."""
+    draw = random.Random(6)
+    rows = [(k, " ".join(f"w{draw.randrange(30)}" for _ in range(400)), "en") for k in range(40)]
+    texts, words = phrases.numbered_rows(documents(spark, rows).repartition(4), "text", "lang", 2)
+    found = phrases.frequent_phrases(texts, words, 2, 1, 2)
+    pairs = Counter(pair for _, text, _ in rows for pair in zip(text.split(), text.split()[1:]))
+    assert found.count() == len(pairs) >= 890
+    shared = spark.sparkContext.broadcast(shared_trie(found.drop("f").toArrow()))
+    held = phrases.trie_sums(texts, shared, 2)
+    tasks = texts.select(phrases.F.spark_partition_id()).distinct().count()
+    sent = held.toArrow().to_batches()
+    assert sum(map(len, sent)) == tasks
+    assert sum(sums.sum() for batch in sent for _, sums in phrases._block_sums([batch])) == sum(pairs.values())
+
+
+def test_packed_sums():
+    draw = np.random.default_rng(9)
+    total = Counter()
+    batches = []
+    for sign, most in [(1, 200), (1, 1 << 40), (-1, 70_000)]:
+        places = np.sort(draw.choice(3 * phrases.BLOCK, 500, replace=False))
+        counts = draw.integers(1, most, 500)
+        batches.append(phrases._block_rows(places, counts, sign))
+        for place, n in zip(places.tolist(), counts.tolist()):
+            total[place] += sign * n
+    rows = pa.Table.from_batches(batches).sort_by("block").to_batches()
+    found = {}
+    for block, sums in phrases._block_sums(rows):
+        found |= {block * phrases.BLOCK + k: int(sums[k]) for k in np.flatnonzero(sums).tolist()}
+    assert found == {place: n for place, n in total.items() if n}
+
+
 @pytest.mark.parametrize("depth", [1, 2, 3])
 def test_trie_walk(depth):
     draw = np.random.default_rng(depth)
