@@ -91,14 +91,19 @@ class PhraseTrie:
 
 
 def walk(trie: dict, group: str, numbers: np.ndarray, starts: int) -> np.ndarray:
-    """End states of all phrases of the trie in rows of word numbers, overlaps included.
+    """End states of all phrases of the trie in rows of word numbers, overlaps included."""
+    return walked(trie, group, numbers, starts)[1]
+
+
+def walked(trie: dict, group: str, numbers: np.ndarray, starts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the phrases of the trie start in rows of word numbers, as places of all rows together, and their end states.
 
     ``numbers`` are those of words, a row of them in each row, 0 where a piece ends. A phrase may start
     at the first ``starts`` places of a row. All places go down one level at a time.
     """
     base, check, known = trie["base"], trie["check"], trie["numbers"]
     if group not in trie["groups"] or not len(known):
-        return np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     flat = numbers.ravel()
     place = np.minimum(np.searchsorted(known, flat), len(known) - 1)
     labels = np.where(known[place] == flat, place, -1)
@@ -112,4 +117,4 @@ def walk(trie: dict, group: str, numbers: np.ndarray, starts: int) -> np.ndarray
         at, state, child = at[real], state[real], child[real]
         real = check[child] == state
         at, state = at[real], child[real]
-    return state
+    return at, state

@@ -6,19 +6,15 @@ A row also holds the first words of the next one, so that no phrase is lost betw
 
 1. Words are counted; those below the least count are out.
 2. A phrase can only be frequent if both its parts (all but its last and all but its first word) are.
-   A bitmap of fixed size of the frequent ones (a superset: two may share a bit) goes to
-   all tasks. Occurrences of phrases whose parts are both in it are first added up by a hash of
-   the phrase, in as many places as the bitmap has bits; places below the least count hold no
-   frequent phrase. Phrases of the other places are proposed in two turns, so that few tasks
-   spell out the same phrase: first those of some rows, which finds most, and these are
-   counted in all rows (step 3). Their counts are taken off the sums of their places, and only a place
-   that still has the least count may hold another frequent phrase; all rows propose those.
-   Sums of proposals, with each task's counts cut at the least count, choose the candidates. Nothing
-   that could be frequent is lost; the cut sums serve for nothing else.
-3. Candidates are built into double-array tries of a bounded number of phrases, as many as
-   it takes. Each is broadcast; every task walks all positions of many rows through it at
-   once, level by level, and counts end states with ``bincount``; the counts go out packed by
-   blocks of phrases, and Spark adds up the tasks.
+   A bitmap of the frequent ones (a superset: two may share a bit) goes to all tasks. Occurrences of
+   phrases whose parts are both in it are first added up by a hash of the phrase, in as many
+   places as there are bits; places below the least count hold no frequent phrase.
+3. Occurrences at the other places are dealt by the phrase's hash to shards, as many as it takes for
+   a bounded number of them in each: a task puts equal ones together and sends a packed row
+   per shard. In a shard, phrases whose hash comes up often enough are its candidates. They are
+   built into a double-array trie; all occurrences with such hashes are walked through it at once, level
+   by level, and end states are counted with ``bincount``. So each phrase is in one trie, each occurrence
+   is walked once, and the rows of words are read twice for a length, however many phrases are frequent.
 
 Steps 2 and 3 are repeated for each length. Scoring joins the counts by phrase.
 """
@@ -33,18 +29,20 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from barloom.llm.phrase_trie import PhraseTrie, walk
+from barloom.llm.phrase_trie import PhraseTrie, walk, walked
 from barloom.llm.words import absent_mark, slices
 from barloom.operators.keyed import landed, scratch_path, top_k
 
-#: Phrases of a trie at most, bits of a bitmap, and places of it, or phrases of a trie, that are added up together.
+#: Phrases of a trie at most, bits of a bitmap at least, and places of it, or phrases of a trie, that are added up together.
 TRIE_PHRASES, BITS, BLOCK = 1 << 20, 1 << 26, 1 << 14
-#: Of so many rows of words one proposes candidates in the first turn.
-FIRST_OF = 8
+#: Bits of a bitmap at most; occurrences in a shard at most, on average; and shards at least.
+MOST_BITS, SHARD, SHARDS = 1 << 28, 1 << 21, 64
 #: Bytes of text cut at a time, unless one text is longer, and words in a row.
 SLICE_BYTES, ROW_WORDS = 4 << 20, 512
-#: Rows of words that are worked on at a time, rows that a task sends at a time, and phrases it adds up at a time.
-_TOGETHER, _ROWS, _SUMMED = 2048, 1 << 16, 1 << 22
+#: Without use since phrases are proposed and counted in one turn; kept for callers that set it.
+FIRST_OF = 8
+#: Rows of words that are worked on at a time, and phrases that a task adds up at a time (half of it if it keeps their words).
+_TOGETHER, _SUMMED = 2048, 1 << 22
 _END = r"[.,;:!?\x0A-\x0D]"
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -191,22 +189,30 @@ def _phrase_hash(lang: str, words: list[np.ndarray]) -> np.ndarray:
     return x
 
 
-def _place(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(20)) % np.uint64(BITS)
+def _bits(expected: float) -> int:
+    """Bits of a bitmap for so many entries: a power of two times ``BITS``."""
+    bits = BITS
+    while bits < min(expected, MOST_BITS):
+        bits *= 2
+    return bits
+
+
+def _place(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> np.uint64(20)) % np.uint64(bits)
 
 
 def _hit(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = _place(hashes)
+    at = _place(hashes, 8 * len(bits))
     return ((bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
 
 
-def bitmap(hashes: DataFrame) -> np.ndarray:
+def bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
     """The bits of all ``hash`` of a frame, as bytes."""
-    at = F.expr(f"shiftrightunsigned(hash, 20) % {BITS}").alias("at")
+    at = F.expr(f"shiftrightunsigned(hash, 20) % {bits}").alias("at")
     bit = F.expr("shiftleft(1L, cast(at % 64 as int))")
     held = hashes.select(at).groupBy(F.expr("at div 64").alias("place")).agg(F.bit_or(bit).alias("bits"))
-    table = held.toArrow()  # BITS / 64 rows at most
-    out = np.zeros(BITS // 64, np.int64)
+    table = held.toArrow()  # bits / 64 rows at most
+    out = np.zeros(bits // 64, np.int64)
     out[table.column("place").to_numpy()] = table.column("bits").to_numpy()
     return out.view(np.uint8)
 
@@ -231,20 +237,22 @@ def _names(size: int) -> list[str]:
 def _possible(lang: str, numbers: np.ndarray, bits: np.ndarray, size: int) -> list[np.ndarray]:
     """The words, by place, of all phrases in some rows whose two parts are in the bitmap."""
     # The parts of a phrase, all but its last and all but its first word, start at its place and at the next.
-    run = [numbers[:, k : ROW_WORDS + 1 + k] for k in range(size - 1)]
+    flat = numbers.ravel()
+    run = [flat[k : len(flat) - size + 2 + k] for k in range(size - 1)]
     part = np.all([r != 0 for r in run], axis=0)
     part[part] = _hit(bits, _phrase_hash(lang, [r[part] for r in run]))
-    row, place = np.nonzero(part[:, :ROW_WORDS] & part[:, 1:])
-    return [numbers[row, place + k] for k in range(size)]
+    at = np.flatnonzero(part[:-1] & part[1:])
+    at = at[at % numbers.shape[1] < ROW_WORDS]
+    return [flat[at + k] for k in range(size)]
 
 
-def place_sums(texts: DataFrame, parts, size: int, least: int, longest: int) -> DataFrame:
-    """``_SUMS`` of the places at which phrases with frequent ``parts`` occur ``least`` times, all together."""
+def place_sums(texts: DataFrame, parts, size: int, longest: int, bits: int) -> DataFrame:
+    """``_SUMS`` of the places at which phrases with frequent ``parts`` occur, a row per task and block."""
 
     def add_up(batches):
         held, n = [], 0
         for lang, numbers in _read(batches, longest):
-            held.append(_place(_phrase_hash(lang, _possible(lang, numbers, parts.value, size))).astype(np.uint32))
+            held.append(_place(_phrase_hash(lang, _possible(lang, numbers, parts.value, size)), bits).astype(np.uint32))
             n += len(held[-1])
             if n >= _SUMMED:
                 yield _block_rows(*np.unique(np.concatenate(held), return_counts=True))
@@ -252,95 +260,116 @@ def place_sums(texts: DataFrame, parts, size: int, least: int, longest: int) ->
         if n:
             yield _block_rows(*np.unique(np.concatenate(held), return_counts=True))
 
-    def reach(batches):
-        for block, sums in _block_sums(batches):
-            often = np.flatnonzero(sums >= least)
-            if len(often):
-                yield _block_rows(block * BLOCK + often, sums[often])
-
-    return _by_block(texts.mapInArrow(add_up, _SUMS)).mapInArrow(reach, _SUMS)
+    return texts.mapInArrow(add_up, _SUMS)
 
 
-def taken_off(phrases: DataFrame, size: int) -> DataFrame:
-    """``_SUMS`` that take counted phrases (lang, w1 ... w<size>, f) off their places."""
-
-    def made(batches):
-        held, n = [], 0
-        for lang, words, f in _counted(batches, size):
-            held.append(np.stack([_place(_phrase_hash(lang, words)).astype(np.int64), f]))
-            n += len(f)
-            if n >= _SUMMED:
-                yield summed(held)
-                held, n = [], 0
-        if n:
-            yield summed(held)
-
-    def summed(held):
-        places, f = np.concatenate(held, axis=1)
-        order = np.argsort(places)
-        found, first = np.unique(places[order], return_index=True)
-        return _block_rows(found, np.add.reduceat(f[order], first), -1)
-
-    return phrases.select("lang", *_names(size), "f").mapInArrow(made, _SUMS)
-
-
-def _counted(batches, size: int):
-    """(lang, words by place, f) of many phrases of a language at a time."""
-    for batch in batches:
-        for lang in pc.unique(batch.column(0)).to_pylist():
-            own = batch.filter(pc.equal(batch.column(0), lang))
-            yield lang, [own.column(k + 1).to_numpy().view(np.uint64) for k in range(size)], own.column(size + 1).to_numpy()
-
-
-def reached(sums: DataFrame, least: int) -> np.ndarray:
-    """The bitmap of the places whose sums are ``least`` or more."""
+def reached(sums: DataFrame, least: int, bits: int) -> tuple[np.ndarray, int]:
+    """The bitmap of the places whose sums are ``least`` or more, and all their sums together."""
 
     def made(batches):
         for block, own in _block_sums(batches):
-            bits = np.packbits(own >= least, bitorder="little").tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([bits], pa.binary())], ["block", "bits"])
-
-    bits = np.zeros((BITS // BLOCK, BLOCK // 8), np.uint8)
-    for block, own in zip(*(c.to_pylist() for c in _by_block(sums).mapInArrow(made, "block int, bits binary").toArrow().columns)):
-        bits[block] = np.frombuffer(own, np.uint8)  # BITS / BLOCK rows at most
-    return bits.reshape(-1)
-
-
-def at_places(phrases: DataFrame, size: int, places) -> DataFrame:
-    """(lang, w1 ... w<size>) of the counted ``phrases`` that are at one of the ``places``."""
-    names = _names(size)
-
-    def kept(batches):
-        for lang, words, _ in _counted(batches, size):
-            here = _hit(places.value, _phrase_hash(lang, words))
-            columns = [pa.array(w[here].view(np.int64)) for w in words]
-            yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), int(here.sum())), *columns], ["lang", *names])
+            often = own >= least
+            if often.any():
+                columns = [pa.array([block], pa.int32()), pa.array([np.packbits(often, bitorder="little").tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([own[often].sum()])], ["block", "bits", "n"])
+
+    out, total = np.zeros((bits // BLOCK, BLOCK // 8), np.uint8), 0
+    table = _by_block(sums).mapInArrow(made, "block int, bits binary, n long").toArrow()  # bits / BLOCK rows at most
+    for block, own, n in zip(*(column.to_pylist() for column in table.columns)):
+        out[block] = np.frombuffer(own, np.uint8)
+        total += n
+    return out.reshape(-1), total
+
+
+# Occurrences by shard, packed
+
+_DEALT = "shard int, lang string, n int, words binary, counts binary"
+
+
+def _dealt_rows(lang: str, hashes: np.ndarray, words: list[np.ndarray], shards: int) -> pa.RecordBatch:
+    """``_DEALT`` of occurrences of phrases, equal ones put together: a row per shard."""
+    order = np.argsort(hashes)
+    hashes, words = hashes[order], [w[order] for w in words]
+    new = hashes[1:] != hashes[:-1]
+    for w in words:  # where two phrases share a hash, one may come in some runs
+        new |= w[1:] != w[:-1]
+    first = np.flatnonzero(np.append(True, new))
+    counts, words = np.diff(np.append(first, len(hashes))), [w[first] for w in words]
+    found, starts = np.unique(_shard(hashes[first], shards), return_index=True)  # ascending, as the hashes are
+    ends = np.append(starts[1:], len(first))
+    spans = [slice(*span) for span in zip(starts.tolist(), ends.tolist())]
+    columns = [
+        pa.array(found, pa.int32()),
+        pa.repeat(pa.scalar(lang), len(found)),
+        pa.array(ends - starts, pa.int32()),
+        pa.array([b"".join(w[span].tobytes() for w in words) for span in spans], pa.binary()),
+        pa.array([_packed(counts[span]) for span in spans], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["shard", "lang", "n", "words", "counts"])
 
-    return phrases.select("lang", *names, "f").mapInArrow(kept, f"lang string, {', '.join(f'{w} long' for w in names)}")
 
+def _shard(hashes: np.ndarray, shards: int) -> np.ndarray:
+    """By the upper half of the hash, in its order."""
+    return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int32)
 
-def candidates(texts: DataFrame, parts, places, size: int, least: int, longest: int, one_of: int = 1) -> DataFrame:
-    """(lang, w1 ... w<size>): phrases with frequent ``parts`` at some ``places`` that may occur ``least`` times.
 
-    Only one of ``one_of`` rows is looked at, and their share of ``least`` is enough.
-    """
-    names, most = _names(size), -(-least // one_of)
+def dealt(texts: DataFrame, parts, places, size: int, longest: int, shards: int) -> DataFrame:
+    """``_DEALT`` of all phrases with frequent ``parts`` at some ``places``."""
 
-    def propose(batches):
+    def deal(batches):
+        held, n = {}, 0
         for lang, numbers in _read(batches, longest):
-            words = _possible(lang, numbers[::one_of], parts.value, size)
-            often = _hit(places.value, _phrase_hash(lang, words))
-            known, codes = np.unique(np.concatenate([w[often] for w in words]), return_inverse=True)
-            found, counts = _distinct(np.split(codes, size), len(known))
-            counts = np.minimum(counts, most)
-            for first in range(0, len(counts), _ROWS):
-                some = slice(first, first + _ROWS)
-                columns = [pa.array(known[f[some]].view(np.int64)) for f in found]
-                columns = [pa.repeat(pa.scalar(lang), len(columns[0])), *columns, pa.array(counts[some])]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", *names, "n"])
-
-    seen = texts.mapInArrow(propose, f"lang string, {', '.join(f'{w} long' for w in names)}, n long")
-    return seen.groupBy("lang", *names).agg(F.sum("n").alias("n")).filter(F.col("n") >= most).drop("n")
+            words = _possible(lang, numbers, parts.value, size)
+            hashes = _phrase_hash(lang, words)
+            often = _hit(places.value, hashes)
+            held.setdefault(lang, []).append([x[often] for x in (hashes, *words)])
+            n += len(held[lang][-1][0])
+            if 2 * n >= _SUMMED:
+                yield from sent(held)
+                held, n = {}, 0
+        yield from sent(held)
+
+    def sent(held):
+        for lang, own in held.items():
+            hashes, *words = map(np.concatenate, zip(*own))
+            if len(hashes):
+                yield _dealt_rows(lang, hashes, words, shards)
+
+    return texts.mapInArrow(deal, _DEALT)
+
+
+def _by_shard(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[tuple[list[str], np.ndarray, np.ndarray, np.ndarray]]:
+    """(languages, place of each phrase's language, words (phrase, place), counts) of each shard, from ``_DEALT`` in order of shards."""
+    rows = (row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns)))
+    for _, own in groupby(rows, itemgetter(0)):
+        _, langs, n, words, counts = zip(*own)
+        groups = sorted(set(langs))
+        heads = np.repeat([groups.index(lang) for lang in langs], n)
+        words = np.concatenate([np.frombuffer(w, np.uint64).reshape(size, -1) for w in words], axis=1)
+        yield groups, heads, words.T, np.concatenate([_unpacked(packed, many) for packed, many in zip(counts, n)])
+
+
+def _often(groups: list[str], heads: np.ndarray, words: np.ndarray, counts: np.ndarray, least: int) -> np.ndarray:
+    """Where the phrases are whose hash comes up ``least`` times, the hash's own rows one behind the other."""
+    hashes = np.empty(len(heads), np.uint64)
+    for label, lang in enumerate(groups):
+        own = heads == label
+        hashes[own] = _phrase_hash(lang, list(words[own].T))
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+    enough = np.add.reduceat(counts[order], first) >= least
+    return order[np.repeat(enough, np.diff(np.append(first, len(order))))]
+
+
+def candidates(heads: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Heads and words of the distinct ones of some phrases, of which equal ones often follow each other."""
+    new = np.append(True, (heads[1:] != heads[:-1]) | (words[1:] != words[:-1]).any(axis=1))
+    heads, words = heads[new], words[new]
+    known, codes = np.unique(np.append(words, heads.astype(np.uint64)[:, None], axis=1), return_inverse=True)
+    found, _ = _distinct(list(codes.reshape(len(heads), -1).T), len(known))
+    *words, heads = (known[f] for f in found)
+    return heads.astype(np.int64), np.stack(words, axis=1)
 
 
 def frequent_phrases(
@@ -348,16 +377,17 @@ def frequent_phrases(
 ) -> DataFrame:
     """(lang, w1 ... w<size>, f) of the phrases that occur ``least`` times, given those a word shorter."""
     context = texts.sparkSession.sparkContext
-    parts = context.broadcast(bitmap(phrase_hashes(shorter, size - 1)))
-    sums = landed(place_sums(texts, parts, size, least, longest), "phrase-places")
-    places = context.broadcast(reached(sums, least))
-    first = candidates(texts, parts, places, size, least, longest, FIRST_OF)
-    first = count_candidates(texts, first, size, least, longest, trie_phrases)
-    # Without the phrases that are counted; a place below ``least`` has no room for another one.
-    places = context.broadcast(reached(sums.unionByName(taken_off(first, size)), least))
-    others = candidates(texts, parts, places, size, least, longest)
-    others = others.join(at_places(first, size, places), ["lang", *_names(size)], "left_anti")
-    return first.unionByName(count_candidates(texts, others, size, least, longest, trie_phrases))
+    known = shorter.agg(F.count("*"), F.sum("f")).head()
+    parts = context.broadcast(bitmap(phrase_hashes(shorter, size - 1), _bits(8 * known[0])))
+    bits = _bits((known[1] or 0) / 4)  # a phrase occurs no more often than its first part
+    places, n = reached(place_sums(texts, parts, size, longest, bits), least, bits)
+    places = context.broadcast(places)
+    # Half the bound of a trie, as hashes deal phrases out by chance.
+    shards = max(SHARDS, -(-n // SHARD), -(-2 * n // (least * trie_phrases)))
+    found = landed(count_dealt(dealt(texts, parts, places, size, longest, shards), size, least), f"phrases-{size}")
+    parts.destroy()
+    places.destroy()
+    return found
 
 
 def _distinct(columns: list[np.ndarray], words: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -389,11 +419,15 @@ def shared_trie(phrases: pa.Table) -> dict:
     groups = sorted(pc.unique(langs).to_pylist())
     heads = pc.index_in(langs, pa.array(groups, pa.string())).to_numpy()
     words = np.stack([column.to_numpy().view(np.uint64) for column in words], axis=1)
+    return _trie(groups, heads, words)
+
+
+def _trie(groups: list[str], heads: np.ndarray, words: np.ndarray) -> dict:
     return PhraseTrie(groups, heads, words).arrays() | {"heads": heads, "words": words}
 
 
 def trie_sums(texts: DataFrame, shared, longest: int) -> DataFrame:
-    """``_SUMS`` of the phrases of a shared trie, by their place in it: a row per task and block."""
+    """``_SUMS`` of the phrases of a shared trie in all rows, by their place in it: a row per task and block."""
 
     def count(batches):
         trie = shared.value
@@ -408,36 +442,30 @@ def trie_sums(texts: DataFrame, shared, longest: int) -> DataFrame:
     return texts.mapInArrow(count, _SUMS)
 
 
-def count_candidates(
-    texts: DataFrame, found: DataFrame, size: int, least: int, longest: int, trie_phrases: int = TRIE_PHRASES
-) -> DataFrame:
-    """(lang, w1 ... w<size>, f) of the candidates ``found`` that occur ``least`` times, a pass over the rows of words per trie.
+def count_dealt(found: DataFrame, size: int, least: int) -> DataFrame:
+    """(lang, w1 ... w<size>, f) of the phrases of ``_DEALT`` that occur ``least`` times, a trie per shard."""
+    names = _names(size)
 
-    The driver holds one trie at a time.
-    """
-    names, spark = _names(size), texts.sparkSession
-    path, kind = scratch_path(spark, f"phrases-{size}"), f"lang string, {', '.join(f'{w} long' for w in names)}, f long"
-    found = landed(found, "phrase-candidates")
-    # Hashes deal phrases out evenly; half the bound leaves room for chance.
-    shards = -(-2 * found.count() // trie_phrases) or 1
-    for shard in range(shards):
-        own = found.filter(F.pmod(F.xxhash64("lang", *names), F.lit(shards)) == shard)
-        shared = spark.sparkContext.broadcast(shared_trie(own.toArrow()))
-
-        def spell(batches, shared=shared):
-            trie = shared.value
-            for block, n in _block_sums(batches):
-                often = np.flatnonzero(n >= least)
-                met = block * BLOCK + often
-                langs = pa.array(list(trie["groups"]), pa.string()).take(pa.array(trie["heads"][met]))
-                columns = [langs, *(pa.array(w.view(np.int64)) for w in trie["words"][met].T.copy()), pa.array(n[often])]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", *names, "f"])
-
-        rows = _by_block(trie_sums(texts, shared, longest)).mapInArrow(spell, kind)
-        rows.write.mode("append").parquet(path)
-        shared.destroy()
-        del shared, spell, rows  # and the trie with them, before the next is built
-    return spark.read.schema(kind).parquet(path)
+    def count(batches):
+        for groups, heads, words, counts in _by_shard(batches, size):
+            often = _often(groups, heads, words, counts, least)
+            if not len(often):
+                continue
+            heads, words, counts = heads[often], words[often], counts[often]
+            trie = _trie(groups, *candidates(heads, words))
+            ends = np.zeros(len(trie["check"]), np.int64)
+            for label, lang in enumerate(groups):
+                own = heads == label
+                at, state = walked(trie, lang, words[own], 1)
+                ends += np.bincount(state, counts[own][at // size], len(ends)).astype(np.int64)  # sums below 2**53 are exact
+            n = ends[trie["ends"]]
+            met = np.flatnonzero(n >= least)
+            langs = pa.array(groups, pa.string()).take(pa.array(trie["heads"][met]))
+            columns = [langs, *(pa.array(w.view(np.int64)) for w in trie["words"][met].T.copy()), pa.array(n[met])]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", *names, "f"])
+
+    own = found.repartition("shard").sortWithinPartitions("shard")
+    return own.mapInArrow(count, f"lang string, {', '.join(f'{w} long' for w in names)}, f long")
 
 
 # Scores

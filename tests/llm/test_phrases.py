@@ -110,6 +110,36 @@ def test_rows_sent_to_count_phrases(spark):
     assert sum(sums.sum() for batch in sent for _, sums in phrases._block_sums([batch])) == sum(pairs.values())
 
 
+@pytest.mark.parametrize("trie_phrases", [4, TRIE_PHRASES])
+def test_rows_are_read_twice_however_many_tries_it_takes(spark, trie_phrases):
+    rows = mixed_texts(7, 200)
+    texts, words = phrases.numbered_rows(documents(spark, rows).repartition(3), "text", "lang", 2)
+    n, read = texts.count(), spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    found = phrases.frequent_phrases(texts.mapInArrow(seen, texts.schema), words, 2, 3, 2, trie_phrases)
+    names = {r.w1: r.word for r in words.collect()}
+    pairs = [(r.lang, f"{names[r.w1]} {names[r.w2]}", r.f) for r in found.collect()]
+    wanted = expected(rows, longest=2, least=3, top=10**6)
+    assert sorted(pairs) == sorted(row[:1] + row[2:4] for row in wanted) and len(pairs) > 100
+    assert read.value == 2 * n
+
+
+def test_phrases_that_share_a_hash(spark, monkeypatch):
+    """All phrases of a language have one of 16 hashes, in a few shards; their counts are still their own."""
+    whole = phrases._phrase_hash
+    monkeypatch.setattr(phrases, "_phrase_hash", lambda lang, words: whole(lang, words) & np.uint64((3 << 60) + (3 << 20)))
+    for name, value in {"BITS": 1 << 10, "BLOCK": 1 << 4, "ROW_WORDS": 8, "SHARDS": 3, "_SUMMED": 600}.items():
+        monkeypatch.setattr(phrases, name, value)
+    rows = mixed_texts(8, 200)
+    found = collocations(documents(spark, rows).repartition(3), least=4)
+    assert sorted(map(tuple, found.collect())) == expected(rows, least=4)
+
+
 def test_packed_sums():
     draw = np.random.default_rng(9)
     total = Counter()
